@@ -242,7 +242,8 @@ def similarity_components(docs: DataFrame, k: int, num: int, den: int, keys_of:
     reps = nodes.groupBy(F.col("sid").alias("node")).agg(F.min("doc_id").alias("rep"))
     chunks = comp.groupBy("label").agg(F.ceil(F.count("*") / TILE).cast("int").alias("chunks"))
     members = durable(comp.join(reps, "node").join(chunks, "label").select("rep", F.col("node").alias("sid"), F.col("label").alias("comp"), "chunks"), "members")
-    texts = members.join(docs, F.col("rep").eqNullSafe(F.col("doc_id"))).select("comp", "sid", "chunks", "text")
+    # a shuffle join at every size, as members grow with the documents
+    texts = members.hint("merge").join(docs, F.col("rep").eqNullSafe(F.col("doc_id"))).select("comp", "sid", "chunks", "text")
     sets = texts.mapInArrow(partial(_with_sets, k=k), "comp long, sid long, chunks int, shingles binary")
     mine = F.pmod(F.xxhash64("sid"), F.col("chunks")).cast("int")
     tile = F.when(F.col("chunks") <= 2, F.array(F.struct(F.lit(0).alias("tile"), F.lit(2).alias("side")))).otherwise(
