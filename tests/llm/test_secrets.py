@@ -1,0 +1,93 @@
+import base64
+import bz2
+import gzip
+import hashlib
+import re
+from urllib.parse import quote
+
+import pytest
+
+from finlattice.llm import secrets
+from finlattice.llm.secrets import find_secrets, mask_secrets, scan_secrets, spans_text
+
+KEY = "AKIA" + "Q7" * 8
+
+
+def brute(text):
+    """The base rules read literally."""
+    out = []
+    for m in re.finditer(r"""(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text):
+        if len(m[1]) >= 6:
+            out.append((m.start(), 0, m.end()))
+    out += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if m.end() - m.start() >= 20]
+    out += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if m.end() - m.start() >= 24]
+    return ",".join(f"{('assign', 'access', 'hex')[k]}:{a}:{b}" for a, k, b in sorted(out))
+
+
+def test_whole_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    got = scan_secrets(docs).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        base = brute(texts[r.doc_id])
+        assert r.base_sha256 == hashlib.sha256(base.encode()).hexdigest(), r.doc_id
+        assert set(filter(None, base.split(","))) <= set(r.spans.split(","))
+    assert sum(r.n_assign > 0 for r in got) > 100
+
+
+def b64(x):
+    return base64.b64encode(x if isinstance(x, bytes) else x.encode()).decode()
+
+
+@pytest.mark.parametrize(
+    "wrap",
+    [
+        b64,
+        lambda s: quote(s, safe="") if not s.isalnum() else "".join(f"%{ord(c):02x}" for c in s),
+        lambda s: "".join(f"\\u{ord(c):04x}" for c in s),
+        lambda s: "".join(f"&#x{ord(c):x};" for c in s),
+        lambda s: b64(gzip.compress(s.encode())),
+        lambda s: b64(bz2.compress(b64(s).encode())),
+        lambda s: b64(b64(gzip.compress(b64("".join(f"%{ord(c):02X}" for c in s)).encode()))),
+        lambda s: "".join(f"\\x{c:02x}" for c in gzip.compress(s.encode())),
+        lambda s: base64.urlsafe_b64encode(("??>>" + s).encode()).decode().rstrip("="),
+    ],
+)
+def test_layers_map_to_the_original(wrap):
+    for secret, kind in ((KEY, "access"), ('password: "hunter22"', "assign"), ("0f" * 14, "hex")):
+        code = wrap(secret)
+        text = f"é😀 before {code} after"
+        found = find_secrets(text)[1]
+        at = text.index(code)
+        mine = [(a, b) for k, a, b in found if k == kind and at <= a and b <= at + len(code)]
+        assert mine, (secret, code, found)
+
+
+def test_partial_escape_keeps_exact_spans():
+    text = f"x AKIA%51{KEY[5:]} y"
+    assert ("access", 2, len(text) - 2) in find_secrets(text)[1]
+
+
+def test_cycles_and_bombs_end(monkeypatch):
+    assert find_secrets("%25" * 5000)[2] < 10
+    monkeypatch.setattr(secrets, "MAX_LAYER", 1000)
+    bomb = b64(gzip.compress(b"a" * 100_000))
+    assert find_secrets(bomb)[3] == 1
+    nested = KEY
+    for _ in range(12):
+        nested = b64(nested)
+    assert any(k == "access" for k, _, _ in find_secrets(nested)[1])
+
+
+def test_frames(spark):
+    rows = [(1, None), (2, ""), (None, f"k {KEY}"), (3, "toſen ſecret=abcdefgh token=abc"), (4, "z" * 400_000 + " token=abcdef"), (4, "z" * 400_000 + " token=abcdef")]
+    docs = spark.createDataFrame([(d, t, 5) for d, t in rows], "doc_id long, text string, n_hex int")
+    got = scan_secrets(docs).collect()
+    assert sorted(r.n_assign for r in got) == [0, 0, 0, 0, 1, 1] and sum(r.n_access for r in got) == 1
+    masked = mask_secrets(docs)
+    assert masked.schema == docs.schema
+    assert {r.text for r in masked.where("doc_id IS NULL").collect()} == {"k <SECRET>"}
+    assert masked.where("doc_id = 1").collect()[0].text is None
+    assert scan_secrets(docs.limit(0)).count() == 0
+    assert spans_text([("hex", 3, 9), ("assign", 3, 5), ("access", 1, 2)]) == "access:1:2,assign:3:5,hex:3:9"
