@@ -75,11 +75,12 @@ def pl_equations(values: DataFrame, tolerance: float = 0.05) -> DataFrame:
     extras = F.array(*(v[n] for n in fs.PL_EXTRAS))
     nearer = lambda s, x: F.when(x.isNotNull() & (F.abs(net - s["sum"] - x) < F.abs(net - s["sum"])), s["sum"] + x).otherwise(s["sum"])
     continued = F.aggregate(extras, start, lambda s, x: F.struct(nearer(s, x).alias("sum")), lambda s: s["sum"])
-    checks = F.array(
-        F.struct(F.lit("gross_profit").alias("check"), v["gross_profit"].alias("actual"), (v["revenue_net"] + v["cost_of_goods_sold"]).alias("expected")),
-        F.struct(F.lit("net_profit_tax"), F.when(~has["net_profit_continuing"], net), v["profit_before_tax"] + F.coalesce(tax, F.lit(0.0))),
-        F.struct(F.lit("net_profit_continuing"), F.when(has["net_profit_continuing"], net), continued),
+    equations = (
+        ("gross_profit", v["gross_profit"], v["revenue_net"] + v["cost_of_goods_sold"]),
+        ("net_profit_tax", F.when(~has["net_profit_continuing"], net), v["profit_before_tax"] + F.coalesce(tax, F.lit(0.0))),
+        ("net_profit_continuing", F.when(has["net_profit_continuing"], net), continued),
     )
+    checks = F.array(*(F.struct(F.lit(n).alias("check"), a.alias("actual"), e.alias("expected")) for n, a, e in equations))
     rows = df.select(*PERIOD, F.explode(checks).alias("c")).select(*PERIOD, "c.*").where("actual IS NOT NULL AND expected IS NOT NULL")
     off = F.abs(F.col("actual") - F.col("expected")) / F.greatest(F.abs("actual"), F.abs("expected"), F.lit(1.0))
     return rows.withColumn("off", off).where(F.col("off") > tolerance).withColumn("severity", F.when(F.col("off") < 0.10, "warning").otherwise("error"))

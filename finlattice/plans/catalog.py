@@ -22,9 +22,16 @@ def query(name: str, sql: str | None = None) -> Callable:
     return add
 
 
+def _load() -> None:
+    """The modules that register queries."""
+    from . import corpus, statements  # noqa: F401
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    _load()
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    _load()
     return dict(_SQL)
