@@ -23,8 +23,10 @@ from .shingles import slices, utf8_parts
 
 #: Slots of the spectra of order 1, 2, 3 and 4.
 SLOTS = (256, 4096, 16384, 32768)
-#: Bounds of what is fitted on: training texts and landmarks for each language, languages, and the ridge.
-TRAIN_PER_LANG, LANDMARKS_PER_LANG, MAX_LANGS, RIDGE, SHARPNESS = 300, 60, 256, 1e-3, 6.0
+#: Bounds of what is fitted on: training texts of a language and in all, landmarks in all, languages.
+TRAIN_PER_LANG, MAX_TRAIN, MAX_LANDMARKS, MAX_LANGS = 300, 1200, 240, 256
+#: Ridge, and the scale of margins in the soft-max.
+RIDGE, SHARPNESS = 1e-3, 6.0
 _ROWS = 256
 _LETTER = r"\p{L}"
 _MULTIPLIERS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], np.uint32)
@@ -69,7 +71,7 @@ def fit(spectrum_rows: list[np.ndarray], langs: list[str]) -> LanguageModel:
     """Ridge regressions from presence matrices of the training texts, each language's first rows being its landmarks."""
     names = tuple(sorted(set(langs)))
     lang = np.array([names.index(x) for x in langs])
-    marks = np.concatenate([np.flatnonzero(lang == c)[:LANDMARKS_PER_LANG] for c in range(len(names))])
+    marks = np.concatenate([np.flatnonzero(lang == c)[: max(1, MAX_LANDMARKS // len(names))] for c in range(len(names))])
     kernel = np.zeros((len(langs), len(marks)))
     for seen in spectrum_rows:
         x = _normal(seen)
@@ -108,7 +110,7 @@ def _sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(labelled: DataFrame, per_lang: int = TRAIN_PER_LANG) -> LanguageModel | None:
-    """Fits on at most ``per_lang`` texts of every language, chosen by hash, from rows with ``text`` and non-null ``lang``.
+    """Fits on at most ``per_lang`` texts of every language (MAX_TRAIN in all), chosen by hash, from rows with ``text`` and non-null ``lang``.
 
     Their spectra (7 kB each, whatever the text's length) come to the driver. None if no row is labelled.
     """
@@ -118,6 +120,7 @@ def train(labelled: DataFrame, per_lang: int = TRAIN_PER_LANG) -> LanguageModel
         raise ValueError(f"over {MAX_LANGS} languages")
     if not counts:
         return None
+    per_lang = max(1, min(per_lang, MAX_TRAIN // len(counts)))
     share = F.lit(0.0)
     for name, n in counts.items():
         share = F.when(F.col("lang") == name, min(1.0, 2.0 * per_lang / n)).otherwise(share)
