@@ -8,11 +8,13 @@ How it finds every link without comparing all documents:
    groups; sets that share a key are candidates. A key says which class of sizes, which group and
    which shingles, so a passage that many documents share makes no large block: its groups also hold
    the documents' own shingles. Equal keys are joined in Spark as stars to their smallest node.
-3. Candidate nodes form components. A component is cut into tiles of bounded size (pairs of hashed
-   chunks); in each tile the group counts of the sets are points of an R-tree. A search bounds the overlap
-   of two sets by the sum of coordinate minima of their counts, down the tree, and only surviving
-   pairs that aren't connected yet are verified on the sets themselves.
-4. Links of all tiles are merged to components again.
+3. Candidate nodes form components. A component is cut into tiles of bounded size: pairs of hashed chunks of
+   nodes whose sizes may link. In each tile the group counts of the sets are points of an R-tree; a search
+   bounds the overlap of two sets by the sum of coordinate minima of their counts, down the tree. What the
+   bounds keep together are the components whose sets are compared; unrelated texts that a few common
+   shingles brought together part here, at the price of their counts and not of their sets.
+4. These components are tiled again, now with the sets. Trees and bounds pick the pairs, and those that
+   aren't connected yet are verified. Links of all tiles are merged to components again.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import durable, parts
@@ -32,8 +34,8 @@ from .shingles import mix64, shingle_sets, slices
 U64 = np.uint64
 #: Sizes are classed by these lower ends, each 1.5 times the one before.
 _ENDS = np.unique((6 * 1.5 ** np.arange(60)).astype(np.int64))
-#: Nodes of a tile side, and coordinates of a point in the tree.
-TILE, COORDS, FANOUT = 128, 64, 16
+#: Nodes of a tile side, with sets and with points only; coordinates of a point (few suffice for small sets); children of a tree node.
+TILE, POINT_TILE, COORDS, FEW, FEW_UPTO, FANOUT = 128, 1024, 256, 64, 500, 16
 
 
 def set_id(s: np.ndarray) -> int:
@@ -69,11 +71,12 @@ def group_keys(s: np.ndarray, num: int, den: int) -> np.ndarray:
 
 def _nodes(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        sizes, ids = [], []
+        sizes, ids, points = [], [], []
         for s in shingle_sets(b.column(1), k):
             sizes.append(len(s))
             ids.append(set_id(s) if len(s) else None)
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64())], names=["doc_id", "n_shingles", "sid"])
+            points.append(point(s).astype(np.uint16 if len(s) < 1 << 16 else np.uint32).tobytes())
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), pa.array(points, pa.binary())], names=["doc_id", "n_shingles", "sid", "point"])
 
 
 def _emit(batches: Iterator[pa.RecordBatch], k: int, keys_of: Callable[[np.ndarray], np.ndarray], least: int) -> Iterator[pa.RecordBatch]:
@@ -161,7 +164,12 @@ class CountTree:
 
 def point(s: np.ndarray) -> np.ndarray:
     """Group counts of a set; these groups are cut across those of the keys."""
-    return np.bincount((mix64(s) >> U64(58)).astype(np.int64), minlength=COORDS).astype(np.int32)
+    return np.bincount((mix64(s) >> U64(56)).astype(np.int64), minlength=COORDS).astype(np.int32)
+
+
+def folded(counts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Points with coordinates added up to a few, if all sets are small; the bounds stay bounds."""
+    return counts.reshape(len(counts), FEW, -1).sum(axis=2) if len(sizes) and sizes.max() <= FEW_UPTO else counts
 
 
 def linked(x: np.ndarray, y: np.ndarray, num: int, den: int) -> bool:
@@ -170,10 +178,12 @@ def linked(x: np.ndarray, y: np.ndarray, num: int, den: int) -> bool:
     return den * common >= num * (len(x) + len(y) - common)
 
 
-def solve_tile(sids: np.ndarray, sets: list[np.ndarray], side: np.ndarray, num: int, den: int) -> list[tuple[int, int]]:
-    """Links between the two sides of a tile (side 2: within one chunk), enough of them to connect what is linked."""
-    counts, sizes = np.stack([point(s) for s in sets]), np.array([len(s) for s in sets], np.int64)
-    parent = np.arange(len(sets))
+def solve_tile(sids: np.ndarray, sizes: np.ndarray, counts: np.ndarray, side: np.ndarray, num: int, den: int, sets: list[np.ndarray] | None = None) -> list[tuple[int, int]]:
+    """Edges between the two sides of a tile (side 2: within one chunk), enough of them to connect what is linked.
+
+    With ``sets`` the links are verified; without, what the bounds allow counts as linked.
+    """
+    parent = np.arange(len(sids))
 
     def root(i: int) -> int:
         while parent[i] != i:
@@ -181,44 +191,87 @@ def solve_tile(sids: np.ndarray, sets: list[np.ndarray], side: np.ndarray, num:
             i = parent[i]
         return int(i)
 
+    counts = folded(counts, sizes)
     tree, out = CountTree(counts, sizes), []
     for i in np.flatnonzero(side != 1).tolist():
-        for j in tree.search(counts[i], int(sizes[i]), num, den)[0]:
-            if (j > i if side[i] == 2 else side[i] == 0 and side[j] == 1) and (a := root(i)) != (b := root(int(j))) and linked(sets[i], sets[j], num, den):
+        for j in tree.search(counts[i], int(sizes[i]), num, den)[0].tolist():
+            if (j > i if side[i] == 2 else side[i] == 0 and side[j] == 1) and (a := root(i)) != (b := root(j)) and (sets is None or linked(sets[i], sets[j], num, den)):
                 parent[max(a, b)] = min(a, b)
                 out.append((int(sids[i]), int(sids[j])))
     return out
 
 
-def _tiles(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
-    """Solves tiles in rows sorted by (comp, tile); a tile may run over several batches."""
-    open_key, sids, sets, sides = None, [], [], []
+def _tiles(batches: Iterator[pa.RecordBatch], num: int, den: int, verify: bool) -> Iterator[pa.RecordBatch]:
+    """Solves tiles in rows sorted by (comp, tile); a tile may run over several batches. ``data``: the set, or its point."""
+    open_key, sids, data, sides = None, [], [], []
 
     def close() -> Iterator[pa.RecordBatch]:
         if len(sids) > 1:
-            found = solve_tile(np.array(sids), sets, np.array(sides), num, den)
+            if verify:
+                sets = [np.frombuffer(x, U64) for x in data]
+                sizes, counts = np.array([len(x) for x in sets], np.int64), np.stack([point(x) for x in sets])
+            else:
+                sets, counts = None, np.stack([np.frombuffer(x, np.uint16 if len(x) == 2 * COORDS else np.uint32).astype(np.int32) for x in data])
+                sizes = counts.sum(axis=1).astype(np.int64)
+            found = solve_tile(np.array(sids), sizes, counts, np.array(sides), num, den, sets)
             if found:
                 a, b = zip(*found, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     for b in batches:
-        comp, tile, side, sid, data = (b.column(n) for n in ("comp", "tile", "side", "sid", "shingles"))
-        for row in zip(comp.to_pylist(), tile.to_pylist(), side.to_pylist(), sid.to_pylist(), data.to_pylist(), strict=True):
+        for row in zip(*(b.column(n).to_pylist() for n in ("comp", "tile", "side", "sid", "data")), strict=True):
             if row[:2] != open_key:
                 yield from close()
-                open_key, sids, sets, sides = row[:2], [], [], []
+                open_key, sids, data, sides = row[:2], [], [], []
             sides.append(row[2])
             sids.append(row[3])
-            sets.append(np.frombuffer(row[4], U64))
+            data.append(row[4])
     yield from close()
 
 
+def _tiled(rows: DataFrame, num: int, den: int, verify: bool) -> DataFrame:
+    """Edges found in the tiles of ``rows`` (comp, sid, n, chunks: size class to number of chunks, data).
+
+    A small component is one tile. Else a node meets the chunks of its own class of sizes and of the two
+    next to it; classes are so wide that no other size can link.
+    """
+    width = float(np.log(den / num)) * 1.01
+    cls = F.floor(F.log("n") / width).cast("int")
+    total = F.aggregate(F.map_values("chunks"), F.lit(0), lambda a, c: a + c)
+    mine = F.pmod(F.xxhash64("sid"), F.greatest(F.try_element_at("chunks", F.col("c")), F.lit(1))).cast("int")
+
+    def grid(other: Column, make: Callable[[Column], Column]) -> Column:
+        n = F.try_element_at("chunks", other)
+        return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), make)).otherwise(F.array().cast("array<struct<tile:string,side:int>>"))
+
+    def cell(low: Column, high: Column, x: Column, y: Column, side: Column) -> Column:
+        return F.struct(F.concat_ws(":", low, high, x, y).alias("tile"), side.cast("int").alias("side"))
+
+    c, m = F.col("c"), F.col("mine")
+    own = grid(c, lambda o: cell(c, c, F.least(o, m), F.greatest(o, m), F.when(o == m, 2).when(m < o, 0).otherwise(1)))
+    up = grid(c + 1, lambda o: cell(c, c + 1, m, o, F.lit(0)))
+    down = grid(c - 1, lambda o: cell(c - 1, c, o, m, F.lit(1)))
+    one = F.array(F.struct(F.lit("").alias("tile"), F.lit(2).alias("side")))
+    placed = rows.withColumn("c", cls).withColumn("mine", mine).select("comp", "sid", "data", F.explode(F.when(total == 0, one).otherwise(F.concat(own, up, down))).alias("t"))
+    dealt = placed.select("comp", "t.tile", "t.side", "sid", "data").repartition(parts(rows.sparkSession), "comp", "tile").sortWithinPartitions("comp", "tile", "sid")
+    return dealt.mapInArrow(partial(_tiles, num=num, den=den, verify=verify), "a long, b long")
+
+
+def _chunks(members: DataFrame, size: int, num: int, den: int) -> DataFrame:
+    """Number of chunks of every component and class of sizes, as a map; all 0 for a component that is one tile."""
+    cls = F.floor(F.log("n") / (float(np.log(den / num)) * 1.01)).cast("int")
+    counts = members.groupBy("comp", cls.alias("c")).agg(F.count("*").alias("n_nodes"))
+    small = F.sum("n_nodes").over(Window.partitionBy("comp")) <= 2 * size
+    each = F.when(small, 0).otherwise(F.ceil(F.col("n_nodes") / size)).cast("int")
+    return counts.withColumn("k", each).groupBy("comp").agg(F.map_from_entries(F.collect_list(F.struct("c", "k"))).alias("chunks"))
+
+
 def _with_sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     """The set of each member's text; of texts under one doc_id, only those that are the member."""
     for b in batches:
         sets = [s.tobytes() if len(s) and set_id(s) == sid else None for s, sid in zip(shingle_sets(b.column("text"), k), b.column("sid").to_pylist(), strict=True)]
         data = pa.array(sets, pa.binary())
-        yield pa.RecordBatch.from_arrays([b.column("comp"), b.column("sid"), b.column("chunks"), data], names=["comp", "sid", "chunks", "shingles"]).filter(data.is_valid())
+        yield pa.RecordBatch.from_arrays([b.column("comp"), b.column("sid"), b.column("n"), data], names=["comp", "sid", "n", "data"]).filter(data.is_valid())
 
 
 def similarity_components(docs: DataFrame, k: int, num: int, den: int, keys_of: Callable[[np.ndarray], np.ndarray] | None = None) -> DataFrame:
@@ -233,27 +286,25 @@ def similarity_components(docs: DataFrame, k: int, num: int, den: int, keys_of:
     docs = docs.select("doc_id", "text")
     least = den // (den - num)  # smaller sets link with equal sets only
     keys_of = keys_of or partial(group_keys, num=num, den=den)
-    nodes = durable(docs.mapInArrow(partial(_nodes, k=k), "doc_id long, n_shingles long, sid long"), "nodes")
+    nodes = durable(docs.mapInArrow(partial(_nodes, k=k), "doc_id long, n_shingles long, sid long, point binary"), "nodes")
     keyed = docs.select("text").mapInArrow(partial(_emit, k=k, keys_of=keys_of, least=least), "key long, sid long, hub long")
     stars = keyed.repartition(n_parts, "key").sortWithinPartitions("key", "sid").mapInArrow(_stars, "a long, b long")
-    comp = durable(components(stars), "candidates")
-    comp = comp.unionByName(comp.select(F.col("label").alias("node"), "label").distinct())
     alone, nodes = nodes.where("sid IS NULL"), nodes.where("sid IS NOT NULL")
-    reps = nodes.groupBy(F.col("sid").alias("node")).agg(F.min("doc_id").alias("rep"))
-    chunks = comp.groupBy("label").agg(F.ceil(F.count("*") / TILE).cast("int").alias("chunks"))
-    members = durable(comp.join(reps, "node").join(chunks, "label").select("rep", F.col("node").alias("sid"), F.col("label").alias("comp"), "chunks"), "members")
+    reps = nodes.groupBy("sid").agg(F.min("doc_id").alias("rep"), F.min("n_shingles").alias("n"))
+    points = nodes.select("doc_id", "sid", F.col("point").alias("data"))
+
+    def members(edges: DataFrame, name: str) -> DataFrame:
+        comp = components(edges).select(F.col("node").alias("sid"), F.col("label").alias("comp"))
+        comp = durable(comp.unionByName(comp.select(F.col("comp").alias("sid"), "comp").distinct()), f"{name}-components")
+        return durable(comp.join(reps, "sid"), name)
+
+    near = members(stars, "candidates")
+    rows = near.join(points, (near["sid"] == points["sid"]) & near["rep"].eqNullSafe(points["doc_id"])).select("comp", near["sid"], "n", "data")
+    near = members(_tiled(rows.join(_chunks(near, POINT_TILE, num, den), "comp"), num, den, verify=False), "bounded")
     # a shuffle join at every size, as members grow with the documents
-    texts = members.hint("merge").join(docs, F.col("rep").eqNullSafe(F.col("doc_id"))).select("comp", "sid", "chunks", "text")
-    sets = texts.mapInArrow(partial(_with_sets, k=k), "comp long, sid long, chunks int, shingles binary")
-    mine = F.pmod(F.xxhash64("sid"), F.col("chunks")).cast("int")
-    tile = F.when(F.col("chunks") <= 2, F.array(F.struct(F.lit(0).alias("tile"), F.lit(2).alias("side")))).otherwise(
-        F.transform(
-            F.sequence(F.lit(0), F.col("chunks") - 1),
-            lambda o: F.struct((F.least(o, mine) * F.col("chunks") + F.greatest(o, mine)).alias("tile"), F.when(o == mine, 2).when(mine < o, 0).otherwise(1).alias("side")),
-        )
-    )
-    tiled = sets.select("comp", "sid", "shingles", F.explode(tile).alias("t")).select("comp", "t.tile", "t.side", "sid", "shingles")
-    links = tiled.repartition(n_parts, "comp", "tile").sortWithinPartitions("comp", "tile", "sid").mapInArrow(partial(_tiles, num=num, den=den), "a long, b long")
+    texts = near.hint("merge").join(docs, F.col("rep").eqNullSafe(F.col("doc_id"))).select("comp", "sid", "n", "text")
+    sets = texts.mapInArrow(partial(_with_sets, k=k), "comp long, sid long, n long, data binary")
+    links = _tiled(sets.join(_chunks(near, TILE, num, den), "comp"), num, den, verify=True)
     label = components(links).withColumnRenamed("node", "sid")
     named = nodes.join(label, "sid", "left").select("doc_id", "n_shingles", F.coalesce("label", "sid").alias("label"))
     least_id = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
