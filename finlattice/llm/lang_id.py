@@ -64,7 +64,8 @@ def spectra(texts: pa.Array) -> Iterator[list[np.ndarray]]:
 
 def _normal(seen: np.ndarray) -> np.ndarray:
     x = seen.astype(np.float32)
-    return x / np.sqrt(np.maximum(x.sum(axis=1, keepdims=True), 1)) / np.float32(np.sqrt(len(SLOTS)))
+    x /= np.sqrt(np.maximum(seen.sum(axis=1, keepdims=True), 1) * len(SLOTS)).astype(np.float32)
+    return x
 
 
 def fit(spectrum_rows: list[np.ndarray], langs: list[str]) -> LanguageModel:
@@ -74,8 +75,9 @@ def fit(spectrum_rows: list[np.ndarray], langs: list[str]) -> LanguageModel:
     marks = np.concatenate([np.flatnonzero(lang == c)[: max(1, MAX_LANDMARKS // len(names))] for c in range(len(names))])
     kernel = np.zeros((len(langs), len(marks)))
     for seen in spectrum_rows:
-        x = _normal(seen)
-        kernel += x @ x[marks].T
+        landmarks = _normal(seen[marks]).T
+        for a in range(0, len(seen), _ROWS):  # a block at a time, for the driver's memory
+            kernel[a : a + _ROWS] += _normal(seen[a : a + _ROWS]) @ landmarks
     values, vectors = np.linalg.eigh(kernel[marks])
     good = values > 1e-6 * values.max()
     root = vectors[:, good] / np.sqrt(values[good])
@@ -132,7 +134,8 @@ def train(labelled: DataFrame, per_lang: int = TRAIN_PER_LANG) -> LanguageModel
             own.append(r.bits)
     flat = [(lang, bits) for lang, own in chosen.items() for bits in own]
     cuts = np.cumsum((0, *SLOTS))
-    matrix = np.stack([np.unpackbits(np.frombuffer(bits, np.uint8), count=cuts[-1]) for _, bits in flat]).astype(bool)
+    matrix = np.stack([np.unpackbits(np.frombuffer(bits, np.uint8), count=cuts[-1]) for _, bits in flat]).view(bool)
+    del found, chosen
     return fit([matrix[:, a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)], [lang for lang, _ in flat])
 
 
