@@ -176,7 +176,7 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, seed: int = 7) ->
     rng = np.random.default_rng(seed)
     weights = rng.standard_normal((d + 1, DIMS))
     rows = rows.where(F.size("embedding") == d).select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
-    rows = rows.withColumns({"h1": F.xxhash64("embedding"), "h2": F.xxhash64("embedding", F.lit(1))})
+    rows = rows.withColumns({"h1": F.xxhash64("embedding"), "h2": F.xxhash64(F.lit(1), "embedding")})
     ids = rows.select("h1", "h2", "vec_id")
     members = durable(_first_of_equals(ids, k + 1).groupBy("h1", "h2").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")), "members")
     points = rows.join(members.select("h1", "h2", F.col("ids")[0].alias("first")), ["h1", "h2"]).where("vec_id = first")
