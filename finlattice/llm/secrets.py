@@ -129,7 +129,8 @@ class _Opened:
         if text is None:
             return False
         s, e = layer.origin(a, b)
-        self.layers.append(Layer(text, np.full(len(text), s), np.full(len(text), e)))
+        # one number seen at every place: a large layer costs no arrays
+        self.layers.append(Layer(text, np.broadcast_to(np.int64(s), len(text)), np.broadcast_to(np.int64(e), len(text))))
         return True
 
 
