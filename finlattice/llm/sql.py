@@ -24,4 +24,21 @@ SELECT p.pair_id, p.n_chosen, p.n_rejected, p.n_prompt, coalesce(q.prompt, '') A
 FROM p LEFT JOIN q USING (pair_id) LEFT JOIN z USING (pair_id)
 """
 
-ORACLE = {"op5_chat_formatting": OP5}
+OP8 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))
+         WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE CAST([] AS VARCHAR[]) END)) AS shingles FROM d),
+c AS (SELECT min(doc_id) AS rep, shingles FROM s WHERE len(shingles) > 0 GROUP BY shingles),
+x AS (SELECT rep, len(shingles) AS n, unnest(shingles) AS shingle FROM c),
+e AS (SELECT a.rep AS a, b.rep AS b FROM x a JOIN x b ON a.shingle = b.shingle AND a.rep < b.rep
+      GROUP BY a.rep, b.rep, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+u AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+r AS (SELECT rep AS a, rep AS b FROM c UNION SELECT r.a, u.b FROM r JOIN u ON r.b = u.a),
+m AS (SELECT a, min(b) AS component_id FROM r GROUP BY a)
+SELECT s.doc_id, CAST(len(s.shingles) AS BIGINT) AS n_shingles, coalesce(m.component_id, s.doc_id) AS component_id
+FROM s LEFT JOIN c ON s.shingles = c.shingles LEFT JOIN m ON c.rep = m.a
+"""
+
+ORACLE = {"op5_chat_formatting": OP5, "op8_ngram_jaccard": OP8}

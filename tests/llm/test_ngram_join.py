@@ -1,12 +1,14 @@
 import random
 import re
 
+import duckdb
 import numpy as np
 import pytest
 
 from finlattice.llm.components import components, forest
 from finlattice.llm.fingerprints import near_duplicates
 from finlattice.llm.ngram_join import CountTree, group_keys, ngram_jaccard_join, point, similarity_components
+from finlattice.llm.sql import OP8
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -128,3 +130,11 @@ def test_components(spark):
     nodes, labels = forest(np.array([a for a, _ in real]), np.array([b for _, b in real]))
     assert got == dict(zip(nodes.tolist(), labels.tolist()))
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_join_equals_sql(spark):
+    path = "/root/testdata/sf0.001/documents.parquet"
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{path}'")
+    got = ngram_jaccard_join(spark.read.parquet(path)).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, got)) == sorted(con.sql(OP8).fetchall())
