@@ -78,19 +78,20 @@ def clean_multiyear(rows: DataFrame, excluded: Sequence[str] = ()) -> tuple[Data
 def printed_forms(value: Column, millions: bool = False) -> Column:
     """Ways a figure may be printed: plain, with separators, in thousands, with decimals."""
     v = F.abs(value)
-    forms = [F.format_string("%.0f", v), F.format_number(v, 0), F.format_string("%.0f", F.floor(v / 1000)), F.format_number(F.floor(v / 1000), 0), F.format_string("%.1f", v), F.format_string("%.2f", v), F.format_number(v, 2)]
+    forms = [F.format_string("%.0f", v), F.format_number(v, 0), F.floor(v / 1000).cast("string"), F.format_number(F.floor(v / 1000), 0), F.format_string("%.1f", v), F.format_string("%.2f", v), F.format_number(v, 2)]
     if millions:
         forms += [F.format_number(F.floor(v / 1_000_000), 0), F.format_string("%.1f%%", v)]
     return F.array_distinct(F.array(*forms))
 
 
 def value_presence(records: DataFrame, sources: DataFrame, keys: Sequence[str], millions: bool = False) -> DataFrame:
-    """``records`` with ``presence``: found, missing or no_source. ``sources``: keys, text, one row for each filing."""
-    listed = records.withColumn("_id", F.struct(*records.columns))
-    grouped = listed.groupBy(*keys).agg(F.collect_list("_id").alias("_records"))
-    met = grouped.join(sources.select(*keys, "text"), list(keys), "left").select("text", F.explode("_records").alias("r"))
-    found = F.exists(printed_forms(F.col("r.value"), millions), lambda p: F.contains(F.col("text"), p))
-    return met.select("r.*", F.when(F.col("text").isNull(), "no_source").when(found, "found").otherwise("missing").alias("presence"))
+    """``records`` with ``presence``: found, missing or no_source. ``sources``: keys, text, one row for each filing.
+
+    Records stream past their filing's text, so a filing with very many of them gathers none. A null value is missing.
+    """
+    met = records.join(sources.select(*keys, F.col("text").alias("_text")), list(keys), "left")
+    found = F.col("value").isNotNull() & F.exists(printed_forms(F.col("value"), millions), lambda p: F.contains(F.col("_text"), p))
+    return met.withColumn("presence", F.when(F.col("_text").isNull(), "no_source").when(found, "found").otherwise("missing")).drop("_text")
 
 
 def presence_status(presence: DataFrame, key: str = "ticker") -> DataFrame:

@@ -12,7 +12,7 @@ MANIFEST = "map<string,map<string,map<string,map<string,array<int>>>>>"
 
 
 def read_pages(spark: SparkSession, root: str) -> DataFrame:
-    """Page corpus ``TICKER/YEAR/FILING/page_NNN.md``: ticker, year, filing, page, path, text; other paths are left out."""
+    """Page corpus ``TICKER/YEAR/FILING/page_NNN.md``: ticker, year, filing, page, path, text; other paths and files without a byte are left out."""
     raw = spark.read.text(root, wholetext=True, recursiveFileLookup=True).select(F.col("_metadata.file_path").alias("uri"), F.col("value").alias("text"))
     pattern = r"([^/]+)/(\d{4})/([^/]+)/(page_(\d+)\.md)$"
     part = lambda i: F.regexp_extract("uri", pattern, i)
