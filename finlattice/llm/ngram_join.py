@@ -32,8 +32,8 @@ from .components import components, forest
 from .shingles import mix64, shingle_sets, slices
 
 U64 = np.uint64
-#: Sizes are classed by these lower ends, each 1.5 times the one before.
-_ENDS = np.unique((6 * 1.5 ** np.arange(60)).astype(np.int64))
+#: Sizes are classed by these lower ends: each of 1 to 5 for itself, then each 1.5 times the one before.
+_ENDS = np.unique(np.concatenate((np.arange(1, 6), 6 * 1.5 ** np.arange(60))).astype(np.int64))
 #: Nodes of a tile side, with sets and with points only; coordinates of a point (few suffice for small sets); children of a tree node.
 TILE, POINT_TILE, COORDS, FEW, FEW_UPTO, FANOUT = 128, 1024, 256, 64, 500, 16
 
@@ -49,7 +49,8 @@ def group_keys(s: np.ndarray, num: int, den: int) -> np.ndarray:
     A partner differs in d shingles at most; each differing shingle spoils one group at most. In every class
     of sizes that a pair may have, groups of m shingles or fewer give no key if even without them
     more than d groups are left (m as large as that allows). As a shared group has one size in both
-    sets, and a smaller m only adds keys, both sets have the key.
+    sets, and a smaller m only adds keys, both sets have the key. Below 6 shingles groups would often be
+    empty; where d is 1 there, the keys are the whole set and the sets without one of their shingles.
     """
     n = len(s)
     low = -(-num * n // den)
@@ -57,6 +58,10 @@ def group_keys(s: np.ndarray, num: int, den: int) -> np.ndarray:
     out, sums = [], np.concatenate((np.zeros(1, U64), np.cumsum(mix64(s ^ U64(0x2545F4914F6CDD1D)), dtype=U64)))
     for c in classes:
         top = min(int(_ENDS[c + 1]) - 1, 1 << 40)
+        if top < 6 and (den - num) * top // num <= 1:
+            value = np.concatenate((sums[-1:], sums[-1] - np.diff(sums)))
+            out.append(mix64(value ^ mix64(np.full(len(value), (c + 1) << 40, U64))))
+            continue
         groups = (den - num) * top // num * 3 // 2 + 3
         differ = (den - num) * min(n, top) // num
         edges = np.searchsorted(s, (np.arange(1, groups) * ((1 << 64) / groups)).astype(U64))
@@ -284,7 +289,7 @@ def similarity_components(docs: DataFrame, k: int, num: int, den: int, keys_of:
     """
     n_parts = parts(docs.sparkSession)
     docs = docs.select("doc_id", "text")
-    least = den // (den - num)  # smaller sets link with equal sets only
+    least = -(-num // (den - num))  # smaller sets link with equal sets only
     keys_of = keys_of or partial(group_keys, num=num, den=den)
     nodes = durable(docs.mapInArrow(partial(_nodes, k=k), "doc_id long, n_shingles long, sid long, point binary"), "nodes")
     keyed = docs.select("text").mapInArrow(partial(_emit, k=k, keys_of=keys_of, least=least), "key long, sid long, hub long")

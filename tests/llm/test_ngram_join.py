@@ -132,6 +132,28 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_small_nested_sets_share_a_key():
+    for num, den in ((4, 5), (85, 100), (1, 2), (2, 3)):
+        for seed in range(40):
+            s = np.random.default_rng(seed).integers(0, 1 << 63, 12).astype(np.uint64)
+            for n in range(1, 13):
+                for m in range(1, n):
+                    if den * m >= num * n:
+                        assert len(np.intersect1d(group_keys(np.unique(s[:n]), num, den), group_keys(np.unique(s[:m]), num, den))), (num, den, m, n)
+
+
+def test_few_shingles_link(spark):
+    """Texts of 7 to 10 words and 3 to 6 shingles, each with one word added, at each end."""
+    rows = []
+    for i in range(60):
+        words = [f"w{i}x{j}" for j in range(7 + i % 4)]
+        rows += [(3 * i, " ".join(words)), (3 * i + 1, " ".join([*words, "more"])), (3 * i + 2, " ".join(["before", *words]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    check(similarity_components(docs, 5, 4, 5), rows, 5, 4, 5)
+    check(near_duplicates(docs), rows, 5, 4, 5)
+    check(ngram_jaccard_join(docs), rows, 4, 85, 100)
+
+
 def test_join_equals_sql(spark):
     path = "/root/testdata/sf0.001/documents.parquet"
     con = duckdb.connect()
