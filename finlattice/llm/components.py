@@ -40,7 +40,7 @@ def components(edges: DataFrame) -> DataFrame:
     very many edges isn't gathered in one task. Null ends are ignored.
     """
     left = durable(_order(edges.where("a IS NOT NULL AND b IS NOT NULL")), "edges")
-    labels = None
+    labels, again = None, False
     while not left.isEmpty():
         up = left.groupBy("a").agg(F.min("b").alias("p"))
         nxt = up.select(F.col("a").alias("p"), F.col("p").alias("pp"))
@@ -53,10 +53,11 @@ def components(edges: DataFrame) -> DataFrame:
             labels = own
         else:
             kept = labels.join(moved, "label", "left").select("node", F.coalesce("p", "label").alias("label"))
-            labels = durable(kept.unionByName(own), "labels")
+            labels, again = durable(kept.unionByName(own), "labels"), True
         ends = left.join(up, "a").select(F.col("p").alias("a"), F.col("b"))
         ends = ends.join(up.select(F.col("a").alias("b"), "p"), "b", "left").select("a", F.coalesce("p", "b").alias("b"))
         left = durable(_order(ends), "edges")
     if labels is None:
         return left.select(F.col("a").alias("node"), F.col("b").alias("label"))
-    return labels
+    # a node over four steps below its root comes back in later rounds; its rows all end at that root
+    return labels.groupBy("node").agg(F.min("label").alias("label")) if again else labels

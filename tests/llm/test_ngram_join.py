@@ -132,6 +132,13 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_name_a_node_once(spark):
+    """A chain that two shortenings don't take to its end: its nodes come back in later rounds."""
+    edges = [(i + 1, i) for i in range(1, 40)] + [(i + 1, i) for i in range(100, 107)]
+    got = sorted((r.node, r.label) for r in components(spark.createDataFrame(edges, "a long, b long")).collect())
+    assert got == [(i, 1) for i in range(2, 41)] + [(i, 100) for i in range(101, 108)]
+
+
 def test_small_nested_sets_share_a_key():
     for num, den in ((4, 5), (85, 100), (1, 2), (2, 3)):
         for seed in range(40):
