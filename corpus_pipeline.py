@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from finlattice.llm import lang_id, mixing, ngram_join, secrets, sentencepiece_codec
-from finlattice.llm.common import durable, table
+from finlattice.llm.common import durable, row_hash, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -18,10 +18,18 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest doc_id of each group that five-word shingles link at 0.8 or more."""
-    groups = ngram_join.similarity_components(docs, k=5, num=4, den=5)
-    kept = groups.where("doc_id <=> component_id").select("doc_id").distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi").select(*COLUMNS)
+    """Keeps the row with the smallest doc_id (null last) of each group that five-word shingles link at 0.8 or more.
+
+    Rows are told apart by 128 bits of their values, as doc_id may be null or repeated; of equal rows any one is kept. Rows without words all stay.
+    """
+    keyed = docs.select(*COLUMNS).withColumns({"h1": row_hash(COLUMNS, 1), "h2": row_hash(COLUMNS, 2)})
+    labels = ngram_join.similarity_labels(keyed, k=5, num=4, den=5, keep=("h1", "h2"))
+    wordless = F.col("label").isNull()
+    group = ["label", F.when(wordless, F.col("h1")).alias("own1"), F.when(wordless, F.col("h2")).alias("own2")]
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "h1", "h2")).alias("first")
+    kept = labels.groupBy(*group).agg(first).select("first.h1", "first.h2", wordless.alias("wordless"))
+    nth = F.row_number().over(Window.partitionBy("h1", "h2").orderBy("doc_id"))
+    return keyed.join(kept, ["h1", "h2"]).withColumn("nth", nth).where("nth = 1 OR wordless").select(*COLUMNS)
 
 
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,9 +38,16 @@ def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes each document as often as the mixture of sources asks for: a row for each copy."""
-    copies = mixing.mix_sources(docs).where("copies > 0").select("doc_id", "copies")
-    return docs.join(copies, "doc_id").select(*COLUMNS, F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).select(*COLUMNS)
+    """Takes each document as often as the mixture of sources asks for: a row for each copy.
+
+    Rows are keyed by a hash of their values, as doc_id may be null or repeated; rows under one key share its copies out evenly.
+    """
+    keyed = docs.select(*COLUMNS).withColumn("row", row_hash(COLUMNS, 1))
+    drawn = mixing.mix_sources(keyed.select(F.col("row").alias("doc_id"), "text", "source"))
+    copies = drawn.groupBy(F.col("doc_id").alias("row")).agg(F.sum("copies").alias("total"), F.count("*").alias("rows")).where("total > 0")
+    nth = F.row_number().over(Window.partitionBy("row").orderBy("doc_id"))
+    shared = keyed.join(copies, "row").withColumn("nth", nth).withColumn("copies", F.expr("total div rows + int(nth <= total % rows)"))
+    return shared.where("copies > 0").select(*COLUMNS, F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy")).select(*COLUMNS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

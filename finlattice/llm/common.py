@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -31,6 +31,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def row_hash(columns: tuple[str, ...], seed: int) -> Column:
+    """A 64-bit hash of a row's values that tells which of them are null."""
+    return F.xxhash64(F.lit(seed), *columns, *(F.col(c).isNull() for c in columns))
+
+
 def parts(spark: SparkSession) -> int:
     """Partitions for an explicit repartition: the session's shuffle setting."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -81,7 +81,8 @@ def _nodes(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch
             sizes.append(len(s))
             ids.append(set_id(s) if len(s) else None)
             points.append(point(s).astype(np.uint16 if len(s) < 1 << 16 else np.uint32).tobytes())
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), pa.array(points, pa.binary())], names=["doc_id", "n_shingles", "sid", "point"])
+        made = [b.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), pa.array(points, pa.binary())]
+        yield pa.RecordBatch.from_arrays([*made, *b.columns[2:]], names=["doc_id", "n_shingles", "sid", "point", *b.schema.names[2:]])
 
 
 def _emit(batches: Iterator[pa.RecordBatch], k: int, keys_of: Callable[[np.ndarray], np.ndarray], least: int) -> Iterator[pa.RecordBatch]:
@@ -279,19 +280,16 @@ def _with_sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordB
         yield pa.RecordBatch.from_arrays([b.column("comp"), b.column("sid"), b.column("n"), data], names=["comp", "sid", "n", "data"]).filter(data.is_valid())
 
 
-def similarity_components(docs: DataFrame, k: int, num: int, den: int, keys_of: Callable[[np.ndarray], np.ndarray] | None = None) -> DataFrame:
-    """``(doc_id, n_shingles, component_id)`` of every row of ``docs`` (``doc_id``, ``text``; other columns are ignored).
+def similarity_labels(docs: DataFrame, k: int, num: int, den: int, keys_of: Callable[[np.ndarray], np.ndarray] | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``(doc_id, n_shingles, label)`` of every row of ``docs``, and its ``keep`` columns (of type long).
 
-    Rows link when their sets of ``k``-word shingles have a Jaccard similarity of num/den or more; a
-    component is named by its smallest doc_id. Null, empty and wordless texts have no shingles and
-    stand alone. A repeated doc_id gives a row each time. A null doc_id keeps its row, and
-    names a component only if all its members have none. ``keys_of`` may give other candidate keys.
+    Rows of one component have one label, whatever their doc_id; rows without shingles have none.
     """
     n_parts = parts(docs.sparkSession)
-    docs = docs.select("doc_id", "text")
+    rows, docs = docs.select("doc_id", "text", *keep), docs.select("doc_id", "text")
     least = -(-num // (den - num))  # smaller sets link with equal sets only
     keys_of = keys_of or partial(group_keys, num=num, den=den)
-    nodes = durable(docs.mapInArrow(partial(_nodes, k=k), "doc_id long, n_shingles long, sid long, point binary"), "nodes")
+    nodes = durable(rows.mapInArrow(partial(_nodes, k=k), ", ".join(("doc_id long, n_shingles long, sid long, point binary", *(f"{c} long" for c in keep)))), "nodes")
     keyed = docs.select("text").mapInArrow(partial(_emit, k=k, keys_of=keys_of, least=least), "key long, sid long, hub long")
     stars = keyed.repartition(n_parts, "key").sortWithinPartitions("key", "sid").mapInArrow(_stars, "a long, b long")
     alone, nodes = nodes.where("sid IS NULL"), nodes.where("sid IS NOT NULL")
@@ -311,7 +309,20 @@ def similarity_components(docs: DataFrame, k: int, num: int, den: int, keys_of:
     sets = texts.mapInArrow(partial(_with_sets, k=k), "comp long, sid long, n long, data binary")
     links = _tiled(sets.join(_chunks(near, TILE, num, den), "comp"), num, den, verify=True)
     label = components(links).withColumnRenamed("node", "sid")
-    named = nodes.join(label, "sid", "left").select("doc_id", "n_shingles", F.coalesce("label", "sid").alias("label"))
+    named = nodes.join(label, "sid", "left").select("doc_id", "n_shingles", F.coalesce("label", "sid").alias("label"), *keep)
+    return named.unionByName(alone.select("doc_id", "n_shingles", F.col("sid").alias("label"), *keep))
+
+
+def similarity_components(docs: DataFrame, k: int, num: int, den: int, keys_of: Callable[[np.ndarray], np.ndarray] | None = None) -> DataFrame:
+    """``(doc_id, n_shingles, component_id)`` of every row of ``docs`` (``doc_id``, ``text``; other columns are ignored).
+
+    Rows link when their sets of ``k``-word shingles have a Jaccard similarity of num/den or more; a
+    component is named by its smallest doc_id. Null, empty and wordless texts have no shingles and
+    stand alone. A repeated doc_id gives a row each time. A null doc_id keeps its row, and
+    names a component only if all its members have none. ``keys_of`` may give other candidate keys.
+    """
+    rows = similarity_labels(docs, k, num, den, keys_of)
+    named, alone = rows.where("label IS NOT NULL"), rows.where("label IS NULL")
     least_id = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     return named.join(least_id, "label").select("doc_id", "n_shingles", "component_id").unionByName(alone.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
 

@@ -46,3 +46,24 @@ def test_stages(spark):
 def test_run_agrees_with_itself(spark):
     digest = lambda: hashlib.sha256(repr(sorted(map(str, cp.run(spark, "/root/testdata/sf0.001").collect()))).encode()).hexdigest()
     assert digest() == digest()
+
+
+def test_null_and_repeated_ids(spark):
+    text = lambda i: " ".join(f"w{i}x{j}" for j in range(12))
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    row = lambda d, t, s="a": (d, t, "en", s, len(t))
+
+    rows = [row(4, text(1)), row(4, text(1)), row(4, text(2)), row(2, text(2) + " more"), row(None, text(3)), row(None, text(3)), row(None, text(3) + " end"), row(None, text(4)), row(7, text(4)), row(9, "--"), row(9, " "), row(9, " ")]
+    got = cp.drop_near_duplicates(spark, spark.createDataFrame(rows, schema), SF).collect()
+    assert sorted((r.doc_id, r.text) for r in got if r.doc_id is not None) == sorted([(4, text(1)), (2, text(2) + " more"), (7, text(4)), (9, "--"), (9, " "), (9, " ")])
+    assert [r.text in (text(3), text(3) + " end") for r in got if r.doc_id is None] == [True]
+
+    rows = [row(None, text(i)) for i in range(30)] + [row(5, text(40))] * 6 + [row(5, text(i), "b") for i in range(50, 60)] + [row(None, text(60), None)] * 3
+    docs = spark.createDataFrame(rows, schema)
+    want = {}
+    for r in cp.mixing.mix_sources(docs).collect():
+        want[r.source] = r.target
+    got = cp.mix(spark, docs, SF).collect()
+    for source, target in want.items():
+        assert abs(12 * sum(r.source == source for r in got) - target) <= 12 + 1e-6, source
+    assert any(r.doc_id is None and r.source == "a" for r in got)
