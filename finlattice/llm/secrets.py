@@ -12,12 +12,13 @@ from __future__ import annotations
 import base64
 import binascii
 import bz2
+import codecs
 import hashlib
 import lzma
 import re
 import zlib
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,9 +36,15 @@ _HEX_RUN = re.compile(r"[0-9a-f]{24,}")
 _URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _UNICODE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|((?:\\x[0-9A-Fa-f]{2})+)|&#[xX]([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+#: Base64 over several lines; its last line may be short.
+_WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+(?:\r?\n[A-Za-z0-9+/_-]{16,}+)*\r?\n[A-Za-z0-9+/_-]+={0,2}")
+_LINE = re.compile(r"[A-Za-z0-9+/_-]+")
+#: In bytes decoded from base64 of unknown start: text that may hold a finding (12 characters at least), and beginnings of compressed data.
+_STRETCH = re.compile(rb"[\t\n\r\x20-\x7e]{12,}")
+_MAGIC = re.compile(rb"\x1f\x8b\x08|BZh[1-9]|\xfd7zXZ\x00|x[\x01\x5e\x9c\xda]")
 #: What may hold a finding or a layer; other texts (RE2 tells them apart a batch at a time) need no scan.
 _ANY = r"(?i:password|passwd|secret|token|api_?key)|AKIA|[0-9a-f]{24}|%[0-9A-Fa-f]{2}|\\[uUx]|&#|[A-Za-z0-9+/_-]{16}"
-#: Bytes of one decompressed layer; larger ones (bombs) are left closed and counted.
+#: Bytes of one decompressed layer; larger ones are counted, and read in windows of this size, a quarter of which they share.
 MAX_LAYER = 64 << 20
 
 
@@ -85,21 +92,45 @@ def _readable(data: bytes) -> str | None:
     return text if text and odd * 20 <= len(text) else None
 
 
-def inflate(data: bytes) -> tuple[bytes | None, bool]:
-    """Compressed data opened by its magic (gzip, zlib, bzip2, xz), and whether it was too large to open."""
+def _inflated(data: bytes, size: int, left: list[int] | None = None) -> Iterator[bytes]:
+    """Compressed data (by its magic: gzip, zlib, bzip2, xz), opened in chunks of ``size`` bytes at most, member by member.
+
+    ``left`` gets the number of bytes after each member.
+    """
+    rest = data
     try:
-        if data[:2] == b"\x1f\x8b" or (len(data) > 2 and data[0] == 0x78 and (data[0] * 256 + data[1]) % 31 == 0):
-            d = zlib.decompressobj(wbits=47)
-        elif data[:3] == b"BZh":
-            d = bz2.BZ2Decompressor()
-        elif data[:6] == b"\xfd7zXZ\x00":
-            d = lzma.LZMADecompressor()
-        else:
-            return None, False
-        out = d.decompress(data, MAX_LAYER + 1)
+        while rest:
+            if rest[:2] == b"\x1f\x8b" or (len(rest) > 2 and rest[0] == 0x78 and (rest[0] * 256 + rest[1]) % 31 == 0):
+                d = zlib.decompressobj(wbits=47)
+            elif rest[:3] == b"BZh":
+                d = bz2.BZ2Decompressor()
+            elif rest[:6] == b"\xfd7zXZ\x00":
+                d = lzma.LZMADecompressor()
+            else:
+                return
+            while not d.eof:
+                out = d.decompress(rest, size)
+                rest = getattr(d, "unconsumed_tail", b"")
+                if out:
+                    yield out
+                elif not rest and getattr(d, "needs_input", True):  # it ends early
+                    return
+            if left is not None:
+                left.append(len(d.unused_data))
+            rest = d.unused_data.lstrip(b"\0")
     except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
-        return None, False
-    return (None, True) if len(out) > MAX_LAYER else (out, False)
+        return
+
+
+def inflate(data: bytes) -> tuple[bytes | None, bool, int]:
+    """Compressed data opened, all members of it, whether it is too large for one layer, and the bytes it takes."""
+    out, n, left = [], 0, [0]
+    for chunk in _inflated(data, MAX_LAYER + 1, left):
+        out.append(chunk)
+        n += len(chunk)
+        if n > MAX_LAYER:
+            return None, True, len(data)
+    return (b"".join(out), False, len(data) - left[-1]) if out else (None, False, len(data))
 
 
 def _bytes_pieces(data: bytes, a: int, width: int) -> list[tuple[int, int, str]] | None:
@@ -116,23 +147,60 @@ def _bytes_pieces(data: bytes, a: int, width: int) -> list[tuple[int, int, str]]
     return out
 
 
+def _spread(text: str, s: int, e: int) -> Layer:
+    # one number seen at every place: a large layer costs no arrays
+    return Layer(text, np.broadcast_to(np.int64(s), len(text)), np.broadcast_to(np.int64(e), len(text)))
+
+
+def _windows(data: bytes, s: int, e: int) -> Iterator[Layer]:
+    """A large layer in windows that overlap; as all of it has one origin, a finding cut by a window's end stays the same one."""
+    text, decode = "", codecs.getincrementaldecoder("utf-8")("replace").decode
+    for chunk in _inflated(data, MAX_LAYER - MAX_LAYER // 4):
+        text = text[-(MAX_LAYER // 4) :] + decode(chunk)
+        yield _spread(text, s, e)
+
+
 class _Opened:
     def __init__(self) -> None:
         self.layers: list[Layer] = []
+        self.streams: list[Iterator[Layer]] = []
         self.too_large = 0
 
-    def blob(self, layer: Layer, a: int, b: int, data: bytes) -> bool:
-        """Opens decoded bytes of the span a:b that are text or compressed text."""
-        raw, large = inflate(data)
-        self.too_large += large
-        text = _readable(raw if raw is not None else data) if not large else None
+    def blob(self, layer: Layer, a: int, b: int, data: bytes | memoryview, end: Callable[[int], int] | None = None) -> bool:
+        """Opens decoded bytes of the span a:b that are text or compressed text; ``end`` tells b by the bytes that are used of compressed text."""
+        raw, large, used = inflate(data)
+        if end:
+            b = end(used)
+        if large:
+            self.too_large += 1
+            self.streams.append(_windows(data, *layer.origin(a, b)))
+            return True
+        text = _readable(raw if raw is not None else b"" if end else data)
         if text is None:
             return False
-        s, e = layer.origin(a, b)
-        # one number seen at every place: a large layer costs no arrays
-        self.layers.append(Layer(text, np.broadcast_to(np.int64(s), len(text)), np.broadcast_to(np.int64(e), len(text))))
+        self.layers.append(_spread(text, *layer.origin(a, b)))
         return True
 
+    def parts(self, layer: Layer, at: np.ndarray, body: str, whole: bool) -> None:
+        """Opens what any of the four alignments of a base64 run holds; ``at``: the places of its characters.
+
+        A run may begin with other characters (a path, a prefix, a word of the line before). ``whole``: alignment 0 is done.
+        """
+        for off in range(whole, min(4, len(body) - 15)):
+            run = body[off:]
+            run = run[: len(run) - (len(run) % 4 == 1)]
+            data = base64.b64decode(run + "=" * (-len(run) % 4))
+            view = memoryview(data)  # a slice copies nothing
+            for m in _STRETCH.finditer(data):
+                a, b = off + m.start() // 3 * 4, min(off + -(-m.end() // 3) * 4, len(body))
+                self.layers.append(_spread(m[0].decode(), *layer.origin(int(at[a]), int(at[b - 1]) + 1)))
+            for m in _MAGIC.finditer(data):
+
+                def end(used: int, off: int = off, first: int = m.start()) -> int:
+                    return int(at[min(off + -(-(first + used) // 3) * 4, len(body)) - 1]) + 1
+
+                self.blob(layer, int(at[off + m.start() // 3 * 4]), 0, view[m.start() :], end)
+
 
 def _code_point(value: int) -> str | None:
     return chr(value) if value < 0x110000 and not 0xD800 <= value < 0xE000 else None
@@ -175,13 +243,17 @@ def unwrap(layer: Layer) -> _Opened:
             out.layers.append(_joined(layer, pieces))
     for m in _BASE64.finditer(text):
         body = m[0].rstrip("=").replace("-", "+").replace("_", "/")
-        if len(body) % 4 == 1:
-            body = body[:-1]
+        full = body[:-1] if len(body) % 4 == 1 else body
         try:
-            data = base64.b64decode(body + "=" * (-len(body) % 4))
+            data = base64.b64decode(full + "=" * (-len(full) % 4))
         except (binascii.Error, ValueError):
             continue
-        out.blob(layer, m.start(), m.end(), data)
+        whole = out.blob(layer, m.start(), m.end(), data)
+        out.parts(layer, np.arange(m.start(), m.end()), body, whole)
+    for m in _WRAPPED.finditer(text):
+        lines = list(_LINE.finditer(m[0]))
+        at = m.start() + np.concatenate([np.arange(x.start(), x.end()) for x in lines])
+        out.parts(layer, at, "".join(x[0] for x in lines).replace("-", "+").replace("_", "/"), False)
     return out
 
 
@@ -189,10 +261,19 @@ def find_secrets(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str,
     """Base findings, all findings (mapped to the text), layers opened, and layers too large to open."""
     base = scan(text)
     found, seen, queue, opened, large = dict.fromkeys(base), set(), deque([Layer(text)]), 0, 0
-    while queue:
-        below = unwrap(queue.popleft())
-        large += below.too_large
-        for layer in below.layers:
+    streams: list[Iterator[Layer]] = []
+    while queue or streams:
+        if queue:
+            below = unwrap(queue.popleft())
+            large += below.too_large
+            streams += below.streams
+            layers = below.layers
+        elif (window := next(streams[-1], None)) is not None:  # one window at a time is in memory
+            layers = [window]
+        else:
+            streams.pop()
+            continue
+        for layer in layers:
             ends = (int(layer.start[0]), int(layer.end[-1])) if len(layer.text) else (0, 0)
             mark = (hashlib.sha256(layer.text.encode("utf-8", "surrogatepass")).digest(), *ends)
             if mark in seen or layer.text == text:

@@ -2,7 +2,10 @@ import base64
 import bz2
 import gzip
 import hashlib
+import lzma
+import random
 import re
+import zlib
 from urllib.parse import quote
 
 import pytest
@@ -91,3 +94,35 @@ def test_frames(spark):
     assert masked.where("doc_id = 1").collect()[0].text is None
     assert scan_secrets(docs.limit(0)).count() == 0
     assert spans_text([("hex", 3, 9), ("assign", 3, 5), ("access", 1, 2)]) == "access:1:2,assign:3:5,hex:3:9"
+
+
+def opens(code, kind="access", before="é before ", after=" after"):
+    text = before + code + after
+    at = len(before)
+    return any(k == kind and at <= a and b <= at + len(code) for k, a, b in find_secrets(text)[1])
+
+
+def test_wrapped_and_glued_base64():
+    rng = random.Random(4)
+    noise = " ".join(rng.choice(["alpha", "beta", "gamma", "delta"]) + str(rng.randrange(10**6)) for _ in range(60))
+    for payload in (f"{noise} {KEY} {noise}".encode(), gzip.compress(f"{noise} {KEY} {noise}".encode()), zlib.compress(f"{noise} {KEY}".encode()), bz2.compress(f"{noise} {KEY}".encode())):
+        for width in (64, 76):
+            for end in ("\n", "\r\n"):
+                code = b64(payload)
+                lines = end.join(code[i : i + width] for i in range(0, len(code), width))
+                assert opens(lines, before="key\n", after=end + "next")
+                assert opens(f"-----BEGIN CERTIFICATE-----{end}{lines}{end}-----END CERTIFICATE-----")
+        for prefix in ("/v1/", "a_", "key-", "x", "xy", "xyz/", "path/to/it/"):
+            assert opens(prefix + b64(payload)), prefix
+    assert opens("/v1/" + b64("token=abcdefgh"), "assign")
+
+
+def test_members_and_large_layers(monkeypatch):
+    for pack in (gzip.compress, bz2.compress, lzma.compress):
+        assert opens(b64(pack(b"first part " * 5) + pack(f"then {KEY}".encode())))
+    monkeypatch.setattr(secrets, "MAX_LAYER", 1000)
+    for pack in (gzip.compress, zlib.compress, bz2.compress, lzma.compress):
+        for n in (990, 1500, 100_000):
+            code = b64(pack(b"a " * n + f"{KEY} ".encode() + b"b " * n))
+            assert opens(code) and find_secrets(code)[3] >= 1
+            assert KEY not in code and not opens(b64(pack(b"a " * 2 * n)))
