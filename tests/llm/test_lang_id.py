@@ -1,7 +1,7 @@
 import numpy as np
 import pyarrow as pa
 
-from finlattice.llm.lang_id import SLOTS, crc_remainder, fit, identify_languages, score, spectra
+from finlattice.llm.lang_id import SLOTS, crc_remainder, fit, identify_languages, score, spectra, train
 
 
 def test_held_out_accuracy_and_independence(spark):
@@ -35,3 +35,9 @@ def test_odd_rows(spark):
     assert {(200, "und"), (201, "und"), (202, "und"), (None, "de"), (203, "en")} <= got
     assert identify_languages(docs.limit(0)).count() == 0
     assert {r.lang_pred for r in identify_languages(docs.where("lang IS NULL")).collect()} == {"und"}
+
+
+def test_languages_of_mostly_copies_are_learned(spark):
+    """Twenty languages of 20,000 rows each, of three distinct texts."""
+    rows = spark.range(400_000).selectExpr("concat('l', id % 20) lang", "concat('text ', char(97 + id % 20), char(97 + id % 20), ' of form ', char(97 + id % 3)) text")
+    assert set(train(rows).langs) == {f"l{i}" for i in range(20)}
