@@ -24,6 +24,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes".split())
 BOILER_TAGS = frozenset("nav header footer aside form script style noscript template iframe textarea title button select option svg canvas menu dialog object head datalist fieldset label".split())
 BLOCK = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul caption legend".split())
+HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 CONTAINER = frozenset("article body div main section td".split())
 BOILER_WORDS = frozenset(
     "nav navbar navigation menu header masthead topbar footer sidebar aside ad ads advert adverts advertisement advertising adbox adsense banner promo promotion sponsor sponsored cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login social share sharing related recommended recommendations comment comments commentlist reply replies respond disqus breadcrumb breadcrumbs pagination pager toolbar widget widgets search skip copyright disclaimer hidden".split()
@@ -134,7 +135,10 @@ def parse(source: str) -> Page:
 
 
 def best_container(page: Page) -> tuple[int, int]:
-    """The deepest container with over half of the page's content (widened to its article or main), and its content's size."""
+    """The article or main with over half of the page's content, else the smallest container of nearly all of it; and its content's size.
+
+    Without article or main a step down leaves only containers without headings behind, which hold a sixteenth of the page's content at most.
+    """
     total = 0
     for i, _, text, link in page.runs:
         if not page.nodes[i].boiler and not link:
@@ -151,6 +155,25 @@ def best_container(page: Page) -> tuple[int, int]:
         if page.nodes[i].tag in ("article", "main"):
             return i, page.nodes[i].chars
         i = page.nodes[i].parent
+    near, titled = [0] * len(page.nodes), [False] * len(page.nodes)  # the container a node is in; whether it is in a heading
+    for i in range(1, len(page.nodes)):
+        node = page.nodes[i]
+        near[i] = i if node.tag in CONTAINER else near[node.parent]
+        titled[i] = titled[node.parent] or node.tag in HEADING
+    own, heads = [0] * len(page.nodes), [0] * len(page.nodes)
+    for i, _, text, link in page.runs:
+        if not page.nodes[i].boiler and not link:
+            n = len(text.strip())
+            own[near[i]] += n
+            heads[i] += n * titled[i]
+    for i in range(len(page.nodes) - 1, 0, -1):
+        heads[page.nodes[i].parent] += heads[i]
+    best = 0
+    for i in range(1, len(page.nodes)):
+        if total and page.nodes[i].tag in CONTAINER and 16 * page.nodes[i].chars >= 15 * total:
+            if own[best] or heads[i] < heads[best]:
+                break
+            best = i
     return best, page.nodes[best].chars
 
 

@@ -50,3 +50,22 @@ def test_consensus_and_odd_rows(spark):
     assert extract_pages(pages).count() == len(rows)
     assert {r.host for r in host_paths(pages).collect()} == {"a.com", "b.com"}
     assert extract_pages(pages.limit(0)).count() == 0
+
+
+def test_pages_without_article_or_main_are_whole():
+    body = "<p>" + "The body of the story goes on. " * 8 + "</p>"
+    nav = "<nav><a href=/>Home</a></nav>"
+    cases = [
+        f"<div id=post><h1>Title</h1><p>Lead of it.</p><div class=body>{body}</div><p>End of it.</p></div>",
+        f"<div class=page><div class=post><h1>Title</h1><div class=one>{body}</div><div class=two><p>{'Second section. ' * 9}</p></div></div><div class=sidebar>Other</div></div>",
+        f"<div class=wrap><div class=title><h1>T</h1></div><div class=body>{body * 9}</div></div>",
+        f"<div class=wrap><section class=a>{body}</section><section class=b>{body}</section><section class=c>{body}</section></div>",
+        f"<table><tr><td><h2>Title</h2><div>{body}</div></td></tr></table>",
+    ]
+    for case in cases:
+        got = extract(f"<html><body>{nav}{case}<footer>me</footer></body></html>", None)
+        want = re.sub("<div class=sidebar>Other</div>", "", case)
+        want = "\n".join(x for x in (" ".join(b.split()) for b in re.split("<[^>]*>", want)) if x)
+        assert got == want, case
+    small = f"<html><body><div class=wrap><div class=text>{body * 4}</div></div><div class=foot><p>© me</p></div></body></html>"
+    assert "©" not in extract(small, None)
