@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, durable
+from .common import durable
 
 # Fixed word lists of the extraction.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -31,10 +31,24 @@ BOILER_WORDS = frozenset(
 )
 BOILER_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar toolbar form".split())
 KEPT_TAGS = frozenset("html body main article".split())
-CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
-BARRIER = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
-
-_TOKEN = re.compile(r"""<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^<>"']+|"[^"]*"|'[^']*')*+)>|<(/?)([A-Za-z][A-Za-z0-9:-]*)([^>]*)>""", re.S)
+#: Tags that stay condemned whatever they hold, tags whose text is none at all, and what shows where the article is.
+NEVER = BOILER_TAGS - frozenset("form fieldset label object".split())
+NO_TEXT = frozenset("script style noscript template iframe textarea title select option svg canvas head datalist".split())
+SIGNS = frozenset("h1 article main".split())
+#: Words that often tell how a wrapper is laid out, and not what it holds.
+LAYOUT_WORDS = frozenset("nav navbar menu header masthead topbar footer sidebar aside toolbar widget widgets search skip social share sharing hidden overlay modal ad ads promo related notice signup login".split())
+#: What ends by implication: kind -> (tags that end, tags that bound the search).
+SCOPES = {
+    "p": ({"p"}, {"table", "button"}), "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}),
+    "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"}),
+}
+IMPLIES = {"li": "li", "dt": "dt", "dd": "dt", "tr": "tr", "td": "td", "th": "td", "option": "option"}
+SCOPED: dict[str, list[tuple[str, bool]]] = {}
+for _kind, (_ends, _bounds) in SCOPES.items():
+    for _tag in _ends | _bounds:
+        SCOPED.setdefault(_tag, []).append((_kind, _tag in _bounds))
+
+_TOKEN = re.compile(r"""<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^<>"']+|"[^"]*"|'[^']*')*+)>|<(/?)([A-Za-z][A-Za-z0-9:-]*)([^<>]*)>""", re.S)
 _ATTR = re.compile(r"""([A-Za-z_:][\w:.-]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _DIGITS = re.compile(r"\d+")
 _PART = re.compile(r"[-_\s]+")
@@ -43,9 +57,13 @@ _PART = re.compile(r"[-_\s]+")
 @dataclass(slots=True)
 class Node:
     tag: str
-    path: str
+    #: Tag with classes, digits made alike: a step of the path.
+    step: str
     parent: int
-    boiler: bool
+    #: 0, or condemned: 1 by a layout word, 2 by another word, role or attribute, 3 by its tag for good.
+    bad: int
+    #: Condemned itself or below such an element.
+    boiler: bool = False
     chars: int = 0
 
 
@@ -55,35 +73,74 @@ class Page:
     #: Runs of text: (node, block number, text, in a link).
     runs: list[tuple[int, int, str, bool]] = field(default_factory=list)
 
+    def path(self, i: int) -> str:
+        steps = []
+        while i > 0:
+            steps.append(self.nodes[i].step)
+            i = self.nodes[i].parent
+        return "".join(reversed(steps))
+
 
-def _boiler(tag: str, attrs: dict[str, str]) -> bool:
+def _condemned(tag: str, attrs: dict[str, str]) -> int:
     if tag in BOILER_TAGS:
-        return True
+        return 3 if tag in NEVER else 1
     if tag in KEPT_TAGS:
-        return False
+        return 0
     if attrs.get("role", "").lower() in BOILER_ROLES or "hidden" in attrs or attrs.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", attrs.get("style", "")):
-        return True
-    for name in (*attrs.get("class", "").split(), attrs.get("id", "")):
+        return 2
+    found = 0
+    for name in (*attrs.get("class", "").split(), attrs.get("id", "")) if tag != "h1" else ():
         words = [w for w in _PART.split(name.lower()) if w]
-        if any(w in BOILER_WORDS and not (i and words[i - 1] in ("has", "with", "no", "without")) for i, w in enumerate(words)):
-            return True
-    return False
+        for i, w in enumerate(words):
+            if w in BOILER_WORDS and not (i and words[i - 1] in ("has", "with", "no", "without")):
+                found = max(found, 1 if w in LAYOUT_WORDS else 2)
+    return found
+
+
+class _Open:
+    """The open elements, and how many of a kind are open within their scope, which tells without a search whether a tag ends one."""
+
+    def __init__(self, nodes: list[Node]) -> None:
+        self.nodes, self.stack, self.links = nodes, [0], 0
+        self.tags: dict[str, int] = {}
+        self.scopes = {kind: [0] for kind in SCOPES}
+
+    def push(self, i: int) -> None:
+        tag = self.nodes[i].tag
+        self.stack.append(i)
+        self.links += tag == "a"
+        self.tags[tag] = self.tags.get(tag, 0) + 1
+        for kind, bounds in SCOPED.get(tag, ()):
+            if bounds:
+                self.scopes[kind].append(0)
+            else:
+                self.scopes[kind][-1] += 1
+
+    def pop(self, to: int) -> None:
+        for i in reversed(self.stack[to:]):
+            tag = self.nodes[i].tag
+            self.links -= tag == "a"
+            self.tags[tag] -= 1
+            for kind, bounds in SCOPED.get(tag, ()):
+                if bounds:
+                    self.scopes[kind].pop()
+                else:
+                    self.scopes[kind][-1] -= 1
+        del self.stack[to:]
+
+    def end(self, tags: set[str]) -> None:
+        """The innermost open element of these tags ends, with all that is open in it."""
+        self.pop(next(d for d in range(len(self.stack) - 1, 0, -1) if self.nodes[self.stack[d]].tag in tags))
 
 
 def parse(source: str) -> Page:
-    """Elements and text runs of a page; unclosed and stray tags are taken as browsers do, roughly."""
-    page = Page([Node("", "", -1, False)])
-    stack, block, links, at = [0], 0, 0, 0
+    """Elements and text runs of a page; unclosed and stray tags are taken as browsers do, roughly. Takes time in proportion to the source."""
+    page = Page([Node("", "", -1, 0)])
+    now, block, at = _Open(page.nodes), 0, 0
 
     def text(raw: str) -> None:
         if raw:
-            page.runs.append((stack[-1], block, html.unescape(raw) if "&" in raw else raw, links > 0))
-
-    def pop(to: int) -> None:
-        nonlocal links
-        for i in stack[to:]:
-            links -= page.nodes[i].tag == "a"
-        del stack[to:]
+            page.runs.append((now.stack[-1], block, html.unescape(raw) if "&" in raw else raw, now.links > 0))
 
     while (m := _TOKEN.search(source, at)) is not None:
         text(source[at : m.start()])
@@ -97,43 +154,81 @@ def parse(source: str) -> Page:
         if tag in BLOCK:
             block += 1
         if m[1] or m[4]:
-            depth = next((d for d in range(len(stack) - 1, 0, -1) if page.nodes[stack[d]].tag == tag), 0)
-            if depth:
-                pop(depth)
+            if now.tags.get(tag):
+                now.end({tag})
             continue
         if tag in VOID:
             if tag == "br":
                 text(" ")
             continue
-        if tag in BLOCK:
-            depth = next((d for d in range(len(stack) - 1, 0, -1) if page.nodes[stack[d]].tag == "p"), 0)
-            if depth and not any(page.nodes[i].tag in ("table", "button") for i in stack[depth:]):
-                pop(depth)
-        if tag in CLOSES:
-            for d in range(len(stack) - 1, 0, -1):
-                open_tag = page.nodes[stack[d]].tag
-                if open_tag in BARRIER[tag]:
-                    break
-                if open_tag in CLOSES[tag]:
-                    pop(d)
-                    break
+        for kind in (*(("p",) if tag in BLOCK else ()), *((IMPLIES[tag],) if tag in IMPLIES else ())):
+            if now.scopes[kind][-1]:
+                now.end(SCOPES[kind][0])
         given = m[3] or m[6] or ""
         attrs = {a.lower(): b or c or d or "" for a, b, c, d in _ATTR.findall(given)} if given.strip(" /") else {}
-        up = page.nodes[stack[-1]]
-        classes = ".".join(sorted(_DIGITS.sub("#", c.lower()) for c in attrs.get("class", "").split()))
-        page.nodes.append(Node(tag, f"{up.path}>{tag}.{classes}" if classes else f"{up.path}>{tag}", stack[-1], up.boiler or _boiler(tag, attrs)))
+        classes = ".".join(sorted(_DIGITS.sub("#", c.lower()) for c in attrs.get("class", "").replace(">", "#").split()))
+        page.nodes.append(Node(tag, f">{tag}.{classes}" if classes else f">{tag}", now.stack[-1], _condemned(tag, attrs)))
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(source, at)
             at = end.end() if end else len(source)
             continue
         if given.rstrip().endswith("/") and tag not in BLOCK:
             continue
-        stack.append(len(page.nodes) - 1)
-        links += tag == "a"
+        now.push(len(page.nodes) - 1)
     text(source[at:])
+    _judge(page)
     return page
 
 
+def _judge(page: Page) -> None:
+    """Acquits condemned elements that hold the article all the same, and marks the others and what is below them.
+
+    A word such as sidebar may tell how a wrapper is laid out, and a form may span a page. Down the chain of elements with over
+    half of the page's text, a condemned one is acquitted if a headline, article or main is in it and none outside, or, unless its
+    word names what it holds (comments, cookies), if the text outside is under a sixteenth of its own. If the
+    page has no text left then, elements condemned by layout words only are acquitted, outermost first.
+    """
+    nodes = page.nodes
+    n = len(nodes)
+    size, signs, heavy, none = [0] * n, [0] * n, [0] * n, bytearray(n)
+    for i in range(1, n):
+        none[i] = none[nodes[i].parent] or nodes[i].tag in NO_TEXT
+    for i, _, text, link in page.runs:
+        if not none[i] and not link:
+            size[i] += len(text.strip())
+    free, deep, deep_signs = size[:], size[:], [0] * n  # not below a condemned element; the same, but for elements with over half of the text
+    total = sum(size)
+    for i in range(n - 1, 0, -1):
+        up = nodes[i].parent
+        signs[i] += nodes[i].tag in SIGNS
+        deep_signs[i] += nodes[i].tag in SIGNS
+        size[up] += size[i]
+        if 2 * size[i] > total:
+            heavy[up] = i
+        if not nodes[i].bad:
+            free[up] += free[i]
+            signs[up] += signs[i]
+        if not nodes[i].bad or heavy[up] == i and nodes[i].bad < 3:
+            deep[up] += deep[i]
+            deep_signs[up] += deep_signs[i]
+    outside, outside_signs, at = free[0], signs[0], heavy[0]
+    while at:
+        bad = nodes[at].bad
+        if bad:
+            if bad == 3 or not (deep_signs[at] and not outside_signs or bad == 1 and deep[at] > 16 * outside):
+                break
+            nodes[at].bad = 0
+            outside, outside_signs = outside + free[at], outside_signs + signs[at]
+        at = heavy[at]
+    lit = bytearray(n)  # below an element that was acquitted here and has text
+    for i in range(1, n):
+        node, up = nodes[i], nodes[i].parent
+        lit[i] = lit[up]
+        if node.bad == 1 and not outside and size[i] and not lit[i] and not nodes[up].boiler:
+            node.bad, lit[i] = 0, free[i] > 0
+        node.boiler = nodes[up].boiler or node.bad > 0
+
+
 def best_container(page: Page) -> tuple[int, int]:
     """The article or main with over half of the page's content, else the smallest container of nearly all of it; and its content's size.
 
@@ -189,11 +284,30 @@ def main_text(page: Page, roots: set[int]) -> str:
     return "\n".join(x for x in lines if x)
 
 
+def _at_path(page: Page, path: str) -> set[int]:
+    """Elements at a path. Of several at a path that ends without class, only those with at least half the text of the largest."""
+    steps, level, found = [f">{x}" for x in path.split(">")[1:]], [0] * len(page.nodes), []
+    for i in range(1, len(page.nodes)):
+        node = page.nodes[i]
+        up = level[node.parent]
+        if 0 <= up < len(steps) and node.step == steps[up] and not node.boiler:
+            level[i] = up + 1
+            if up + 1 == len(steps):
+                found.append(i)
+        else:
+            level[i] = -1
+    if len(found) > 1 and "." not in steps[-1] and steps[-1][1:] not in ("article", "main"):
+        most = max(page.nodes[i].chars for i in found)
+        found = [i for i in found if 2 * page.nodes[i].chars >= most]
+    return set(found)
+
+
 def extract(source: str, path: str | None) -> str:
     """The main text of a page by a path, or by its own best container where the path has none."""
     page = parse(source)
-    roots = {i for i, n in enumerate(page.nodes) if i and n.path == path and not n.boiler}
-    return (main_text(page, roots) if roots else "") or main_text(page, {best_container(page)[0]})
+    best, _ = best_container(page)
+    roots = _at_path(page, path) if path else set()
+    return (main_text(page, roots) if roots else "") or main_text(page, {best})
 
 
 def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,7 +316,7 @@ def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for source in b.column("html").to_pylist():
             page = parse(source or "")
             best, n = best_container(page)
-            paths.append(page.nodes[best].path)
+            paths.append(page.path(best))
             chars.append(n)
         yield pa.RecordBatch.from_arrays([b.column("host"), pa.array(paths, pa.string()), pa.array(chars, pa.int64())], names=["host", "path", "chars"])
 
@@ -225,13 +339,15 @@ def host_paths(pages: DataFrame) -> DataFrame:
     return tally.groupBy("host").agg(F.min_by("path", F.struct(-F.col("chars"), "path")).alias("path"))
 
 
-def extract_pages(pages: DataFrame, broadcast_rows: int = 20_000) -> DataFrame:
+def extract_pages(pages: DataFrame, broadcast_rows: int = 20_000, broadcast_bytes: int = 64 << 20) -> DataFrame:
     """``(page_id, url, text, n_chars)`` of every row of ``pages`` (``page_id``, ``url``, ``html``).
 
     Null and empty pages, and pages without content, have an empty text. Pages without host vote together. The
-    winning paths are broadcast only if they are at most ``broadcast_rows``; else they are joined by
+    winning paths are broadcast only if they are at most ``broadcast_rows`` and ``broadcast_bytes``; else they are joined by
     a shuffle on the host, whose large hosts AQE splits.
     """
-    winners = broadcast_if_small(durable(host_paths(pages), "host_paths"), broadcast_rows)
+    winners = durable(host_paths(pages), "host_paths")
+    n, size = winners.agg(F.count("*"), F.coalesce(F.sum(F.length("host") + F.length("path")), F.lit(0))).first()
+    winners = F.broadcast(winners) if n <= broadcast_rows and 4 * size <= broadcast_bytes else winners
     rows = pages.select("page_id", "url", "html", host().alias("host")).join(winners, "host", "left")
     return rows.select("page_id", "url", "html", "path").mapInArrow(_extract, "page_id long, url string, text string, n_chars long")

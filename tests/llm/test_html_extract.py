@@ -69,3 +69,38 @@ def test_pages_without_article_or_main_are_whole():
         assert got == want, case
     small = f"<html><body><div class=wrap><div class=text>{body * 4}</div></div><div class=foot><p>© me</p></div></body></html>"
     assert "©" not in extract(small, None)
+
+
+def test_words_on_wrappers_lose_no_article():
+    article = "<h1>Title</h1><p>The first paragraph of it.</p><p>The second one.</p>"
+    want = "Title\nThe first paragraph of it.\nThe second one."
+    around = "<nav><a href=/>Home</a></nav><div class=cookie-notice><p>We use cookies</p></div>{}<div class=sidebar><p>Other</p></div><footer>me</footer>"
+    words = "layout sidebar-right|wrapper sidebar-right|content hidden-xs|page menu-open|layout-header-fixed|post social|search-result|single-comment-open"
+    wrappers = [f'<div class="{w}">{{}}</div>' for w in words.split("|")] + ["<form id=aspnet>{}</form>", '<form><div class="wrapper sidebar-left">{}</div></form>']
+    for w in wrappers:
+        assert extract(f"<html><body>{around.format(w.format(article))}</body></html>", None) == want, w
+        untitled = article.replace("h1", "h2")
+        if "comment" not in w:
+            assert extract(f"<html><body>{around.format(w.format(untitled))}</body></html>", None) == want, w
+    inner = f'<div class="layout sidebar-right">{around.format(article)}</div>'
+    assert extract(f"<html><body>{inner}</body></html>", None) == want
+    two = '<div class="post social"><h2>One</h2><p>The first of them.</p></div><div class="post social"><h2>Two</h2><p>The other of them.</p></div>'
+    assert extract(f"<html><body><nav>Menu</nav>{two}</body></html>", None) == "One\nThe first of them.\nTwo\nThe other of them."
+
+
+def test_junk_stays_out_whatever_its_share():
+    comments = "<div class=comments>" + "<p>A comment that goes on and on about very little.</p>" * 40 + "</div>"
+    assert extract(f"<html><body><h1>Title</h1><p>A short article.</p>{comments}</body></html>", None) == "Title\nA short article."
+    assert extract(f"<html><body><nav>{'menu ' * 50}</nav><footer>me</footer></body></html>", None) == ""
+    plain = "<html><body><div><h2>Story</h2><p>" + "It goes on for a while. " * 20 + "</p></div><div><p>Junk that has no class.</p></div></body></html>"
+    assert "Junk" not in extract(plain, ">html>body>div")
+
+
+def test_deep_and_broken_pages_take_time_in_proportion():
+    deep = 50_000
+    assert extract("<div>" * deep + "<p>text</p>", None) == "text"
+    assert extract("<div class=sidebar>" * deep + "<p>text</p>", None) == "text"
+    assert extract("<li><ul>" + "<div>" * deep + "<li>x</li>" * 1000 + "<p>text", None).endswith("text")
+    assert extract("<p><table>" + "<div>" * deep + "text", None) == "text"
+    assert extract("<a " * deep + "<p>text", None).endswith("text")
+    assert extract("</b>" * deep + "<b>" * deep + "</i>" * deep + "text", None) == "text"
