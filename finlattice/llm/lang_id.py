@@ -23,8 +23,8 @@ from .shingles import slices, utf8_parts
 
 #: Slots of the spectra of order 1, 2, 3 and 4.
 SLOTS = (256, 4096, 16384, 32768)
-#: Bounds of what is fitted on: training texts of a language and in all, landmarks in all, languages.
-TRAIN_PER_LANG, MAX_TRAIN, MAX_LANDMARKS, MAX_LANGS = 300, 1200, 240, 256
+#: Bounds of what is fitted on: training texts of a language and in all, landmarks in all (but one of each language), languages.
+TRAIN_PER_LANG, MAX_TRAIN, MAX_LANDMARKS, MAX_LANGS = 300, 1200, 240, 512
 #: Texts drawn of a language beyond twice those wanted: fewer than wanted come with a probability of 1e-9 or less.
 SPARE = 24
 #: Ridge, and the scale of margins in the soft-max.
@@ -113,25 +113,22 @@ def _sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at += n
 
 
-def train(labelled: DataFrame, per_lang: int = TRAIN_PER_LANG) -> LanguageModel | None:
+def train(labelled: DataFrame, per_lang: int = TRAIN_PER_LANG, max_langs: int = MAX_LANGS) -> LanguageModel | None:
     """Fits on at most ``per_lang`` distinct texts of every language (MAX_TRAIN in all), chosen by hash, from rows with ``text`` and non-null ``lang``.
 
-    Their spectra (7 kB each, whatever the text's length) come to the driver. None if no row is labelled.
+    Of over ``max_langs`` values of ``lang`` those with most distinct texts are learned (ties: by name), which bounds the
+    model sent to tasks. The texts' spectra (7 kB each, whatever the text's length) come to the driver. None if no row is labelled.
     """
     rows = labelled.where("text IS NOT NULL AND lang IS NOT NULL").where(F.col("text").rlike(r"\p{L}"))
     hashed = F.xxhash64("text", F.lit(7)).alias("h")
     # shares are of distinct texts, as copies are drawn together and count once
-    counts = {r.lang: r["count"] for r in rows.select("lang", hashed).distinct().groupBy("lang").count().limit(MAX_LANGS + 1).collect()}
-    if len(counts) > MAX_LANGS:
-        raise ValueError(f"over {MAX_LANGS} languages")
+    counts = rows.select("lang", hashed).distinct().groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_langs).collect()
     if not counts:
         return None
     per_lang = max(1, min(per_lang, MAX_TRAIN // len(counts)))
-    share = F.lit(0.0)
-    for name, n in counts.items():
-        share = F.when(F.col("lang") == name, min(1.0, (2.0 * per_lang + SPARE) / n)).otherwise(share)
-    drawn = rows.select("lang", "text", hashed).where(F.pmod("h", F.lit(1 << 30)) < share * (1 << 30)).dropDuplicates(["lang", "h"])
-    found = drawn.mapInArrow(_sample, "h long, lang string, bits binary").collect()
+    shares = labelled.sparkSession.createDataFrame([(r.lang, min(1.0, (2.0 * per_lang + SPARE) / r.n)) for r in counts], "lang string, share double")
+    drawn = rows.select("lang", "text", hashed).join(F.broadcast(shares), "lang").where(F.pmod("h", F.lit(1 << 30)) < F.col("share") * (1 << 30))
+    found = drawn.drop("share").dropDuplicates(["lang", "h"]).mapInArrow(_sample, "h long, lang string, bits binary").collect()
     chosen: dict[str, list] = {}
     for r in sorted(found, key=lambda r: (r.h * 0x9E3779B97F4A7C15 & (1 << 64) - 1, r.h)):
         if len(own := chosen.setdefault(r.lang, [])) < per_lang:

@@ -41,3 +41,9 @@ def test_languages_of_mostly_copies_are_learned(spark):
     """Twenty languages of 20,000 rows each, of three distinct texts."""
     rows = spark.range(400_000).selectExpr("concat('l', id % 20) lang", "concat('text ', char(97 + id % 20), char(97 + id % 20), ' of form ', char(97 + id % 3)) text")
     assert set(train(rows).langs) == {f"l{i}" for i in range(20)}
+
+
+def test_many_languages(spark):
+    rows = spark.range(9000).selectExpr("concat('l', id % 300) lang", "concat(repeat(concat(char(97 + id % 20), char(97 + id % 15), ' '), 5), id) text")
+    assert len(train(rows).langs) == 300
+    assert train(rows, max_langs=7).langs == tuple(sorted(f"l{i}" for i in range(300))[:7])
