@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -123,32 +122,43 @@ def _edited(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+#: Keys that are sampled for each range, to place its bounds.
+KEYS_PER_RANGE = 32
+
+
 def edited_fingerprints(docs: DataFrame) -> DataFrame:
     """Fingerprints of every text and of its edited text, whose second half comes from the next document.
 
-    Documents are ordered by doc_id (null first, repeated ones by text), the first follows the last. One
-    shuffle deals them into ranges of doc_id with bounds from a quantile sketch (bounded by the number
-    of partitions); the first documents of a range also go, as its tail, to the range before.
+    Documents are ordered by doc_id (null first, repeated ones by a hash of the text and the text), the first follows the last. One
+    shuffle deals them into ranges of (doc_id, hash), so ids of any size and many texts under one id are spread alike; only
+    rows equal in both lie in one range. Bounds come from a sample of these pairs (KEYS_PER_RANGE a range); the first
+    document of a range also goes, as its tail, to the range before (one row of each batch that holds it).
     """
     spark = docs.sparkSession
-    docs = docs.select("doc_id", "text")
-    key = F.coalesce("doc_id", F.lit(-(1 << 63)))
-    ids = docs.select(key.alias("key"))
-    first = ids.agg(F.min("key")).first()[0]
-    if first is None:
+    keyed = docs.select("doc_id", "text", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("key"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"))
+    keys = keyed.select("key", "h")
+    total, first = keys.agg(F.count("*"), F.min(F.struct("key", "h"))).first()
+    if not total:
         return spark.createDataFrame([], _EDITED)
     n = 4 * parts(spark)
-    cuts = ids.stat.approxQuantile("key", [i / n for i in range(1, n)], 1 / (2 * n))
-    bounds = np.array(sorted({first, *(int(x) for x in cuts if abs(x) < 1 << 53)}), np.int64)
+    drawn = keys.sample(min(1.0, 2 * KEYS_PER_RANGE * n / total), seed=7).limit(4 * KEYS_PER_RANGE * n).toArrow()
+    key, h = (drawn.column(i).to_numpy() for i in range(2))
+    at = np.lexsort((h, key))[np.arange(1, n) * drawn.num_rows // n] if drawn.num_rows else []
+    pairs = sorted({tuple(first), *zip(key[at].tolist(), h[at].tolist(), strict=True)})
+    bounds, hashes = np.array([k for k, _ in pairs], np.int64), np.array([h for _, h in pairs], np.int64)
 
     @F.pandas_udf("array<int>")
-    def ranges(keys: pd.Series) -> pd.Series:
-        k = keys.to_numpy(np.int64)
-        at = np.searchsorted(bounds, k, "right") - 1
-        lead = bounds[at] == k
-        return pd.Series([[b, -1 - (b - 1) % len(bounds)] if t else [b] for b, t in zip(at.tolist(), lead.tolist(), strict=True)])
-
-    dealt = docs.withColumn("key", key).select("doc_id", "text", "key", F.explode(ranges("key")).alias("r"))
-    dealt = dealt.select("doc_id", "text", "key", (F.col("r") < 0).alias("tail"), F.when(F.col("r") < 0, -1 - F.col("r")).otherwise(F.col("r")).alias("bucket"))
-    rows = dealt.repartition(parts(spark), "bucket").sortWithinPartitions("bucket", "tail", "key", "text")
-    return rows.select("doc_id", "tail", "text").mapInArrow(partial(_edited), _EDITED)
+    def ranges(key: pd.Series, h: pd.Series) -> pd.Series:
+        k, h = key.to_numpy(np.int64), h.to_numpy(np.int64)
+        low, high = np.searchsorted(bounds, k, "left"), np.searchsorted(bounds, k, "right")
+        at = high - 1
+        for i in np.flatnonzero(high > low):  # keys that are bounds: the hash decides
+            at[i] = low[i] + np.searchsorted(hashes[low[i] : high[i]], h[i], "right") - 1
+        lead = (bounds[at] == k) & (hashes[at] == h)
+        tails = set(np.flatnonzero(lead)[np.unique(at[lead], return_index=True)[1]].tolist())
+        return pd.Series([[b, -1 - (b - 1) % len(bounds)] if i in tails else [b] for i, b in enumerate(at.tolist())])
+
+    dealt = keyed.select("doc_id", "text", "key", "h", F.explode(ranges("key", "h")).alias("r"))
+    dealt = dealt.select("doc_id", "text", "key", "h", (F.col("r") < 0).alias("tail"), F.when(F.col("r") < 0, -1 - F.col("r")).otherwise(F.col("r")).alias("bucket"))
+    rows = dealt.repartition(parts(spark), "bucket").sortWithinPartitions("bucket", "tail", "key", "h", "text")
+    return rows.select("doc_id", "tail", "text").mapInArrow(_edited, _EDITED)

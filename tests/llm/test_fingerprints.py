@@ -1,6 +1,8 @@
 import hashlib
 
 import numpy as np
+import xxhash
+from pyspark.sql import functions as F
 from test_ngram_join import shingles
 
 from finlattice.llm.fingerprints import edited_fingerprints, fingerprints
@@ -8,7 +10,8 @@ from finlattice.llm.fingerprints import edited_fingerprints, fingerprints
 
 def expected(rows):
     """Edited texts by the contract's words."""
-    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
+    signed = lambda t: (xxhash.xxh64_intdigest(t.encode(), 42) + (1 << 63)) % (1 << 64)
+    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, signed(r[1] or ""), r[1] or ""))
     out = []
     for i, (d, t) in enumerate(rows):
         t, nxt = t or "", rows[(i + 1) % len(rows)][1] or ""
@@ -50,3 +53,14 @@ def test_odd_rows(spark):
     assert edited_fingerprints(docs.limit(0)).count() == 0
     one = edited_fingerprints(docs.where("doc_id = 9")).collect()[0]
     assert one.near_next == 1.0 and one.n_chars == len("é😀 b c d e f g")
+
+
+def test_large_and_repeated_ids_are_spread_over_ranges(spark):
+    """Hashed 64-bit ids, and a third of the rows under one id: ranges are even, and each row's next one is right."""
+    docs = spark.range(6000).select(F.when(F.col("id") % 3 == 0, 1 << 60).otherwise(F.xxhash64("id")).alias("doc_id"), F.concat(F.lit("text of "), "id").alias("text"))
+    rows = [tuple(r) for r in docs.collect()]
+    out = edited_fingerprints(docs)
+    key = lambda r: tuple(str(x) for x in r)
+    assert sorted((tuple(r[:3]) for r in out.collect()), key=key) == sorted((w[:3] for w in expected(rows)), key=key)
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) >= 5 and max(sizes) < len(rows) / 3
