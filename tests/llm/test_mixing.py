@@ -1,10 +1,10 @@
-import random
 import re
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
-from finlattice.llm.mixing import mix_sources, pivot, water_fill
+from finlattice.llm.mixing import mix_sources, pivot
 
 
 def test_whole_table(spark):
@@ -27,16 +27,29 @@ def test_whole_table(spark):
     assert again == {r.doc_id: r.taken for r in out}
 
 
-def test_water_fill_is_the_fixed_point():
-    rng = random.Random(2)
-    for _ in range(300):
-        sizes = [rng.choice([0, 1, 5, 100, 10_000]) for _ in range(rng.randrange(1, 9))]
-        weights = [1 + i % 3 for i in range(len(sizes))]
-        t = water_fill(sizes, weights)
-        assert sum(t) == pytest.approx(sum(sizes))
-        free = [i for i in range(len(sizes)) if t[i] < 3 * sizes[i] - 1e-6]
-        assert len({round(t[i] / weights[i], 6) for i in free}) <= 1
-        assert all(t[i] <= 3 * sizes[i] + 1e-9 for i in range(len(sizes)))
+def test_targets_are_the_fixed_point(spark):
+    """Sources of all sizes, more than are broadcast; each free one at its weight's level, the others at three times their size."""
+    docs = spark.range(30_000).selectExpr("id doc_id", "concat('s', id % 12000) source", "repeat('w ', int(pow(1 + id % 12000 % 7, 3) * (id % 12000 % 4))) text")
+    out = mix_sources(docs)
+    rows = {r.source: (r.source_size, r.target) for r in out.select("source", "source_size", "target").distinct().collect()}
+    assert len(rows) == 12_000 and sum(t for _, t in rows.values()) == pytest.approx(sum(n for n, _ in rows.values()))
+    levels = [t / (1 + i % 3) for i, (_, (n, t)) in enumerate(sorted(rows.items())) if t < 3 * n - 1e-6]
+    assert max(levels) == pytest.approx(min(levels)) and len(levels) > 100
+    for i, (_, (n, t)) in enumerate(sorted(rows.items())):
+        assert t == pytest.approx(min(3 * n, levels[0] * (1 + i % 3)))
+    sums = out.groupBy("source").agg(F.sum("taken").alias("taken"), F.max("target").alias("target"), F.max("size").alias("most"))
+    assert sums.where("abs(taken - target) > most + 1e-6").count() == 0
+
+
+def test_equal_rows_are_spread_evenly(spark):
+    """A third of the rows are one row; they share its copies out, and none of them is lost."""
+    docs = spark.range(60_000).selectExpr("if(id % 3 = 0, null, id) doc_id", "if(id % 2 = 0, 'a', 'b') source", "'one two three' text")
+    out = mix_sources(docs).collect()
+    assert len(out) == 60_000
+    hot = [r.copies for r in out if r.doc_id is None and r.source == "b"]
+    assert len(hot) == 10_000 and max(hot) - min(hot) <= 1
+    for s in "ab":
+        assert abs(sum(r.taken for r in out if r.source == s) - next(r.target for r in out if r.source == s)) <= 3
 
 
 def test_pivot_keeps_words_and_expectations():
