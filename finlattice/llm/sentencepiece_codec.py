@@ -13,7 +13,8 @@ cross the start of a word. Words are then encoded each for itself, and repeated
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 
 import ahocorasick
@@ -38,6 +39,21 @@ def read_model(path: str) -> bytes:
     return data
 
 
+class _Kept(dict):
+    """What was made of each word before; a full table starts anew, and long words aren't kept."""
+
+    def __init__(self, make: Callable[[str], object]) -> None:
+        self.make = make
+
+    def __missing__(self, word: str) -> object:
+        found = self.make(word)
+        if len(word) <= KEPT_LENGTH:
+            if len(self) >= KEPT_WORDS:
+                self.clear()
+            self[word] = found
+        return found
+
+
 class Codec:
     """Encoder and decoder for one vocabulary."""
 
@@ -58,9 +74,13 @@ class Codec:
         for i in usable:
             self.automaton.add_word(self.pieces[i], (len(self.pieces[i]), self.score[i], i))
         self.automaton.make_automaton()
+        self.longest = max(len(self.pieces[i]) for i in usable)
         self.by_word = not any(MARK in self.pieces[i].lstrip(MARK) for i in usable)
-        self.kept: dict[str, tuple[int, ...]] = {}
-        self.counted: dict[str, tuple[float, int]] = {}
+        self.kept = _Kept(lambda unit: np.array(self.encode_unit(unit), np.int32).tobytes())
+        self.read = _Kept(lambda ids: self.decode(np.frombuffer(ids, np.int32).tolist(), first=False))
+        self.best = _Kept(self.count_unit)
+        self.counts = _Kept(lambda unit: self.best[unit][0])
+        self.scores = _Kept(lambda unit: self.best[unit][1])
 
     def units(self, text: str) -> list[str]:
         """The normalised text in parts that are encoded each for itself."""
@@ -69,75 +89,89 @@ class Codec:
         text = MARK + text.replace(" ", MARK)
         return _WORD.findall(text) if self.by_word else [text]
 
-    def viterbi(self, unit: str) -> tuple[list[float], list[int], list[int], list[int]]:
-        """For every end: best score, piece count, start of the last piece, and its id (unknown: -1)."""
-        n, unknown = len(unit), self.unknown_score
-        best, count, start, last = [0.0] * (n + 1), [0] * (n + 1), [-1] * (n + 1), [-1] * (n + 1)
-        done = 0  # ends below are final
+    def viterbi(self, unit: str) -> tuple[Sequence[int], Sequence[int]]:
+        """For every end of the best path: start of its last piece, and that piece's id (unknown: -1). Scores are kept for as long as a piece may reach back."""
+        n, unknown, ring = len(unit), self.unknown_score, self.longest + 1
+        best = [0.0] * ring
+        start, last = array("q", [-1]) * (n + 1), array("i", [-1]) * (n + 1)
+        done, single = 0, 0  # ends up to ``done`` are final; the last end that a piece of one character reaches
 
         def close(to: int) -> None:
             """Ends that no piece of one character reaches may be reached by an unknown one."""
             nonlocal done
             while done < to:
                 done += 1
-                if start[done] < 0 or (done not in single and best[done - 1] + unknown > best[done]):
-                    best[done], count[done], start[done], last[done] = best[done - 1] + unknown, count[done - 1] + len(unit[done - 1].encode()), done - 1, -1
+                s = best[(done - 1) % ring] + unknown
+                if start[done] < 0 or (done != single and s > best[done % ring]):
+                    best[done % ring], start[done], last[done] = s, done - 1, -1
 
-        single: set[int] = set()
         for end, (length, score, i) in self.automaton.iter(unit):
             end += 1
             if end > done + 1:
                 close(end - 1)
-            a = end - length
-            s = best[a] + score
-            if start[end] < 0 or s > best[end]:
-                best[end], count[end], start[end], last[end] = s, count[a] + 1, a, i
+            s = best[(end - length) % ring] + score
+            if start[end] < 0 or s > best[end % ring]:
+                best[end % ring], start[end], last[end] = s, end - length, i
             if length == 1:
-                single.add(end)
+                single = end
         close(n)
-        return best, count, start, last
-
-    def encode_unit(self, unit: str) -> tuple[int, ...]:
-        found = self.kept.get(unit)
-        if found is None:
-            _, _, start, last = self.viterbi(unit)
-            out, at = [], len(unit)
-            while at > 0:
-                i = last[at]
-                out.extend([i] if i >= 0 else [self.bytes.get(b, self.unknown) for b in reversed(unit[at - 1].encode())])
-                at = start[at]
-            found = tuple(reversed(out))
-            if len(unit) <= KEPT_LENGTH:
-                if len(self.kept) >= KEPT_WORDS:
-                    self.kept.clear()
-                self.kept[unit] = found
-        return found
+        return start, last
 
-    def encode(self, text: str) -> list[int]:
-        out: list[int] = []
-        get, slow = self.kept.get, self.encode_unit
-        for unit in self.units(text):
-            out.extend(get(unit) or slow(unit))
+    def count_unit(self, unit: str) -> tuple[int, float]:
+        """Pieces and score of the best path: the same relaxations with the count carried in place of the path, over a ring of a piece's length."""
+        n, unknown, ring = len(unit), self.unknown_score, self.longest + 1
+        best, count = [0.0] * ring, [0] * ring
+        done, single, met = 0, 0, 0  # ``met``: the last end that a piece reaches
+
+        def close(to: int) -> None:
+            nonlocal done
+            while done < to:
+                done += 1
+                s = best[(done - 1) % ring] + unknown
+                if met != done or (done != single and s > best[done % ring]):
+                    best[done % ring], count[done % ring] = s, count[(done - 1) % ring] + len(unit[done - 1].encode())
+
+        for end, (length, score, _) in self.automaton.iter(unit):
+            end += 1
+            if end > done + 1:
+                close(end - 1)
+            s = best[(end - length) % ring] + score
+            if met != end or s > best[end % ring]:
+                best[end % ring], count[end % ring], met = s, count[(end - length) % ring] + 1, end
+            if length == 1:
+                single = end
+        close(n)
+        return count[n % ring], best[n % ring]
+
+    def encode_unit(self, unit: str) -> list[int]:
+        start, last = self.viterbi(unit)
+        out, at = [], len(unit)
+        while at > 0:
+            i = last[at]
+            out.extend([i] if i >= 0 else [self.bytes.get(b, self.unknown) for b in reversed(unit[at - 1].encode())])
+            at = start[at]
+        out.reverse()
         return out
 
+    def encode_parts(self, text: str) -> list[bytes]:
+        """The ids of each unit, as bytes of 32-bit integers."""
+        return list(map(self.kept.__getitem__, self.units(text)))
+
+    def encode(self, text: str) -> list[int]:
+        return np.frombuffer(b"".join(self.encode_parts(text)), np.int32).tolist()
+
     def count(self, text: str) -> tuple[int, float]:
         """Pieces and best score of the whole text; no pieces are made."""
-        n, score, kept = 0, 0.0, self.counted
-        for unit in self.units(text):
-            found = kept.get(unit)
-            if found is None:
-                best, count, _, _ = self.viterbi(unit)
-                found = (best[-1], count[-1])
-                if len(unit) <= KEPT_LENGTH:
-                    if len(kept) >= KEPT_WORDS:
-                        kept.clear()
-                    kept[unit] = found
-            score += found[0]
-            n += found[1]
-        return n, score
-
-    def decode(self, ids: list[int]) -> str:
-        """The text of ids: marks become spaces, byte pieces UTF-8, the first mark goes; control ids give nothing."""
+        units = self.units(text)
+        return sum(map(self.counts.__getitem__, units)), float(sum(map(self.scores.__getitem__, units)))
+
+    def decode_parts(self, parts: list[bytes]) -> str:
+        """The text of the ids of whole units."""
+        text = "".join(map(self.read.__getitem__, parts))
+        return text[1:] if text[:1] == " " else text
+
+    def decode(self, ids: list[int], first: bool = True) -> str:
+        """The text of ids: marks become spaces, byte pieces UTF-8, the ``first`` mark goes; control ids give nothing."""
         if self.byte_of.keys().isdisjoint(ids) and self.special.isdisjoint(ids):
             text = "".join(map(self.pieces.__getitem__, ids)).replace(MARK, " ")
         else:
@@ -148,7 +182,7 @@ class Codec:
                 elif i not in self.special:
                     parts.append(self.pieces[i].replace(MARK, " ").encode())
             text = b"".join(parts).decode("utf-8", "replace")
-        return text[1:] if text[:1] == " " else text
+        return text[1:] if first and text[:1] == " " else text
 
 
 @lru_cache(maxsize=2)
@@ -165,11 +199,11 @@ def _pieces(batches: Iterator[pa.RecordBatch], model: object, name: str) -> Iter
             part = b.slice(i, 512)
             flat, ends, same = [], [0], []
             for text in part.column(at).to_pylist():
-                ids = c.encode(text or "")
-                flat.append(np.array(ids, np.int32))
-                ends.append(ends[-1] + len(ids))
-                same.append(c.decode(ids) == (text or ""))
-            col = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(flat)))
+                ids = c.encode_parts(text or "")
+                flat += ids
+                same.append(c.decode_parts(ids) == (text or ""))
+                ends.append(ends[-1] + sum(map(len, ids)) // 4)
+            col = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(flat), np.int32)))
             yield pa.RecordBatch.from_arrays([*part.columns, col, pa.array(np.diff(ends).astype(np.int64)), pa.array(same)], names=[*b.schema.names, name, "n_pieces", "round_trip"]).drop_columns(["text"])
 
 
