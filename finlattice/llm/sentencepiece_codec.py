@@ -12,6 +12,7 @@ cross the start of a word. Words are then encoded each for itself, and repeated
 
 from __future__ import annotations
 
+import math
 import re
 from array import array
 from collections.abc import Callable, Iterator, Sequence
@@ -26,6 +27,8 @@ MARK = "\u2581"
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Bytes of a vocabulary file that may be sent to every task, and words whose pieces a task keeps.
 MAX_MODEL_BYTES, KEPT_WORDS, KEPT_LENGTH = 32 << 20, 400_000, 48
+#: Characters up to which a unit's scores are held at once.
+SHORT = 10_000
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 UNKNOWN_PENALTY = 10.0
 
@@ -75,17 +78,19 @@ class Codec:
             self.automaton.add_word(self.pieces[i], (len(self.pieces[i]), self.score[i], i))
         self.automaton.make_automaton()
         self.longest = max(len(self.pieces[i]) for i in usable)
+        self.single = frozenset(self.pieces[i] for i in usable if len(self.pieces[i]) == 1)
         self.by_word = not any(MARK in self.pieces[i].lstrip(MARK) for i in usable)
-        self.kept = _Kept(lambda unit: np.array(self.encode_unit(unit), np.int32).tobytes())
+        self.kept = _Kept(lambda word: array("i", self.encode_unit(word if word[0] == MARK else MARK + word)).tobytes())
         self.read = _Kept(lambda ids: self.decode(np.frombuffer(ids, np.int32).tolist(), first=False))
-        self.best = _Kept(self.count_unit)
-        self.counts = _Kept(lambda unit: self.best[unit][0])
-        self.scores = _Kept(lambda unit: self.best[unit][1])
+        #: Count and score as the two parts of one number, which add up at once (both are whole numbers).
+        self.best = _Kept(lambda word: complex(*self.count_unit(word if word[0] == MARK else MARK + word)))
 
     def units(self, text: str) -> list[str]:
-        """The normalised text in parts that are encoded each for itself."""
+        """The normalised text in parts that are encoded each for itself; where all begin with one mark, it is left out."""
         if not text:
             return []
+        if self.by_word and MARK not in text and "" not in (words := text.split(" ")):
+            return words
         text = MARK + text.replace(" ", MARK)
         return _WORD.findall(text) if self.by_word else [text]
 
@@ -119,7 +124,15 @@ class Codec:
 
     def count_unit(self, unit: str) -> tuple[int, float]:
         """Pieces and score of the best path: the same relaxations with the count carried in place of the path, over a ring of a piece's length."""
-        n, unknown, ring = len(unit), self.unknown_score, self.longest + 1
+        n = len(unit)
+        if self.plain(unit):  # the place before the first is the last one, by Python's indices
+            best, count = [-math.inf] * n + [0.0], [0] * (n + 1)
+            for end, (length, score, _) in self.automaton.iter(unit):
+                s = best[end - length] + score
+                if s > best[end]:
+                    best[end], count[end] = s, count[end - length] + 1
+            return count[n - 1], best[n - 1]
+        unknown, ring = self.unknown_score, self.longest + 1
         best, count = [0.0] * ring, [0] * ring
         done, single, met = 0, 0, 0  # ``met``: the last end that a piece reaches
 
@@ -143,9 +156,24 @@ class Codec:
         close(n)
         return count[n % ring], best[n % ring]
 
+    def plain(self, unit: str) -> bool:
+        """Whether every character is a piece, so that no path holds an unknown one; and the unit is short."""
+        return len(unit) <= SHORT and self.single.issuperset(unit)
+
     def encode_unit(self, unit: str) -> list[int]:
-        start, last = self.viterbi(unit)
         out, at = [], len(unit)
+        if self.plain(unit):
+            best, last = [-math.inf] * at + [0.0], [0] * at
+            for end, (length, score, i) in self.automaton.iter(unit):
+                s = best[end - length] + score
+                if s > best[end]:
+                    best[end], last[end] = s, i
+            while at > 0:
+                out.append(i := last[at - 1])
+                at -= len(self.pieces[i])
+            out.reverse()
+            return out
+        start, last = self.viterbi(unit)
         while at > 0:
             i = last[at]
             out.extend([i] if i >= 0 else [self.bytes.get(b, self.unknown) for b in reversed(unit[at - 1].encode())])
@@ -162,8 +190,8 @@ class Codec:
 
     def count(self, text: str) -> tuple[int, float]:
         """Pieces and best score of the whole text; no pieces are made."""
-        units = self.units(text)
-        return sum(map(self.counts.__getitem__, units)), float(sum(map(self.scores.__getitem__, units)))
+        total = sum(map(self.best.__getitem__, self.units(text)), 0j)
+        return int(total.real), total.imag
 
     def decode_parts(self, parts: list[bytes]) -> str:
         """The text of the ids of whole units."""
