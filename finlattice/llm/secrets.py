@@ -42,8 +42,14 @@ _LINE = re.compile(r"[A-Za-z0-9+/_-]+")
 #: In bytes decoded from base64 of unknown start: text that may hold a finding (12 characters at least), and beginnings of compressed data.
 _STRETCH = re.compile(rb"[\t\n\r\x20-\x7e]{12,}")
 _MAGIC = re.compile(rb"\x1f\x8b\x08|BZh[1-9]|\xfd7zXZ\x00|x[\x01\x5e\x9c\xda]")
+_HEX_DIGITS = frozenset("0123456789abcdefABCDEF")
 #: What may hold a finding or a layer; other texts (RE2 tells them apart a batch at a time) need no scan.
 _ANY = r"(?i:password|passwd|secret|token|api_?key)|AKIA|[0-9a-f]{24}|%[0-9A-Fa-f]{2}|\\[uUx]|&#|[A-Za-z0-9+/_-]{16}"
+#: Layers of escapes below escapes that are opened one by one; deeper nests are undone at once.
+MAX_STEPS = 6
+#: An escape that ends with the text so far.
+_ESCAPE_END = re.compile(r"%[0-9A-Fa-f]{2}\Z|\\u[0-9A-Fa-f]{4}\Z|\\u\{[0-9A-Fa-f]{1,6}\}\Z|\\U[0-9A-Fa-f]{8}\Z|\\x[0-9A-Fa-f]{2}\Z|&#[xX][0-9A-Fa-f]{1,6};\Z|&#[0-9]{1,7};\Z")
+_LONGEST_ESCAPE = 12
 #: Bytes of one decompressed layer; larger ones are counted, and read in windows of this size, a quarter of which they share.
 MAX_LAYER = 64 << 20
 
@@ -59,10 +65,12 @@ def scan(text: str) -> list[tuple[str, int, int]]:
 class Layer:
     """A text with the original span of each of its characters (None: it is the original)."""
 
-    __slots__ = ("text", "start", "end")
+    __slots__ = ("text", "start", "end", "steps")
 
-    def __init__(self, text: str, start: np.ndarray | None = None, end: np.ndarray | None = None) -> None:
+    def __init__(self, text: str, start: np.ndarray | None = None, end: np.ndarray | None = None, steps: int = 0) -> None:
         self.text, self.start, self.end = text, start, end
+        #: Escapes undone one below the other to get here.
+        self.steps = steps
 
     def origin(self, a: int, b: int) -> tuple[int, int]:
         return (a, b) if self.start is None else (int(self.start[a]), int(self.end[b - 1]))
@@ -80,7 +88,62 @@ def _joined(layer: Layer, pieces: list[tuple[int, int, str]]) -> Layer:
         ends += [end[at:a], np.full(len(new), end[b - 1])]
         at = b
     texts.append(layer.text[at:])
-    return Layer("".join(texts), np.concatenate((*starts, start[at:])), np.concatenate((*ends, end[at:])))
+    return Layer("".join(texts), np.concatenate((*starts, start[at:])), np.concatenate((*ends, end[at:])), layer.steps + 1)
+
+
+def settled(layer: Layer) -> Layer:
+    """The layer with all escapes undone, also those that only undoing others brings about, in one pass from left to right.
+
+    A decoded character joins the text so far, where it may complete an escape again; each step shortens the text, so the pass
+    takes time in proportion to it. Bytes above 127 of URL and hex escapes are read as UTF-8 where they make characters.
+    """
+    n = len(layer.text)
+    start = np.arange(n) if layer.start is None else layer.start
+    end = np.arange(1, n + 1) if layer.end is None else layer.end
+    chars: list[str] = []
+    starts: list[int] = []
+    ends: list[int] = []
+    raw: list[bool] = []  # whether a character is a decoded byte above 127
+    for c, a, b in zip(layer.text, start.tolist(), end.tolist(), strict=True):
+        byte = False
+        while True:
+            chars.append(c)
+            starts.append(a)
+            ends.append(b)
+            raw.append(byte)
+            if not (c in _HEX_DIGITS or c in "};"):
+                break
+            m = _ESCAPE_END.search("".join(chars[-_LONGEST_ESCAPE:]))
+            if m is None:
+                break
+            if m[0][0] == "&" and m[0][2] not in "xX":
+                value = int(m[0][2:-1])
+            else:
+                value = int(m[0].strip("%\\uUxX{}&#;"), 16)
+            if (c_ := _code_point(value)) is None:
+                break
+            length = len(m[0])
+            byte = value > 127 and (m[0][0] == "%" or m[0][:2] == "\\x")
+            c, a = c_, starts[-length]
+            del chars[-length:], starts[-length:], ends[-length:], raw[-length:]
+    out = Layer("".join(chars), np.array(starts, np.int64), np.array(ends, np.int64), MAX_STEPS)
+    pieces, at = [], 0
+    while at < len(raw):
+        if raw[at]:
+            to = at
+            while to < len(raw) and raw[to]:
+                to += 1
+            try:
+                text, place = out.text[at:to].encode("latin-1").decode(), at
+                for x in text:
+                    size = len(x.encode())
+                    pieces.append((place, place + size, x))
+                    place += size
+            except UnicodeDecodeError:
+                pass
+            at = to
+        at += 1
+    return _joined(out, pieces) if pieces else out
 
 
 def _readable(data: bytes) -> str | None:
@@ -209,7 +272,10 @@ def _code_point(value: int) -> str | None:
 def unwrap(layer: Layer) -> _Opened:
     """The layers directly below one layer."""
     out, text = _Opened(), layer.text
-    if "%" in text:
+    if layer.steps == MAX_STEPS and ("%" in text or "\\" in text or "&#" in text):
+        out.layers.append(settled(layer))
+        out.layers[-1].steps += 1
+    if "%" in text and layer.steps < MAX_STEPS:
         pieces = []
         for m in _URL.finditer(text):
             data = bytes.fromhex(m[0].replace("%", ""))
@@ -220,7 +286,7 @@ def unwrap(layer: Layer) -> _Opened:
                 pieces += found
         if pieces:
             out.layers.append(_joined(layer, pieces))
-    if "\\" in text or "&#" in text:
+    if ("\\" in text or "&#" in text) and layer.steps < MAX_STEPS:
         pieces, high = [], None
         for m in _UNICODE.finditer(text):
             if m[4]:

@@ -5,6 +5,7 @@ import hashlib
 import lzma
 import random
 import re
+import time
 import zlib
 from urllib.parse import quote
 
@@ -126,3 +127,20 @@ def test_members_and_large_layers(monkeypatch):
             code = b64(pack(b"a " * n + f"{KEY} ".encode() + b"b " * n))
             assert opens(code) and find_secrets(code)[3] >= 1
             assert KEY not in code and not opens(b64(pack(b"a " * 2 * n)))
+
+
+def test_nested_escapes_take_time_in_proportion():
+    for first, again, last, n in (("%", "25", "41", 500_000), ("\\", "u005c", "u0041", 200_000), ("&", "#38;", "#65;", 200_000), ("\\", "x5c", "x41", 300_000)):
+        code = first + again * n + last + KEY[1:]
+        began = time.perf_counter()
+        assert opens(code, before="x ", after=" y"), again
+        assert time.perf_counter() - began < 30
+    for depth in range(12):
+        assert opens("%" + "25" * depth + "41" + KEY[1:])
+        assert opens("".join(f"%{'25' * depth}{c:02X}" for c in KEY.encode()))
+    mixed = "".join(f"%25252525252525255Cu{ord(c):04x}" for c in "p\u00e9 " + KEY)
+    assert opens(mixed)
+    deep = "é"
+    for _ in range(9):
+        deep = quote(deep, safe="")
+    assert secrets.settled(secrets.Layer("a" + deep + "b")).text == "aéb"
