@@ -32,9 +32,10 @@ def recall(got, want):
     return hits / total
 
 
-@pytest.mark.parametrize("cell", [4096, 128])
-def test_recall_on_the_whole_table(spark, monkeypatch, cell):
+@pytest.mark.parametrize("cell, slice_", [(4096, 1 << 16), (128, 1 << 16), (512, 100)])
+def test_recall_on_the_whole_table(spark, monkeypatch, cell, slice_):
     monkeypatch.setattr(ann, "CELL", cell)
+    monkeypatch.setattr(ann, "SLICE", slice_)
     table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     rows = [(r.vec_id, r.embedding) for r in table.collect()]
     assert recall(nearest(table).collect(), brute(rows)) >= 0.95
@@ -59,3 +60,21 @@ def test_odd_rows(spark):
     for r in nearest(many).groupBy("query_id").agg({"vec_id": "max", "rank": "max"}).collect():
         assert r["max(rank)"] == 20 and r["max(vec_id)"] == (20 if r.query_id < 20 else 19)
     assert nearest(frame.limit(0)).count() == 0
+
+
+def test_one_id_with_two_vectors_is_two_candidates(spark):
+    rows = [(0, [1.0, 0.0]), (7, [2.0, 0.0]), (7, [1.0, 1.0]), (8, [1.0, 1.0]), (9, [0.5, 0.0])]
+    got = nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert [(r.vec_id, r.score) for r in sorted(got, key=lambda r: r.rank)] == [(7, 2.0), (7, 1.0), (8, 1.0), (9, 0.5)]
+
+
+def test_the_stopping_test_stops():
+    """Of points in 200 loose clusters a query verifies a small share, also without a bound to begin with."""
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((200, 64))[rng.integers(0, 200, 8000)] + 0.5 * rng.standard_normal((8000, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    index = ann.Index(rng.standard_normal((65, ann.DIMS)), 1.0, np.zeros(0, np.int64), np.zeros(0))
+    found = list(ann._search_cell(index, np.arange(8000), x, np.arange(400), x[:400], np.full(400, np.inf), 21))
+    assert sum(n for *_, n in found) / (400 * 8000) < 0.1
+    hits = sum(len(set(ids.tolist()) & set(np.argsort(-(x @ x[i]))[:21].tolist())) for i, ids, _, _ in found)
+    assert hits / (400 * 21) > 0.95
