@@ -24,7 +24,18 @@ def durable(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back: cuts lineage and survives lost executors."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    back.durable_path = path
+    return back
+
+
+def release(*frames: DataFrame | None) -> None:
+    """Deletes the folders of durable frames that nothing reads any more."""
+    for df in frames:
+        if (path := getattr(df, "durable_path", None)) is not None:
+            jvm = df.sparkSession._jvm
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,7 +52,21 @@ def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int, rows: int | None = None) -> DataFrame:
-    """A broadcast hint only when ``df`` (already durable) has at most ``max_rows`` rows; else Spark's own choice."""
-    n = df.limit(max_rows + 1).count() if rows is None else rows
-    return F.broadcast(df) if n <= max_rows else df
+#: Keys that may hold over 1 / HOT_KEYS of all rows are so many at most; HOT_ROWS: keys of fewer rows are never hot.
+HOT_KEYS, HOT_ROWS = 10_000, 1_000
+
+
+def join_spread(rows: DataFrame, values: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``values`` (one row for each key), no task of which gets all rows of a frequent key.
+
+    Keys of over 1 / HOT_KEYS of the rows, HOT_KEYS of them at most, are joined by broadcast where their rows are; the others
+    by a shuffle. ``rows`` should be durable, as they are read twice.
+    """
+    counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
+    limit = F.greatest(F.lit(HOT_ROWS), F.lit(rows.count() / HOT_KEYS))
+    hot = durable(counts.where(F.col("n") > limit).select(key), "hot-keys")
+    if hot.isEmpty():
+        return rows.join(values, key, how)
+    hot = F.broadcast(hot)
+    some = rows.join(hot, key, "left_semi").join(F.broadcast(values.join(hot, key, "left_semi")), key, how)
+    return some.unionByName(rows.join(hot, key, "left_anti").join(values, key, how))

@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable
+from .common import durable, release
 
 
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -44,19 +44,23 @@ def components(edges: DataFrame) -> DataFrame:
     while not left.isEmpty():
         up = left.groupBy("a").agg(F.min("b").alias("p"))
         nxt = up.select(F.col("a").alias("p"), F.col("p").alias("pp"))
-        up = durable(up.join(nxt, "p", "left").select("a", F.coalesce("pp", "p").alias("p")), "parents")
-        nxt = up.select(F.col("a").alias("p"), F.col("p").alias("pp"))
-        up = durable(up.join(nxt, "p", "left").select("a", F.coalesce("pp", "p").alias("p")), "parents")
+        once = durable(up.join(nxt, "p", "left").select("a", F.coalesce("pp", "p").alias("p")), "parents")
+        nxt = once.select(F.col("a").alias("p"), F.col("p").alias("pp"))
+        up = durable(once.join(nxt, "p", "left").select("a", F.coalesce("pp", "p").alias("p")), "parents")
+        release(once)
         moved = up.select(F.col("a").alias("label"), "p")
         own = up.select(F.col("a").alias("node"), F.col("p").alias("label"))
         if labels is None:
             labels = own
         else:
             kept = labels.join(moved, "label", "left").select("node", F.coalesce("p", "label").alias("label"))
+            former = labels if again else None
             labels, again = durable(kept.unionByName(own), "labels"), True
+            release(former)
         ends = left.join(up, "a").select(F.col("p").alias("a"), F.col("b"))
         ends = ends.join(up.select(F.col("a").alias("b"), "p"), "b", "left").select("a", F.coalesce("p", "b").alias("b"))
-        left = durable(_order(ends), "edges")
+        former, left = left, durable(_order(ends), "edges")
+        release(former)
     if labels is None:
         return left.select(F.col("a").alias("node"), F.col("b").alias("label"))
     # a node over four steps below its root comes back in later rounds; its rows all end at that root

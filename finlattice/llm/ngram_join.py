@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import durable, parts
+from .common import durable, join_spread, parts
 from .components import components, forest
 from .shingles import mix64, shingle_sets, slices
 
@@ -309,7 +309,7 @@ def similarity_labels(docs: DataFrame, k: int, num: int, den: int, keys_of: Call
     sets = texts.mapInArrow(partial(_with_sets, k=k), "comp long, sid long, n long, data binary")
     links = _tiled(sets.join(_chunks(near, TILE, num, den), "comp"), num, den, verify=True)
     label = components(links).withColumnRenamed("node", "sid")
-    named = nodes.join(label, "sid", "left").select("doc_id", "n_shingles", F.coalesce("label", "sid").alias("label"), *keep)
+    named = join_spread(nodes, label, "sid", "left").select("doc_id", "n_shingles", F.coalesce("label", "sid").alias("label"), *keep)
     return named.unionByName(alone.select("doc_id", "n_shingles", F.col("sid").alias("label"), *keep))
 
 
@@ -322,9 +322,10 @@ def similarity_components(docs: DataFrame, k: int, num: int, den: int, keys_of:
     names a component only if all its members have none. ``keys_of`` may give other candidate keys.
     """
     rows = similarity_labels(docs, k, num, den, keys_of)
+    rows = durable(rows, "labelled")
     named, alone = rows.where("label IS NOT NULL"), rows.where("label IS NULL")
     least_id = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    return named.join(least_id, "label").select("doc_id", "n_shingles", "component_id").unionByName(alone.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+    return join_spread(named, least_id, "label").select("doc_id", "n_shingles", "component_id").unionByName(alone.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
 
 
 def ngram_jaccard_join(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100) -> DataFrame:
