@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from finlattice.llm import lang_id, mixing, ngram_join, secrets, sentencepiece_codec
-from finlattice.llm.common import durable, row_hash, table
+from finlattice.llm.common import durable, release, row_hash, table
 
+#: Copies of one row that are written out at a time.
+RUN = 10_000
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
@@ -23,13 +25,13 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Rows are told apart by 128 bits of their values, as doc_id may be null or repeated; of equal rows any one is kept. Rows without words all stay.
     """
     keyed = docs.select(*COLUMNS).withColumns({"h1": row_hash(COLUMNS, 1), "h2": row_hash(COLUMNS, 2)})
-    labels = ngram_join.similarity_labels(keyed, k=5, num=4, den=5, keep=("h1", "h2"))
-    wordless = F.col("label").isNull()
-    group = ["label", F.when(wordless, F.col("h1")).alias("own1"), F.when(wordless, F.col("h2")).alias("own2")]
+    labels = durable(ngram_join.similarity_labels(keyed, k=5, num=4, den=5, keep=("h1", "h2")), "labels")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "h1", "h2")).alias("first")
-    kept = labels.groupBy(*group).agg(first).select("first.h1", "first.h2", wordless.alias("wordless"))
-    nth = F.row_number().over(Window.partitionBy("h1", "h2").orderBy("doc_id"))
-    return keyed.join(kept, ["h1", "h2"]).withColumn("nth", nth).where("nth = 1 OR wordless").select(*COLUMNS)
+    kept = labels.where("label IS NOT NULL").groupBy("label").agg(first).select("first.h1", "first.h2")
+    wordless = labels.where("label IS NULL").select("h1", "h2").distinct()
+    # equal rows first become one, before the shuffle where they meet
+    one = keyed.join(kept, ["h1", "h2"], "left_semi").groupBy("h1", "h2").agg(*(F.first(c).alias(c) for c in COLUMNS))
+    return one.select(*COLUMNS).unionByName(keyed.join(wordless, ["h1", "h2"], "left_semi").select(*COLUMNS))
 
 
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,14 +42,15 @@ def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes each document as often as the mixture of sources asks for: a row for each copy.
 
-    Rows are keyed by a hash of their values, as doc_id may be null or repeated; rows under one key share its copies out evenly.
+    Rows are keyed by a hash of their values, as doc_id may be null or repeated. Equal rows become one before the shuffle where
+    they meet, and that one is taken as often as they are in sum.
     """
     keyed = docs.select(*COLUMNS).withColumn("row", row_hash(COLUMNS, 1))
     drawn = mixing.mix_sources(keyed.select(F.col("row").alias("doc_id"), "text", "source"))
-    copies = drawn.groupBy(F.col("doc_id").alias("row")).agg(F.sum("copies").alias("total"), F.count("*").alias("rows")).where("total > 0")
-    nth = F.row_number().over(Window.partitionBy("row").orderBy("doc_id"))
-    shared = keyed.join(copies, "row").withColumn("nth", nth).withColumn("copies", F.expr("total div rows + int(nth <= total % rows)"))
-    return shared.where("copies > 0").select(*COLUMNS, F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy")).select(*COLUMNS)
+    copies = drawn.groupBy(F.col("doc_id").alias("row")).agg(F.sum("copies").alias("copies")).where("copies > 0")
+    one = keyed.groupBy("row").agg(*(F.first(c).alias(c) for c in COLUMNS))
+    runs = one.join(copies, "row").select(*COLUMNS, "copies", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / RUN))).alias("run"))
+    return runs.select(*COLUMNS, F.explode(F.sequence(F.col("run") * RUN + 1, F.least(F.col("copies"), (F.col("run") + 1) * RUN))).alias("copy")).select(*COLUMNS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -70,5 +73,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = durable(stage(spark, docs, sf_dir), name)
+        former, docs = docs, durable(stage(spark, docs, sf_dir), name)
+        release(former)
     return STAGES[-1][1](spark, docs, sf_dir)
