@@ -11,22 +11,28 @@ FILE = "file"
 
 
 def parse_cells(files: DataFrame) -> DataFrame:
-    """Long cells of the pipe tables in ``files`` (file, text).
+    """Long cells of the pipe tables in ``files`` (file, text; other columns are carried along).
 
     Returns file, unit_type, row_no, source_item, canonical, ref, col_no (from 0), col_header, raw. Rows after the header
     (the line with Canonical in it) are read, separators are skipped, empty middle cells are kept, bold marks go,
     short rows are padded by nulls. Files that start with ``PAGE_ERROR:`` give no cells; see ``page_errors``.
     """
     unit = F.lower(F.regexp_extract("text", r"(?m)^\s*UNIT_TYPE:\s*(.+?)\s*$", 1))
-    lines = files.where(~trimmed(F.col("text")).startswith("PAGE_ERROR:")).select(FILE, F.when(unit != "", unit).alias("unit_type"), F.posexplode(F.split("text", "\n")).alias("row_no", "line"))
-    lines = lines.withColumn("line", trimmed(F.col("line"))).where(F.col("line").startswith("|") & ~F.col("line").rlike(r"^[|\s:-]+$"))
-    cells = F.split(F.regexp_replace("line", r"^\||\|$", ""), r"\|", -1)
-    rows = lines.select(FILE, "unit_type", "row_no", F.transform(cells, lambda c: trimmed(F.regexp_replace(c, r"\*\*", ""))).alias("cells"))
-    head = rows.where(F.exists("cells", lambda c: F.lower(c) == "canonical")).groupBy(FILE).agg(F.min_by("cells", "row_no").alias("head"), F.min("row_no").alias("head_row"))
-    body = rows.join(head, FILE).where("row_no > head_row").where(F.get("cells", F.lit(1)).isNotNull())
+    extra = [c for c in files.columns if c not in (FILE, "text", "unit_type")]
+    split = lambda x: F.transform(F.split(F.regexp_replace(x, r"^\||\|$", ""), r"\|", -1), lambda c: trimmed(F.regexp_replace(c, r"\*\*", "")))
+    lines = F.transform(F.split("text", "\n"), lambda x, i: F.struct(i.alias("row_no"), trimmed(x).alias("line")))
+    table = F.filter(lines, lambda r: r["line"].startswith("|") & ~r["line"].rlike(r"^[|\s:-]+$"))
+    rows = F.transform(table, lambda r: F.struct(r["row_no"].alias("row_no"), split(r["line"]).alias("cells")))
+    parsed = files.where(~trimmed(F.col("text")).startswith("PAGE_ERROR:")).select(FILE, *extra, F.when(unit != "", unit).alias("unit_type"), rows.alias("rows"))
+    first = F.get(F.filter("rows", lambda r: F.exists(r["cells"], lambda c: F.lower(c) == "canonical")), F.lit(0))
+    headed = parsed.withColumn("first", first).withColumns({"head": F.col("first")["cells"], "head_row": F.col("first")["row_no"]})
+    # the header is found in the file's own row, so its lines are parsed and exploded once, and nothing is joined
+    wanted = F.filter("rows", lambda r: (r["row_no"] > F.col("head_row")) & (F.size(r["cells"]) > 1))
+    below = headed.select(FILE, *extra, "unit_type", "head", wanted.alias("rows")).select(FILE, *extra, "unit_type", "head", F.explode("rows").alias("r"))
+    body = below.select(FILE, *extra, "unit_type", "head", F.col("r")["row_no"].alias("row_no"), F.col("r")["cells"].alias("cells"))
     values = F.transform(F.sequence(F.lit(3), F.greatest(F.size("head") - 1, F.lit(3))), lambda i: F.struct((i - 3).alias("col_no"), F.get("head", i).alias("col_header"), F.get("cells", i).alias("raw")))
-    out = body.select(FILE, "unit_type", "row_no", F.get("cells", F.lit(0)).alias("source_item"), F.get("cells", F.lit(1)).alias("canonical"), F.get("cells", F.lit(2)).alias("ref"), F.explode(values).alias("v"))
-    return out.select(FILE, "unit_type", "row_no", "source_item", "canonical", "ref", "v.*").where("col_header IS NOT NULL")
+    out = body.select(FILE, *extra, "unit_type", "row_no", F.get("cells", F.lit(0)).alias("source_item"), F.get("cells", F.lit(1)).alias("canonical"), F.get("cells", F.lit(2)).alias("ref"), F.explode(values).alias("v"))
+    return out.select(FILE, *extra, "unit_type", "row_no", "source_item", "canonical", "ref", "v.*").where("col_header IS NOT NULL")
 
 
 def page_errors(files: DataFrame) -> DataFrame:
@@ -58,13 +64,19 @@ def qc_formulas(cells: DataFrame, tolerance: float = 0.05) -> DataFrame:
     ``cells``: file, col_no, row_no, canonical, ref, value. A total without value, or with over half its components missing, isn't checked.
     Of rows with one letter the last counts. Authorised capital takes no part.
     """
-    rows = cells.where(F.coalesce("canonical", F.lit("")) != "share_capital_authorized").withColumn("letter", trimmed(F.regexp_extract("ref", r"^([^=]*)", 1)))
-    at = rows.where("letter <> ''").groupBy(FILE, "col_no", "letter").agg(F.max_by("value", "row_no").alias("part"))
-    totals = rows.where(F.col("ref").contains("=") & F.col("value").isNotNull()).select(FILE, "col_no", "row_no", "canonical", F.col("value").alias("actual"), F.explode(formula_parts(F.col("ref"))).alias("p"))
-    joined = totals.select(FILE, "col_no", "row_no", "canonical", "actual", F.col("p.sign").alias("sign"), F.col("p.ref").alias("letter")).join(at, [FILE, "col_no", "letter"], "left")
-    sums = joined.groupBy(FILE, "col_no", "row_no", "canonical", "actual").agg(F.count("*").alias("n"), F.count("part").alias("found"), F.sum(F.col("sign") * F.col("part")).alias("expected"))
+    letter = trimmed(F.regexp_extract("ref", r"^([^=]*)", 1))
+    rows = cells.where(F.coalesce("canonical", F.lit("")) != "share_capital_authorized").select(FILE, "col_no", F.struct(F.coalesce(letter, F.lit("")).alias("letter"), "row_no", F.col("value").cast("double").alias("value"), "canonical", "ref").alias("r"))
+    # a column of a file is one row from here on: its last value of each letter is looked up in a map
+    one = rows.groupBy(FILE, "col_no").agg(F.sort_array(F.collect_list("r")).alias("rs"))
+    last = F.filter("rs", lambda r, i: (r["letter"] != "") & ((i + 1 == F.size("rs")) | (F.get("rs", i + 1)["letter"] != r["letter"])))
+    one = one.withColumn("at", F.map_from_entries(F.transform(last, lambda r: F.struct(r["letter"], r["value"]))))
+    totals = one.select(FILE, "col_no", "at", F.explode(F.filter("rs", lambda r: r["ref"].contains("=") & r["value"].isNotNull())).alias("t"))
+    found = F.transform(formula_parts(F.col("t.ref")), lambda p: p["sign"] * F.try_element_at("at", p["ref"]))
+    sums = totals.select(FILE, "col_no", "t.row_no", "t.canonical", F.col("t.value").alias("actual"), found.alias("parts"))
+    some = F.filter("parts", lambda v: v.isNotNull())
+    sums = sums.where((F.size("parts") > 0) & (F.size("parts") - F.size(some) <= F.size("parts") / 2)).withColumn("expected", F.when(F.size(some) > 0, F.aggregate(some, F.lit(0.0), lambda a, v: a + v)))
     off = F.when((F.col("actual") == 0) & (F.col("expected") == 0), 0.0).when(F.col("actual") == 0, 1.0).otherwise(F.abs(F.col("actual") - F.col("expected")) / F.abs("actual"))
-    return sums.where("n - found <= n / 2").withColumn("off", off).withColumn("ok", F.col("off") <= tolerance).drop("n", "found")
+    return sums.drop("parts").withColumn("off", off).withColumn("ok", F.col("off") <= tolerance)
 
 
 def column_structure(cells: DataFrame, least: float = 0.10) -> DataFrame:
@@ -73,7 +85,7 @@ def column_structure(cells: DataFrame, least: float = 0.10) -> DataFrame:
     return rates.where(F.col("n_filled") < least * F.col("n_cells"))
 
 
-def text_numbers(text: Column) -> Column:
+def printed_numbers(text: Column) -> Column:
     """Distinct numbers over 1000 printed in a text."""
     raw = F.transform(F.regexp_extract_all(text, F.lit(r"(\d[\d,\s]*\d|\d+)"), 1), lambda x: F.regexp_replace(x, "[, ]", ""))
     return F.array_distinct(F.filter(F.transform(raw, lambda x: F.when(x.rlike(r"^\d+$"), x.try_cast("double"))), lambda v: v > 1000))
@@ -111,6 +123,28 @@ def source_match_status(matches: DataFrame, key: str = FILE, least: float = 0.80
     return rates.withColumn("rate", rate).withColumn("status", F.when((F.col("n_thousand") > 0) | (rate < least), "warn").otherwise("pass"))
 
 
+def file_status(files: DataFrame, formulas: DataFrame, structure: DataFrame, matches: DataFrame, numbers: DataFrame) -> DataFrame:
+    """One row for each of ``files`` (file, text): n_formulas, n_failed, source (pass, warn or skip) and status.
+
+    ``status``: manifest_error for files that tell so, else fail_and_column_issue, fail, column_issue or pass, by failed formulas
+    and thin columns. The source check is skipped for files without printed numbers or figures to look for.
+    """
+    checked = formulas.groupBy(FILE).agg(F.count("*").alias("n_formulas"), F.count_if(~F.col("ok")).alias("n_failed"))
+    printed = numbers.select(FILE).distinct()
+    source = source_match_status(matches.join(printed, FILE, "left_semi")).select(FILE, F.col("status").alias("source"))
+    thin = structure.select(FILE).distinct().withColumn("_thin", F.lit(True))
+    rows = files.select(FILE, trimmed(F.col("text")).startswith("PAGE_ERROR:").alias("_error")).join(checked, FILE, "left").join(source, FILE, "left").join(thin, FILE, "left")
+    bad, some = F.coalesce("n_failed", F.lit(0)) > 0, F.coalesce("_thin", F.lit(False))
+    status = F.when(F.col("_error"), "manifest_error").when(bad & some, "fail_and_column_issue").when(bad, "fail").when(some, "column_issue").otherwise("pass")
+    return rows.select(FILE, F.coalesce("n_formulas", F.lit(0)).alias("n_formulas"), F.coalesce("n_failed", F.lit(0)).alias("n_failed"), F.coalesce("source", F.lit("skip")).alias("source"), status.alias("status"))
+
+
+def extraction_status(rows: DataFrame, statuses: DataFrame) -> DataFrame:
+    """``rows`` with ``qc_status`` of their file: pass, no_formulas, fail, or unknown for files that weren't checked."""
+    known = F.when(F.col("status") == "pass", "pass").when(F.col("n_formulas") == 0, "no_formulas").otherwise("fail")
+    return rows.join(statuses.select(FILE, known.alias("qc_status")), FILE, "left").withColumn("qc_status", F.coalesce("qc_status", F.lit("unknown")))
+
+
 def repair_total_assets(cells: DataFrame, tolerance: float = 0.05) -> DataFrame:
     """Corrections for files whose total assets differ from equity and liabilities, by column.
 

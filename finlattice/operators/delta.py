@@ -25,9 +25,10 @@ def delta(current: DataFrame, previous: DataFrame, keys: Sequence[str], order: S
 
 
 def unfinished(items: DataFrame, ledger: DataFrame, keys: Sequence[str], hash_column: str | None = None) -> DataFrame:
-    """Items not in the ledger, or there with another content hash."""
+    """Items not in the ledger, or there with another content hash; null key parts are equal."""
     on = [*keys, hash_column] if hash_column else list(keys)
-    return items.join(ledger.select(*on).distinct(), on, "left_anti")
+    done = ledger.select(*on).distinct()
+    return items.join(done, _on(items, done, on), "left_anti")
 
 
 def listed(items: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -51,10 +52,10 @@ def merge_lists(*lists: DataFrame) -> DataFrame:
     return out.distinct()
 
 
-def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``updates`` replace those of ``target`` with their key."""
+def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str], *order: str) -> DataFrame:
+    """Rows of ``updates`` replace those of ``target`` with their key; of several under one key the last by ``order`` stands."""
     both = target.withColumn("_new", F.lit(0)).unionByName(updates.withColumn("_new", F.lit(1)), allowMissingColumns=True)
-    return pick(both, keys, F.desc("_new")).drop("_new")
+    return pick(both, keys, F.desc("_new"), *(F.desc(c) for c in order)).drop("_new")
 
 
 def update_columns(target: DataFrame, updates: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:

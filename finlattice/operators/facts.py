@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expr import unit_factor
+from ..functions.expr import number, period_header, unit_factor
+from .periods import dedupe_balance_rows
 
 #: Columns of a published fact, in order.
 COLUMNS = (
@@ -16,7 +17,7 @@ COLUMNS = (
 
 def qc_flag(value: Column, method: Column, non_negative: Column, reason: Column, failed: Column | None = None) -> Column:
     """derivation_anomaly, unexpected_negative or (balance sheets) qc_flagged, with the reason; a reason alone is allowlisted."""
-    kind = F.when(non_negative & (value < 0), F.when(F.coalesce(method, F.lit("direct")).isin("direct", "direct_3M"), "unexpected_negative").otherwise("derivation_anomaly"))
+    kind = F.when(non_negative & (value < 0), F.when(F.coalesce(method, F.lit("direct")).isin("", "direct", "direct_3M"), "unexpected_negative").otherwise("derivation_anomaly"))
     if failed is not None:
         kind = kind.when(failed, "qc_flagged")
     return F.when(kind.isNotNull(), F.concat_ws(": ", kind, reason)).when(reason.isNotNull(), F.concat(F.lit("allowlisted: "), reason)).otherwise("")
@@ -34,23 +35,76 @@ def attach_pages(rows: DataFrame, manifest: DataFrame, keys: tuple[str, ...] = (
     return rows.join(pages, list(keys), "left").withColumn("source_pages", F.coalesce("source_pages", F.array().cast("array<int>")))
 
 
-def flatten_facts(quarters: DataFrame, periods: DataFrame, companies: DataFrame, stmt: str, non_negative: tuple[str, ...] = (), allowlist: DataFrame | None = None) -> DataFrame:
+def with_sources(rows: DataFrame, stmt: str, manifest: DataFrame | None, base_url: str) -> DataFrame:
+    """``source_pages`` and ``source_url`` by the file that ``source_file`` names; empty where it names none.
+
+    ``manifest``: ticker, period_key, section, stmt, page.
+    """
+    part = lambda i: F.regexp_extract(F.coalesce("source_file", F.lit("")), r"([A-Z0-9]+)_(annual|quarterly)_([\d-]+)_(\w+?)(?:\.md)?$", i)
+    kind, period = part(2), part(3)
+    url = F.concat_ws("/", F.lit(base_url), part(1), F.substring(period, 1, 4), F.concat_ws("_", part(1), F.initcap(kind), period))
+    rows = rows.withColumns({"_t": part(1), "_p": F.concat_ws("_", kind, period), "_s": part(4), "source_url": F.when(kind != "", url).otherwise("")})
+    if manifest is None:
+        return rows.withColumn("source_pages", F.array().cast("array<int>")).drop("_t", "_p", "_s")
+    m = manifest.where(F.lower("stmt") == stmt).select(F.col("ticker").alias("_t"), F.col("period_key").alias("_p"), F.col("section").alias("_s"), "page")
+    return attach_pages(rows, m, ("_t", "_p", "_s")).drop("_t", "_p", "_s")
+
+
+def with_flags(rows: DataFrame, non_negative: tuple[str, ...], allowlist: DataFrame | None, failed: DataFrame | None = None) -> DataFrame:
+    """``qc_flag`` of facts. ``allowlist``: ticker, fiscal_year, section, reason; ``failed``: ticker, period_end, section of balance sheets that don't balance."""
+    reason = F.lit(None).cast("string")
+    if allowlist is not None:
+        rows = rows.join(allowlist.select("ticker", "fiscal_year", "section", F.col("reason").alias("_reason")), ["ticker", "fiscal_year", "section"], "left")
+        reason = F.col("_reason")
+    if failed is not None:
+        keys = ["ticker", "period_end", "section"]
+        rows = rows.join(failed.select(*keys).distinct().withColumn("_failed", F.lit(True)), keys, "left")
+    flag = qc_flag(F.col("value"), F.col("method"), F.col("canonical_field").isin(*non_negative or [""]), reason, None if failed is None else F.coalesce("_failed", F.lit(False)))
+    return rows.withColumn("qc_flag", flag).drop("_reason", "_failed")
+
+
+def first_labels(periods: DataFrame, order: str = "source_file") -> DataFrame:
+    """The first label of each (ticker, section, field) that isn't empty, by ``order``."""
+    given = periods.where("source_item <> ''")
+    return given.groupBy("ticker", "section", "field").agg(F.min_by("source_item", F.struct(order, "source_item")).alias("label"))
+
+
+def flatten_facts(quarters: DataFrame, periods: DataFrame, companies: DataFrame, stmt: str, non_negative: tuple[str, ...] = (), allowlist: DataFrame | None = None, manifest: DataFrame | None = None, base_url: str = "") -> DataFrame:
     """Facts of a flow statement: derived 3-month rows, and cumulative ones as reported; null values are dropped.
 
-    ``allowlist``: ticker, fiscal_year, section, reason.
+    ``allowlist``: ticker, fiscal_year, section, reason; ``manifest``: see with_sources.
     """
     three = quarters.select("ticker", "section", "fiscal_year", "period_end", F.lit("3M").alias("period_duration"), "method", F.col("source").alias("source_file"), "source_item", "field", "value")
     direct = periods.where(F.col("months").isin(6, 9, 12)).select("ticker", "section", "fiscal_year", "period_end", F.concat("months", F.lit("M")).alias("period_duration"), F.lit("direct").alias("method"), "source_file", "source_item", "field", (F.col("value") * unit_factor(F.col("unit_type"), F.col("field"))).alias("value"))
-    rows = enrich(three.unionByName(direct).where("value IS NOT NULL"), companies)
-    reason = F.lit(None).cast("string")
-    if allowlist is not None:
-        rows = rows.join(allowlist.select("ticker", "fiscal_year", "section", "reason"), ["ticker", "fiscal_year", "section"], "left")
-        reason = F.col("reason")
-    return rows.select(
-        "ticker", "company_name", "industry", F.lit("thousands").alias("unit_type"), F.when(F.col("period_duration") == "12M", "annual").otherwise("quarterly").alias("period_type"), "period_end", "period_duration", "fiscal_year", "section",
-        F.lit(stmt).alias("statement_type"), F.col("field").alias("canonical_field"), F.coalesce("source_item", "field").alias("original_name"), "value", "method", "source_file", F.array().cast("array<int>").alias("source_pages"), F.lit("").alias("source_url"),
-        qc_flag(F.col("value"), F.col("method"), F.col("field").isin(*non_negative or [""]), reason).alias("qc_flag"),
+    rows = enrich(three.unionByName(direct).where("value IS NOT NULL"), companies).withColumns({
+        "unit_type": F.lit("thousands"), "period_type": F.when(F.col("period_duration") == "12M", "annual").otherwise("quarterly"), "statement_type": F.lit(stmt),
+        "canonical_field": F.col("field"), "original_name": F.coalesce("source_item", "field"),
+    })
+    return with_flags(with_sources(rows, stmt, manifest, base_url), non_negative, allowlist).select(*COLUMNS)
+
+
+def flatten_bs(cells: DataFrame, companies: DataFrame, non_negative: tuple[str, ...] = (), allowlist: DataFrame | None = None, failed: DataFrame | None = None, manifest: DataFrame | None = None, base_url: str = "") -> DataFrame:
+    """Balance-sheet facts straight from the cells of extraction files.
+
+    ``cells``: file, ticker, filing_type, filing_period, section, unit_type, row_no, source_item, canonical, col_no, col_header, raw; ``companies``: ticker,
+    company_name, industry, fiscal_month (12 if unknown). Columns without a date, names that are none, and cells without
+    a figure give nothing. Of one item's rows for a date, those of the filing's own period stand before comparatives, annual
+    before quarterly, then the first read.
+    """
+    head = period_header(F.col("col_header"))
+    rows = cells.withColumns({"period_end": head["period_end"], "period_duration": F.coalesce(F.concat(head["months"], F.lit("M")), F.lit("PIT")), "_raw": number(F.col("raw"), spaces=True)})
+    rows = rows.where(F.col("period_end").isNotNull() & F.col("_raw").isNotNull() & valid_canonical(F.col("canonical")))
+    rows = enrich(rows, companies).join(companies.select("ticker", F.col("fiscal_month").alias("_fm")), "ticker", "left")
+    late = (F.col("filing_type") != "annual") & (F.month("period_end") > F.coalesce("_fm", F.lit(12)))
+    rows = rows.select(
+        "ticker", "company_name", "industry", F.lit("thousands").alias("unit_type"), F.col("filing_type").alias("period_type"), "period_end", "period_duration", (F.year("period_end") + late.cast("int")).cast("int").alias("fiscal_year"), "section",
+        F.lit("balance_sheet").alias("statement_type"), F.col("canonical").alias("canonical_field"), F.col("source_item").alias("original_name"), (F.col("_raw") * unit_factor(F.regexp_replace(F.col("unit_type"), "full_rupees", "other"), F.col("canonical"))).alias("value"),
+        F.lit("").alias("method"), F.concat("file", F.lit(".md")).alias("source_file"),
+        F.when(F.col("filing_type") == "annual", F.col("filing_period") == F.year("period_end").cast("string")).otherwise(F.col("filing_period") == F.col("period_end").cast("string")).alias("is_primary"),
+        (F.col("filing_type") == "annual").alias("is_annual"), F.struct("file", "row_no", "col_no").alias("read_order"),
     )
+    one = dedupe_balance_rows(rows, ["ticker", "period_end", "section", "canonical_field", "original_name"])
+    return with_flags(with_sources(one, "bs", manifest, base_url), non_negative, allowlist, failed).select(*COLUMNS)
 
 
 def valid_canonical(name: Column) -> Column:

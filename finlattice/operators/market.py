@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.expr import MONTHS
+
 
 def as_of(left: DataFrame, right: DataFrame, key: str, date: str, value: str, order: str | None = None) -> DataFrame:
     """``left`` with the latest ``value`` of ``right`` for the same key at a date no later than its own.
@@ -20,6 +22,25 @@ def as_of(left: DataFrame, right: DataFrame, key: str, date: str, value: str, or
     return both.withColumn("_last", F.last("_value", ignorenulls=True).over(w)).where("_side = 1").drop("_value", "_side").withColumnRenamed("_last", value)
 
 
+def period_date(text: Column) -> Column:
+    """The date of a period text: a year (its end), an ISO date, or ``2024-Mar`` (the 28th); null for others."""
+    year = F.regexp_extract(text, r"^(\d{4})", 1).try_cast("int")
+    month = F.coalesce(F.nullif(F.array_position(F.array(*map(F.lit, MONTHS)), F.lower(F.regexp_extract(text, r"^\d{4}-(\w{3})$", 1))), F.lit(0)), F.lit(12))
+    return F.when(text.rlike(r"^\d{4}$"), F.make_date(year, F.lit(12), F.lit(31))).when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(text, "yyyy-MM-dd")).when(text.rlike(r"^\d{4}-\w{3}$"), F.make_date(year, month.cast("int"), F.lit(28)))
+
+
+def ltm_values(statements: DataFrame, metric: str, name: str, absolute: bool = False) -> DataFrame:
+    """``(symbol, date, name)`` of a key metric's twelve-month values in full units, one for each date (the first by ``read_order``).
+
+    ``statements``: ticker, period_type, section, period_end (text), key_metric, value, unit_type, read_order. Only consolidated
+    rows of twelve months with a value and a date count.
+    """
+    rows = statements.where(F.col("period_type").isin("ltm", "annual") & (F.col("section") == "consolidated") & (F.col("key_metric") == metric) & F.col("value").isNotNull())
+    full = F.col("value") * F.when(F.coalesce("unit_type", F.lit("thousands")).isin("thousands", "000s"), 1000.0).otherwise(1.0)
+    dated = rows.select(F.col("ticker").alias("symbol"), period_date(F.col("period_end")).alias("date"), (F.abs(full) if absolute else full).alias(name), "read_order").where("date IS NOT NULL")
+    return dated.groupBy("symbol", "date").agg(F.min_by(name, "read_order").alias(name))
+
+
 def market_metrics(prices: DataFrame, shares: DataFrame, income: DataFrame, dividends: DataFrame) -> DataFrame:
     """``prices`` (symbol, date, closing_price) with market_cap, pe_ratio and dividend_yield.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expr import trimmed
@@ -41,11 +41,11 @@ def ascii_ratio(text: Column) -> Column:
 
 def skip_list(pages: DataFrame, corrupted: DataFrame, filing: str = "filing", page: str = "page", least_ascii: float = 0.85) -> DataFrame:
     """Pages to leave out, with the first reason that holds: corrupted, edge (first and last two of a filing), urdu."""
-    w = Window.partitionBy(filing)
-    # the ratio is taken before the shuffle, which then moves no text
     small = pages.select(filing, page, (ascii_ratio(F.col("text")) < least_ascii).alias("_foreign"))
+    # bounds are minima and maxima that combine before the shuffle, so a filing of very many pages isn't gathered
+    bounds = pages.groupBy(filing).agg(F.min(page).alias("_low"), F.max(page).alias("_high"))
     known = corrupted.select(filing, page).distinct().withColumn("_bad", F.lit(True))
-    marked = small.join(known, [filing, page], "left").select("*", F.min(page).over(w).alias("_low"), F.max(page).over(w).alias("_high"))
+    marked = small.join(known, [filing, page], "left").join(bounds, filing, "left")
     edge = (F.col(page) <= F.col("_low") + 1) | (F.col(page) >= F.col("_high") - 1)
     reason = F.when(F.col("_bad"), "corrupted").when(edge, "edge").when(F.col("_foreign"), "urdu")
     return marked.select(filing, page, reason.alias("reason")).where("reason IS NOT NULL")
@@ -98,3 +98,29 @@ def extraction_manifest(tagged: DataFrame, filing: list[str], least: float = 0.5
     """Sorted pages of every filing and tag; ``tagged``: the filing's keys, page, section_tags."""
     tags = tagged.select(*filing, "page", F.explode(F.filter("section_tags", lambda t: t["confidence"] >= least)).alias("t"))
     return tags.groupBy(*filing, F.col("t.tag").alias("tag")).agg(F.sort_array(F.collect_set("page")).alias("pages"))
+
+
+def filing_manifest(tagged: DataFrame, repaired: DataFrame, filing: list[str], least: float = 0.5) -> DataFrame:
+    """One row for each filing: its page count, sorted pages of every tag, and sorted repaired pages.
+
+    ``tagged``: the filing's keys, page, section_tags; ``repaired``: the filing's keys, page. A page that is listed twice counts once.
+    """
+    counts = tagged.groupBy(*filing).agg(F.count_distinct("page").alias("n_pages"))
+    tags = extraction_manifest(tagged, filing, least).groupBy(*filing).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("tag", "pages")))).alias("pages"))
+    fixed = repaired.groupBy(*filing).agg(F.sort_array(F.collect_set("page")).alias("repaired_pages"))
+    none = F.array().cast(fixed.schema["repaired_pages"].dataType)
+    return counts.join(tags, filing, "left").join(fixed, filing, "left").withColumn("repaired_pages", F.coalesce("repaired_pages", none))
+
+
+def statement_manifests(manifest: DataFrame) -> DataFrame:
+    """``(ticker, filing_type, period, kind, pages)``: statement pages of every filing, multi-year and compensation pages of annual ones that have any.
+
+    ``manifest``: filing (``TICKER_Annual_2024``, ``TICKER_Quarterly_2024-03-31``), pages (tag to pages). Filings of another name are left out.
+    """
+    part = lambda i: F.regexp_extract("filing", r"^(.+)_(?i:(annual|quarterly))_(\d{4}(?:-\d{2}-\d{2})?)$", i)
+    rows = manifest.select(part(1).alias("ticker"), F.lower(part(2)).alias("filing_type"), part(3).alias("period"), "pages").where("ticker <> ''")
+    none = F.array().cast("array<bigint>")
+    of = lambda tag: F.coalesce(F.array_sort(F.array_distinct(F.try_element_at("pages", F.lit(tag)))).cast("array<bigint>"), none)
+    kinds = F.array(*(F.struct(F.lit(k).alias("kind"), of(k).alias("pages")) for k in ("statement", "multi_year", "ceo_comp")))
+    wanted = F.filter(kinds, lambda k: (k["kind"] == "statement") | ((F.col("filing_type") == "annual") & (F.size(k["pages"]) > 0)))
+    return rows.select("ticker", "filing_type", "period", F.inline(wanted))

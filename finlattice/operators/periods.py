@@ -51,8 +51,12 @@ def repeats(rows: DataFrame, keys: Sequence[str], row_id: str) -> DataFrame:
 BS_TOTALS = ("subtotal_equity", "total_equity", "total_liabilities_and_equity", "total_equity_and_liabilities", "total_liabilities", "total_current_liabilities", "total_non_current_liabilities", "total_assets", "total_current_assets", "total_non_current_assets", "total_non_current_assets_sub")
 
 
+#: Fixed texts of the notes; the corrected one goes on with the former value.
+NOTES = {"tl": "[Derived: TCL + TNCL]", "ta": "[Derived: NCA + CA]", "tel": "[Derived: TE + TL]", "wrong": "[Corrected: TE + TL, was ", "ta_tel": "[Derived: TA = TEL]"}
+
+
 def repair_bs_totals(wide: DataFrame, tolerance: float = 0.05) -> DataFrame:
-    """Fills and corrects balance-sheet totals, in this order, noting each in ``repairs``.
+    """Fills and corrects balance-sheet totals, in this order, noting each but the aliases in ``repairs``.
 
     Aliases; liabilities and assets from their parts; equity and liabilities from equity + liabilities if missing, or
     corrected if it is off while that sum agrees with the assets; assets from equity and liabilities.
@@ -60,17 +64,18 @@ def repair_bs_totals(wide: DataFrame, tolerance: float = 0.05) -> DataFrame:
     c, notes = F.col, F.array().cast("array<string>")
     df = wide.withColumn("repairs", notes)
 
-    def put(df: DataFrame, name: str, when: Column, value: Column, note: str) -> DataFrame:
-        ok = when & value.isNotNull()
-        return df.withColumns({"repairs": F.when(ok, F.array_append("repairs", F.lit(note))).otherwise(c("repairs")), name: F.when(ok, value).otherwise(c(name))})
+    def put(df: DataFrame, name: str, when: Column, value: Column, note: Column | None = None) -> DataFrame:
+        ok = F.coalesce(when & value.isNotNull(), F.lit(False))
+        noted = {} if note is None else {"repairs": F.when(ok, F.array_append("repairs", note)).otherwise(c("repairs"))}
+        return df.withColumns({**noted, name: F.when(ok, value).otherwise(c(name))})
 
     te, tel, tl, ta = c("total_equity"), c("total_equity_and_liabilities"), c("total_liabilities"), c("total_assets")
-    df = put(df, "total_equity", te.isNull(), c("subtotal_equity"), "[Derived: total_equity = subtotal_equity]")
-    df = put(df, "total_equity_and_liabilities", tel.isNull(), c("total_liabilities_and_equity"), "[Derived: total_equity_and_liabilities = total_liabilities_and_equity]")
-    df = put(df, "total_liabilities", tl.isNull(), c("total_current_liabilities") + c("total_non_current_liabilities"), "[Derived: total_liabilities = current + non-current]")
+    df = put(df, "total_equity", te.isNull(), c("subtotal_equity"))
+    df = put(df, "total_equity_and_liabilities", tel.isNull(), c("total_liabilities_and_equity"))
+    df = put(df, "total_liabilities", tl.isNull(), c("total_current_liabilities") + c("total_non_current_liabilities"), F.lit(NOTES["tl"]))
     tnca = F.when(F.coalesce("total_non_current_assets", F.lit(0.0)) != 0, c("total_non_current_assets")).otherwise(c("total_non_current_assets_sub"))
-    df = put(df, "total_assets", ta.isNull(), tnca + c("total_current_assets"), "[Derived: total_assets = non-current + current]")
-    df = put(df, "total_equity_and_liabilities", tel.isNull(), te + tl, "[Derived: total_equity_and_liabilities = equity + liabilities]")
-    off = (tel > 0) & (te + tl > 0) & (F.abs(tel - te - tl) > tolerance * tel) & (ta > 0) & (F.abs(te + tl - ta) <= tolerance * ta)
-    df = put(df, "total_equity_and_liabilities", off, te + tl, "[Corrected: total_equity_and_liabilities = equity + liabilities]")
-    return put(df, "total_assets", ta.isNull(), tel, "[Derived: total_assets = total_equity_and_liabilities]")
+    df = put(df, "total_assets", ta.isNull(), tnca + c("total_current_assets"), F.lit(NOTES["ta"]))
+    df = put(df, "total_equity_and_liabilities", tel.isNull(), te + tl, F.lit(NOTES["tel"]))
+    off = (te + tl > 0) & (F.abs(tel - te - tl) > tolerance * (te + tl)) & (ta > 0) & (F.abs(te + tl - ta) < tolerance * ta)
+    df = put(df, "total_equity_and_liabilities", off, te + tl, F.concat(F.lit(NOTES["wrong"]), tel.cast("string"), F.lit("]")))
+    return put(df, "total_assets", ta.isNull(), tel, F.lit(NOTES["ta_tel"]))

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import fields as fs
-from ..functions.expr import off_by
-from .periods import pick, repeats
+from ..functions.expr import off_by, unit_factor
+from .periods import pick
 
 GROUP = ("ticker", "section")
 PERIOD = ("ticker", "section", "period_end", "months")
@@ -44,7 +44,7 @@ def monotonicity(values: DataFrame, names: Sequence[str] = ("revenue_net", "cost
     one = pick(rows, [*keys, "months"], "period_end", "value")
     w = Window.partitionBy(*keys).orderBy("months")
     before = one.withColumns({"previous": F.lag("value").over(w), "previous_months": F.lag("months").over(w)})
-    return before.where("previous >= 0 AND value >= 0 AND value < previous").select(*keys, "previous_months", "months", "previous", "value")
+    return before.where("previous >= 0 AND value >= 0 AND value < previous").select(*keys, "period_end", "previous_months", "months", "previous", "value")
 
 
 def tax_total(has: dict[str, Column], v: dict[str, Column]) -> Column:
@@ -124,7 +124,8 @@ def cf_patterns(values: DataFrame, tolerance: float = 0.05) -> DataFrame:
     ok = lambda n: F.coalesce(F.col(n) <= tolerance, F.lit(False))
     both = F.when(ok("a_flow") & ok("a_cash"), "A").when(ok("b_flow") & ok("b_cash"), "B")
     n = (ok("a_flow") | ok("b_flow")).cast("int") + (ok("a_cash") | ok("b_cash")).cast("int")
-    return df.select(*PERIOD, F.coalesce(both, F.lit("")).alias("pattern"), n.alias("n_passed"), F.least("a_flow", "b_flow").alias("flow_gap"), F.least("a_cash", "b_cash").alias("cash_gap"))
+    checked = (flows + net).isNotNull().cast("int") + (start + net + end).isNotNull().cast("int")
+    return df.select(*PERIOD, F.coalesce(both, F.lit("")).alias("pattern"), n.alias("n_passed"), checked.alias("n_checked"), F.least("a_flow", "b_flow").alias("flow_gap"), F.least("a_cash", "b_cash").alias("cash_gap"))
 
 
 def cf_year_sums(values: DataFrame, names: Sequence[str] = ("cfo", "cfi", "cff"), tolerance: float = 0.05) -> DataFrame:
@@ -141,10 +142,12 @@ def cf_year_sums(values: DataFrame, names: Sequence[str] = ("cfo", "cfi", "cff")
 def outliers(values: DataFrame, names: Sequence[str], keys: Sequence[str] = GROUP, times: float = 100.0) -> DataFrame:
     """Values over ``times`` or under 1/``times`` of the median of their group's reference field.
 
-    The reference field is the first of ``names`` with three non-zero values or more; the median is exact.
+    The reference field is the first of ``names`` with three non-zero values or more; the median is exact. Values are brought to
+    thousands first where ``unit_type`` is given.
     """
     rank = F.array_position(F.array(*map(F.lit, names)), F.col("field"))
-    rows = values.where(F.col("field").isin(*names) & (F.col("value") != 0)).select(*keys, "field", "period_end", "months", F.abs("value").alias("size"), rank.alias("_r"))
+    scaled = F.abs("value") * unit_factor(F.col("unit_type"), F.col("field")) if "unit_type" in values.columns else F.abs("value")
+    rows = values.where(F.col("field").isin(*names) & (F.col("value") != 0)).select(*keys, "field", "period_end", "months", scaled.alias("size"), rank.alias("_r"))
     stats = rows.groupBy(*keys, "field", "_r").agg(F.count("*").alias("n"), F.median("size").alias("median")).where("n >= 3")
     chosen = stats.groupBy(*keys).agg(F.min(F.struct("_r", "field", "median")).alias("c")).select(*keys, "c.field", "c.median")
     ratio = F.col("size") / F.col("median")
@@ -165,6 +168,104 @@ def critical_fields(values: DataFrame, groups: dict[str, Sequence[str]], keys: S
     return have.select(*keys, F.explode(F.array_compact(lacks)).alias("missing"))
 
 
+def invalid_units(periods: DataFrame) -> DataFrame:
+    """Periods without unit, or with one that is none: their columns and ``type`` missing or invalid."""
+    unit = F.lower(F.coalesce("unit_type", F.lit("")))
+    kind = F.when(unit == "", "missing").when(~unit.isin(*fs.UNITS), "invalid")
+    return periods.withColumn("type", kind).where("type IS NOT NULL")
+
+
+def fiscal_months(periods: DataFrame, keys: Sequence[str] = GROUP) -> DataFrame:
+    """The month most 12-month periods of a group end in (ties: the one met first); 12 for groups without any."""
+    ends = periods.select(*keys, "period_end", "months").distinct()
+    counts = ends.where("months = 12").groupBy(*keys, F.month("period_end").alias("m")).agg(F.count("*").alias("n"), F.min("period_end").alias("first"))
+    best = counts.groupBy(*keys).agg(F.max_by("m", F.struct("n", F.negative(F.unix_date("first")))).alias("fiscal_month"))
+    return ends.select(*keys).distinct().join(best, list(keys), "left").withColumn("fiscal_month", F.coalesce("fiscal_month", F.lit(12)))
+
+
+def income_field(industry: Column) -> Column:
+    """The income that a company of this industry is judged by."""
+    return F.when(F.col("industry").isNull(), "revenue_net").otherwise(F.coalesce(F.try_element_at(F.create_map(*(F.lit(x) for pair in fs.INCOME_FIELDS.items() for x in pair)), industry), F.lit("revenue_net")))
+
+
+def _issues(rows: DataFrame, check: str, kind: Column | str, severity: Column | str, **values: Column) -> DataFrame:
+    """Rows of a check in the form all checks share."""
+    of = lambda x: F.lit(x) if isinstance(x, str) else x
+    wanted = {"period_end": "date", "months": "int", "field": "string", "expected": "double", "actual": "double"}
+    cols = [(values.get(n, F.col(n) if n in rows.columns else F.lit(None))).cast(t).alias(n) for n, t in wanted.items()]
+    return rows.select("ticker", "section", F.lit(check).alias("check"), of(kind).alias("type"), of(severity).alias("severity"), *cols)
+
+
+def qc_pl(values: DataFrame) -> DataFrame:
+    """All issues of P&L periods: (ticker, section, check, type, severity, period_end, months, field, expected, actual).
+
+    ``values``: ticker, section, period_end, months, unit_type, field, value. Checks: missing years, falls of cumulative figures (by each
+    group's own fiscal month), equations, units, critical fields, outliers. Figures are compared in thousands.
+    """
+    periods = values.select(*PERIOD, "unit_type").distinct()
+    scaled = values.withColumn("value", F.col("value") * unit_factor(F.col("unit_type"), F.col("field")))
+    falls = monotonicity(scaled.join(fiscal_months(values), list(GROUP)), fiscal_month=F.col("fiscal_month"))
+    years = missing_years(values)
+    # a field that is there without a value counts as there
+    lacks = critical_fields(values.withColumn("value", F.lit(1.0)), {"missing_revenue": fs.PL_REVENUE, "missing_bottom_line": fs.PL_BOTTOM})
+    far = outliers(values, fs.REFERENCE_FIELDS["pl"])
+    found = (
+        _issues(years, "column_completeness", "missing_year", "warning", period_end=F.make_date("year", F.lit(12), F.lit(31))),
+        _issues(falls, "monotonicity", "cumulative_decrease", "error", expected=F.col("previous"), actual=F.col("value")),
+        _issues(pl_equations(values), "semantic_equations", F.col("check"), F.col("severity")),
+        _issues(invalid_units(periods), "unit_type", F.col("type"), "error"),
+        _issues(lacks, "critical_fields", F.col("missing"), "error"),
+        _issues(far, "cross_period_normalization", "1000x_outlier", "error", expected=F.col("median"), actual=F.col("size")),
+    )
+    out = found[0]
+    for f in found[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def qc_bs(values: DataFrame, files: DataFrame, allowlist: DataFrame | None = None, parts_allowlist: DataFrame | None = None) -> DataFrame:
+    """One row for each ticker: failures of the equation, units, critical fields and outliers, mixed units, missing years, and ``status``.
+
+    ``values`` as for qc_pl (months is the same for all); ``files``: ticker, unit_type of each extraction file. Any failure fails; mixed units or a missing year warn.
+    """
+    periods = values.select(*PERIOD, "unit_type").distinct()
+    equation = bs_equation(values, allowlist, parts_allowlist).where("status = 'fail'")
+    both = critical_fields(values.withColumn("value", F.lit(1.0)), {"total_assets": ("total_assets",), "liabilities_equity": ("total_equity_and_liabilities", "total_equity", "total_liabilities")})
+    count = lambda df, name: df.groupBy("ticker").agg(F.count("*").alias(name))
+    mixed = unit_context(files).groupBy("ticker").agg((F.count("*") > 1).alias("mixed_units"))
+    out = periods.groupBy("ticker").agg(F.count_distinct(*PERIOD).alias("n_periods"))
+    parts = {"equation": equation, "units": invalid_units(periods), "critical": both.select("ticker", "section", "period_end").distinct(), "outliers": outliers(values, fs.REFERENCE_FIELDS["bs"]), "missing_years": missing_years(values)}
+    for name, df in parts.items():
+        out = out.join(count(df, name), "ticker", "left").withColumn(name, F.coalesce(name, F.lit(0)))
+    out = out.join(mixed, "ticker", "left").withColumn("mixed_units", F.coalesce("mixed_units", F.lit(False)))
+    fails = sum((F.col(n) for n in ("equation", "units", "critical", "outliers")), F.lit(0)) > 0
+    return out.withColumn("status", F.when(fails, "fail").when(F.col("mixed_units") | (F.col("missing_years") > 0), "warn").otherwise("pass"))
+
+
+def qc_cf(values: DataFrame, cells: DataFrame, known_errors: DataFrame) -> DataFrame:
+    """cf_patterns of every period with ``status`` and ``flag``; a period whose equations fail passes if its activities stand in its source file.
+
+    ``values`` as for qc_pl with source_file; ``cells``: file, canonical, row_no, value of the extraction files; ``known_errors``: file. Each of
+    cfo, cfi and cff that the period has must be within 2 of some column of the file's first row of that name. The flag is
+    source_arithmetic_error for known files, else source_match_fallback.
+    """
+    checked = cf_patterns(values)
+    files = values.groupBy(*PERIOD).agg(F.min("source_file").alias("file"))
+    rows = cells.where(F.col("canonical").isin("cfo", "cfi", "cff"))
+    first = rows.groupBy("file", "canonical").agg(F.min("row_no").alias("row_no"))
+    printed = rows.join(first, ["file", "canonical", "row_no"]).groupBy("file", F.col("canonical").alias("field")).agg(F.collect_list("value").alias("columns"))
+    flows = values.where(F.col("field").isin("cfo", "cfi", "cff") & F.col("value").isNotNull()).select(*PERIOD, "field", "value", F.col("source_file").alias("file"))
+    near = F.coalesce(F.exists("columns", lambda v: F.abs(v - F.col("value")) < 2), F.lit(False))
+    there = flows.join(printed, ["file", "field"], "left").groupBy(*PERIOD).agg(F.bool_and(near).alias("_there"))
+    some = cells.select("file").distinct().withColumn("_read", F.lit(True))
+    known = known_errors.select("file").distinct().withColumn("_known", F.lit(True))
+    out = checked.join(files, list(PERIOD)).join(there, list(PERIOD), "left").join(some, "file", "left").join(known, "file", "left")
+    fails = (F.col("pattern") == "") & (F.col("n_passed") < F.col("n_checked"))
+    saved = fails & F.coalesce("_read", F.lit(False)) & F.coalesce("_there", F.lit(True))
+    flag = F.when(saved, F.when(F.col("_known"), "source_arithmetic_error").otherwise("source_match_fallback"))
+    return out.withColumns({"status": F.when(fails & ~saved, "fail").otherwise("pass"), "flag": flag}).drop("_there", "_read", "_known")
+
+
 # Comparatives
 
 
@@ -210,6 +311,34 @@ def compare_comparatives(comparatives: DataFrame, standalone: DataFrame, keys: S
     return found.withColumn("_c", c).select(*id_, "value", "standalone", "off", F.col("_c.category").alias("category"), F.col("_c.confidence").alias("confidence"))
 
 
+#: Categories that call for work, by priority (fixed).
+ACTIONABLE = ("OCR_ERROR", "UNIT_MISMATCH", "WRONG_PAGE", "SIGN_ERROR")
+
+
+def single_currency(columns: DataFrame, file: str = "file", header: str = "col_header") -> DataFrame:
+    """Columns of files in one currency, without those in US dollars; a file with both kinds goes as a whole."""
+    usd = F.coalesce(F.upper(F.col(header)).rlike(r"US\$|USD"), F.lit(False))
+    kinds = columns.groupBy(file).agg((F.bool_or(usd) & F.bool_or(~usd)).alias("_both"))
+    return columns.join(kinds, file).where(~F.col("_both") & ~usd).drop("_both")
+
+
+def comparative_report(found: DataFrame, keys: Sequence[str], examples: int = 5) -> DataFrame:
+    """Files with mismatches that call for work, most pressing first: counts, primary category, and the ``examples`` largest.
+
+    ``found``: see compare_comparatives; ``keys`` name a file's column. Order: category, number of such mismatches, keys.
+    """
+    rank = F.coalesce(F.nullif(F.array_position(F.array(*map(F.lit, ACTIONABLE)), F.col("category")), F.lit(0)), F.lit(99))
+    actionable = F.col("category").isin(*ACTIONABLE)
+    worst = F.slice(F.sort_array(F.collect_list(F.when(actionable, F.struct(F.col("off").alias("off"), "field"))), asc=False), 1, examples)
+    out = found.groupBy(*keys).agg(F.count("*").alias("n_mismatched"), F.count_if(actionable).alias("n_actionable"), F.min_by("category", rank).alias("primary_category"), F.min(rank).alias("_rank"), worst.alias("worst"))
+    return out.where("n_actionable > 0").orderBy("_rank", F.desc("n_actionable"), *keys).drop("_rank")
+
+
+def top_counts(rows: DataFrame, key: str, n: int = 10) -> DataFrame:
+    """The ``n`` most frequent values of a column; ties by value."""
+    return rows.groupBy(key).agg(F.count("*").alias("n")).orderBy(F.desc("n"), key).limit(n)
+
+
 # The gate before publishing
 
 
@@ -238,9 +367,26 @@ def coverage(facts: DataFrame, expected: Sequence[str], least_periods: int = 4)
 
 
 def gate_facts(facts: DataFrame, row_id: str, stmt: str, keys: Sequence[str] = ("ticker", "period_end", "period_duration", "section", "canonical_field", "original_name")) -> DataFrame:
-    """All issues of facts before publishing: (row_id, type, field); none means they may go."""
-    again = repeats(facts, keys, row_id).select(row_id, F.lit("duplicate").alias("type"), F.col("canonical_field").alias("field"))
-    return required_fields(facts, row_id).unionByName(again).unionByName(value_sanity(facts, row_id, fs.MUST_BE_POSITIVE[stmt]))
+    """All issues of facts before publishing: (row_id, type, field); none means they may go. Rows are read and shuffled once."""
+    w = Window.partitionBy(*keys).orderBy(row_id)
+    kinds = [F.when(F.col(n).isNull(), F.struct(F.lit("missing_field").alias("type"), F.lit(n).alias("field"))) for n in fs.REQUIRED]
+    plain = (F.coalesce("qc_flag", F.lit("")) == "") & F.col("value").isNotNull()
+    limit = F.when(F.col("unit_type").isin("rupees", "full_rupees"), 1e13).otherwise(1e10)
+    negative = (F.col("value") < 0) & (F.abs("value") > 1) & F.col("canonical_field").isin(*fs.MUST_BE_POSITIVE[stmt] or [""])
+    for name, test in (("too_large", plain & (F.abs("value") > limit)), ("unexpected_negative", plain & negative), ("duplicate", F.col("_n") > 1)):
+        kinds.append(F.when(test, F.struct(F.lit(name).alias("type"), F.col("canonical_field").alias("field"))))
+    used = {*keys, row_id, *fs.REQUIRED, "qc_flag", "unit_type", "canonical_field"}
+    rows = facts.select(*sorted(used)).withColumn("_n", F.row_number().over(w))
+    return rows.select(row_id, F.inline(F.array_compact(F.array(*kinds))))
+
+
+def gate_report(facts: DataFrame, row_id: str, stmt: str) -> DataFrame:
+    """The gate with coverage: (subject, type, field). The subject is a row, a ticker with few periods, or a period that lacks expected fields."""
+    few, gaps = coverage(facts.where("ticker IS NOT NULL"), fs.EXPECTED[stmt])
+    rows = gate_facts(facts, row_id, stmt).select(F.col(row_id).cast("string").alias("subject"), "type", "field")
+    few = few.select(F.col("ticker").cast("string").alias("subject"), F.lit("few_periods").alias("type"), F.col("n_periods").cast("string").alias("field"))
+    gaps = gaps.select(F.concat_ws("|", "ticker", F.col("period_end").cast("string"), "section").alias("subject"), F.lit("missing_fields").alias("type"), F.array_join("missing", ",").alias("field"))
+    return rows.unionByName(few).unionByName(gaps)
 
 
 def summarise_issues(issues: DataFrame, group: str = "ticker") -> DataFrame:

@@ -102,3 +102,14 @@ def qc_year_arithmetic(quarters: DataFrame, periods: DataFrame, companies: DataF
     off = F.when(F.col("expected") != 0, F.abs(F.col("actual") - F.col("expected")) / F.abs("expected")).when(F.abs("actual") > zero_floor, float("inf")).otherwise(0.0)
     found = both.withColumn("off", off).where(F.col("off") > tolerance).drop("n")
     return found if allowlist is None else found.join(allowlist.select("ticker", "fiscal_year", "section"), ["ticker", "fiscal_year", "section"], "left_anti")
+
+
+def in_scope(rows: DataFrame, ticker: str | None = None, year: int | None = None, annual_only: bool = False, limit: int | None = None) -> DataFrame:
+    """Rows of one ticker, of one year of period ends, of 12-month periods only, or only so many of them."""
+    if ticker is not None:
+        rows = rows.where(F.col("ticker") == ticker)
+    if year is not None:
+        rows = rows.where(F.year("period_end") == year)
+    if annual_only:
+        rows = rows.where("months = 12")
+    return rows if limit is None else rows.limit(limit)

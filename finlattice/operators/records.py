@@ -10,8 +10,14 @@ from pyspark.sql import functions as F
 from ..functions.expr import number, trimmed
 from .periods import latest_report
 
-#: Words of items that are large by nature (an index value is given away by being small beside them).
-LARGE_ITEMS = r"(?i)revenue|sales|turnover|assets|equity|liabilit|profit|capital"
+# Fixed values of the cleaning.
+LARGE_ITEMS = ("total assets", "total liabilities", "revenue", "sales", "deposits", "equity", "capital")
+ANALYSIS = r"horizontal analysis|vertical analysis"
+PER_SHARE = r"per share|eps\b|earning.?per|dividend.?per|book value.?per|break.?up value|nav per|dps\b|bvps\b"
+RATIO = r"ratio|percentage|\broa\b|\broe\b|return on|margin|yield|coverage|times|turnover|gearing|leverage|efficiency|utilization|%$"
+COUNT = r"number of|no\.? of|employees|branches|shares outstanding|issued shares|paid.?up shares"
+EMBEDDED_UNIT = r"(?i)\(MMCFT?\)|\(MMBTU\)|\(Each\)|\(Tons?\)|\(KM\)|\(Nos\.?\)|\(Rs\.?\s*Mn\)|\(Rs\.?\s*000\)|\(Line km\)|\(Hectares?\)|\(MW\)|\(GWH\)|\(000 Barrels\)|'000'\s*$"
+OPERATIONAL = r"(?i)^gas sold|^gas purchased|^gas meters|^new connections|^lpg air mix|^mains.*transmission|^mains.*distribution|^seismic survey|^wells drilled|^production.*barrels|^cement.*dispatches|^clinker|^capacity utilization|^plant capacity"
 HEADER_LABELS = ("particulars", "description", "item", "line item", "")
 
 
@@ -47,58 +53,89 @@ def flatten_multiyear(files: DataFrame, keys: Sequence[str], report_year: str =
 
 def drop_reason(item: Column, section: Column, value: Column, excluded: Column) -> Column:
     """Why a multi-year row goes, first reason first; null for rows that stay."""
+    label = F.coalesce(item, F.lit(""))
+    large = F.exists(F.array(*map(F.lit, LARGE_ITEMS)), lambda w: F.contains(F.lower(label), w))
     return (
         F.when(excluded, "excluded_ticker")
-        .when((trimmed(F.coalesce(item, F.lit(""))) == "") | item.rlike(r"^[\d,.\-\s()]+$"), "numeric_label")
-        .when(F.lower(section).rlike("horizontal analysis|vertical analysis"), "analysis_section")
-        .when((value == 100) | ((F.abs(value) < 500) & item.rlike(LARGE_ITEMS)), "index_value")
+        .when((label == "") | trimmed(label).rlike(r"^[\d,.\-\s()]+$"), "numeric_label")
+        .when(F.lower(section).rlike(ANALYSIS), "analysis_section")
+        .when((value == 100) | ((value < 500) & large), "index_value")
+        .when(label.rlike(EMBEDDED_UNIT) | label.rlike(OPERATIONAL), "low_confidence")
     )
 
 
-def data_type(item: Column) -> Column:
-    """per_share before ratio before count before monetary."""
-    i = F.lower(item)
-    return F.when(i.rlike("per share|eps|dps|break-?up value"), "per_share").when(i.rlike("ratio|margin|%|percent|return on|times|turnover \\(|yield"), "ratio").when(i.rlike("number of|no\\. of|employees|units|days"), "count").otherwise("monetary")
+def data_type(item: Column, section: Column) -> Column:
+    """per_share before ratio before count before monetary, by the words of the item and its section."""
+    words = F.lower(F.concat_ws(" ", F.coalesce(item, F.lit("")), F.coalesce(section, F.lit(""))))
+    return F.when(words.rlike(PER_SHARE), "per_share").when(words.rlike(RATIO), "ratio").when(words.rlike(COUNT), "count").otherwise("monetary")
+
+
+def section_unit(section: Column) -> Column:
+    """The unit that a section's title tells; null if none."""
+    t = F.lower(F.coalesce(section, F.lit("")))
+    has = lambda *words: F.exists(F.array(*map(F.lit, words)), lambda w: F.contains(t, w))
+    return F.when(has("million", " mn", "(mn)"), "millions").when(has("'000", "000s", "thousand", "(000)"), "000s").when(has("rupees") & ~has("000"), "Rs")
 
 
 def clean_label(item: Column) -> Column:
     """Without bold and footnote marks, single spaces."""
-    return trimmed(F.regexp_replace(F.regexp_replace(F.regexp_replace(item, r"\*+", ""), r"[†‡¹²³]|\(\s*(?:note\s*)?\d{1,2}\s*\)$", ""), r"\s+", " "))
+    plain = F.regexp_replace(F.regexp_replace(item, r"\*\*", ""), "[¹²³⁴⁵⁶⁷⁸⁹⁰]+\\)", "")
+    return trimmed(F.regexp_replace(F.regexp_replace(plain, r"\s*\d+\)$", ""), r"\s+", " "))
 
 
 def clean_multiyear(rows: DataFrame, excluded: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
-    """Clean rows, one of each (ticker, data_year, item, type) from the latest report; and the count of rows lost for each reason."""
-    marked = rows.withColumn("reason", drop_reason(F.col("line_item"), F.col("section"), F.col("value"), F.col("ticker").isin(*excluded or [""])))
+    """Clean rows, one of each (ticker, data_year, item, type) from the latest report; and the count of rows lost for each reason.
+
+    A missing ``unit_type`` is read off the section's title.
+    """
+    if "unit_type" not in rows.columns:
+        rows = rows.withColumn("unit_type", F.lit(None).cast("string"))
+    marked = rows.withColumn("reason", drop_reason(F.col("line_item"), F.col("section"), F.col("value"), F.coalesce(F.col("ticker").isin(*excluded or [""]), F.lit(False))))
     lost = marked.where("reason IS NOT NULL").groupBy("reason").agg(F.count("*").alias("n_rows"))
     kept = marked.where("reason IS NULL").drop("reason").withColumn("line_item", clean_label(F.col("line_item")))
-    kept = kept.withColumn("data_type", data_type(F.col("line_item"))).withColumn("_key", F.lower("line_item"))
+    kept = kept.withColumns({"data_type": data_type(F.col("line_item"), F.col("section")), "unit_type": F.coalesce(F.nullif("unit_type", F.lit("")), section_unit(F.col("section"))), "_key": F.lower("line_item")})
     return latest_report(kept, ["ticker", "data_year", "_key", "data_type"]).drop("_key"), lost
 
 
-def printed_forms(value: Column, millions: bool = False) -> Column:
-    """Ways a figure may be printed: plain, with separators, in thousands, with decimals."""
-    v = F.abs(value)
-    forms = [F.format_string("%.0f", v), F.format_number(v, 0), F.floor(v / 1000).cast("string"), F.format_number(F.floor(v / 1000), 0), F.format_string("%.1f", v), F.format_string("%.2f", v), F.format_number(v, 2)]
-    if millions:
-        forms += [F.format_number(F.floor(v / 1_000_000), 0), F.format_string("%.1f%%", v)]
-    return F.array_distinct(F.array(*forms))
-
+def printed_forms(value: Column, multiyear: bool = False) -> Column:
+    """Ways a figure may be printed. Whole ones: plain, with separators, and from 1000 on in thousands; others with their decimals.
 
-def value_presence(records: DataFrame, sources: DataFrame, keys: Sequence[str], millions: bool = False) -> DataFrame:
+    ``multiyear`` adds whole millions and percentages.
+    """
+    v = F.abs(value)
+    n = F.floor(v)
+    shown = lambda x: F.format_number(x, 0)
+    whole = [n.cast("string"), shown(n), *(F.when(n >= 1000, f(F.floor(n / 1000))) for f in (lambda x: x.cast("string"), shown))]
+    # format_number rounds the exact binary value, half to even
+    one, two = (F.call_function("format_number", v, F.lit(f)) for f in ("0.0", "0.00"))
+    plain = F.regexp_replace(v.cast("decimal(38,12)").cast("string"), "0+$", "")
+    parts = [one, two, plain]
+    if multiyear:
+        whole.append(F.when(n >= 1_000_000, F.floor(n / 1_000_000).cast("string")))
+        parts += [F.concat(plain, F.lit("%")), F.concat(one, F.lit("%"))]
+    return F.array_distinct(F.array_compact(F.when(v == n, F.array(*whole)).otherwise(F.array(*parts))))
+
+
+def value_presence(records: DataFrame, sources: DataFrame, keys: Sequence[str], multiyear: bool = False) -> DataFrame:
     """``records`` with ``presence``: found, missing or no_source. ``sources``: keys, text, one row for each filing.
 
     Records stream past their filing's text, so a filing with very many of them gathers none. A null value is missing.
     """
     met = records.join(sources.select(*keys, F.col("text").alias("_text")), list(keys), "left")
-    found = F.col("value").isNotNull() & F.exists(printed_forms(F.col("value"), millions), lambda p: F.contains(F.col("_text"), p))
+    found = F.col("value").isNotNull() & F.exists(printed_forms(F.col("value"), multiyear), lambda p: F.contains(F.col("_text"), p))
     return met.withColumn("presence", F.when(F.col("_text").isNull(), "no_source").when(found, "found").otherwise("missing")).drop("_text")
 
 
 def presence_status(presence: DataFrame, key: str = "ticker") -> DataFrame:
-    """Share found by key: pass from 80 %, warn from 60 %."""
+    """Share found by key: pass from 80 %, warn from 60 %; ``problem`` where more is missing than found."""
     rates = presence.where("presence <> 'no_source'").groupBy(key).agg(F.count("*").alias("n"), F.count_if(F.col("presence") == "found").alias("n_found"))
     rate = F.col("n_found") / F.col("n")
-    return rates.withColumn("status", F.when(rate >= 0.8, "pass").when(rate >= 0.6, "warn").otherwise("fail"))
+    return rates.withColumns({"status": F.when(rate >= 0.8, "pass").when(rate >= 0.6, "warn").otherwise("fail"), "problem": F.col("n") > 2 * F.col("n_found")})
+
+
+def reproducible_sample(rows: DataFrame, key: str, n: int = 500, seed: int = 42) -> DataFrame:
+    """``n`` rows that depend on their keys and the seed only."""
+    return rows.orderBy(F.xxhash64(F.lit(seed), key), key).limit(n)
 
 
 def best_label_row(labels: DataFrame, lines: DataFrame, key: str) -> DataFrame:
@@ -111,12 +148,15 @@ def best_label_row(labels: DataFrame, lines: DataFrame, key: str) -> DataFrame:
 
 
 def filing_gaps(filings: DataFrame, companies: DataFrame, years: Sequence[int]) -> DataFrame:
-    """Quarter ends that should have been filed: before the latest filed month, not the fiscal year end, and not there.
+    """Quarter ends that should have been filed: before the latest month filed in their year, not the fiscal year end, and not there.
 
-    ``filings``: ticker, period_end of quarterly filings; ``companies``: ticker, fiscal_month.
+    ``filings``: ticker, period_end of quarterly filings; ``companies``: ticker, fiscal_month. A fiscal month that isn't given is inferred:
+    June if any September or December quarter was filed, else December if a June one was, else June.
     """
-    have = filings.select("ticker", F.last_day("period_end").alias("period_end")).distinct()
-    latest = have.groupBy("ticker").agg(F.max("period_end").alias("latest"))
-    months = F.array(*(F.last_day(F.make_date(F.lit(y), F.lit(m), F.lit(1))) for y in years for m in (3, 6, 9, 12)))
-    grid = latest.join(companies.select("ticker", "fiscal_month"), "ticker", "left").select("ticker", "latest", "fiscal_month", F.explode(months).alias("period_end"))
-    return grid.where((F.col("period_end") < F.col("latest")) & (F.month("period_end") != F.coalesce("fiscal_month", F.lit(6)))).select("ticker", "period_end").join(have, ["ticker", "period_end"], "left_anti")
+    months = F.collect_set(F.month("period_end"))
+    inferred = F.when(F.arrays_overlap("months", F.array(F.lit(9), F.lit(12))), 6).when(F.array_contains("months", 6), 12).otherwise(6)
+    fiscal = filings.groupBy("ticker").agg(months.alias("months")).join(companies.select("ticker", "fiscal_month"), "ticker", "left").select("ticker", F.coalesce("fiscal_month", inferred).alias("fiscal_month"))
+    have = filings.where(F.year("period_end").isin(*years)).groupBy("ticker", F.year("period_end").alias("year")).agg(months.alias("months"))
+    lacks = F.array_except(F.array(*map(F.lit, (3, 6, 9, 12))), "months")
+    each = have.select("ticker", "year", F.array_max("months").alias("latest"), F.explode(lacks).alias("month")).where("month < latest").join(fiscal, "ticker").where("month <> fiscal_month")
+    return each.select("ticker", F.last_day(F.make_date("year", "month", F.lit(1))).alias("period_end"))

@@ -10,43 +10,68 @@ from .catalog import query
 from .statements import _FACTS, _long, _t, _year_sums, rendered
 
 MULTI_SQL = r"""
-WITH r AS (SELECT o_custkey % 50 AS k, year(o_orderdate) AS y, o_orderkey AS i, CASE WHEN o_orderkey % 13 = 0 THEN 100 ELSE o_totalprice END AS v, o_custkey % 5 = 0 AS vertical FROM orders),
-t AS (SELECT *, CASE i % 7 WHEN 0 THEN 'Sales revenue' WHEN 1 THEN 'Earnings per share' WHEN 2 THEN NULL WHEN 3 THEN 'Current ratio' WHEN 4 THEN 'Number of employees' WHEN 5 THEN 'Total assets' END AS item,
-  CASE i % 7 WHEN 1 THEN 'per_share' WHEN 3 THEN 'ratio' WHEN 4 THEN 'count' ELSE 'monetary' END AS data_type FROM r WHERE k <> 7),
-w AS (SELECT * FROM t WHERE item IS NOT NULL AND NOT vertical AND v <> 100 AND NOT (abs(v) < 500 AND i % 7 IN (0, 5))),
-n AS (SELECT *, row_number() OVER (PARTITION BY k, y, item, data_type ORDER BY y + i % 3 DESC, i) AS n FROM w)
-SELECT CAST(k AS VARCHAR) AS ticker, CAST(y AS INTEGER) AS data_year, item AS line_item, data_type, i AS read_order FROM n WHERE n = 1
+WITH r AS (SELECT o_custkey % 50 AS k, year(o_orderdate) AS y, o_orderkey AS i, CASE WHEN o_orderkey % 13 = 0 THEN 100 WHEN o_orderkey % 17 = 0 THEN 120 ELSE o_totalprice END AS v,
+  CASE o_custkey % 5 WHEN 0 THEN 'Vertical Analysis' WHEN 1 THEN 'Key ratios' WHEN 2 THEN 'Summary (Rupees in million)' WHEN 3 THEN 'Summary in Rupees' ELSE 'Six years' END AS section,
+  ['Sales revenue', 'Earnings  per share²)', '1,234 (5)', '**Current assets** 4)', 'Number of employees', 'Net profit', '', 'Gas sold (MMCF)', 'Deposits', 'Cement dispatches'][1 + o_orderkey % 10] AS label FROM orders),
+t AS (SELECT *, lower(label) AS low FROM r),
+f AS (SELECT * FROM t WHERE k <> 7 AND label <> '' AND NOT regexp_matches(label, '^[\d,.\-\s()]+$') AND section <> 'Vertical Analysis' AND v <> 100
+  AND NOT (v < 500 AND (contains(low, 'revenue') OR contains(low, 'sales') OR contains(low, 'deposits') OR contains(low, 'total assets') OR contains(low, 'equity') OR contains(low, 'capital')))
+  AND NOT (contains(low, '(mmcf)') OR starts_with(low, 'gas sold') OR regexp_matches(low, '^cement.*dispatches'))),
+c AS (SELECT *, trim(regexp_replace(regexp_replace(regexp_replace(replace(label, '**', ''), '[¹²³]+\)', '', 'g'), '\s*\d+\)$', ''), '\s+', ' ', 'g')) AS item FROM f),
+d AS (SELECT *, CASE WHEN contains(low, 'per share') THEN 'per_share' WHEN contains(lower(section), 'ratio') THEN 'ratio' WHEN contains(low, 'number of') THEN 'count' ELSE 'monetary' END AS data_type,
+  CASE WHEN contains(section, 'million') THEN 'millions' WHEN contains(section, 'Rupees') THEN 'Rs' END AS unit_type FROM c),
+n AS (SELECT *, row_number() OVER (PARTITION BY k, y, lower(item), data_type ORDER BY y + i % 3 DESC, i) AS n FROM d)
+SELECT CAST(k AS VARCHAR) AS ticker, CAST(y AS INTEGER) AS data_year, item AS line_item, data_type, unit_type, i AS read_order FROM n WHERE n = 1
+"""
+LOST_SQL = MULTI_SQL[: MULTI_SQL.index("f AS (")] + r"""
+x AS (SELECT CASE WHEN k = 7 THEN 'excluded_ticker' WHEN label = '' OR regexp_matches(label, '^[\d,.\-\s()]+$') THEN 'numeric_label' WHEN section = 'Vertical Analysis' THEN 'analysis_section'
+  WHEN v = 100 OR v < 500 AND (contains(low, 'revenue') OR contains(low, 'sales') OR contains(low, 'deposits')) THEN 'index_value' WHEN contains(low, 'gas sold') OR contains(low, 'dispatches') THEN 'low_confidence' END AS reason FROM t)
+SELECT reason, count(*) AS n_rows FROM x WHERE reason IS NOT NULL GROUP BY 1
 """
 
 
-@query("clean_multiyear", MULTI_SQL)
-def clean_multiyear(spark: SparkSession, sf_dir: str) -> DataFrame:
-    i, m = F.col("o_orderkey"), F.col("o_orderkey") % 7
-    item = F.when(m == 0, "Sales revenue").when(m == 1, "Earnings  per share*").when(m == 2, "1,234 (5)").when(m == 3, "Current ratio (note 4)").when(m == 4, "Number of employees").when(m == 5, "**Total assets**").otherwise("")
+def _multiyear(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    i, k = F.col("o_orderkey"), F.col("o_custkey")
+    labels = ("Sales revenue", "Earnings  per share²)", "1,234 (5)", "**Current assets** 4)", "Number of employees", "Net profit", "", "Gas sold (MMCF)", "Deposits", "Cement dispatches")
+    sections = ("Vertical Analysis", "Key ratios", "Summary (Rupees in million)", "Summary in Rupees", "Six years")
+    value = F.when(i % 13 == 0, 100.0).when(i % 17 == 0, 120.0).otherwise(F.col("o_totalprice"))
     rows = _t(spark, sf_dir, "orders").select(
-        (F.col("o_custkey") % 50).cast("string").alias("ticker"), F.year("o_orderdate").alias("data_year"), (F.year("o_orderdate") + i % 3).alias("report_year"), i.alias("read_order"),
-        F.when(F.col("o_custkey") % 5 == 0, "Vertical Analysis").otherwise("Summary").alias("section"), item.alias("line_item"), F.when(i % 13 == 0, 100.0).otherwise(F.col("o_totalprice")).alias("value"),
+        (k % 50).cast("string").alias("ticker"), F.year("o_orderdate").alias("data_year"), (F.year("o_orderdate") + i % 3).alias("report_year"), i.alias("read_order"),
+        F.get(F.array(*map(F.lit, sections)), (k % 5).cast("int")).alias("section"), F.get(F.array(*map(F.lit, labels)), (i % 10).cast("int")).alias("line_item"), value.alias("value"),
     )
-    return records.clean_multiyear(rows, ("7",))[0].select("ticker", "data_year", "line_item", "data_type", "read_order")
+    return records.clean_multiyear(rows, ("7",))
+
+
+@query("clean_multiyear", MULTI_SQL)
+def clean_multiyear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _multiyear(spark, sf_dir)[0].select("ticker", "data_year", "line_item", "data_type", "unit_type", "read_order")
+
+
+@query("multiyear_rows_lost", LOST_SQL)
+def multiyear_rows_lost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _multiyear(spark, sf_dir)[1]
 
 
 PRESENCE_SQL = """
 WITH v AS (SELECT o_custkey AS k, o_orderkey AS i, CAST(floor(o_totalprice) AS BIGINT) AS v FROM orders),
-s AS (SELECT k, string_agg(CASE WHEN i % 2 = 0 THEN format('{:,}', v) ELSE CAST(v AS VARCHAR) END, ' ') AS text FROM v WHERE k % 10 <> 0 GROUP BY k),
-r AS (SELECT k, i, CASE WHEN i % 3 = 0 THEN v + 7000 ELSE v END AS v FROM v)
-SELECT r.k AS filing, i AS o_orderkey, CASE WHEN text IS NULL THEN 'no_source' WHEN contains(text, CAST(v AS VARCHAR)) OR contains(text, format('{:,}', v)) OR contains(text, CAST(v // 1000 AS VARCHAR)) OR contains(text, format('{:,}', v // 1000)) THEN 'found' ELSE 'missing' END AS presence
-FROM r LEFT JOIN s USING (k)
+s AS (SELECT k, string_agg(CASE i % 3 WHEN 0 THEN format('{:,}', v) WHEN 1 THEN CAST(v AS VARCHAR) ELSE v || '.25' END, ' ') AS text FROM v WHERE k % 10 <> 0 GROUP BY k),
+r AS (SELECT k, i, CASE i % 5 WHEN 0 THEN v + 7000 WHEN 1 THEN v % 1000 WHEN 2 THEN v + 0.25 ELSE v END AS x FROM v),
+n AS (SELECT k, i, x, CAST(floor(x) AS BIGINT) AS n FROM r)
+SELECT n.k AS filing, i AS o_orderkey, CASE WHEN text IS NULL THEN 'no_source'
+  WHEN x = n AND (contains(text, CAST(n AS VARCHAR)) OR contains(text, format('{:,}', n)) OR (n >= 1000 AND (contains(text, CAST(n // 1000 AS VARCHAR)) OR contains(text, format('{:,}', n // 1000))))) THEN 'found'
+  WHEN x <> n AND (contains(text, n || '.2') OR contains(text, n || '.25')) THEN 'found' ELSE 'missing' END AS presence
+FROM n LEFT JOIN s USING (k)
 """
 
 
 @query("value_presence", PRESENCE_SQL)
 def value_presence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = F.floor("o_totalprice")
+    v, i = F.floor("o_totalprice"), F.col("o_orderkey")
     o = _t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("filing"), "o_orderkey", v.alias("v"))
-    shown = F.when(F.col("o_orderkey") % 2 == 0, F.format_number("v", 0)).otherwise(F.col("v").cast("string"))
+    shown = F.when(i % 3 == 0, F.format_number("v", 0)).when(i % 3 == 1, F.col("v").cast("string")).otherwise(F.concat("v", F.lit(".25")))
     sources = o.where("filing % 10 <> 0").groupBy("filing").agg(F.array_join(F.collect_list(shown), " ").alias("text"))
-    rows = o.select("filing", "o_orderkey", F.when(F.col("o_orderkey") % 3 == 0, F.col("v") + 7000).otherwise(F.col("v")).cast("double").alias("value"))
-    return records.value_presence(rows, sources, ["filing"]).select("filing", "o_orderkey", "presence")
+    value = F.when(i % 5 == 0, F.col("v") + 7000).when(i % 5 == 1, F.col("v") % 1000).when(i % 5 == 2, F.col("v") + 0.25).otherwise(F.col("v"))
+    return records.value_presence(o.select("filing", "o_orderkey", value.cast("double").alias("value")), sources, ["filing"]).select("filing", "o_orderkey", "presence")
 
 
 LABEL_SQL = """
@@ -87,8 +112,7 @@ def cf_year_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
 REPAIR_SQL = f"""{_FACTS},
 w AS (SELECT *, k % 5 AS m FROM v)
 SELECT CAST(k AS VARCHAR) AS ticker, CAST(y AS INTEGER) AS year, s AS total_assets, 0.5 * s AS total_equity, s AS total_equity_and_liabilities,
-  CASE m WHEN 0 THEN '[Derived: total_equity = subtotal_equity]' WHEN 1 THEN '[Derived: total_assets = non-current + current]' WHEN 2 THEN '[Derived: total_equity_and_liabilities = equity + liabilities]' WHEN 3 THEN '[Corrected: total_equity_and_liabilities = equity + liabilities]'
-  ELSE '[Derived: total_liabilities = current + non-current] [Derived: total_assets = total_equity_and_liabilities]' END AS repairs
+  CASE m WHEN 0 THEN '' WHEN 1 THEN '[Derived: NCA + CA]' WHEN 2 THEN '[Derived: TE + TL]' WHEN 3 THEN '[Corrected: TE + TL, was ]' ELSE '[Derived: TCL + TNCL] [Derived: TA = TEL]' END AS repairs
 FROM w
 """
 
@@ -103,7 +127,7 @@ def repair_bs_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     wide = _year_sums(spark, sf_dir).withColumns(given)
     out = periods.repair_bs_totals(wide)
-    return out.select(F.col("k").cast("string").alias("ticker"), F.col("y").alias("year"), "total_assets", "total_equity", "total_equity_and_liabilities", F.array_join("repairs", " ").alias("repairs"))
+    return out.select(F.col("k").cast("string").alias("ticker"), F.col("y").alias("year"), "total_assets", "total_equity", "total_equity_and_liabilities", F.regexp_replace(F.array_join("repairs", " "), r"was [^]]*", "was ").alias("repairs"))
 
 
 CRITICAL_SQL = f"""{_FACTS}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -233,10 +235,11 @@ def monotone(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 GAPS_SQL = """
-WITH h AS (SELECT DISTINCT o_custkey AS k, last_day(CAST(o_orderdate AS DATE)) AS e FROM orders),
-l AS (SELECT k, max(e) AS latest FROM h GROUP BY k),
-g AS (SELECT l.*, last_day(make_date(y, m, 1)) AS e FROM l CROSS JOIN (VALUES (1999), (2000)) a(y) CROSS JOIN (VALUES (3), (6), (9), (12)) b(m))
-SELECT CAST(g.k AS VARCHAR) AS ticker, g.e AS period_end FROM g ANTI JOIN h ON g.k = h.k AND g.e = h.e WHERE g.e < g.latest AND month(g.e) <> CASE WHEN g.k % 2 = 0 THEN 6 ELSE 12 END
+WITH h AS (SELECT DISTINCT o_custkey AS k, year(o_orderdate) AS y, month(o_orderdate) AS m FROM orders),
+i AS (SELECT k, CASE WHEN k % 3 = 0 AND count(*) FILTER (m IN (9, 12)) = 0 AND count(*) FILTER (m = 6) > 0 THEN 12 WHEN k % 3 = 0 THEN 6 WHEN k % 2 = 0 THEN 6 ELSE 12 END AS fm FROM h GROUP BY k),
+l AS (SELECT k, y, max(m) AS latest FROM h WHERE y IN (1999, 2000) GROUP BY ALL),
+g AS (SELECT l.*, q, fm FROM l JOIN i USING (k) CROSS JOIN (VALUES (3), (6), (9), (12)) c(q) WHERE q < latest AND q <> fm)
+SELECT CAST(g.k AS VARCHAR) AS ticker, last_day(make_date(g.y, q, 1)) AS period_end FROM g ANTI JOIN h ON g.k = h.k AND g.y = h.y AND g.q = h.m
 """
 
 
@@ -245,7 +248,7 @@ def gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.records import filing_gaps
 
     rows = _t(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("ticker"), F.to_date("o_orderdate").alias("period_end"))
-    companies = _t(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("ticker"), F.when(F.col("c_custkey") % 2 == 0, 6).otherwise(12).alias("fiscal_month"))
+    companies = _t(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("ticker"), F.when(F.col("c_custkey") % 3 != 0, F.when(F.col("c_custkey") % 2 == 0, 6).otherwise(12)).alias("fiscal_month"))
     return filing_gaps(rows, companies, (1999, 2000))
 
 
@@ -260,17 +263,20 @@ UNION ALL SELECT row_id, 'duplicate', 'revenue_net' FROM (SELECT row_id, row_num
 """
 
 
-def _gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _gate(spark: SparkSession, sf_dir: str, gate: Callable[..., DataFrame] = qc.gate_facts) -> DataFrame:
     part, price = F.col("l_partkey"), F.col("l_extendedprice")
     value = F.when(part % 40 == 0, None).when(part % 41 == 0, -price).when(part % 43 == 0, price * 1e7).otherwise(price)
     rows = _t(spark, sf_dir, "lineitem").select(
         F.concat_ws("_", "l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", F.to_date("l_shipdate")).alias("row_id"), F.when(F.col("l_orderkey") % 50 != 0, F.col("l_orderkey")).cast("string").alias("ticker"), F.lit("2020-12-31").alias("period_end"), F.col("l_linenumber").alias("period_duration"), F.lit("c").alias("section"),
         F.lit("revenue_net").alias("canonical_field"), F.lit("r").alias("original_name"), F.lit("pl").alias("statement_type"), F.lit("thousands").alias("unit_type"), F.lit("").alias("qc_flag"), value.alias("value"),
     )
-    return qc.gate_facts(rows, "row_id", "pl")
+    return gate(rows, "row_id", "pl")
+
 
+@query("gate_facts", GATE_SQL)
+def gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _gate(spark, sf_dir)
 
-query("gate_facts", GATE_SQL)(_gate)
 
 SUMMARY_SQL = f"""
 WITH i AS ({GATE_SQL}), j AS (SELECT split_part(row_id, '_', 2) AS line, type FROM i)
@@ -351,7 +357,7 @@ def extraction_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 MATCH_SQL = """
-WITH v AS (SELECT DISTINCT o_custkey AS k, abs(o_totalprice * CASE o_orderkey % 4 WHEN 0 THEN 1.0 WHEN 1 THEN 1.004 WHEN 2 THEN 1000.0 ELSE 1.3 END) AS value FROM orders WHERE o_totalprice > 2000),
+WITH v AS (SELECT DISTINCT o_custkey AS k, abs(o_totalprice * CASE o_orderkey % 4 WHEN 0 THEN 1.0 WHEN 1 THEN 1.004 WHEN 2 THEN 1000.0 ELSE 1.3 END) AS value FROM orders WHERE abs(o_totalprice * CASE o_orderkey % 4 WHEN 0 THEN 1.0 WHEN 1 THEN 1.004 WHEN 2 THEN 1000.0 ELSE 1.3 END) > 1000),
 s AS (SELECT DISTINCT o_custkey AS k, o_totalprice AS source FROM orders),
 j AS (SELECT v.k, v.value, bool_or(abs(value - source) / source <= 0.005) AS e, bool_or((value / source > 990 AND value / source < 1010) OR (value / source > 0.00099 AND value / source < 0.00101)) AS t FROM v LEFT JOIN s USING (k) GROUP BY ALL)
 SELECT k AS file, round(value, 2) AS value, CASE WHEN e THEN 'exact' WHEN t THEN 'thousand' ELSE 'none' END AS match FROM j
@@ -362,7 +368,7 @@ SELECT k AS file, round(value, 2) AS value, CASE WHEN e THEN 'exact' WHEN t THEN
 def match_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     o, m = _t(spark, sf_dir, "orders"), F.col("o_orderkey") % 4
     value = F.col("o_totalprice") * F.when(m == 0, 1.0).when(m == 1, 1.004).when(m == 2, 1000.0).otherwise(1.3)
-    v = o.where("o_totalprice > 2000").select(F.col("o_custkey").alias("file"), value.alias("value"))
+    v = o.select(F.col("o_custkey").alias("file"), value.alias("value"))
     return cells.match_source(v, o.select(F.col("o_custkey").alias("file"), F.col("o_totalprice").alias("number"))).select("file", F.round("value", 2).alias("value"), "match")
 
 
@@ -370,16 +376,19 @@ FLAT_SQL = f"""{_YEAR},
 s AS (SELECT n, section, y, sum(price) AS total FROM o GROUP BY n, section, y),
 v AS (SELECT *, CAST(total AS DOUBLE) * CASE WHEN n % 6 = 0 THEN -1 ELSE 1 END AS value FROM s)
 SELECT CAST(n AS VARCHAR) AS ticker, n_name AS company_name, section, CAST(y AS INTEGER) AS fiscal_year, 'annual' AS period_type, round(value / 1000, 3) AS value,
-  CASE WHEN n % 6 = 0 AND y = 1997 THEN 'unexpected_negative: known' WHEN n % 6 = 0 THEN 'unexpected_negative' WHEN y = 1997 THEN 'allowlisted: known' ELSE '' END AS qc_flag
+  CASE WHEN n % 6 = 0 AND y = 1997 THEN 'unexpected_negative: known' WHEN n % 6 = 0 THEN 'unexpected_negative' WHEN y = 1997 THEN 'allowlisted: known' ELSE '' END AS qc_flag,
+  CASE WHEN y % 2 = 0 THEN array_to_string([n % 5, n % 5 + 7], ',') ELSE '' END AS source_pages, 'u/' || n || '/' || y || '/' || n || '_Annual_' || y AS source_url
 FROM v JOIN nation ON n = n_nationkey
 """
 
 
 @query("flatten_facts", FLAT_SQL)
 def flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = cumulative(spark, sf_dir, thin=False).where("months = 12 AND field = 'revenue_net'").select("ticker", "section", F.col("y").alias("fiscal_year"), "period_end", "months", F.lit("rupees").alias("unit_type"), "source_file", F.lit(None).cast("string").alias("source_item"), "field", F.when(F.col("n") % 6 == 0, -F.col("value")).otherwise(F.col("value")).alias("value"))
+    rows = cumulative(spark, sf_dir, thin=False).where("months = 12 AND field = 'revenue_net'").select("ticker", "section", F.col("y").alias("fiscal_year"), "period_end", "months", F.lit("rupees").alias("unit_type"), F.concat_ws("_", "ticker", F.lit("annual"), "y", "section").alias("source_file"), F.lit(None).cast("string").alias("source_item"), "field", F.when(F.col("n") % 6 == 0, -F.col("value")).otherwise(F.col("value")).alias("value"))
     none = rows.where(F.lit(False)).select("ticker", "section", "fiscal_year", "period_end", F.lit("").alias("method"), F.lit("").alias("source"), "source_item", "field", "value")
     companies = _t(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("string").alias("ticker"), F.col("n_name").alias("company_name"), F.lit("x").alias("industry"))
     allow = rows.where("fiscal_year = 1997").select("ticker", "fiscal_year", "section", F.lit("known").alias("reason")).distinct()
-    out = facts.flatten_facts(none, rows, companies, "pl", ("revenue_net",), allow)
-    return out.select("ticker", "company_name", "section", "fiscal_year", "period_type", F.round("value", 3).alias("value"), "qc_flag")
+    of = rows.where("fiscal_year % 2 = 0").select("ticker", F.concat(F.lit("annual_"), "fiscal_year").alias("period_key"), "section", F.lit("PL").alias("stmt"), (F.col("ticker").cast("int") % 5).alias("page"))
+    manifest = of.unionByName(of.withColumn("page", F.col("page") + 7))
+    out = facts.flatten_facts(none, rows, companies, "pl", ("revenue_net",), allow, manifest, "u")
+    return out.select("ticker", "company_name", "section", "fiscal_year", "period_type", F.round("value", 3).alias("value"), "qc_flag", F.array_join("source_pages", ",").alias("source_pages"), "source_url")

@@ -92,7 +92,7 @@ def test_ingest_once_for_each_key(spark, tmp_path):
 
 
 def test_presence_without_source_and_null_values(spark):
-    rows = spark.createDataFrame([("f", 1234567.0, "x"), ("f", None, "x"), ("g", 5.0, "x")], "file string, value double, text string")
-    sources = spark.createDataFrame([("f", "sold 1,234 in thousands")], "file string, text string")
-    got = {(r.file, r.value, r.presence, r.text) for r in records.value_presence(rows, sources, ["file"], millions=True).collect()}
-    assert got == {("f", 1234567.0, "found", "x"), ("f", None, "missing", "x"), ("g", 5.0, "no_source", "x")}
+    rows = spark.createDataFrame([("f", 1234567.0, "x"), ("f", None, "x"), ("g", 5.0, "x"), ("f", 450.0, "x"), ("f", 12.5, "x"), ("f", 98_765.0, "x"), ("f", 7.25, "x")], "file string, value double, text string")
+    sources = spark.createDataFrame([("f", "sold 1,234 in thousands in 2020, 7.2%")], "file string, text string")
+    got = {(r.file, r.value, r.presence, r.text) for r in records.value_presence(rows, sources, ["file"], multiyear=True).collect()}
+    assert got == {("f", 1234567.0, "found", "x"), ("f", None, "missing", "x"), ("g", 5.0, "no_source", "x"), ("f", 450.0, "missing", "x"), ("f", 12.5, "missing", "x"), ("f", 98_765.0, "missing", "x"), ("f", 7.25, "found", "x")}
