@@ -9,7 +9,7 @@ How it finds every link without comparing all documents:
    which shingles, so a passage that many documents share makes no large block: its groups also hold
    the documents' own shingles. Equal keys are joined in Spark as stars to their smallest node.
 3. Candidate nodes form components. A component is cut into tiles of bounded size: pairs of hashed chunks of
-   nodes whose sizes may link. In each tile the group counts of the sets are points of an R-tree; a search
+   nodes whose sizes may link, but for those that earlier tiles have connected with each other. In each tile the group counts of the sets are points of an R-tree; a search
    bounds the overlap of two sets by the sum of coordinate minima of their counts, down the tree. What the
    bounds keep together are the components whose sets are compared; unrelated texts that a few common
    shingles brought together part here, at the price of their counts and not of their sets.
@@ -229,49 +229,101 @@ def _tiles(batches: Iterator[pa.RecordBatch], num: int, den: int, verify: bool)
             if row[:2] != open_key:
                 yield from close()
                 open_key, sids, data, sides = row[:2], [], [], []
+            elif row[3] == sids[-1]:  # equal rows of one document
+                continue
             sides.append(row[2])
             sids.append(row[3])
             data.append(row[4])
     yield from close()
 
 
-def _tiled(rows: DataFrame, num: int, den: int, verify: bool) -> DataFrame:
+def _size_class(num: int, den: int) -> Column:
+    """Classes of sizes so wide that only sets of one class or of neighbouring ones can link."""
+    return F.floor(F.log("n") / (float(np.log(den / num)) * 1.01)).cast("int")
+
+
+def _tiled(rows: DataFrame, num: int, den: int, verify: bool, rest: bool = False) -> DataFrame:
     """Edges found in the tiles of ``rows`` (comp, sid, n, chunks: size class to number of chunks, data).
 
-    A small component is one tile. Else a node meets the chunks of its own class of sizes and of the two
-    next to it; classes are so wide that no other size can link.
+    A small component is one tile. Else a node first meets its own chunk and the first chunks of its own class of sizes and of
+    the two next to it: a number of tiles in proportion to the nodes. With ``rest`` the rows have a column ``core`` that is
+    true for nodes connected with each other already; nodes that aren't meet all chunks of theirs and of the core.
     """
-    width = float(np.log(den / num)) * 1.01
-    cls = F.floor(F.log("n") / width).cast("int")
     total = F.aggregate(F.map_values("chunks"), F.lit(0), lambda a, c: a + c)
-    mine = F.pmod(F.xxhash64("sid"), F.greatest(F.try_element_at("chunks", F.col("c")), F.lit(1))).cast("int")
-
-    def grid(other: Column, make: Callable[[Column], Column]) -> Column:
-        n = F.try_element_at("chunks", other)
-        return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), make)).otherwise(F.array().cast("array<struct<tile:string,side:int>>"))
-
-    def cell(low: Column, high: Column, x: Column, y: Column, side: Column) -> Column:
-        return F.struct(F.concat_ws(":", low, high, x, y).alias("tile"), side.cast("int").alias("side"))
-
     c, m = F.col("c"), F.col("mine")
-    own = grid(c, lambda o: cell(c, c, F.least(o, m), F.greatest(o, m), F.when(o == m, 2).when(m < o, 0).otherwise(1)))
-    up = grid(c + 1, lambda o: cell(c, c + 1, m, o, F.lit(0)))
-    down = grid(c - 1, lambda o: cell(c - 1, c, o, m, F.lit(1)))
-    one = F.array(F.struct(F.lit("").alias("tile"), F.lit(2).alias("side")))
-    placed = rows.withColumn("c", cls).withColumn("mine", mine).select("comp", "sid", "data", F.explode(F.when(total == 0, one).otherwise(F.concat(own, up, down))).alias("t"))
+    none = F.array().cast("array<struct<tile:string,side:int>>")
+
+    def count(cls: Column, core: bool) -> Column:
+        return F.coalesce(F.try_element_at("chunks", 2 * cls + int(core)), F.lit(0))
+
+    def grid(n: Column, make: Callable[[Column], Column], start: int = 0) -> Column:
+        return F.when(n > start, F.transform(F.sequence(F.lit(start), n - 1), make)).otherwise(none)
+
+    def cell(kind: str, low: Column, high: Column, x: Column | int, y: Column, side: Column | int) -> Column:
+        x, side = (v if isinstance(v, Column) else F.lit(v) for v in (x, side))
+        return F.struct(F.concat_ws(":", F.lit(kind), low, high, x, y).alias("tile"), side.cast("int").alias("side"))
+
+    if rest:
+        among = [
+            grid(count(c, False), lambda o: cell("r", c, c, F.least(o, m), F.greatest(o, m), F.when(o == m, 2).when(m < o, 0).otherwise(1))),
+            grid(count(c + 1, False), lambda o: cell("r", c, c + 1, m, o, 0)),
+            grid(count(c - 1, False), lambda o: cell("r", c - 1, c, o, m, 1)),
+        ]
+        with_core = [grid(count(c + d, True), lambda o, d=d: cell("x", c, c + d, m, o, 0)) for d in (-1, 0, 1)]
+        from_core = [grid(count(c - d, False), lambda o, d=d: cell("x", c - d, c, o, m, 1)) for d in (-1, 0, 1)]
+        tiles = F.when(F.col("core"), F.concat(*from_core)).otherwise(F.concat(*among, *with_core))
+        mine = count(c, False)
+        mine = F.when(F.col("core"), count(c, True)).otherwise(mine)
+    else:
+        first = m == 0
+        tiles = F.concat(
+            F.array(cell("f", c, c, m, m, 2)),
+            F.when(first, grid(count(c, False), lambda o: cell("f", c, c, 0, o, 0), 1)).otherwise(F.array(cell("f", c, c, 0, m, 1))),
+            F.when(first, grid(count(c + 1, False), lambda o: cell("f", c, c + 1, 0, o, 0))).otherwise(none),
+            F.when(count(c - 1, False) > 0, F.array(cell("f", c - 1, c, 0, m, 1))).otherwise(none),
+        )
+        tiles = F.when(total == 0, F.array(F.struct(F.lit("").alias("tile"), F.lit(2).alias("side")))).otherwise(tiles)
+        mine = count(c, False)
+    placed = rows.withColumn("c", _size_class(num, den)).withColumn("mine", F.pmod(F.xxhash64("sid"), F.greatest(mine, F.lit(1))).cast("int"))
+    placed = placed.select("comp", "sid", "data", F.explode(tiles).alias("t"))
     dealt = placed.select("comp", "t.tile", "t.side", "sid", "data").repartition(parts(rows.sparkSession), "comp", "tile").sortWithinPartitions("comp", "tile", "sid")
     return dealt.mapInArrow(partial(_tiles, num=num, den=den, verify=verify), "a long, b long")
 
 
-def _chunks(members: DataFrame, size: int, num: int, den: int) -> DataFrame:
-    """Number of chunks of every component and class of sizes, as a map; all 0 for a component that is one tile."""
-    cls = F.floor(F.log("n") / (float(np.log(den / num)) * 1.01)).cast("int")
-    counts = members.groupBy("comp", cls.alias("c")).agg(F.count("*").alias("n_nodes"))
-    small = F.sum("n_nodes").over(Window.partitionBy("comp")) <= 2 * size
+def _chunks(members: DataFrame, size: int, num: int, den: int, core: Column | None = None) -> DataFrame:
+    """Number of chunks of every component by twice the class of sizes (and one for the ``core``), as a map; all 0 for a component that is one tile."""
+    key = 2 * _size_class(num, den) + (F.lit(0) if core is None else core.cast("int"))
+    counts = members.groupBy("comp", key.alias("c")).agg(F.count("*").alias("n_nodes"))
+    small = F.lit(False) if core is not None else F.sum("n_nodes").over(Window.partitionBy("comp")) <= 2 * size
     each = F.when(small, 0).otherwise(F.ceil(F.col("n_nodes") / size)).cast("int")
     return counts.withColumn("k", each).groupBy("comp").agg(F.map_from_entries(F.collect_list(F.struct("c", "k"))).alias("chunks"))
 
 
+def _connected(rows: DataFrame, size: int, num: int, den: int, verify: bool, name: str) -> DataFrame:
+    """Edges enough to connect what is linked among ``rows`` (comp, sid, n, data); see solve_tile.
+
+    The first tiles connect most of a component whose texts are all near each other. Its largest part is then the core, and only
+    nodes outside of it go on, to meet all others: the core's nodes, connected already, don't meet each other again. The work grows with the square
+    of a component only if many of its nodes stay out of the core.
+    """
+    rows = durable(rows, name)
+    chunks = durable(_chunks(rows, size, num, den), f"{name}-chunks")
+    first = durable(_tiled(rows.join(chunks, "comp"), num, den, verify), f"{name}-links")
+    big = chunks.where(F.aggregate(F.map_values("chunks"), F.lit(0), lambda a, c: a + c) > 0).select("comp")
+    if big.isEmpty():
+        return first
+    rows = rows.join(big, "comp", "left_semi")
+    label = components(first).withColumnRenamed("node", "sid")
+    named = durable(rows.select("comp", "sid", "n").join(label, "sid", "left").select("comp", "sid", "n", F.coalesce("label", "sid").alias("label")), f"{name}-named")
+    counts = named.groupBy("comp", "label").agg(F.count("*").alias("k")).groupBy("comp").agg(F.max_by("label", F.struct("k", "label")).alias("largest"), F.count("*").alias("labels"))
+    parted = named.join(counts.where("labels > 1"), "comp").select("comp", "sid", "n", (F.col("label") == F.col("largest")).alias("core"))
+    parted = durable(parted, f"{name}-parted")
+    if parted.isEmpty():
+        return first
+    again = rows.select("sid", "data").join(parted, "sid").join(_chunks(parted, size, num, den, F.col("core")), "comp")
+    return first.unionByName(_tiled(again, num, den, verify, rest=True))
+
+
 def _with_sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     """The set of each member's text; of texts under one doc_id, only those that are the member."""
     for b in batches:
@@ -280,6 +332,10 @@ def _with_sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordB
         yield pa.RecordBatch.from_arrays([b.column("comp"), b.column("sid"), b.column("n"), data], names=["comp", "sid", "n", "data"]).filter(data.is_valid())
 
 
+def text_hash() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
 def similarity_labels(docs: DataFrame, k: int, num: int, den: int, keys_of: Callable[[np.ndarray], np.ndarray] | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """``(doc_id, n_shingles, label)`` of every row of ``docs``, and its ``keep`` columns (of type long).
 
@@ -289,12 +345,14 @@ def similarity_labels(docs: DataFrame, k: int, num: int, den: int, keys_of: Call
     rows, docs = docs.select("doc_id", "text", *keep), docs.select("doc_id", "text")
     least = -(-num // (den - num))  # smaller sets link with equal sets only
     keys_of = keys_of or partial(group_keys, num=num, den=den)
-    nodes = durable(rows.mapInArrow(partial(_nodes, k=k), ", ".join(("doc_id long, n_shingles long, sid long, point binary", *(f"{c} long" for c in keep)))), "nodes")
+    rows = rows.withColumn("h", text_hash())
+    nodes = durable(rows.mapInArrow(partial(_nodes, k=k), ", ".join(("doc_id long, n_shingles long, sid long, point binary", *(f"{c} long" for c in keep), "h long"))), "nodes")
     keyed = docs.select("text").mapInArrow(partial(_emit, k=k, keys_of=keys_of, least=least), "key long, sid long, hub long")
     stars = keyed.repartition(n_parts, "key").sortWithinPartitions("key", "sid").mapInArrow(_stars, "a long, b long")
     alone, nodes = nodes.where("sid IS NULL"), nodes.where("sid IS NOT NULL")
-    reps = nodes.groupBy("sid").agg(F.min("doc_id").alias("rep"), F.min("n_shingles").alias("n"))
-    points = nodes.select("doc_id", "sid", F.col("point").alias("data"))
+    # a set's text is found again by its smallest doc_id (null last) and a hash of it
+    rep = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "h")).alias("rep")
+    reps = nodes.groupBy("sid").agg(rep, F.min("n_shingles").alias("n")).select("sid", "n", F.col("rep.doc_id").alias("rep"), F.col("rep.h").alias("rep_h"))
 
     def members(edges: DataFrame, name: str) -> DataFrame:
         comp = components(edges).select(F.col("node").alias("sid"), F.col("label").alias("comp"))
@@ -302,12 +360,15 @@ def similarity_labels(docs: DataFrame, k: int, num: int, den: int, keys_of: Call
         return durable(comp.join(reps, "sid"), name)
 
     near = members(stars, "candidates")
-    rows = near.join(points, (near["sid"] == points["sid"]) & near["rep"].eqNullSafe(points["doc_id"])).select("comp", near["sid"], "n", "data")
-    near = members(_tiled(rows.join(_chunks(near, POINT_TILE, num, den), "comp"), num, den, verify=False), "bounded")
+    points = nodes.select("sid", "doc_id", "h", F.col("point").alias("data"))
+    # on all three, as many rows may have one set
+    rows = near.join(points, (near["sid"] == points["sid"]) & near["rep_h"].eqNullSafe(points["h"]) & near["rep"].eqNullSafe(points["doc_id"])).select("comp", near["sid"], "n", "data")
+    near = members(_connected(rows, POINT_TILE, num, den, False, "points"), "bounded")
     # a shuffle join at every size, as members grow with the documents
-    texts = near.hint("merge").join(docs, F.col("rep").eqNullSafe(F.col("doc_id"))).select("comp", "sid", "n", "text")
+    hashed = docs.withColumn("h", text_hash())
+    texts = near.hint("merge").join(hashed, (F.col("rep_h") == F.col("h")) & F.col("rep").eqNullSafe(F.col("doc_id"))).select("comp", "sid", "n", "text")
     sets = texts.mapInArrow(partial(_with_sets, k=k), "comp long, sid long, n long, data binary")
-    links = _tiled(sets.join(_chunks(near, TILE, num, den), "comp"), num, den, verify=True)
+    links = _connected(sets, TILE, num, den, True, "sets")
     label = components(links).withColumnRenamed("node", "sid")
     named = join_spread(nodes, label, "sid", "left").select("doc_id", "n_shingles", F.coalesce("label", "sid").alias("label"), *keep)
     return named.unionByName(alone.select("doc_id", "n_shingles", F.col("sid").alias("label"), *keep))
