@@ -35,7 +35,7 @@ U64 = np.uint64
 #: Sizes are classed by these lower ends: each of 1 to 5 for itself, then each 1.5 times the one before.
 _ENDS = np.unique(np.concatenate((np.arange(1, 6), 6 * 1.5 ** np.arange(60))).astype(np.int64))
 #: Nodes of a tile side, with sets and with points only; coordinates of a point (few suffice for small sets); children of a tree node.
-TILE, POINT_TILE, COORDS, FEW, FEW_UPTO, FANOUT = 128, 1024, 256, 64, 500, 16
+TILE, POINT_TILE, COORDS, FEW, FEW_UPTO, FANOUT = 128, 512, 256, 64, 500, 16
 
 
 def set_id(s: np.ndarray) -> int:
