@@ -29,7 +29,9 @@ TRAIN_PER_LANG, MAX_TRAIN, MAX_LANDMARKS, MAX_LANGS = 300, 1200, 240, 512
 SPARE = 24
 #: Ridge, and the scale of margins in the soft-max.
 RIDGE, SHARPNESS = 1e-3, 6.0
-_ROWS = 256
+_ROWS = 128
+#: Rows that go back to Spark at once, which bounds a worker's memory.
+_OUT = 1024
 _LETTER = r"\p{L}"
 _MULTIPLIERS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], np.uint32)
 _CLEAN = np.arange(256, dtype=np.uint8)
@@ -44,10 +46,9 @@ class LanguageModel:
 
 def spectra(texts: pa.Array) -> Iterator[list[np.ndarray]]:
     """For each block of rows, presence matrices (rows x slots) of every order."""
-    lowered = pc.utf8_lower(texts)
-    for i, j in slices(lowered):
+    for i, j in slices(texts):
         for a in range(i, j, _ROWS):
-            part = lowered.slice(a, min(_ROWS, j - a))
+            part = pc.utf8_lower(texts.slice(a, min(_ROWS, j - a)))
             data, off = utf8_parts(part)
             data = _CLEAN[data].astype(np.uint32)
             row = np.repeat(np.arange(len(part)), np.diff(off))
@@ -141,7 +142,7 @@ def train(labelled: DataFrame, per_lang: int = TRAIN_PER_LANG, max_langs: int =
 
 
 def _predict(batches: Iterator[pa.RecordBatch], model: object) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in (whole.slice(i, _OUT) for whole in batches for i in range(0, whole.num_rows, _OUT)):
         text = b.column(b.schema.get_field_index("text"))
         langs, shares = score(model.value, text)
         rest = [n for n in b.schema.names if n != "text"]
@@ -176,7 +177,7 @@ def with_language(docs: DataFrame) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (whole.slice(i, _OUT) for whole in batches for i in range(0, whole.num_rows, _OUT)):
             langs, shares = score(sent.value, b.column(b.schema.get_field_index("text")))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(langs, pa.string()), pa.array(shares, pa.float64())], names=[*b.schema.names, "lang_pred", "score"])
 

@@ -75,7 +75,7 @@ def group_keys(s: np.ndarray, num: int, den: int) -> np.ndarray:
 
 
 def _nodes(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in (whole.slice(i, 1024) for whole in batches for i in range(0, whole.num_rows, 1024)):
         sizes, ids, points = [], [], []
         for s in shingle_sets(b.column(1), k):
             sizes.append(len(s))

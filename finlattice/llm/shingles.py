@@ -19,7 +19,7 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 #: Bytes of text handled at once, a bound on working memory (a longer single text is one slice).
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
