@@ -5,7 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,6 +49,13 @@ def row_hash(columns: tuple[str, ...], seed: int) -> Column:
     return F.xxhash64(F.lit(seed), *columns, *(F.col(c).isNull() for c in columns))
 
 
+def pieces(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of so many rows: what a worker holds beside a batch is bounded by a slice."""
+    for b in batches:
+        for i in range(0, b.num_rows, rows):
+            yield b.slice(i, rows)
+
+
 def parts(spark: SparkSession) -> int:
     """Partitions for an explicit repartition: the session's shuffle setting."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable
+from .common import durable, pieces
 
 # Fixed word lists of the extraction.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -311,7 +311,7 @@ def extract(source: str, path: str | None) -> str:
 
 
 def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in pieces(batches):
         paths, chars = [], []
         for source in b.column("html").to_pylist():
             page = parse(source or "")
@@ -322,7 +322,7 @@ def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in pieces(batches):
         texts = [extract(s or "", p) for s, p in zip(b.column("html").to_pylist(), b.column("path").to_pylist(), strict=True)]
         yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 

@@ -19,6 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import pieces
 from .shingles import slices, utf8_parts
 
 #: Slots of the spectra of order 1, 2, 3 and 4.
@@ -30,8 +31,6 @@ SPARE = 24
 #: Ridge, and the scale of margins in the soft-max.
 RIDGE, SHARPNESS = 1e-3, 6.0
 _ROWS = 128
-#: Rows that go back to Spark at once, which bounds a worker's memory.
-_OUT = 1024
 _LETTER = r"\p{L}"
 _MULTIPLIERS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], np.uint32)
 _CLEAN = np.arange(256, dtype=np.uint8)
@@ -142,7 +141,7 @@ def train(labelled: DataFrame, per_lang: int = TRAIN_PER_LANG, max_langs: int =
 
 
 def _predict(batches: Iterator[pa.RecordBatch], model: object) -> Iterator[pa.RecordBatch]:
-    for b in (whole.slice(i, _OUT) for whole in batches for i in range(0, whole.num_rows, _OUT)):
+    for b in pieces(batches):
         text = b.column(b.schema.get_field_index("text"))
         langs, shares = score(model.value, text)
         rest = [n for n in b.schema.names if n != "text"]
@@ -177,7 +176,7 @@ def with_language(docs: DataFrame) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in (whole.slice(i, _OUT) for whole in batches for i in range(0, whole.num_rows, _OUT)):
+        for b in pieces(batches):
             langs, shares = score(sent.value, b.column(b.schema.get_field_index("text")))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(langs, pa.string()), pa.array(shares, pa.float64())], names=[*b.schema.names, "lang_pred", "score"])
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import durable, join_spread, parts
+from .common import durable, join_spread, parts, pieces
 from .components import components, forest
 from .shingles import mix64, shingle_sets, slices
 
@@ -75,7 +75,7 @@ def group_keys(s: np.ndarray, num: int, den: int) -> np.ndarray:
 
 
 def _nodes(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
-    for b in (whole.slice(i, 1024) for whole in batches for i in range(0, whole.num_rows, 1024)):
+    for b in pieces(batches):
         sizes, ids, points = [], [], []
         for s in shingle_sets(b.column(1), k):
             sizes.append(len(s))
@@ -224,7 +224,7 @@ def _tiles(batches: Iterator[pa.RecordBatch], num: int, den: int, verify: bool)
                 a, b = zip(*found, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    for b in batches:
+    for b in pieces(batches):
         for row in zip(*(b.column(n).to_pylist() for n in ("comp", "tile", "side", "sid", "data")), strict=True):
             if row[:2] != open_key:
                 yield from close()
@@ -326,7 +326,7 @@ def _connected(rows: DataFrame, size: int, num: int, den: int, verify: bool, nam
 
 def _with_sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     """The set of each member's text; of texts under one doc_id, only those that are the member."""
-    for b in batches:
+    for b in pieces(batches):
         sets = [s.tobytes() if len(s) and set_id(s) == sid else None for s, sid in zip(shingle_sets(b.column("text"), k), b.column("sid").to_pylist(), strict=True)]
         data = pa.array(sets, pa.binary())
         yield pa.RecordBatch.from_arrays([b.column("comp"), b.column("sid"), b.column("n"), data], names=["comp", "sid", "n", "data"]).filter(data.is_valid())

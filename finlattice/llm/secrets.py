@@ -25,6 +25,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
+from .common import pieces
+
 KINDS = ("assign", "access", "hex")
 # Fixed patterns of the scan.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A | re.I)
@@ -361,7 +363,7 @@ _NOTHING = hashlib.sha256(b"").hexdigest()
 
 
 def _scan_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in pieces(batches):
         n = b.num_rows
         counts, sha, spans = np.zeros((5, n), np.int64), [_NOTHING] * n, [""] * n
         may = pc.fill_null(pc.match_substring_regex(b.column(1), _ANY), False)
@@ -385,7 +387,7 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
 
 
 def _mask_batches(batches: Iterator[pa.RecordBatch], mark: str) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in pieces(batches):
         at = b.schema.get_field_index("text")
         texts = b.column(at).to_pylist()
         may = pc.fill_null(pc.match_substring_regex(b.column(at), _ANY), False).to_pylist()
