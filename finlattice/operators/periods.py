@@ -21,16 +21,29 @@ def select_best_source(candidates: DataFrame, keys: Sequence[str] = PERIOD) -> D
 
     ``candidates``: the keys, current (reported for its own period), qc_pass, score, filing_date, source_file. Current
     and passed stand before prior-year and passed, then current, then prior-year; inside a class the higher
-    score, the later filing, the first file. A lone candidate is primary or prior_year by what it is; else
-    a failed prior-year one is a fallback.
+    score, the later filing, the first file. A lone candidate is primary or prior_year by what it is; a prior-year one that
+    stands before others is a fallback.
     """
     current, ok = F.col("current"), F.coalesce("qc_pass", F.lit(False))
     rank = F.when(current & ok, 0).when(~current & ok, 1).when(current, 2).otherwise(3)
     counted = candidates.withColumn("_n", F.count("*").over(Window.partitionBy(*keys)))
-    label = F.when(current, "primary").when(ok | (F.col("_n") == 1), "prior_year").otherwise("prior_year_fallback")
+    label = F.when(current, "primary").when(F.col("_n") == 1, "prior_year").otherwise("prior_year_fallback")
     return pick(counted.withColumn("source_type", label), keys, rank, F.desc("score"), F.desc_nulls_last("filing_date"), "source_file").drop("_n")
 
 
+def select_best_balance(candidates: DataFrame, keys: Sequence[str] = PERIOD) -> DataFrame:
+    """The standing candidate of each balance-sheet period, with its ``source_type``.
+
+    ``candidates``: the keys, current, qc_pass, source_file. The classes are those of select_best_source, inside a class the first file stands.
+    A prior-year one is a fallback if it passed and stands before others, else prior_year.
+    """
+    current, ok = F.col("current"), F.coalesce("qc_pass", F.lit(False))
+    rank = F.when(current & ok, 0).when(~current & ok, 1).when(current, 2).otherwise(3)
+    counted = candidates.withColumn("_n", F.count("*").over(Window.partitionBy(*keys)))
+    label = F.when(current, "primary").when(ok & (F.col("_n") > 1), "prior_year_fallback").otherwise("prior_year")
+    return pick(counted.withColumn("source_type", label), keys, rank, "source_file").drop("_n")
+
+
 def dedupe_balance_rows(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Balance-sheet facts: the primary filing before comparatives, annual before quarterly, then reading order."""
     return pick(rows, keys, F.desc("is_primary"), F.desc("is_annual"), "read_order")

@@ -147,6 +147,59 @@ def best_label_row(labels: DataFrame, lines: DataFrame, key: str) -> DataFrame:
     return hits.withColumn("score", score).withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
 
 
+# Key balance-sheet fields by how plainly filings print them (fixed values).
+PLAIN_FIELDS = ("property_equipment", "cash_and_equivalents", "receivables", "inventory", "payables", "short_term_debt")
+INTRICATE_FIELDS = ("total_assets", "total_equity_and_liabilities", "share_capital", "reserves", "long_term_debt")
+
+
+def statement_lines(pages: DataFrame, key: str) -> DataFrame:
+    """``(key, line_no, line)`` of each filing's real statement pages, or of all its pages if none is one; ``pages``: key, page, text.
+
+    A page is a real one by its title, its unit or a table figure with separators, unless it shows a composition in percent.
+    """
+    low = F.lower("text")
+    real = (F.contains(low, F.lit("statement of financial position")) | F.contains(low, F.lit("rupees in")) | F.col("text").rlike(r"\|\s*\d{1,3}(?:,\d{3})+\s*\|")) & ~(F.contains(low, F.lit("composition")) & F.contains("text", F.lit("%")))
+    marked = pages.where("text IS NOT NULL").select(key, "page", "text", real.alias("_real"))
+    some = marked.groupBy(key).agg(F.bool_or("_real").alias("_some"))
+    kept = marked.join(some, key).where(F.col("_real") | ~F.col("_some"))
+    return kept.select(key, "page", F.posexplode(F.split("text", "\n")).alias("_n", "line")).select(key, F.struct("page", "_n").alias("line_no"), "line")
+
+
+def line_figures(line: Column) -> Column:
+    """Sizes of the whole figures after a table line's label: 0 (a dash is one), and those of 100 and more, as smaller ones are notes."""
+    cells = F.filter(F.split(line, r"\|"), lambda c, i: i >= 2)
+    sizes = F.transform(cells, lambda c: F.regexp_replace(F.regexp_replace(c, r"[-(]", "0"), r"\D", "").try_cast("long"))
+    return F.filter(sizes, lambda v: (v == 0) | (v >= 100))
+
+
+def qc_label_match(rows: DataFrame, pages: DataFrame, key: str = "file") -> DataFrame:
+    """Key balance-sheet rows with ``plain`` and ``status``: matched, mismatched, not_found, or no_source for filings without pages.
+
+    ``rows``: key, row_no, source_item, canonical, value (of the first column; null counts as 0); ``pages``: key, page, text. A row matches if the
+    source line that fits its label best holds the size of its value, or no figure where that is 0.
+    """
+    named = lambda names: F.exists(F.array(*map(F.lit, names)), lambda n: F.contains(F.lower("canonical"), n))
+    wanted = rows.where(named((*PLAIN_FIELDS, *INTRICATE_FIELDS))).select(key, "row_no", "canonical", trimmed(F.regexp_replace("source_item", r"\*\*", "")).alias("label"), F.coalesce(F.abs("value"), F.lit(0.0)).alias("size"), named(PLAIN_FIELDS).alias("plain"))
+    lines = statement_lines(pages, key).withColumn("line", F.regexp_replace("line", r"\*\*", "")).where(F.contains("line", F.lit("|")))
+    best = best_label_row(wanted.where("label <> ''").select(key, "label").distinct(), lines, key).select(key, "label", line_figures(F.col("line")).alias("_figures"))
+    read = pages.where("text IS NOT NULL").select(key).distinct().withColumn("_read", F.lit(True))
+    met = wanted.join(best, [key, "label"], "left").join(read, key, "left")
+    same = F.exists("_figures", lambda v: v == F.col("size")) | ((F.col("size") == 0) & (F.size("_figures") == 0))
+    status = F.when(F.col("_read").isNull(), "no_source").when(F.col("_figures").isNull(), "not_found").when(same, "matched").otherwise("mismatched")
+    return met.select(key, "row_no", "canonical", "plain", status.alias("status"))
+
+
+def source_balance(rows: DataFrame, key: str = "file", tolerance: float = 5.0) -> DataFrame:
+    """Filings with both totals: ``diff_pct`` of equity and liabilities, and whether they balance; of several rows of a total the last counts."""
+    name = F.lower("canonical")
+    other = F.contains(name, F.lit("total_equity_and_liabilities"))
+    assets = F.contains(name, F.lit("total_assets")) & ~F.contains(name, F.lit("total_equity"))
+    last = lambda test: F.max_by(F.when(test, F.coalesce(F.abs("value"), F.lit(0.0))), F.when(test, F.col("row_no")))
+    both = rows.groupBy(key).agg(last(assets).alias("total_assets"), last(other).alias("other_side")).where("total_assets <> 0 AND other_side <> 0")
+    off = 100 * F.abs(F.col("total_assets") - F.col("other_side")) / F.col("other_side")
+    return both.withColumns({"diff_pct": F.round(off, 1), "balanced": off <= tolerance})
+
+
 def filing_gaps(filings: DataFrame, companies: DataFrame, years: Sequence[int]) -> DataFrame:
     """Quarter ends that should have been filed: before the latest month filed in their year, not the fiscal year end, and not there.
 

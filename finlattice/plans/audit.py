@@ -369,6 +369,42 @@ def presence_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.presence_status(_t(spark, sf_dir, "orders").select(k.alias("ticker"), p.alias("presence")))
 
 
+LABEL_MATCH_SQL = """
+WITH o AS (SELECT o_custkey AS f, o_orderkey AS i, o_orderkey % 7 <> 0 AS printed, o_orderkey % 3 <> 2 AS real FROM orders),
+g AS (SELECT f, bool_or(printed) AS read, bool_or(printed AND real) AS has_real FROM o GROUP BY f)
+SELECT f AS file, i AS row_no, i % 4 <= 1 AS plain, CASE WHEN NOT read THEN 'no_source' WHEN NOT printed OR (has_real AND NOT real) THEN 'not_found' WHEN i % 5 = 0 THEN 'mismatched' ELSE 'matched' END AS status FROM o JOIN g USING (f) WHERE i % 4 <> 3
+"""
+
+
+def _balance_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = F.col("o_orderkey")
+    names = F.get(F.array(*map(F.lit, ("cash_and_equivalents", "Receivables_net", "total_assets", "other"))), (i % 4).cast("int"))
+    return _t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("file"), i.alias("row_no"), F.concat(F.lit("**Item "), i, F.lit("x**")).alias("source_item"), names.alias("canonical"), F.floor("o_totalprice").cast("double").alias("value"))
+
+
+@query("qc_label_match", LABEL_MATCH_SQL)
+def qc_label_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, i = _balance_rows(spark, sf_dir), F.col("row_no")
+    shown = F.format_number(F.when(i % 5 == 0, F.col("value") + 1).otherwise(F.col("value")), 0)
+    line = F.concat(F.lit("| item "), i, F.lit("X | 4 | "), F.when(i % 2 == 0, F.concat(F.lit("("), shown, F.lit(")"))).otherwise(shown), F.lit(" | 99 |"))
+    # every third page shows a composition; its lines count only where a filing has no other page
+    pages = rows.where(i % 7 != 0).groupBy("file", (i % 3).alias("page")).agg(F.concat_ws("\n", F.sort_array(F.collect_list(line))).alias("text"))
+    pages = pages.withColumn("text", F.concat(F.when(F.col("page") == 2, "Composition in %\n").otherwise("Rupees in thousand\n"), "text"))
+    return records.qc_label_match(rows, pages).select("file", "row_no", "plain", "status")
+
+
+SOURCE_BALANCE_SQL = """
+WITH t AS (SELECT o_custkey AS f, arg_max(floor(o_totalprice), o_orderkey) FILTER (o_orderkey % 2 = 0) AS a, arg_max(floor(o_totalprice), o_orderkey) FILTER (o_orderkey % 2 = 1) AS b FROM orders GROUP BY 1)
+SELECT f AS file, CAST(a AS DOUBLE) AS total_assets, CAST(b AS DOUBLE) AS other_side, abs(a - b) / b <= 0.05 AS balanced FROM t WHERE a IS NOT NULL AND b IS NOT NULL
+"""
+
+
+@query("source_balance", SOURCE_BALANCE_SQL)
+def source_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _balance_rows(spark, sf_dir).withColumn("canonical", F.when(F.col("row_no") % 2 == 0, "total_assets").otherwise("total_equity_and_liabilities"))
+    return records.source_balance(rows).select("file", "total_assets", "other_side", "balanced")
+
+
 TOP_SQL = f"WITH g AS ({GATE_SQL}) SELECT split_part(row_id, '_', 4) AS part, count(*) AS n FROM g GROUP BY 1 ORDER BY n DESC, part LIMIT 10"
 
 

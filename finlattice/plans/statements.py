@@ -82,7 +82,7 @@ def year_arithmetic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 BEST_SQL = """
 SELECT l_orderkey, l_linenumber, l_suppkey, l_partkey, source_type FROM (
-  SELECT *, CASE WHEN cur THEN 'primary' WHEN ok OR n = 1 THEN 'prior_year' ELSE 'prior_year_fallback' END AS source_type,
+  SELECT *, CASE WHEN cur THEN 'primary' WHEN n = 1 THEN 'prior_year' ELSE 'prior_year_fallback' END AS source_type,
     row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY CASE WHEN cur AND ok THEN 0 WHEN ok THEN 1 WHEN cur THEN 2 ELSE 3 END, score DESC, l_shipdate DESC, file) AS r
   FROM (SELECT *, l_returnflag <> 'R' AS cur, l_linestatus = 'F' AS ok, CAST(round(l_discount * 100) AS INTEGER) AS score, l_suppkey || '_' || l_partkey || '_' || l_quantity::INTEGER AS file, count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS n FROM lineitem)) WHERE r = 1
 """
@@ -94,6 +94,20 @@ def best_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periods.select_best_source(li, ("l_orderkey", "l_linenumber")).select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", "source_type")
 
 
+BALANCES_SQL = """
+WITH c AS (SELECT l_partkey AS k, CAST(month(l_shipdate) AS INTEGER) AS m, l_returnflag <> 'R' AS cur, CASE WHEN l_linenumber <> 3 THEN l_linestatus = 'F' ELSE false END AS ok, l_orderkey || '_' || l_linenumber || '_' || l_suppkey || '_' || l_quantity::INTEGER AS file FROM lineitem),
+n AS (SELECT *, count(*) OVER (PARTITION BY k, m) AS n, row_number() OVER (PARTITION BY k, m ORDER BY NOT ok, NOT cur, file) AS passed, row_number() OVER (PARTITION BY k, m ORDER BY NOT cur, file) AS any_one, bool_or(ok) OVER (PARTITION BY k, m) AS any_ok FROM c)
+SELECT k AS l_partkey, m AS month, file AS source_file, CASE WHEN cur THEN 'primary' WHEN n > 1 AND any_ok THEN 'prior_year_fallback' ELSE 'prior_year' END AS source_type FROM n WHERE CASE WHEN any_ok THEN passed ELSE any_one END = 1
+"""
+
+
+@query("select_best_balance", BALANCES_SQL)
+def best_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ok = F.when(F.col("l_linenumber") != 3, F.col("l_linestatus") == "F")
+    li = _t(spark, sf_dir, "lineitem").select("l_partkey", F.month("l_shipdate").alias("month"), (F.col("l_returnflag") != "R").alias("current"), ok.alias("qc_pass"), F.concat_ws("_", "l_orderkey", "l_linenumber", "l_suppkey", F.col("l_quantity").cast("int")).alias("source_file"))
+    return periods.select_best_balance(li, ("l_partkey", "month")).select("l_partkey", "month", "source_file", "source_type")
+
+
 REPEATS_SQL = """
 SELECT l_orderkey, l_linenumber, row_id, first_row FROM (
   SELECT l_orderkey, l_linenumber, row_id, row_number() OVER w AS n, first_value(row_id) OVER w AS first_row

@@ -57,11 +57,36 @@ def statement_pages(nested: DataFrame) -> DataFrame:
 
 
 def read_rules(spark: SparkSession, path: str) -> DataFrame:
-    """Allowlists: ticker, fiscal_year, section, reason, period; a rule with ``periods`` gives a row for each."""
-    schema = "ticker string, fiscal_year int, consolidation string, reason string, period string, periods array<string>, pattern string"
-    raw = spark.read.schema(schema).json(path, multiLine=True)
+    """Allowlists: ticker, fiscal_year, section, reason, pattern, period, period_end; a rule with ``periods`` gives a row for each.
+
+    The rules are a list, or stand under ``allowlist``. ``period_end`` is the date of a period: ``annual_2023``, ``quarterly_2023-03-31``, or the date alone.
+    """
+    fields = {"ticker": "string", "fiscal_year": "int", "consolidation": "string", "reason": "string", "period": "string", "periods": "array<string>", "pattern": "string"}
+    inner = ", ".join(f"{n}: {t}" for n, t in fields.items())
+    raw = spark.read.schema(", ".join((*(f"{n} {t}" for n, t in fields.items()), f"allowlist array<struct<{inner}>>"))).json(path, multiLine=True)
+    rules = raw.select(F.inline(F.coalesce("allowlist", F.array(F.struct(*fields)))))
     each = F.explode_outer(F.when(F.size("periods") > 0, F.col("periods")).otherwise(F.array("period")))
-    return raw.where("ticker IS NOT NULL").select("ticker", "fiscal_year", F.col("consolidation").alias("section"), "reason", "pattern", each.alias("period"))
+    rows = rules.where("ticker IS NOT NULL").select("ticker", "fiscal_year", F.col("consolidation").alias("section"), "reason", "pattern", each.alias("period"))
+    year = F.regexp_extract("period", r"^annual_(\d{4})$", 1)
+    return rows.withColumn("period_end", F.when(year != "", F.make_date(year.try_cast("int"), F.lit(12), F.lit(31))).otherwise(F.try_to_date(F.regexp_replace("period", "^quarterly_", ""), "yyyy-MM-dd")))
+
+
+def read_exclusions(spark: SparkSession, path: str) -> DataFrame:
+    """Files to leave out, listed under ``exclude``: file, each once."""
+    raw = spark.read.schema("exclude array<struct<file: string>>").json(path, multiLine=True)
+    return raw.select(F.inline("exclude")).where("file IS NOT NULL").distinct()
+
+
+def read_qc_status(spark: SparkSession, path: str) -> DataFrame:
+    """Outcomes of a check, listed under ``files``: file, qc_status (pass, no_formulas or fail); see ``cells.extraction_status`` for files without one."""
+    raw = spark.read.schema("files array<struct<file: string, status: string, formulas: bigint>>").json(path, multiLine=True).select(F.inline("files"))
+    status = F.when(F.col("status") == "pass", "pass").when(F.coalesce("formulas", F.lit(0)) == 0, "no_formulas").otherwise("fail")
+    return raw.where("file IS NOT NULL").select("file", status.alias("qc_status"))
+
+
+def read_shares(spark: SparkSession, path: str) -> DataFrame:
+    """Share counts above 0: symbol in capitals, shares."""
+    return spark.read.schema("symbol string, shares bigint").json(path).where("symbol IS NOT NULL AND shares > 0").select(F.upper("symbol").alias("symbol"), "shares")
 
 
 def read_prices(spark: SparkSession, path: str) -> DataFrame:

@@ -59,6 +59,14 @@ def test_lines_rules_prices_and_manifest(spark, put):
     assert {tuple(r) for r in readers.read_jsonl(spark, path, "k long, t string").collect()} == {(1, "x"), (2, None)}
     rules = put("r.json", [{"ticker": "A", "reason": "why", "periods": ["p1", "p2"]}, {"ticker": "B", "period": "p3"}, {"reason": "no ticker"}])
     assert {(r.ticker, r.reason, r.period) for r in readers.read_rules(spark, rules).collect()} == {("A", "why", "p1"), ("A", "why", "p2"), ("B", None, "p3")}
+    nested_rules = put("n.json", {"allowlist": [{"ticker": "A", "period": "annual_2023", "consolidation": "c"}, {"ticker": "B", "periods": ["quarterly_2024-03-31", "2024-06-30", "soon"]}]})
+    assert {(r.ticker, r.section, r.period_end) for r in readers.read_rules(spark, nested_rules).collect()} == {("A", "c", date(2023, 12, 31)), ("B", None, date(2024, 3, 31)), ("B", None, date(2024, 6, 30)), ("B", None, None)}
+    excluded = put("x.json", {"exclude": [{"file": "a.md"}, {"file": "a.md"}, {"reason": "no file"}]})
+    assert [r.file for r in readers.read_exclusions(spark, excluded).collect()] == ["a.md"]
+    results = put("c.json", {"files": [{"file": "a", "status": "pass"}, {"file": "b", "status": "fail", "formulas": 0}, {"file": "c", "status": "fail", "formulas": 3}, {"file": "d"}]})
+    assert dict(map(tuple, readers.read_qc_status(spark, results).collect())) == {"a": "pass", "b": "no_formulas", "c": "fail", "d": "no_formulas"}
+    shares = put("s.json", '{"symbol": "a", "shares": 12}\n{"symbol": "b"}\n{"symbol": "c", "shares": 0}\n')
+    assert [tuple(r) for r in readers.read_shares(spark, shares).collect()] == [("A", 12)]
     prices = put("q.json", '{"symbol": "A", "date": "2024-01-02", "closing_price": 3.5}\n{"symbol": "A", "date": "2024-01-03", "closing_price": null}\n')
     assert [tuple(r) for r in readers.read_prices(spark, prices).collect()] == [("A", date(2024, 1, 2), 3.5)]
     nested = spark.createDataFrame([(json.dumps({"A": {"2023": {"c": {"pl": [3, 4], "bs": [5]}}}}),)], "value string")
@@ -96,3 +104,10 @@ def test_presence_without_source_and_null_values(spark):
     sources = spark.createDataFrame([("f", "sold 1,234 in thousands in 2020, 7.2%")], "file string, text string")
     got = {(r.file, r.value, r.presence, r.text) for r in records.value_presence(rows, sources, ["file"], multiyear=True).collect()}
     assert got == {("f", 1234567.0, "found", "x"), ("f", None, "missing", "x"), ("g", 5.0, "no_source", "x"), ("f", 450.0, "missing", "x"), ("f", 12.5, "missing", "x"), ("f", 98_765.0, "missing", "x"), ("f", 7.25, "found", "x")}
+
+
+def test_label_match_edges(spark):
+    rows = spark.createDataFrame([("f", 1, "**Cash**", "cash_and_equivalents", -1234.0), ("f", 2, "Cash", "cash_and_equivalents", 22.0), ("f", 3, "Reserves", "Reserves", None), ("f", 4, "Other", "other", 1.0), ("g", 1, "Cash", "receivables", 1.0), ("f", 5, None, "inventory", 1.0), ("f", 6, "", "inventory", 1.0)], "file string, row_no long, source_item string, canonical string, value double")
+    pages = spark.createDataFrame([("f", 1, "Composition %\n| Reserves | 2 | 9,999,999 |"), ("f", 2, "Rupees in '000\n| Cash in hand | 5 | 7,000 |\n| **cash** | 22 | (1,234) | 500 |\nReserves 5,000\n| Reserves | | - |"), ("g", 1, None)], "file string, page long, text string")
+    got = {(r.file, r.row_no, r.plain, r.status) for r in records.qc_label_match(rows, pages).collect()}
+    assert got == {("f", 1, True, "matched"), ("f", 2, True, "mismatched"), ("f", 3, False, "matched"), ("g", 1, True, "no_source"), ("f", 5, True, "not_found"), ("f", 6, True, "not_found")}
