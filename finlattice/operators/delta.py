@@ -31,6 +31,12 @@ def unfinished(items: DataFrame, ledger: DataFrame, keys: Sequence[str], hash_co
     return items.join(done, _on(items, done, on), "left_anti")
 
 
+def finished(items: DataFrame, ledger: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Items in the ledger; null key parts are equal."""
+    done = ledger.select(*keys).distinct()
+    return items.join(done, _on(items, done, keys), "left_semi")
+
+
 def listed(items: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Items to run again, whatever the ledger says."""
     return items.join(wanted.select(*keys).distinct(), list(keys), "left_semi")

@@ -7,16 +7,16 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.delta import unfinished
+from ..operators.delta import finished, unfinished
 from ..operators.periods import pick
 
 
-def ingest(spark: SparkSession, source: str, schema: str, target: str, checkpoint: str, keys: Sequence[str], order: Sequence[str] | None = None, check: Callable[[DataFrame], DataFrame] | None = None, fmt: str = "parquet") -> None:
+def ingest(spark: SparkSession, source: str, schema: str, target: str, checkpoint: str, keys: Sequence[str], order: Sequence[str] | None = None, check: Callable[[DataFrame], DataFrame] | None = None, fmt: str = "parquet", step: str = "") -> None:
     """Appends new rows of the files in ``source`` to ``target``, once for each key; runs until all files are read.
 
     A batch is written again as a whole if it is retried (a folder for each batch), so a failure repeats nothing. ``check`` adds a column
-    ``error``; rows with one go to ``<target>/failed`` with its message, the others to ``<target>/done``. An
-    interrupted run goes on from the checkpoint.
+    ``error``; rows with one go to ``<target>/failed`` with its message, the others to ``<target>/done``, and those whose key was done
+    before to ``<target>/skipped``. An interrupted run goes on from the checkpoint; each ``step`` has its own.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -25,6 +25,7 @@ def ingest(spark: SparkSession, source: str, schema: str, target: str, checkpoin
         rows = check(rows) if check else rows.withColumn("error", F.lit(None).cast("string"))
         try:
             done = s.read.option("recursiveFileLookup", True).schema(batch.schema).parquet(f"{target}/done").where(~F.col("_metadata.file_path").contains(f"/batch={batch_id}/"))
+            finished(rows, done, keys).drop("error").write.mode("overwrite").parquet(f"{target}/skipped/batch={batch_id}")
             rows = unfinished(rows, done, keys)
         except Exception as e:  # nothing written yet
             if "PATH_NOT_FOUND" not in str(e):
@@ -33,9 +34,15 @@ def ingest(spark: SparkSession, source: str, schema: str, target: str, checkpoin
         rows.where("error IS NOT NULL").write.mode("overwrite").parquet(f"{target}/failed/batch={batch_id}")
 
     stream = spark.readStream.schema(schema).format(fmt).load(source)
-    stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{checkpoint}/{step}" if step else checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
 def ingested(spark: SparkSession, target: str, schema: str, kind: str = "done") -> DataFrame:
     extra = ", error string" if kind == "failed" else ""
     return spark.read.option("recursiveFileLookup", True).schema(schema + extra).parquet(f"{target}/{kind}")
+
+
+def progress(spark: SparkSession, target: str, schema: str) -> DataFrame:
+    """Rows done, failed and skipped so far: state, n_rows; a state that hasn't occurred has no row."""
+    one = spark.read.option("recursiveFileLookup", True).schema(schema).parquet(target)
+    return one.groupBy(F.regexp_extract("_metadata.file_path", r"/(done|failed|skipped)/batch=\d+/[^/]*$", 1).alias("state")).agg(F.count("*").alias("n_rows"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from finlattice.operators import cells, facts, records
 from finlattice.sources import readers, sinks
-from finlattice.streaming.ingest import ingest, ingested
+from finlattice.streaming.ingest import ingest, ingested, progress
 
 
 @pytest.fixture
@@ -97,6 +97,7 @@ def test_ingest_once_for_each_key(spark, tmp_path):
     run()
     assert sorted(tuple(r) for r in ingested(spark, target, schema).select("k", "v").collect()) == [(1, "a"), (2, "good"), (3, None), (4, "d")]
     assert [(r.k, r.error) for r in ingested(spark, target, schema, "failed").collect()] == [(2, "is bad")]
+    assert dict(map(tuple, progress(spark, target, schema).collect())) == {"done": 4, "failed": 1, "skipped": 1}
 
 
 def test_presence_without_source_and_null_values(spark):
