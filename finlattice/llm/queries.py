@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, chat_format, fingerprints, html_extract, lang_id, lm_score, mixing, ngram_join, secrets, sentencepiece_codec
+from . import ann, chat_format, fingerprints, html_extract, lang_id, lm_score, mixing, ngram_join, secrets, sentencepiece_codec, whitening
 from .common import table
 from .sql import ORACLE
 
@@ -55,6 +55,10 @@ def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score_documents(table(spark, sf_dir, "documents"))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
