@@ -22,10 +22,20 @@ def shared_dir(spark: SparkSession) -> str:
     return os.path.join(tempfile.gettempdir(), "finlattice-shared")
 
 
+#: Deletes a job's shuffle files when it ends; of a table that is written nothing reads them again.
+TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def durable(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back: cuts lineage and survives lost executors."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    conf = df.sparkSession.conf
+    before = conf.get(TIDY, "false")
+    conf.set(TIDY, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(TIDY, before)
     back = df.sparkSession.read.schema(df.schema).parquet(path)
     back.durable_path = path
     return back

@@ -28,13 +28,21 @@ CHUNK_BYTES, SHARD_WORDS, CHUNKS_IN_PART = 16 << 20, 4_000_000, 2
 
 
 def pack(*arrays: np.ndarray) -> bytes:
-    """Arrays as compressed bytes; unsigned integers in as few bytes as their largest needs."""
-    small = [a.astype(np.min_scalar_type(a.max())) if a.dtype.kind == "u" and len(a) else a for a in arrays]
-    return zstandard.ZstdCompressor(level=1).compress(pickle.dumps(small, protocol=5))
+    """Arrays as compressed bytes; unsigned integers in as few bytes as their largest needs, wider ones as all first bytes, then all second ones."""
+    out = []
+    for a in arrays:
+        if a.dtype.kind == "u" and len(a):
+            a = a.astype(np.min_scalar_type(a.max()))
+        wide = a.dtype.itemsize if a.dtype.itemsize > 2 else 1
+        out.append((a.dtype.str, wide, np.ascontiguousarray(a.view(np.uint8).reshape(-1, wide).T).tobytes()))
+    return zstandard.ZstdCompressor(level=1).compress(pickle.dumps(out, protocol=5))
 
 
 def unpack(data: bytes) -> list[np.ndarray]:
-    return pickle.loads(zstandard.ZstdDecompressor().decompress(data))
+    out = []
+    for kind, wide, raw in pickle.loads(zstandard.ZstdDecompressor().decompress(data)):
+        out.append(np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(wide, -1).T).ravel().view(kind))
+    return out
 
 
 def gaps(of: bytes) -> np.ndarray:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, chat_format, fingerprints, html_extract, lang_id, lm_score, mixing, ngram_join, secrets, sentencepiece_codec, whitening
+from . import ann, chat_format, fingerprints, html_extract, lang_id, lm_score, mixing, ngram_join, phrases, secrets, sentencepiece_codec, whitening
 from .common import table
 from .sql import ORACLE
 
@@ -51,6 +51,10 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine_phrases(table(spark, sf_dir, "documents"))
+
+
 def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score_documents(table(spark, sf_dir, "documents"))
 

@@ -41,4 +41,22 @@ SELECT s.doc_id, CAST(len(s.shingles) AS BIGINT) AS n_shingles, coalesce(m.compo
 FROM s LEFT JOIN c ON s.shingles = c.shingles LEFT JOIN m ON c.rep = m.a
 """
 
-ORACLE = {"op5_chat_formatting": OP5, "op8_ngram_jaccard": OP8}
+OP11 = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+p AS (SELECT lang, regexp_extract_all(unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w FROM d),
+n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM p GROUP BY lang),
+g AS (SELECT lang, unnest(list_transform(range(1, CAST(len(w) - k + 2 AS BIGINT)), lambda i: w[i:i + k - 1])) AS g FROM p, (VALUES (1), (2), (3), (4)) AS sizes(k) WHERE len(w) >= k),
+f AS (SELECT lang, g, count(*) AS f FROM g GROUP BY lang, g HAVING count(*) >= 30),
+c AS (SELECT lang, g, f AS a, unnest(range(1, CAST(len(g) AS BIGINT))) AS k FROM f WHERE len(g) > 1),
+s AS (SELECT c.lang, c.g, c.a, c.k, x.f AS l, y.f AS r, CAST(CAST(2000000 AS HUGEINT) * c.a // (x.f + y.f) AS BIGINT) AS score
+      FROM c JOIN f x ON x.lang = c.lang AND x.g = c.g[1:c.k] JOIN f y ON y.lang = c.lang AND y.g = c.g[c.k + 1:]),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+i AS (SELECT lang, a, g, unnest(range(2, CAST(len(g) AS BIGINT))) AS m FROM b WHERE len(g) > 2),
+j AS (SELECT lang, a, unnest(list_transform(range(1, CAST(len(g) - m + 2 AS BIGINT)), lambda z: g[z:z + m - 1])) AS g FROM i),
+o AS (SELECT lang, g, max(a) AS longer FROM j GROUP BY lang, g),
+k AS (SELECT b.lang, array_to_string(b.g, ' ') AS phrase, b.a, b.l, b.r, b.score FROM b LEFT JOIN o ON o.lang = b.lang AND o.g = b.g WHERE o.longer IS NULL OR CAST(100 AS HUGEINT) * o.longer < CAST(80 AS HUGEINT) * b.a)
+SELECT k.lang, row_number() OVER (PARTITION BY k.lang ORDER BY k.score DESC, k.a DESC, k.phrase) AS rank, k.phrase, k.a, k.l, k.r, n.n, k.score
+FROM k JOIN n ON n.lang = k.lang QUALIFY rank <= 2000
+"""
+
+ORACLE = {"op5_chat_formatting": OP5, "op8_ngram_jaccard": OP8, "op11_phrases": OP11}
