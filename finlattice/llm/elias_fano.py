@@ -120,12 +120,12 @@ class Trie:
         self.contexts, self.words, self.pointers, self.successors = (Sequence(*head, views[3 * i : 3 * i + 3]) for i, (head, _) in enumerate(sequences))
         self.codes, self.context_codes = views[12 : 12 + len(codes)], views[12 + len(codes) :]
 
-    def find(self, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places of contexts and of their successors, -1 where there is none."""
+    def find(self, context: np.ndarray, word: np.ndarray, owner: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of different contexts, and of the successors that are word ``of[i]`` after context ``owner[i]``; -1 where there is none."""
         c, w = self.contexts.find(context), self.words.find(word)
-        place = np.full(len(c), -1, np.int64)
-        both = np.flatnonzero((c >= 0) & (w >= 0))
-        place[both] = self.successors.find(c[both].astype(U64) * U64(max(self.n_words, 1)) + w[both].astype(U64))
+        place, head, tail = np.full(len(of), -1, np.int64), c[owner], w[of]
+        both = np.flatnonzero((head >= 0) & (tail >= 0))
+        place[both] = self.successors.find(head[both].astype(U64) * U64(max(self.n_words, 1)) + tail[both].astype(U64))
         return c, place
 
     def fanout(self, c: np.ndarray) -> np.ndarray:

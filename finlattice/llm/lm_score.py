@@ -32,6 +32,8 @@ BEGIN, END = U64(0x8BB84B93962EACC9), U64(0x4B33A62ED433D4A3)
 DISCOUNT, ADDED = 0.75, 0.1
 #: Codes hold -log10 of a probability in steps of 1 / STEPS; NONE is a probability of 0.
 STEPS, NONE = 4096, 65535
+#: Added to the level of answers that tell which n-grams may be contexts.
+OFTEN = 100
 
 
 def code(p: np.ndarray) -> np.ndarray:
@@ -111,17 +113,23 @@ class Grams:
         self.word = self.words[word]
         self.deal = list(dealt((mix64(self.context) % U64(self.shards)).astype(np.int64)))
 
-    def take(self, answers: dict[int, bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Probabilities and weights of the shorter context for each n-gram of the level; opens the next."""
-        alpha, gamma, often = (np.zeros(len(self.word), t) for t in (np.float64, np.float64, bool))
+    def codes(self, answers: dict[int, bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Probabilities and weights of the shorter context for each n-gram of the level."""
+        alpha, gamma = np.zeros(len(self.word)), np.zeros(len(self.word))
         for shard, at in self.deal:
-            a, g, o = unpack(answers[shard])
-            alpha[at], gamma[at], often[at] = value(a), value(g), o
+            a, g = unpack(answers[shard])
+            alpha[at], gamma[at] = value(a), value(g)
+        return alpha, gamma
+
+    def extend(self, answers: dict[int, bytes]) -> None:
+        """Opens the next level where the n-grams of this one are often enough."""
+        often = np.zeros(len(self.word), bool)
+        for shard, at in self.deal:
+            (often[at],) = unpack(answers[shard])
         node, may = np.zeros(len(self.at), np.int64), np.zeros(len(self.at), bool)
         node[self.tokens], may[self.tokens] = self.type, often[self.type]
         self.node, self.hashes = node, mix64(self.context * U64(0x9E3779B97F4A7C15) + self.word)
         self.open = np.concatenate(([False], may[:-1])) & self.predicted
-        return alpha, gamma
 
 
 def _ask_words(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
@@ -154,7 +162,7 @@ def _ask_grams(batches: Iterator[pa.RecordBatch], level: int, shards: int) -> It
         answers, grams = _by_level(rows[1:]), Grams(rows[0][3], shards)
         grams.climb()
         while grams.level < level:
-            grams.take(answers[grams.level])
+            grams.extend(answers[OFTEN + grams.level])
             grams.climb()
         for shard, at in grams.deal:
             context = grams.context[at]
@@ -162,11 +170,6 @@ def _ask_grams(batches: Iterator[pa.RecordBatch], level: int, shards: int) -> It
             yield cells([(chunk, level, shard, pack(context[new], np.diff(np.append(new, len(at))).astype(np.uint64), *indexed(grams.word[at]), grams.counts[at]))])
 
 
-def _grams_of(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    context, n, words, at, counts = unpack(data)
-    return np.repeat(context, n.astype(np.int64)), words[at], counts.astype(np.uint64)
-
-
 def build_trie(requests: list[bytes], min_context: int) -> Trie:
     """The shard's part of the model: codes of c - D over c(h), and whether an n-gram is often enough for a context; of contexts: codes of D over c(h)."""
     names = [unpack(r) for r in requests]
@@ -184,23 +187,25 @@ def build_trie(requests: list[bytes], min_context: int) -> Trie:
     return Trie(contexts, words, owner, word, [code((count - DISCOUNT) / whole[owner]), count >= min_context], [code(DISCOUNT / np.maximum(whole, 1)), whole > 0])
 
 
-def look_up(trie: Trie, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def look_up(trie: Trie, request: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Codes of each n-gram's probability and of the shorter context's weight, and whether it may be a context."""
-    c, at = trie.find(context, word)
+    context, n, word, of, _ = unpack(request)
+    owner = np.repeat(np.arange(len(context)), n.astype(np.int64))
+    c, at = trie.find(context, word, owner, of)
     known, hit = trie.context_codes[1][np.maximum(c, 0)] & (c >= 0), at >= 0
-    alpha, often = np.full(len(c), NONE, np.uint16), np.zeros(len(c), bool)
+    alpha, often = np.full(len(of), NONE, np.uint16), np.zeros(len(of), bool)
     alpha[hit], often[hit] = trie.codes[0][at[hit]], trie.codes[1][at[hit]]
     gamma = np.ones(len(c))
     gamma[known] = value(trie.context_codes[0][c[known]]) * trie.fanout(c[known])
-    return alpha, code(gamma), often
+    return alpha, code(gamma)[owner], often
 
 
 def _answer_grams(batches: Iterator[pa.RecordBatch], min_context: int) -> Iterator[pa.RecordBatch]:
     for shard, rows in grouped(batches, "shard"):
         trie = build_trie([r[3] for r in rows], min_context)
         for chunk, level, _, data in rows:
-            context, word, _ = _grams_of(data)
-            yield cells([(chunk, level, shard, pack(*look_up(trie, context, word)))])
+            alpha, gamma, often = look_up(trie, data)
+            yield cells([(chunk, level, shard, pack(alpha, gamma)), (chunk, OFTEN + level, shard, pack(often))])
 
 
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -217,8 +222,9 @@ def _score(batches: Iterator[pa.RecordBatch], order: int, shards: int, n_words:
         sums = [np.log10(p), counts[grams.at] > 0]
         while grams.level < order:
             grams.climb()
-            alpha, gamma = grams.take(answers.get(grams.level, {}))
+            alpha, gamma = grams.codes(answers.get(grams.level, {}))
             p[grams.tokens] = alpha[grams.type] + gamma[grams.type] * p[grams.tokens]
+            grams.extend(answers.get(OFTEN + grams.level, {}))
         sums.append(np.log10(p))
         base_score, n_known, score = (np.bincount(grams.doc[grams.predicted], x[grams.predicted], len(grams.doc_id)) for x in sums)
         n = len(grams.doc_id)
@@ -246,12 +252,13 @@ def score_texts(docs: DataFrame, order: int = 3, min_context: int = 4) -> DataFr
     found = durable(by_shard(asked, shards, _count_words), "counts")
     sums = [np.frombuffer(r[0], np.uint64) for r in found.where("chunk IS NULL").select("data").collect()]  # one row a shard
     n_words, n_all = (int(sum(int(s[i]) for s in sums)) for i in range(2))
-    answers = [found.where("chunk IS NOT NULL")]
+    told = []
     for level in range(2, order + 1):
-        asked = by_chunk([chunks, *answers[1:]], n_chunks, partial(_ask_grams, level=level, shards=shards))
-        answers.append(durable(by_shard(asked, shards, partial(_answer_grams, min_context=min_context)), "codes"))
+        asked = by_chunk([chunks, *(t.where(F.col("level") > OFTEN) for t in told)], n_chunks, partial(_ask_grams, level=level, shards=shards))
+        told.append(durable(by_shard(asked, shards, partial(_answer_grams, min_context=min_context)), "codes"))
+    answers = [found.where("chunk IS NOT NULL"), *told]
     scores = durable(by_chunk([chunks, *answers], n_chunks, partial(_score, order=order, shards=shards, n_words=n_words, n_all=n_all), SCORES), "scores")
-    release(chunks, found, *answers[1:])
+    release(chunks, found, *told)
     return scores
 
 

@@ -99,11 +99,11 @@ def test_trie_is_compact_and_normalised():
     owner, word = pairs // len(words), pairs % len(words)
     trie = Trie(contexts, words, owner, word, [np.zeros(len(pairs), np.uint16)], [])
     assert trie.bytes < 6 * len(pairs) + 16 * (len(contexts) + len(words))
-    c, at = trie.find(contexts[owner], words[word])
-    assert np.array_equal(c, owner) and np.array_equal(at, np.arange(len(pairs)))
+    c, at = trie.find(contexts, words, owner, word)
+    assert np.array_equal(c, np.arange(len(contexts))) and np.array_equal(at, np.arange(len(pairs)))
     assert trie.fanout(np.arange(len(contexts))).sum() == len(pairs)
-    assert (trie.find(contexts[:5], np.full(5, 12345, np.uint64))[1] == -1).all()
-    context, count = np.repeat(contexts[:1], 50), rng.integers(1, 100, 50).astype(np.uint64)
+    assert (trie.find(contexts[:5], np.full(1, 12345, np.uint64), np.arange(5), np.zeros(5, np.int64))[1] == -1).all()
+    count = rng.integers(1, 100, 50).astype(np.uint64)
     request = lm_score.pack(contexts[:1], np.array([50], np.uint64), np.sort(words[:50]), np.arange(50, dtype=np.uint32), count)
-    alpha, gamma, _ = lm_score.look_up(lm_score.build_trie([request], 2), context, words[:50])
+    alpha, gamma, _ = lm_score.look_up(lm_score.build_trie([request], 2), request)
     assert abs(lm_score.value(alpha).sum() + lm_score.value(gamma)[0] - 1) < 1e-3
