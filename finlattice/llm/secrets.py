@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .common import pieces
 
@@ -41,13 +42,15 @@ _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 #: Base64 over several lines; its last line may be short.
 _WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+(?:\r?\n[A-Za-z0-9+/_-]{16,}+)*\r?\n[A-Za-z0-9+/_-]+={0,2}")
 _LINE = re.compile(r"[A-Za-z0-9+/_-]+")
-#: In bytes decoded from base64 of unknown start: text that may hold a finding (12 characters at least), and beginnings of compressed data.
-_STRETCH = re.compile(rb"[\t\n\r\x20-\x7e]{12,}")
+#: In bytes decoded from base64 of unknown start: text that may hold a finding (12 characters at least, of one byte or of two), and beginnings of compressed data.
+_STRETCH = re.compile(rb"[\t\n\r\x20-\x7e]{12,}|(?:[\t\n\r\x20-\x7e]\0){12,}|(?:\0[\t\n\r\x20-\x7e]){12,}")
+#: ASCII in two bytes.
+_WIDE = re.compile(r"(?:[\t\n\r\x20-\x7e]\0){12,}|(?:\0[\t\n\r\x20-\x7e]){12,}")
 _MAGIC = re.compile(rb"\x1f\x8b\x08|BZh[1-9]|\xfd7zXZ\x00|x[\x01\x5e\x9c\xda]")
 _HEX_DIGITS = frozenset("0123456789abcdefABCDEF")
 #: What may hold a finding or a layer; other texts (RE2 tells them apart a batch at a time) need no scan.
 _ANY = r"(?i:password|passwd|secret|token|api_?key)|AKIA|[0-9a-f]{24}|%[0-9A-Fa-f]{2}|\\[uUx]|&#|[A-Za-z0-9+/_-]{16}"
-#: Layers of escapes below escapes that are opened one by one; deeper nests are undone at once.
+#: Layers of escapes below escapes that are opened one by one; deeper nests are undone at once: what only a layer between shows (a secret that the next escape cuts up) isn't found there.
 MAX_STEPS = 6
 #: An escape that ends with the text so far.
 _ESCAPE_END = re.compile(r"%[0-9A-Fa-f]{2}\Z|\\u[0-9A-Fa-f]{4}\Z|\\u\{[0-9A-Fa-f]{1,6}\}\Z|\\U[0-9A-Fa-f]{8}\Z|\\x[0-9A-Fa-f]{2}\Z|&#[xX][0-9A-Fa-f]{1,6};\Z|&#[0-9]{1,7};\Z")
@@ -187,27 +190,25 @@ def _inflated(data: bytes, size: int, left: list[int] | None = None) -> Iterator
         return
 
 
-def inflate(data: bytes) -> tuple[bytes | None, bool, int]:
-    """Compressed data opened, all members of it, whether it is too large for one layer, and the bytes it takes."""
-    out, n, left = [], 0, [0]
+def inflate(data: bytes | memoryview) -> tuple[bytes | None, bool, int, bool]:
+    """Compressed data opened, all members of it, whether it is too large for one layer, the bytes it takes, and whether a member came to its checked end."""
+    out, n, left = [], 0, []
     for chunk in _inflated(data, MAX_LAYER + 1, left):
         out.append(chunk)
         n += len(chunk)
         if n > MAX_LAYER:
-            return None, True, len(data)
-    return (b"".join(out), False, len(data) - left[-1]) if out else (None, False, len(data))
+            return None, True, len(data), bool(left)
+    used = len(data) - left[-1] if left else len(data)
+    return b"".join(out) if out else None, False, used, bool(left)
 
 
-def _bytes_pieces(data: bytes, a: int, width: int) -> list[tuple[int, int, str]] | None:
-    """Escaped bytes as pieces, one for each character they make."""
-    try:
-        text = data.decode()
-    except UnicodeDecodeError:
-        return None
+def _bytes_pieces(data: bytes, a: int, width: int) -> list[tuple[int, int, str]]:
+    """Escaped bytes as pieces, one for each character they make; a byte that isn't UTF-8 is a character of its own."""
     out, at = [], a
-    for c in text:
-        n = width * len(c.encode())
-        out.append((at, at + n, c))
+    for c in data.decode(errors="surrogateescape"):
+        lone = "\udc80" <= c <= "\udcff"
+        n = width if lone else width * len(c.encode())
+        out.append((at, at + n, chr(ord(c) - 0xDC00) if lone else c))
         at += n
     return out
 
@@ -231,21 +232,68 @@ class _Opened:
         self.streams: list[Iterator[Layer]] = []
         self.too_large = 0
 
-    def blob(self, layer: Layer, a: int, b: int, data: bytes | memoryview, end: Callable[[int], int] | None = None) -> bool:
-        """Opens decoded bytes of the span a:b that are text or compressed text; ``end`` tells b by the bytes that are used of compressed text."""
-        raw, large, used = inflate(data)
+    def blob(self, layer: Layer, a: int, b: int, data: bytes | memoryview, end: Callable[[int], int] | None = None, sure: bool = True) -> bool:
+        """Opens decoded bytes of the span a:b that are text or compressed; ``end`` tells b by the bytes that are used of compressed data.
+
+        Compressed data may hold anything, compressed data too: whatever is below is opened until nothing is compressed. ``sure``: the data's beginning is known;
+        else compressed data must come to its checked end, or be text, to be no chance likeness.
+        """
+        raw, large, used, ended = inflate(data)
         if end:
             b = end(used)
+        span = layer.origin(a, b)
         if large:
-            self.too_large += 1
-            self.streams.append(_windows(data, *layer.origin(a, b)))
+            self._large(data, *span)
+            return True
+        if raw is not None:
+            if not (sure or ended or _readable(raw)):
+                return False
+            self._inside(raw, *span)
             return True
-        text = _readable(raw if raw is not None else b"" if end else data)
+        text = None if end else _readable(data)
         if text is None:
             return False
-        self.layers.append(_spread(text, *layer.origin(a, b)))
+        self.layers.append(_spread(text, *span))
         return True
 
+    def _large(self, data: bytes | memoryview, s: int, e: int) -> None:
+        self.too_large += 1
+        self.streams.append(_windows(data, s, e))
+
+    def _inside(self, data: bytes, s: int, e: int) -> None:
+        """The layers of decompressed bytes, all of one origin: as text whatever they are, and what compressed data in them holds."""
+        seen, stack = set(), [data]
+        while stack:
+            data = stack.pop()
+            if (mark := hashlib.sha256(data).digest()) in seen:
+                continue
+            seen.add(mark)
+            try:
+                self._text(data.decode(), s, e)
+                if not data.startswith(b"BZh"):  # of all magics, the only one that is UTF-8
+                    continue
+            except UnicodeDecodeError:
+                pass
+            view, after, whole = memoryview(data), 0, False
+            for m in _MAGIC.finditer(data):
+                if m.start() < after:
+                    continue
+                raw, large, used, ended = inflate(view[m.start() :])
+                if large:
+                    self._large(view[m.start() :], s, e)
+                elif raw is not None and (ended or m.start() == 0 or _readable(raw)):
+                    stack.append(raw)
+                    if ended:
+                        after = m.start() + used
+                        whole = m.start() == 0 and after == len(data)
+            if not whole:
+                self._text(data.decode("latin-1"), s, e)
+
+    def _text(self, text: str, s: int, e: int) -> None:
+        self.layers.append(_spread(text, s, e))
+        if "\0" in text:
+            self.layers += [_spread(m[0].replace("\0", ""), s, e) for m in _WIDE.finditer(text)]
+
     def parts(self, layer: Layer, at: np.ndarray, body: str, whole: bool) -> None:
         """Opens what any of the four alignments of a base64 run holds; ``at``: the places of its characters.
 
@@ -258,13 +306,27 @@ class _Opened:
             view = memoryview(data)  # a slice copies nothing
             for m in _STRETCH.finditer(data):
                 a, b = off + m.start() // 3 * 4, min(off + -(-m.end() // 3) * 4, len(body))
-                self.layers.append(_spread(m[0].decode(), *layer.origin(int(at[a]), int(at[b - 1]) + 1)))
+                self.layers.append(_spread(m[0].replace(b"\0", b"").decode(), *layer.origin(int(at[a]), int(at[b - 1]) + 1)))
             for m in _MAGIC.finditer(data):
 
                 def end(used: int, off: int = off, first: int = m.start()) -> int:
                     return int(at[min(off + -(-(first + used) // 3) * 4, len(body)) - 1]) + 1
 
-                self.blob(layer, int(at[off + m.start() // 3 * 4]), 0, view[m.start() :], end)
+                self.blob(layer, int(at[off + m.start() // 3 * 4]), 0, view[m.start() :], end, False)
+
+    def escaped(self, layer: Layer, a: int, width: int, data: bytes) -> list[tuple[int, int, str]]:
+        """Pieces for a run of escaped bytes; compressed data in it is opened."""
+        after = 0
+        for m in _MAGIC.finditer(data):
+            first, took = m.start(), []
+
+            def end(used: int, first: int = first, took: list[int] = took) -> int:
+                took.append(first + used)
+                return a + width * (first + used)
+
+            if first >= after and self.blob(layer, a + width * first, 0, data[first:], end, first == 0):
+                after = took[0]
+        return _bytes_pieces(data, a, width)
 
 
 def _code_point(value: int) -> str | None:
@@ -280,23 +342,14 @@ def unwrap(layer: Layer) -> _Opened:
     if "%" in text and layer.steps < MAX_STEPS:
         pieces = []
         for m in _URL.finditer(text):
-            data = bytes.fromhex(m[0].replace("%", ""))
-            found = _bytes_pieces(data, m.start(), 3)
-            if found is None:
-                out.blob(layer, m.start(), m.end(), data)
-            else:
-                pieces += found
+            pieces += out.escaped(layer, m.start(), 3, bytes.fromhex(m[0].replace("%", "")))
         if pieces:
             out.layers.append(_joined(layer, pieces))
     if ("\\" in text or "&#" in text) and layer.steps < MAX_STEPS:
         pieces, high = [], None
         for m in _UNICODE.finditer(text):
             if m[4]:
-                data = bytes.fromhex(m[4].replace("\\x", ""))
-                found = _bytes_pieces(data, m.start(), 4)
-                if found is None and not out.blob(layer, m.start(), m.end(), data):
-                    found = [(m.start() + 4 * i, m.start() + 4 * i + 4, chr(c)) for i, c in enumerate(data)]
-                pieces += found or []
+                pieces += out.escaped(layer, m.start(), 4, bytes.fromhex(m[4].replace("\\x", "")))
                 continue
             value = int(m[1] or m[2] or m[3] or m[5] or "0", 16) or int(m[6] or 0)
             if m[2] and 0xD800 <= value < 0xDC00:
@@ -383,7 +436,7 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
     Null and empty texts have no findings: zero counts, an empty ``spans`` and the digest of nothing. Spans
     that several layers report are given once. ``n_layers`` counts decoded layers.
     """
-    return docs.select("doc_id", "text").mapInArrow(_scan_batches, _SCHEMA)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_scan_batches, _SCHEMA)
 
 
 def _mask_batches(batches: Iterator[pa.RecordBatch], mark: str) -> Iterator[pa.RecordBatch]:
