@@ -3,7 +3,7 @@
 Each page's containers are scored by the text in them that is neither boilerplate nor link text; the page's best one is
 described by its generalised path (tags with classes, digits made alike). In Spark the paths of a host's pages are
 voted on, weighted by that text, and every page is extracted again by its host's winning path. A page that
-has no text there falls back to its own best container.
+has no text there, or little beside its own best container, falls back to that.
 """
 
 from __future__ import annotations
@@ -37,6 +37,10 @@ NO_TEXT = frozenset("script style noscript template iframe textarea title select
 SIGNS = frozenset("h1 article main".split())
 #: Words that often tell how a wrapper is laid out, and not what it holds.
 LAYOUT_WORDS = frozenset("nav navbar menu header masthead topbar footer sidebar aside toolbar widget widgets search skip social share sharing hidden overlay modal ad ads promo related notice signup login".split())
+#: Elements of running text: inside the article a class word alone doesn't condemn them.
+TEXT_TAGS = frozenset("p h2 h3 h4 h5 h6 blockquote ul ol dl table pre figure span em strong b i".split())
+#: What heads an entry of a thread: who wrote it, and when.
+HEAD_TAGS, HEAD_WORDS = frozenset(("time", "cite")), frozenset("author user username nick nickname name avatar date time datetime timestamp byline posted poster meta by".split())
 #: What ends by implication: kind -> (tags that end, tags that bound the search).
 SCOPES = {
     "p": ({"p"}, {"table", "button"}), "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}),
@@ -50,6 +54,9 @@ for _kind, (_ends, _bounds) in SCOPES.items():
 
 _TOKEN = re.compile(r"""<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^<>"']+|"[^"]*"|'[^']*')*+)>|<(/?)([A-Za-z][A-Za-z0-9:-]*)([^<>]*)>""", re.S)
 _ATTR = re.compile(r"""([A-Za-z_:][\w:.-]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+#: Characters outside the host's path that make it doubtful; less is a line or two beside a short article.
+ARTICLE = 200
+_NUMBERED = re.compile(r"[-_]*#+(?=\.|$)")
 _DIGITS = re.compile(r"\d+")
 _PART = re.compile(r"[-_\s]+")
 
@@ -62,6 +69,10 @@ class Node:
     parent: int
     #: 0, or condemned: 1 by a layout word, 2 by another word, role or attribute, 3 by its tag for good.
     bad: int
+    #: Condemned by a class word only, as an element of running text.
+    weak: bool = False
+    #: Names an author or a time.
+    head: bool = False
     #: Condemned itself or below such an element.
     boiler: bool = False
     chars: int = 0
@@ -167,7 +178,10 @@ def parse(source: str) -> Page:
         given = m[3] or m[6] or ""
         attrs = {a.lower(): b or c or d or "" for a, b, c, d in _ATTR.findall(given)} if given.strip(" /") else {}
         classes = ".".join(sorted(_DIGITS.sub("#", c.lower()) for c in attrs.get("class", "").replace(">", "#").split()))
-        page.nodes.append(Node(tag, f">{tag}.{classes}" if classes else f">{tag}", now.stack[-1], _condemned(tag, attrs)))
+        bad = _condemned(tag, attrs)
+        weak = bad > 0 and tag in TEXT_TAGS and not _condemned(tag, {k: v for k, v in attrs.items() if k not in ("class", "id")})
+        head = tag in HEAD_TAGS or not HEAD_WORDS.isdisjoint(_PART.split(f"{attrs.get('class', '')} {attrs.get('itemprop', '')}".lower()))
+        page.nodes.append(Node(tag, f">{tag}.{classes}" if classes else f">{tag}", now.stack[-1], bad, weak, head))
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(source, at)
             at = end.end() if end else len(source)
@@ -176,10 +190,78 @@ def parse(source: str) -> Page:
             continue
         now.push(len(page.nodes) - 1)
     text(source[at:])
+    _acquit_text(page)
     _judge(page)
+    _condemn_threads(page)
     return page
 
 
+def _acquit_text(page: Page) -> None:
+    """Acquits elements of running text that only a class word condemned, inside article or main or the smallest container with over half of the page's text.
+
+    They need a second sign to stay condemned: mostly links, or neither a heading nor a sentence (a label such as an advert's).
+    """
+    nodes, n = page.nodes, len(page.nodes)
+    if not any(x.weak for x in nodes):
+        return
+    size, links, none = [0] * n, [0] * n, bytearray(n)
+    last: dict[int, str] = {}
+    for i in range(1, n):
+        none[i] = none[nodes[i].parent] or nodes[i].tag in NO_TEXT
+    for i, _, text, link in page.runs:
+        if not none[i] and (t := text.strip()):
+            (links if link else size)[i] += len(t)
+            j = i
+            while j > 0 and not nodes[j].weak:
+                j = nodes[j].parent
+            if j > 0 and not link and (t[-1] in ".!?…:;\"”»" or ". " in t):
+                last[j] = t
+    for i in range(n - 1, 0, -1):
+        size[nodes[i].parent] += size[i]
+        links[nodes[i].parent] += links[i]
+    at = max((i for i in range(n) if nodes[i].tag in CONTAINER and nodes[i].tag != "body" and 2 * size[i] > size[0]), default=0)
+    inside = bytearray(n)
+    for i in range(1, n):
+        inside[i] = inside[nodes[i].parent] or i == at or nodes[i].tag in ("article", "main")
+        if nodes[i].weak and inside[i] and size[i] > links[i] and (nodes[i].tag in HEADING or i in last or size[i] >= 60):
+            nodes[i].bad = 0
+
+
+def _condemn_threads(page: Page) -> None:
+    """Condemns threads of readers' entries whatever their class: alike siblings, each with an author or a time, after the article and smaller than it."""
+    nodes, n = page.nodes, len(page.nodes)
+    own, before = [0] * n, [0] * n
+    seen = 0
+    heads = [x.head for x in nodes]
+    entered = bytearray(n)
+    for i, _, text, link in page.runs:
+        j = i
+        while j > 0 and not entered[j]:
+            entered[j], before[j] = 1, seen
+            j = nodes[j].parent
+        if not nodes[i].boiler and not link:
+            seen += len(text.strip())
+            own[i] += len(text.strip())
+    for i in range(n - 1, 0, -1):
+        own[nodes[i].parent] += own[i]
+        heads[nodes[i].parent] |= heads[i]
+    alike: dict[tuple[int, str], list[int]] = {}
+    for i in range(1, n):
+        if nodes[i].tag in ("div", "li", "article", "section", "tr", "blockquote", "dd") and own[i] and not nodes[i].boiler:
+            alike.setdefault((nodes[i].parent, nodes[i].step), []).append(i)
+    bad = bytearray(n)
+    for (up, _), entries in alike.items():
+        if len(entries) < 2 or up == 0 or nodes[up].tag in KEPT_TAGS or not all(heads[i] for i in entries):
+            continue
+        text = sum(own[i] for i in entries)
+        # nearly all of the container, and over half of the page's text before it
+        if 5 * text >= 4 * own[up] and 2 * before[up] > seen:
+            bad[up] = 1
+    for i in range(1, n):
+        bad[i] |= bad[nodes[i].parent]
+        nodes[i].boiler |= bool(bad[i])
+
+
 def _judge(page: Page) -> None:
     """Acquits condemned elements that hold the article all the same, and marks the others and what is below them.
 
@@ -285,12 +367,13 @@ def main_text(page: Page, roots: set[int]) -> str:
 
 
 def _at_path(page: Page, path: str) -> set[int]:
-    """Elements at a path. Of several at a path that ends without class, only those with at least half the text of the largest."""
+    """Elements at a path; its last step's classes may have other numbers, or none. Of several at a path that ends without class, only those with at least half the text of the largest."""
     steps, level, found = [f">{x}" for x in path.split(">")[1:]], [0] * len(page.nodes), []
+    end = _NUMBERED.sub("", steps[-1]) if steps else ""
     for i in range(1, len(page.nodes)):
         node = page.nodes[i]
         up = level[node.parent]
-        if 0 <= up < len(steps) and node.step == steps[up] and not node.boiler:
+        if 0 <= up < len(steps) and not node.boiler and (node.step == steps[up] or up + 1 == len(steps) and _NUMBERED.sub("", node.step) == end):
             level[i] = up + 1
             if up + 1 == len(steps):
                 found.append(i)
@@ -303,11 +386,13 @@ def _at_path(page: Page, path: str) -> set[int]:
 
 
 def extract(source: str, path: str | None) -> str:
-    """The main text of a page by a path, or by its own best container where the path has none."""
+    """The main text of a page by a path, or by its own best container where the path has less than a third of that one's text and ARTICLE characters are missing."""
     page = parse(source)
     best, _ = best_container(page)
+    own = main_text(page, {best})
     roots = _at_path(page, path) if path else set()
-    return (main_text(page, roots) if roots else "") or main_text(page, {best})
+    text = main_text(page, roots) if roots else ""
+    return text if text and (3 * len(text) >= len(own) or len(own) - len(text) < ARTICLE) else own
 
 
 def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -350,4 +435,4 @@ def extract_pages(pages: DataFrame, broadcast_rows: int = 20_000, broadcast_byte
     n, size = winners.agg(F.count("*"), F.coalesce(F.sum(F.length("host") + F.length("path")), F.lit(0))).first()
     winners = F.broadcast(winners) if n <= broadcast_rows and 4 * size <= broadcast_bytes else winners
     rows = pages.select("page_id", "url", "html", host().alias("host")).join(winners, "host", "left")
-    return rows.select("page_id", "url", "html", "path").mapInArrow(_extract, "page_id long, url string, text string, n_chars long")
+    return rows.select(F.col("page_id").cast("long"), "url", "html", "path").mapInArrow(_extract, "page_id long, url string, text string, n_chars long")

@@ -1,6 +1,9 @@
 import html
 import re
 
+import pytest
+
+from finlattice.llm import html_extract
 from finlattice.llm.html_extract import extract, extract_pages, host_paths, parse
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="</p><article>";</script></head><body class="has-sidebar">
@@ -104,3 +107,48 @@ def test_deep_and_broken_pages_take_time_in_proportion():
     assert extract("<p><table>" + "<div>" * deep + "text", None) == "text"
     assert extract("<a " * deep + "<p>text", None).endswith("text")
     assert extract("</b>" * deep + "<b>" * deep + "</i>" * deep + "text", None) == "text"
+
+
+ARTICLE = "<p>First paragraph of the story, long enough to count as one of its own.</p><p>Second paragraph of the story, which goes on for a while yet.</p>"
+CLASSES = "related notice search ad promo overlay hidden-xs social widget-title header-text banner-text share comment reply-quote sponsor-name".split()
+
+
+@pytest.mark.parametrize("word", CLASSES)
+@pytest.mark.parametrize("around", ["article", "div class='story'"])
+def test_class_words_inside_the_article(word, around):
+    source = f"<body><nav>Menu one two</nav><{around}><h1>Title</h1>{ARTICLE}<p class='{word}'>A paragraph that belongs to it.</p><h2 class='{word}'>A heading</h2></{around.split()[0]}></body>"
+    for path in (None, html_extract.parse(source).path(html_extract.best_container(html_extract.parse(source))[0])):
+        text = html_extract.extract(source, path)
+        assert "A paragraph that belongs to it." in text and "A heading" in text and "Menu" not in text
+    links = source.replace("A paragraph that belongs to it.", "<a href=x>Other story</a> <a href=y>One more</a>")
+    assert "Other story" not in html_extract.extract(links, None)
+    assert "Advertisement" not in html_extract.extract(source.replace("A paragraph that belongs to it.", "Advertisement"), None)
+
+
+LONG = " ".join(f"Sentence number {i} of the long article." for i in range(40))
+
+
+@pytest.mark.parametrize(
+    "odd",
+    [
+        f"<div class='story'><p>Short teaser only.</p></div><div class='longread'><p>{LONG}</p></div>",
+        f"<div class='story'><p>Short teaser only.</p></div><div class='wrap'><div class='story'><p>{LONG}</p></div></div>",
+        f"<div class='story'><p>{LONG}</p></div><div class='story-2'><p>The second part of it.</p></div>",
+    ],
+)
+def test_teasers_and_parts(spark, odd):
+    rows = [(i, "http://h.example/x", f"<body><div class='story'><h1>T{i}</h1>{ARTICLE}</div></body>") for i in range(20)] + [(99, "http://h.example/y", f"<body>{odd}</body>")]
+    text = {r.page_id: r.text for r in html_extract.extract_pages(spark.createDataFrame(rows, "page_id int, url string, html string")).collect()}
+    assert LONG in text[99] and ("second part" in text[99]) == ("story-2" in odd)
+    assert all("First paragraph" in text[i] for i in range(20))
+
+
+@pytest.mark.parametrize("word", ["discussion", "reader-responses", "feedback", "opinions", "x1"])
+def test_readers_comments_by_structure(word):
+    entry = "<div class='entry'><span class='author'>Ann</span> <time>May 1</time><p>I think so too, and more than that.</p></div>"
+    source = f"<body><div class='story'><h1>Title</h1>{ARTICLE * 2}<div class='{word}'>{entry * 3}</div></div></body>"
+    text = html_extract.extract(source, None)
+    assert "I think so too" not in text and "Second paragraph" in text
+    # a live report is made of such entries itself
+    report = f"<body><div class='story'><h1>Title</h1><div class='updates'>{entry * 9}</div></div></body>"
+    assert "I think so too" in html_extract.extract(report, None)
