@@ -22,6 +22,7 @@ import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 MARK = "\u2581"
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -242,7 +243,7 @@ def sentencepiece_encode(docs: DataFrame, model_path: str = DEFAULT_MODEL, name:
     texts that hold the word mark U+2581 itself don't, as the vocabulary writes spaces with it.
     """
     model = docs.sparkSession.sparkContext.broadcast(read_model(model_path))
-    return docs.select("doc_id", "text").mapInArrow(lambda b: _pieces(b, model, name), f"doc_id long, {name} array<int>, n_pieces long, round_trip boolean")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lambda b: _pieces(b, model, name), f"doc_id long, {name} array<int>, n_pieces long, round_trip boolean")
 
 
 def _texts(batches: Iterator[pa.RecordBatch], model: object) -> Iterator[pa.RecordBatch]:
@@ -254,7 +255,7 @@ def _texts(batches: Iterator[pa.RecordBatch], model: object) -> Iterator[pa.Reco
 def sentencepiece_decode(encoded: DataFrame, model_path: str = DEFAULT_MODEL, name: str = "piece_ids") -> DataFrame:
     """``(doc_id, text)`` of rows with piece ids; null and empty lists give empty texts."""
     model = encoded.sparkSession.sparkContext.broadcast(read_model(model_path))
-    return encoded.select("doc_id", name).mapInArrow(lambda b: _texts(b, model), "doc_id long, text string")
+    return encoded.select(F.col("doc_id").cast("long"), name).mapInArrow(lambda b: _texts(b, model), "doc_id long, text string")
 
 
 def _counts(batches: Iterator[pa.RecordBatch], model: object) -> Iterator[pa.RecordBatch]:
@@ -272,4 +273,4 @@ def count_tokens(docs: DataFrame, model_path: str = DEFAULT_MODEL) -> DataFrame:
     Null and empty texts have 0 tokens and a score of 0.0.
     """
     model = docs.sparkSession.sparkContext.broadcast(read_model(model_path))
-    return docs.select("doc_id", "text").mapInArrow(lambda b: _counts(b, model), "doc_id long, n_tokens long, best_score double")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lambda b: _counts(b, model), "doc_id long, n_tokens long, best_score double")
