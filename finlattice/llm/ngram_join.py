@@ -336,12 +336,18 @@ def text_hash() -> Column:
     return F.xxhash64(F.coalesce("text", F.lit("")))
 
 
+def row_key() -> list[Column]:
+    """Columns that rows of one doc_id (or none) and one text share."""
+    return [F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("h")]
+
+
 def similarity_labels(docs: DataFrame, k: int, num: int, den: int, keys_of: Callable[[np.ndarray], np.ndarray] | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """``(doc_id, n_shingles, label)`` of every row of ``docs``, and its ``keep`` columns (of type long).
 
     Rows of one component have one label, whatever their doc_id; rows without shingles have none.
     """
     n_parts = parts(docs.sparkSession)
+    docs = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
     rows, docs = docs.select("doc_id", "text", *keep), docs.select("doc_id", "text")
     least = -(-num // (den - num))  # smaller sets link with equal sets only
     keys_of = keys_of or partial(group_keys, num=num, den=den)
@@ -350,23 +356,21 @@ def similarity_labels(docs: DataFrame, k: int, num: int, den: int, keys_of: Call
     keyed = docs.select("text").mapInArrow(partial(_emit, k=k, keys_of=keys_of, least=least), "key long, sid long, hub long")
     stars = keyed.repartition(n_parts, "key").sortWithinPartitions("key", "sid").mapInArrow(_stars, "a long, b long")
     alone, nodes = nodes.where("sid IS NULL"), nodes.where("sid IS NOT NULL")
-    # a set's text is found again by its smallest doc_id (null last) and a hash of it
-    rep = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "h")).alias("rep")
-    reps = nodes.groupBy("sid").agg(rep, F.min("n_shingles").alias("n")).select("sid", "n", F.col("rep.doc_id").alias("rep"), F.col("rep.h").alias("rep_h"))
+    # A set's text is found again by its smallest doc_id (null last) and a hash of it. Rows of one set become one here, as do rows of one id and
+    # text below, before the shuffle where they meet: any number of equal rows is one node.
+    first = F.min(F.struct(*row_key(), "n_shingles", "point")).alias("rep")
+    reps = nodes.groupBy("sid").agg(first).select("sid", F.col("rep.n_shingles").alias("n"), "rep.no_id", "rep.id", "rep.h", F.col("rep.point").alias("data"))
 
-    def members(edges: DataFrame, name: str) -> DataFrame:
+    def members(edges: DataFrame, of: DataFrame, name: str) -> DataFrame:
         comp = components(edges).select(F.col("node").alias("sid"), F.col("label").alias("comp"))
         comp = durable(comp.unionByName(comp.select(F.col("comp").alias("sid"), "comp").distinct()), f"{name}-components")
-        return durable(comp.join(reps, "sid"), name)
+        return durable(comp.join(of, "sid"), name)
 
-    near = members(stars, "candidates")
-    points = nodes.select("sid", "doc_id", "h", F.col("point").alias("data"))
-    # on all three, as many rows may have one set
-    rows = near.join(points, (near["sid"] == points["sid"]) & near["rep_h"].eqNullSafe(points["h"]) & near["rep"].eqNullSafe(points["doc_id"])).select("comp", near["sid"], "n", "data")
-    near = members(_connected(rows, POINT_TILE, num, den, False, "points"), "bounded")
+    near = members(stars, reps, "candidates")
+    bounded = members(_connected(near.select("comp", "sid", "n", "data"), POINT_TILE, num, den, False, "points"), near.drop("comp", "data"), "bounded")
     # a shuffle join at every size, as members grow with the documents
-    hashed = docs.withColumn("h", text_hash())
-    texts = near.hint("merge").join(hashed, (F.col("rep_h") == F.col("h")) & F.col("rep").eqNullSafe(F.col("doc_id"))).select("comp", "sid", "n", "text")
+    texts = docs.withColumn("h", text_hash()).groupBy(*row_key()).agg(F.first("text").alias("text"))
+    texts = bounded.hint("merge").join(texts, ["no_id", "id", "h"]).select("comp", "sid", "n", "text")
     sets = texts.mapInArrow(partial(_with_sets, k=k), "comp long, sid long, n long, data binary")
     links = _connected(sets, TILE, num, den, True, "sets")
     label = components(links).withColumnRenamed("node", "sid")

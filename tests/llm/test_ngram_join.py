@@ -5,6 +5,7 @@ import duckdb
 import numpy as np
 import pytest
 
+from finlattice.llm import ngram_join
 from finlattice.llm.components import components, forest
 from finlattice.llm.fingerprints import near_duplicates
 from finlattice.llm.ngram_join import CountTree, group_keys, ngram_jaccard_join, point, similarity_components
@@ -167,3 +168,21 @@ def test_join_equals_sql(spark):
     con.sql(f"CREATE VIEW documents AS SELECT * FROM '{path}'")
     got = ngram_jaccard_join(spark.read.parquet(path)).select("doc_id", "n_shingles", "component_id").collect()
     assert sorted(map(tuple, got)) == sorted(con.sql(OP8).fetchall())
+
+
+def test_many_equal_rows_are_one_node(spark, monkeypatch):
+    tiled = []
+    of = ngram_join._tiled
+
+    def counted(rows, *args, **kwargs):
+        tiled.append(rows.count())
+        return of(rows, *args, **kwargs)
+
+    monkeypatch.setattr(ngram_join, "_tiled", counted)
+    words = [f"w{i}" for i in range(200)]
+    near = " ".join([*words[:199], "other"])
+    rows = [(None, " ".join(words))] * 20_000 + [(1, near), (2, "nothing like it at all"), (7, near), (7, near)]
+    frame = spark.createDataFrame(rows, "doc_id int, text string").repartition(8)
+    got = ngram_jaccard_join(frame).groupBy("doc_id", "component_id").count().collect()
+    assert sorted(((r.doc_id or 0), r.component_id, r["count"]) for r in got) == [(0, 1, 20_000), (1, 1, 1), (2, 2, 1), (7, 1, 2)]
+    assert max(tiled) == 2
