@@ -24,7 +24,7 @@ def query(name: str, sql: str | None = None) -> Callable:
 
 def _load() -> None:
     """The modules that register queries."""
-    from . import audit, corpus, reports, statements  # noqa: F401
+    from . import audit, corpus, reports, statements, strategy  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
