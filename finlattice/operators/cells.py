@@ -10,12 +10,11 @@ from ..functions.expr import number, trimmed
 FILE = "file"
 
 
-def parse_cells(files: DataFrame) -> DataFrame:
-    """Long cells of the pipe tables in ``files`` (file, text; other columns are carried along).
+def tables(files: DataFrame) -> DataFrame:
+    """``files`` (file, text; others are carried along) with their pipe table in place of the text: unit_type, head, rows.
 
-    Returns file, unit_type, row_no, source_item, canonical, ref, col_no (from 0), col_header, raw. Rows after the header
-    (the line with Canonical in it) are read, separators are skipped, empty middle cells are kept, bold marks go,
-    short rows are padded by nulls. Files that start with ``PAGE_ERROR:`` give no cells; see ``page_errors``.
+    ``head``: the cells of the first line with Canonical in it; ``rows``: row_no and cells of the lines below it. Separators are skipped, empty middle cells are kept, bold marks
+    go. Both are null for files without such a line. All of it happens in the file's own row: its lines are parsed once, and nothing is joined or moved.
     """
     unit = F.lower(F.regexp_extract("text", r"(?m)^\s*UNIT_TYPE:\s*(.+?)\s*$", 1))
     extra = [c for c in files.columns if c not in (FILE, "text", "unit_type")]
@@ -23,20 +22,33 @@ def parse_cells(files: DataFrame) -> DataFrame:
     lines = F.transform(F.split("text", "\n"), lambda x, i: F.struct(i.alias("row_no"), trimmed(x).alias("line")))
     table = F.filter(lines, lambda r: r["line"].startswith("|") & ~r["line"].rlike(r"^[|\s:-]+$"))
     rows = F.transform(table, lambda r: F.struct(r["row_no"].alias("row_no"), split(r["line"]).alias("cells")))
-    parsed = files.where(~trimmed(F.col("text")).startswith("PAGE_ERROR:")).select(FILE, *extra, F.when(unit != "", unit).alias("unit_type"), rows.alias("rows"))
+    parsed = files.select(FILE, *extra, F.when(unit != "", unit).alias("unit_type"), rows.alias("rows"))
     first = F.get(F.filter("rows", lambda r: F.exists(r["cells"], lambda c: F.lower(c) == "canonical")), F.lit(0))
     headed = parsed.withColumn("first", first).withColumns({"head": F.col("first")["cells"], "head_row": F.col("first")["row_no"]})
-    # the header is found in the file's own row, so its lines are parsed and exploded once, and nothing is joined
     wanted = F.filter("rows", lambda r: (r["row_no"] > F.col("head_row")) & (F.size(r["cells"]) > 1))
-    below = headed.select(FILE, *extra, "unit_type", "head", wanted.alias("rows")).select(FILE, *extra, "unit_type", "head", F.explode("rows").alias("r"))
+    return headed.select(FILE, *extra, "unit_type", "head", F.when(F.col("head").isNotNull(), wanted).alias("rows"))
+
+
+def parse_cells(files: DataFrame) -> DataFrame:
+    """Long cells of the pipe tables in ``files`` (file, text; other columns are carried along); see ``tables``.
+
+    Returns file, unit_type, row_no, source_item, canonical, ref, col_no (from 0), col_header, raw; short rows are padded by nulls.
+    Files that start with ``PAGE_ERROR:`` give no cells; see ``page_errors``.
+    """
+    extra = [c for c in files.columns if c not in (FILE, "text", "unit_type")]
+    below = tables(files.where(~is_page_error(F.col("text")))).select(FILE, *extra, "unit_type", "head", F.explode("rows").alias("r"))
     body = below.select(FILE, *extra, "unit_type", "head", F.col("r")["row_no"].alias("row_no"), F.col("r")["cells"].alias("cells"))
     values = F.transform(F.sequence(F.lit(3), F.greatest(F.size("head") - 1, F.lit(3))), lambda i: F.struct((i - 3).alias("col_no"), F.get("head", i).alias("col_header"), F.get("cells", i).alias("raw")))
     out = body.select(FILE, *extra, "unit_type", "row_no", F.get("cells", F.lit(0)).alias("source_item"), F.get("cells", F.lit(1)).alias("canonical"), F.get("cells", F.lit(2)).alias("ref"), F.explode(values).alias("v"))
     return out.select(FILE, *extra, "unit_type", "row_no", "source_item", "canonical", "ref", "v.*").where("col_header IS NOT NULL")
 
 
+def is_page_error(text: Column) -> Column:
+    return trimmed(text).startswith("PAGE_ERROR:")
+
+
 def page_errors(files: DataFrame) -> DataFrame:
-    return files.where(trimmed(F.col("text")).startswith("PAGE_ERROR:")).select(FILE, F.regexp_extract("text", r"PAGE_ERROR:\s*([^\n]*)", 1).alias("message"))
+    return files.where(is_page_error(F.col("text"))).select(FILE, F.regexp_extract("text", r"PAGE_ERROR:\s*([^\n]*)", 1).alias("message"))
 
 
 def qc_number(raw: Column) -> Column:
@@ -58,25 +70,51 @@ def formula_parts(ref: Column) -> Column:
     return F.aggregate(F.regexp_extract_all(body, F.lit(r"([A-Za-z][A-Za-z0-9]*|[-+()])"), 1), start, step, lambda s: s["out"])
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)``, with the value computed once however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def ref_letter(ref: Column) -> Column:
+    return F.coalesce(trimmed(F.regexp_extract(ref, r"^([^=]*)", 1)), F.lit(""))
+
+
+def column_formulas(rs: Column, tolerance: float) -> Column:
+    """Checked formulas of one column of a file; ``rs``: letter, row_no, value, canonical, ref of its rows, sorted."""
+    last = F.filter(rs, lambda r, i: (r["letter"] != "") & ((i + 1 == F.size(rs)) | (F.get(rs, i + 1)["letter"] != r["letter"])))
+    at = F.map_from_entries(F.transform(last, lambda r: F.struct(r["letter"], r["value"])))
+    totals = F.filter(rs, lambda r: r["ref"].contains("=") & r["value"].isNotNull())
+
+    def parts(t: Column, at: Column) -> Column:
+        return F.transform(formula_parts(t["ref"]), lambda p: p["sign"] * F.try_element_at(at, p["ref"]))
+
+    def check(t: Column, parts: Column) -> Column:
+        some = F.filter(parts, lambda v: v.isNotNull())
+        expected = F.when(F.size(some) > 0, F.aggregate(some, F.lit(0.0), lambda a, v: a + v))
+        enough = (F.size(parts) > 0) & (F.size(parts) - F.size(some) <= F.size(parts) / 2)
+        return F.when(enough, F.struct(t["row_no"].alias("row_no"), t["canonical"].alias("canonical"), t["value"].alias("actual"), expected.alias("expected")))
+
+    # most columns of figures hold a formula or two, so the map of letters is made where one is
+    made = let(at, lambda at: F.transform(totals, lambda t: let(parts(t, at), lambda p: check(t, p))))
+    found = F.when(F.exists(rs, lambda r: r["ref"].contains("=")), F.filter(made, lambda t: t.isNotNull())).otherwise(F.array())
+
+    def off(t: Column) -> Column:
+        return F.when((t["actual"] == 0) & (t["expected"] == 0), 0.0).when(t["actual"] == 0, 1.0).otherwise(F.abs(t["actual"] - t["expected"]) / F.abs(t["actual"]))
+
+    told = F.transform(found, lambda t: F.struct(t["row_no"].alias("row_no"), t["canonical"].alias("canonical"), t["actual"].alias("actual"), t["expected"].alias("expected"), off(t).alias("off")))
+    return F.transform(told, lambda t: t.withField("ok", t["off"] <= tolerance))
+
+
 def qc_formulas(cells: DataFrame, tolerance: float = 0.05) -> DataFrame:
     """Every checked formula by file and column: expected, actual, ``off`` and ``ok``.
 
     ``cells``: file, col_no, row_no, canonical, ref, value. A total without value, or with over half its components missing, isn't checked.
     Of rows with one letter the last counts. Authorised capital takes no part.
     """
-    letter = trimmed(F.regexp_extract("ref", r"^([^=]*)", 1))
-    rows = cells.where(F.coalesce("canonical", F.lit("")) != "share_capital_authorized").select(FILE, "col_no", F.struct(F.coalesce(letter, F.lit("")).alias("letter"), "row_no", F.col("value").cast("double").alias("value"), "canonical", "ref").alias("r"))
+    rows = cells.where(F.coalesce("canonical", F.lit("")) != "share_capital_authorized").select(FILE, "col_no", F.struct(ref_letter(F.col("ref")).alias("letter"), "row_no", F.col("value").cast("double").alias("value"), "canonical", "ref").alias("r"))
     # a column of a file is one row from here on: its last value of each letter is looked up in a map
     one = rows.groupBy(FILE, "col_no").agg(F.sort_array(F.collect_list("r")).alias("rs"))
-    last = F.filter("rs", lambda r, i: (r["letter"] != "") & ((i + 1 == F.size("rs")) | (F.get("rs", i + 1)["letter"] != r["letter"])))
-    one = one.withColumn("at", F.map_from_entries(F.transform(last, lambda r: F.struct(r["letter"], r["value"]))))
-    totals = one.select(FILE, "col_no", "at", F.explode(F.filter("rs", lambda r: r["ref"].contains("=") & r["value"].isNotNull())).alias("t"))
-    found = F.transform(formula_parts(F.col("t.ref")), lambda p: p["sign"] * F.try_element_at("at", p["ref"]))
-    sums = totals.select(FILE, "col_no", "t.row_no", "t.canonical", F.col("t.value").alias("actual"), found.alias("parts"))
-    some = F.filter("parts", lambda v: v.isNotNull())
-    sums = sums.where((F.size("parts") > 0) & (F.size("parts") - F.size(some) <= F.size("parts") / 2)).withColumn("expected", F.when(F.size(some) > 0, F.aggregate(some, F.lit(0.0), lambda a, v: a + v)))
-    off = F.when((F.col("actual") == 0) & (F.col("expected") == 0), 0.0).when(F.col("actual") == 0, 1.0).otherwise(F.abs(F.col("actual") - F.col("expected")) / F.abs("actual"))
-    return sums.drop("parts").withColumn("off", off).withColumn("ok", F.col("off") <= tolerance)
+    return one.select(FILE, "col_no", F.explode(column_formulas(F.col("rs"), tolerance)).alias("t")).select(FILE, "col_no", "t.*")
 
 
 def column_structure(cells: DataFrame, least: float = 0.10) -> DataFrame:
@@ -139,10 +177,45 @@ def file_status(files: DataFrame, formulas: DataFrame, structure: DataFrame, mat
     return rows.select(FILE, F.coalesce("n_formulas", F.lit(0)).alias("n_formulas"), F.coalesce("n_failed", F.lit(0)).alias("n_failed"), F.coalesce("source", F.lit("skip")).alias("source"), status.alias("status"))
 
 
+def check_files(files: DataFrame, tolerance: float = 0.05, least: float = 0.10, near: float = 0.005, rate: float = 0.80) -> DataFrame:
+    """The whole check of extraction files in one pass: file, n_formulas, n_failed, source, status, qc_status; see ``file_status``.
+
+    ``files``: file, text, and ``source``, the text of the pages a file was read from (null: none). Each file is parsed once and checked in its own row: formulas
+    and thin columns of all its columns, and its figures against the numbers in its source. Nothing is shuffled.
+    """
+    error = files.select(FILE, "source", "text", is_page_error(F.col("text")).alias("_error"))
+    parsed = tables(error.withColumn("text", F.when(~F.coalesce("_error", F.lit(False)), F.col("text")))).select(FILE, "_error", "source", "head", "rows")
+    cell = lambda r, i: F.struct(ref_letter(F.get(r["cells"], F.lit(2))).alias("letter"), r["row_no"].alias("row_no"), qc_number(F.get(r["cells"], i)).alias("value"), F.get(r["cells"], F.lit(1)).alias("canonical"), F.get(r["cells"], F.lit(2)).alias("ref"))
+    grid = F.when(F.size("head") > 3, F.transform(F.sequence(F.lit(3), F.size("head") - 1), lambda i: F.transform("rows", lambda r: cell(r, i)))).otherwise(F.array())
+    columns = parsed.select(FILE, "_error", "source", F.coalesce(grid, F.array()).alias("grid"))
+    counted = lambda rs: F.filter(rs, lambda r: F.coalesce(r["canonical"], F.lit("")) != "share_capital_authorized")
+    formulas = F.flatten(F.transform("grid", lambda rs: let(F.sort_array(counted(rs)), lambda x: column_formulas(x, tolerance))))
+    thin = F.exists("grid", lambda rs: (F.size(rs) > 0) & (F.size(F.filter(rs, lambda r: r["value"].isNotNull())) < least * F.size(rs)))
+    figures = F.array_distinct(F.filter(F.flatten(F.transform("grid", lambda rs: F.transform(rs, lambda r: F.abs(r["value"])))), lambda v: v > 1000))
+    told = columns.select(FILE, "_error", formulas.alias("formulas"), thin.alias("_thin"), figures.alias("figures"), F.coalesce(printed_numbers(F.col("source")), F.array()).alias("numbers"))
+
+    def match(v: Column) -> Column:
+        exact = F.exists("numbers", lambda s: F.abs(v - s) / s <= near)
+        ratio = F.exists("numbers", lambda s: ((v / s > 990) & (v / s < 1010)) | ((v / s > 0.00099) & (v / s < 0.00101)))
+        return F.when(exact, 2).when(ratio, 1).otherwise(0)
+
+    seen = F.when((F.size("figures") > 0) & (F.size("numbers") > 0), F.transform("figures", match))
+    told = told.select(FILE, "_error", "_thin", F.size("formulas").alias("n_formulas"), F.size(F.filter("formulas", lambda f: ~f["ok"])).alias("n_failed"), seen.alias("seen"))
+    exact = F.size(F.filter("seen", lambda m: m == 2)) / F.size("seen")
+    source = F.when(F.col("seen").isNull(), "skip").when(F.exists("seen", lambda m: m == 1) | (exact < rate), "warn").otherwise("pass")
+    bad = F.col("n_failed") > 0
+    status = F.when(F.col("_error"), "manifest_error").when(bad & F.col("_thin"), "fail_and_column_issue").when(bad, "fail").when(F.col("_thin"), "column_issue").otherwise("pass")
+    out = told.select(FILE, F.col("n_formulas").cast("long").alias("n_formulas"), F.col("n_failed").cast("long").alias("n_failed"), source.alias("source"), status.alias("status"))
+    return out.withColumn("qc_status", known_status())
+
+
+def known_status() -> Column:
+    return F.when(F.col("status") == "pass", "pass").when(F.col("n_formulas") == 0, "no_formulas").otherwise("fail")
+
+
 def extraction_status(rows: DataFrame, statuses: DataFrame) -> DataFrame:
     """``rows`` with ``qc_status`` of their file: pass, no_formulas, fail, or unknown for files that weren't checked."""
-    known = F.when(F.col("status") == "pass", "pass").when(F.col("n_formulas") == 0, "no_formulas").otherwise("fail")
-    return rows.join(statuses.select(FILE, known.alias("qc_status")), FILE, "left").withColumn("qc_status", F.coalesce("qc_status", F.lit("unknown")))
+    return rows.join(statuses.select(FILE, known_status().alias("qc_status")), FILE, "left").withColumn("qc_status", F.coalesce("qc_status", F.lit("unknown")))
 
 
 def repair_total_assets(cells: DataFrame, tolerance: float = 0.05) -> DataFrame:

@@ -38,8 +38,9 @@ def finished(items: DataFrame, ledger: DataFrame, keys: Sequence[str]) -> DataFr
 
 
 def listed(items: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Items to run again, whatever the ledger says."""
-    return items.join(wanted.select(*keys).distinct(), list(keys), "left_semi")
+    """Items to run again, whatever the ledger says; null key parts are equal."""
+    again = wanted.select(*keys).distinct()
+    return items.join(again, _on(items, again, keys), "left_semi")
 
 
 def split_ready(pages: DataFrame, skip: DataFrame, corrupted: DataFrame, key: str) -> DataFrame:

@@ -69,13 +69,18 @@ def first_labels(periods: DataFrame, order: str = "source_file") -> DataFrame:
     return given.groupBy("ticker", "section", "field").agg(F.min_by("source_item", F.struct(order, "source_item")).alias("label"))
 
 
+def flat_factor(unit: Column, field: Column) -> Column:
+    """What makes a published figure thousands; full_rupees, which only the checks know, stays as it is."""
+    return unit_factor(F.when(F.lower(unit) != "full_rupees", unit), field)
+
+
 def flatten_facts(quarters: DataFrame, periods: DataFrame, companies: DataFrame, stmt: str, non_negative: tuple[str, ...] = (), allowlist: DataFrame | None = None, manifest: DataFrame | None = None, base_url: str = "") -> DataFrame:
     """Facts of a flow statement: derived 3-month rows, and cumulative ones as reported; null values are dropped.
 
     ``allowlist``: ticker, fiscal_year, section, reason; ``manifest``: see with_sources.
     """
     three = quarters.select("ticker", "section", "fiscal_year", "period_end", F.lit("3M").alias("period_duration"), "method", F.col("source").alias("source_file"), "source_item", "field", "value")
-    direct = periods.where(F.col("months").isin(6, 9, 12)).select("ticker", "section", "fiscal_year", "period_end", F.concat("months", F.lit("M")).alias("period_duration"), F.lit("direct").alias("method"), "source_file", "source_item", "field", (F.col("value") * unit_factor(F.col("unit_type"), F.col("field"))).alias("value"))
+    direct = periods.where(F.col("months").isin(6, 9, 12)).select("ticker", "section", "fiscal_year", "period_end", F.concat("months", F.lit("M")).alias("period_duration"), F.lit("direct").alias("method"), "source_file", "source_item", "field", (F.col("value") * flat_factor(F.col("unit_type"), F.col("field"))).alias("value"))
     rows = enrich(three.unionByName(direct).where("value IS NOT NULL"), companies).withColumns({
         "unit_type": F.lit("thousands"), "period_type": F.when(F.col("period_duration") == "12M", "annual").otherwise("quarterly"), "statement_type": F.lit(stmt),
         "canonical_field": F.col("field"), "original_name": F.coalesce("source_item", "field"),
@@ -98,7 +103,7 @@ def flatten_bs(cells: DataFrame, companies: DataFrame, non_negative: tuple[str,
     late = (F.col("filing_type") != "annual") & (F.month("period_end") > F.coalesce("_fm", F.lit(12)))
     rows = rows.select(
         "ticker", "company_name", "industry", F.lit("thousands").alias("unit_type"), F.col("filing_type").alias("period_type"), "period_end", "period_duration", (F.year("period_end") + late.cast("int")).cast("int").alias("fiscal_year"), "section",
-        F.lit("balance_sheet").alias("statement_type"), F.col("canonical").alias("canonical_field"), F.col("source_item").alias("original_name"), (F.col("_raw") * unit_factor(F.regexp_replace(F.col("unit_type"), "full_rupees", "other"), F.col("canonical"))).alias("value"),
+        F.lit("balance_sheet").alias("statement_type"), F.col("canonical").alias("canonical_field"), F.col("source_item").alias("original_name"), (F.col("_raw") * flat_factor(F.col("unit_type"), F.col("canonical"))).alias("value"),
         F.lit("").alias("method"), F.concat("file", F.lit(".md")).alias("source_file"),
         F.when(F.col("filing_type") == "annual", F.col("filing_period") == F.year("period_end").cast("string")).otherwise(F.col("filing_period") == F.col("period_end").cast("string")).alias("is_primary"),
         (F.col("filing_type") == "annual").alias("is_annual"), F.struct("file", "row_no", "col_no").alias("read_order"),

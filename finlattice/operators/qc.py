@@ -142,16 +142,16 @@ def cf_year_sums(values: DataFrame, names: Sequence[str] = ("cfo", "cfi", "cff")
 def outliers(values: DataFrame, names: Sequence[str], keys: Sequence[str] = GROUP, times: float = 100.0) -> DataFrame:
     """Values over ``times`` or under 1/``times`` of the median of their group's reference field.
 
-    The reference field is the first of ``names`` with three non-zero values or more; the median is exact. Values are brought to
-    thousands first where ``unit_type`` is given.
+    The reference field is the first of ``names`` with three values or more, zeros among them; a group is left out if fewer than three of those aren't zero. The median, of
+    those, is exact. Values are brought to thousands first where ``unit_type`` is given.
     """
     rank = F.array_position(F.array(*map(F.lit, names)), F.col("field"))
     scaled = F.abs("value") * unit_factor(F.col("unit_type"), F.col("field")) if "unit_type" in values.columns else F.abs("value")
-    rows = values.where(F.col("field").isin(*names) & (F.col("value") != 0)).select(*keys, "field", "period_end", "months", scaled.alias("size"), rank.alias("_r"))
-    stats = rows.groupBy(*keys, "field", "_r").agg(F.count("*").alias("n"), F.median("size").alias("median")).where("n >= 3")
-    chosen = stats.groupBy(*keys).agg(F.min(F.struct("_r", "field", "median")).alias("c")).select(*keys, "c.field", "c.median")
+    rows = values.where(F.col("field").isin(*names) & F.col("value").isNotNull()).select(*keys, "field", "period_end", "months", scaled.alias("size"), rank.alias("_r"))
+    stats = rows.groupBy(*keys, "field", "_r").agg(F.count("*").alias("n"), F.count_if(F.col("size") != 0).alias("n_sized"), F.median(F.when(F.col("size") != 0, F.col("size"))).alias("median")).where("n >= 3")
+    chosen = stats.groupBy(*keys).agg(F.min(F.struct("_r", "field", "median", "n_sized")).alias("c")).where("c.n_sized >= 3").select(*keys, "c.field", "c.median")
     ratio = F.col("size") / F.col("median")
-    return rows.join(chosen, [*keys, "field"]).withColumn("ratio", ratio).where((F.col("ratio") > times) | (F.col("ratio") < 1 / times)).drop("_r")
+    return rows.where("size <> 0").join(chosen, [*keys, "field"]).withColumn("ratio", ratio).where((F.col("ratio") > times) | (F.col("ratio") < 1 / times)).drop("_r")
 
 
 def unit_context(files: DataFrame, group: str = "ticker") -> DataFrame:
@@ -342,22 +342,6 @@ def top_counts(rows: DataFrame, key: str, n: int = 10) -> DataFrame:
 # The gate before publishing
 
 
-def required_fields(facts: DataFrame, row_id: str, names: Sequence[str] = fs.REQUIRED) -> DataFrame:
-    lacks = F.array_compact(F.array(*(F.when(F.col(n).isNull(), F.lit(n)) for n in names)))
-    return facts.select(row_id, F.explode(lacks).alias("field")).select(row_id, F.lit("missing_field").alias("type"), "field")
-
-
-def value_sanity(facts: DataFrame, row_id: str, must_be_positive: Sequence[str]) -> DataFrame:
-    """Unflagged rows that are too large or unexpectedly negative; a row can be both."""
-    limit = F.when(F.col("unit_type").isin("rupees", "full_rupees"), 1e13).otherwise(1e10)
-    kinds = F.array_compact(F.array(
-        F.when(F.abs("value") > limit, "too_large"),
-        F.when((F.col("value") < 0) & (F.abs("value") > 1) & F.col("canonical_field").isin(*must_be_positive or [""]), "unexpected_negative"),
-    ))
-    rows = facts.where((F.coalesce("qc_flag", F.lit("")) == "") & F.col("value").isNotNull())
-    return rows.select(row_id, F.explode(kinds).alias("type"), F.col("canonical_field").alias("field"))
-
-
 def coverage(facts: DataFrame, expected: Sequence[str], least_periods: int = 4) -> tuple[DataFrame, DataFrame]:
     """Tickers with few periods, and periods that lack all or all but one of the expected fields."""
     few = facts.groupBy("ticker").agg(F.count_distinct("period_end", "section").alias("n_periods")).where(F.col("n_periods") < least_periods)

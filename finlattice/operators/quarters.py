@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ..functions.expr import fiscal_year, months_into
 
 SLOTS = ("d1", "d2", "d3", "d4", "c6", "c9", "c12")
+#: Cumulative periods that end off the quarters' months, by how many months of the year they end after; and quarters that do.
+ORPHANS, STRAYS = ("o4", "o5", "o7", "o8"), ("x4", "x5", "x7", "x8")
 KEYS = ("ticker", "section", "fiscal_year")
 
 
@@ -16,7 +18,7 @@ def _minus(base: Column, *subs: Column) -> Column:
     value = base["value"]
     for s in subs:
         value = F.when(s.isNotNull() & s["value"].isNull(), None).otherwise(value - F.coalesce(s["value"], F.lit(0.0)))
-    return F.when(base.isNotNull(), F.struct(value.alias("value"), base["source_file"].alias("source_file"), base["source_item"].alias("source_item")))
+    return F.when(base.isNotNull(), F.struct(base["source_file"].alias("source_file"), base["source_item"].alias("source_item"), value.alias("value"), base["end"].alias("end")))
 
 
 def derive_quarters(periods: DataFrame, companies: DataFrame | None = None) -> DataFrame:
@@ -28,7 +30,9 @@ def derive_quarters(periods: DataFrame, companies: DataFrame | None = None) -> D
     source_item, field, value.
 
     The method is chosen by the periods that exist, then applied to the base period's fields. Years
-    without a 12-month period keep direct quarters and what 9- and 6-month periods give. All
+    without a 12-month period keep direct quarters and what 9- and 6-month periods give. A 6- or 9-month period that ends in another
+    month of the second or third quarter gives that quarter at its own end, from the regular periods before it, unless a 3-month period ends there too. Of a
+    period that is given twice the one of the last source_file (then the largest value) stands. All
     periods of a fiscal year meet in one shuffle; the pivot by field reuses its partitioning.
     """
     for name in ("source_file", "source_item"):
@@ -40,12 +44,14 @@ def derive_quarters(periods: DataFrame, companies: DataFrame | None = None) -> D
         month = F.coalesce("fiscal_month", F.lit(6))
     into = months_into(F.col("period_end"), month)
     slot = F.when((F.col("months") == 3) & (into % 3 == 0), F.concat(F.lit("d"), (into / 3).cast("int"))).when((F.col("months") == into) & F.col("months").isin(6, 9, 12), F.concat(F.lit("c"), F.col("months")))
-    rows = periods.select("ticker", "section", fiscal_year(F.col("period_end"), month).alias("fiscal_year"), "period_end", "months", into.alias("into"), slot.alias("slot"), "field", F.struct("value", "source_file", "source_item").alias("v"))
+    off = ((F.col("months") == 6) & into.isin(4, 5)) | ((F.col("months") == 9) & into.isin(7, 8))
+    slot = F.coalesce(slot, F.when(off, F.concat(F.lit("o"), into)).when((F.col("months") == 3) & into.isin(4, 5, 7, 8), F.concat(F.lit("x"), into)))
+    rows = periods.select("ticker", "section", fiscal_year(F.col("period_end"), month).alias("fiscal_year"), "period_end", "months", into.alias("into"), slot.alias("slot"), "field", F.struct("source_file", "source_item", "value", F.col("period_end").alias("end")).alias("v"))
     odd = rows.where("months = 3 AND into % 3 <> 0").select(*KEYS, F.concat(F.lit("Q"), ((F.col("into") + 2) / 3).cast("int")).alias("quarter"), "period_end", F.lit("direct_3M").alias("method"), F.col("v.source_file").alias("source"), F.col("v.source_item").alias("source_item"), "field", F.col("v.value").alias("value"))
     year = Window.partitionBy(*KEYS)
-    flagged = rows.where("slot IS NOT NULL").select("*", *(F.max(F.col("slot") == s).over(year).alias(f"has_{s}") for s in SLOTS), F.max(F.last_day(F.add_months("period_end", 12 - F.col("into")))).over(year).alias("year_end"))
-    has = {s: F.col(f"has_{s}") for s in SLOTS}
-    wide = flagged.groupBy(*KEYS, "field").agg(*(F.max(F.when(F.col("slot") == s, F.col("v"))).alias(s) for s in SLOTS), *(F.first(f"has_{s}").alias(f"has_{s}") for s in SLOTS), F.first("year_end").alias("year_end"))
+    flagged = rows.where("slot IS NOT NULL").select("*", *(F.max(F.col("slot") == s).over(year).alias(f"has_{s}") for s in (*SLOTS, *ORPHANS, *STRAYS)), F.max(F.last_day(F.add_months("period_end", 12 - F.col("into")))).over(year).alias("year_end"))
+    has = {s: F.col(f"has_{s}") for s in (*SLOTS, *ORPHANS, *STRAYS)}
+    wide = flagged.groupBy(*KEYS, "field").agg(*(F.max(F.when(F.col("slot") == s, F.col("v"))).alias(s) for s in (*SLOTS, *ORPHANS)), *(F.first(f"has_{s}").alias(f"has_{s}") for s in has), F.first("year_end").alias("year_end"))
     d1, d2, d3, d4, c6, c9, c12 = (F.col(s) for s in SLOTS)
     q2 = [(has["d2"], "direct_3M", d2), (has["c6"] & has["d1"], "6M-Q1", _minus(c6, d1)), (has["c12"] & has["c9"] & has["d1"] & has["d3"], "9M-Q1-Q3", _minus(c9, d1, d3))]
     wide = wide.withColumns({"m2": _first(q2, 1), "v2": _first(q2, 2)})
@@ -59,7 +65,12 @@ def derive_quarters(periods: DataFrame, companies: DataFrame | None = None) -> D
         (has["c12"] & has["c6"] & F.col("m3").isNotNull(), "12M-6M-Q3", _minus(c12, c6, F.col("v3"))),
     ]
     quarters = [(F.when(has["d1"], "direct_3M"), d1), (F.col("m2"), F.col("v2")), (F.col("m3"), F.col("v3")), (_first(q4, 1), _first(q4, 2))]
-    cells = F.array(*(F.struct(F.lit(f"Q{i}").alias("quarter"), F.last_day(F.add_months("year_end", 3 * i - 12)).alias("period_end"), m.alias("method"), v.alias("v")) for i, (m, v) in enumerate(quarters, 1)))
+    cells = [F.struct(F.lit(f"Q{i}").alias("quarter"), F.last_day(F.add_months("year_end", 3 * i - 12)).alias("period_end"), m.alias("method"), v.alias("v")) for i, (m, v) in enumerate(quarters, 1)]
+    for o, x in zip(ORPHANS, STRAYS, strict=True):
+        own, alone = F.col(o), has[o] & ~F.coalesce(has[x], F.lit(False))
+        ladder = [(alone & has["d1"], "6M-Q1", _minus(own, d1))] if o < "o6" else [(alone & has["c6"], "9M-6M", _minus(own, c6)), (alone & has["d1"] & has["d2"], "9M-Q1-Q2", _minus(own, d1, d2))]
+        cells.append(F.struct(F.lit("Q2" if o < "o6" else "Q3").alias("quarter"), own["end"].alias("period_end"), _first(ladder, 1).alias("method"), _first(ladder, 2).alias("v")))
+    cells = F.array(*cells)
     long = wide.select(*KEYS, "field", F.explode(F.filter(cells, lambda c: c["method"].isNotNull() & c["v"].isNotNull())).alias("q"))
     source = F.when(F.col("q.method") == "direct_3M", F.col("q.v.source_file")).otherwise(F.concat(F.lit("derived from "), F.col("q.v.source_file")))
     out = long.select(*KEYS, "q.quarter", "q.period_end", "q.method", source.alias("source"), F.col("q.v.source_item").alias("source_item"), "field", F.col("q.v.value").alias("value"))
@@ -105,11 +116,11 @@ def qc_year_arithmetic(quarters: DataFrame, periods: DataFrame, companies: DataF
 
 
 def in_scope(rows: DataFrame, ticker: str | None = None, year: int | None = None, annual_only: bool = False, limit: int | None = None) -> DataFrame:
-    """Rows of one ticker, of one year of period ends, of 12-month periods only, or only so many of them."""
+    """Rows of one ticker, of one year of period ends, of 12-month periods only, or only the first so many of them, in the order of all their columns."""
     if ticker is not None:
         rows = rows.where(F.col("ticker") == ticker)
     if year is not None:
         rows = rows.where(F.year("period_end") == year)
     if annual_only:
         rows = rows.where("months = 12")
-    return rows if limit is None else rows.limit(limit)
+    return rows if limit is None else rows.orderBy(*rows.columns).limit(limit)

@@ -389,7 +389,7 @@ def match_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 FLAT_SQL = f"""{_YEAR},
 s AS (SELECT n, section, y, sum(price) AS total FROM o GROUP BY n, section, y),
 v AS (SELECT *, CAST(total AS DOUBLE) * CASE WHEN n % 6 = 0 THEN -1 ELSE 1 END AS value FROM s)
-SELECT CAST(n AS VARCHAR) AS ticker, n_name AS company_name, section, CAST(y AS INTEGER) AS fiscal_year, 'annual' AS period_type, round(value / 1000, 3) AS value,
+SELECT CAST(n AS VARCHAR) AS ticker, n_name AS company_name, section, CAST(y AS INTEGER) AS fiscal_year, 'annual' AS period_type, round(value / CASE WHEN n % 5 = 3 THEN 1 ELSE 1000 END, 3) AS value,
   CASE WHEN n % 6 = 0 AND y = 1997 THEN 'unexpected_negative: known' WHEN n % 6 = 0 THEN 'unexpected_negative' WHEN y = 1997 THEN 'allowlisted: known' ELSE '' END AS qc_flag,
   CASE WHEN y % 2 = 0 THEN array_to_string([n % 5, n % 5 + 7], ',') ELSE '' END AS source_pages, 'u/' || n || '/' || y || '/' || n || '_Annual_' || y AS source_url
 FROM v JOIN nation ON n = n_nationkey
@@ -398,7 +398,7 @@ FROM v JOIN nation ON n = n_nationkey
 
 @query("flatten_facts", FLAT_SQL)
 def flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = cumulative(spark, sf_dir, thin=False).where("months = 12 AND field = 'revenue_net'").select("ticker", "section", F.col("y").alias("fiscal_year"), "period_end", "months", F.lit("rupees").alias("unit_type"), F.concat_ws("_", "ticker", F.lit("annual"), "y", "section").alias("source_file"), F.lit(None).cast("string").alias("source_item"), "field", F.when(F.col("n") % 6 == 0, -F.col("value")).otherwise(F.col("value")).alias("value"))
+    rows = cumulative(spark, sf_dir, thin=False).where("months = 12 AND field = 'revenue_net'").select("ticker", "section", F.col("y").alias("fiscal_year"), "period_end", "months", F.when(F.col("n") % 5 == 3, "full_rupees").otherwise("rupees").alias("unit_type"), F.concat_ws("_", "ticker", F.lit("annual"), "y", "section").alias("source_file"), F.lit(None).cast("string").alias("source_item"), "field", F.when(F.col("n") % 6 == 0, -F.col("value")).otherwise(F.col("value")).alias("value"))
     none = rows.where(F.lit(False)).select("ticker", "section", "fiscal_year", "period_end", F.lit("").alias("method"), F.lit("").alias("source"), "source_item", "field", "value")
     companies = _t(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("string").alias("ticker"), F.col("n_name").alias("company_name"), F.lit("x").alias("industry"))
     allow = rows.where("fiscal_year = 1997").select("ticker", "fiscal_year", "section", F.lit("known").alias("reason")).distinct()
@@ -406,3 +406,47 @@ def flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = of.unionByName(of.withColumn("page", F.col("page") + 7))
     out = facts.flatten_facts(none, rows, companies, "pl", ("revenue_net",), allow, manifest, "u")
     return out.select("ticker", "company_name", "section", "fiscal_year", "period_type", F.round("value", 3).alias("value"), "qc_flag", F.array_join("source_pages", ",").alias("source_pages"), "source_url")
+
+
+OFF_SQL = f"""{_YEAR.replace("quarter(o_orderdate) AS q", "quarter(o_orderdate) AS q, month(o_orderdate) AS m")},
+s AS (SELECT n, section, y, sum(price) FILTER (q = 1) AS q1, sum(price) FILTER (q = 2) AS q2, coalesce(sum(price) FILTER (q < 3), 0) AS h1, coalesce(sum(price) FILTER (m <= 8), 0) AS m8, coalesce(sum(price) FILTER (m <= 5), 0) AS m5 FROM o GROUP BY ALL),
+r AS (SELECT n, section, y, 'Q1' AS quarter, make_date(y, 3, 31) AS period_end, 'direct_3M' AS method, coalesce(q1, 0) AS value FROM s
+  UNION ALL SELECT n, section, y, 'Q3', make_date(y, 8, 31), CASE WHEN n % 2 = 0 THEN '9M-6M' ELSE '9M-Q1-Q2' END, CASE WHEN n % 2 = 0 THEN m8 - h1 ELSE m8 - coalesce(q1, 0) - coalesce(q2, 0) END FROM s WHERE n % 4 <> 3
+  UNION ALL SELECT n, section, y, 'Q3', make_date(y, 8, 31), 'direct_3M', m8 FROM s WHERE n % 4 = 3
+  UNION ALL SELECT n, section, y, 'Q2', make_date(y, 5, 31), '6M-Q1', m5 - coalesce(q1, 0) FROM s WHERE n % 3 = 0
+  UNION ALL SELECT n, section, y, 'Q2', make_date(y, 6, 30), CASE WHEN n % 2 = 0 THEN '6M-Q1' ELSE 'direct_3M' END, CASE WHEN n % 2 = 0 THEN h1 - coalesce(q1, 0) ELSE coalesce(q2, 0) END FROM s)
+SELECT CAST(n AS VARCHAR) AS ticker, section, CAST(y AS INTEGER) AS fiscal_year, quarter, strftime(period_end, '%Y-%m-%d') AS period_end, method, round(CAST(value AS DOUBLE), 2) AS value FROM r
+"""
+
+
+@query("off_calendar_quarters", OFF_SQL)
+def off_calendar_quarters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Years without annual figures whose 9 months end in August, some 6 months in May; a quarter that ends in August stands for itself."""
+    o, m = _orders(spark, sf_dir).withColumn("m", F.month("o_orderdate")), F.col("m")
+    price = F.col("o_totalprice").cast("decimal(18,2)")
+    spans = {"q1": (m <= 3, 3, 3), "q2": (m.between(4, 6), 6, 3), "h1": (m <= 6, 6, 6), "m8": (m <= 8, 8, 9), "m5": (m <= 5, 5, 6), "x8": (m <= 8, 8, 3)}
+    sums = o.groupBy(F.col("n").cast("string").alias("ticker"), F.col("c_mktsegment").alias("section"), "n", "y").agg(*(F.coalesce(F.sum(F.when(c, price)), F.lit(0)).cast("double").alias(k) for k, (c, _, _) in spans.items()))
+    n = F.col("n")
+    kept = {"q1": F.lit(True), "q2": n % 2 == 1, "h1": n % 2 == 0, "m8": F.lit(True), "m5": n % 3 == 0, "x8": n % 4 == 3}
+    rows = F.array_compact(F.array(*(F.when(kept[k], F.struct(F.last_day(F.make_date("y", F.lit(e), F.lit(1))).alias("period_end"), F.lit(l).alias("months"), F.col(k).alias("value"))) for k, (_, e, l) in spans.items())))
+    periods_ = sums.select("ticker", "section", F.lit("revenue_net").alias("field"), F.explode(rows).alias("p")).select("ticker", "section", "field", "p.*")
+    companies = _t(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("string").alias("ticker"), F.lit(12).alias("fiscal_month"))
+    out = quarters.derive_quarters(periods_, companies)
+    return out.select("ticker", "section", "fiscal_year", "quarter", F.col("period_end").cast("string").alias("period_end"), "method", F.round("value", 2).alias("value"))
+
+
+ZEROS_SQL = """
+WITH v AS (SELECT o_custkey AS k, o_orderkey AS i, o_custkey % 2 = 1 AS own, CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE o_totalprice * CASE WHEN o_orderkey % 7 = 0 THEN 1000 ELSE 1 END END AS a FROM orders),
+r AS (SELECT k, i, CASE WHEN own THEN 'revenue_net' ELSE 'net_profit' END AS field, abs(a) AS size FROM v),
+c AS (SELECT k, count(*) AS n, count(*) FILTER (size <> 0) AS s, median(size) FILTER (size <> 0) AS m FROM r GROUP BY k HAVING count(*) >= 3 AND count(*) FILTER (size <> 0) >= 3)
+SELECT r.k AS o_custkey, r.i AS o_orderkey, r.field, round(r.size / c.m, 4) AS ratio FROM r JOIN c USING (k) WHERE r.size <> 0 AND (r.size / c.m > 100 OR r.size / c.m < 0.01)
+"""
+
+
+@query("unit_outliers", ZEROS_SQL)
+def unit_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zeros count among the values that make a field the reference, but not towards its median."""
+    i, k = F.col("o_orderkey"), F.col("o_custkey")
+    value = F.when(i % 3 == 0, 0.0).otherwise(F.col("o_totalprice") * F.when(i % 7 == 0, 1000).otherwise(1))
+    rows = _t(spark, sf_dir, "orders").select(k.alias("o_custkey"), F.when(k % 2 == 1, "revenue_net").otherwise("net_profit").alias("field"), F.col("o_orderkey").alias("period_end"), F.lit(12).alias("months"), value.alias("value"))
+    return qc.outliers(rows, ("revenue_net", "net_profit"), ("o_custkey",)).select("o_custkey", F.col("period_end").alias("o_orderkey"), "field", F.round("ratio", 4).alias("ratio"))
