@@ -69,9 +69,9 @@ def first_labels(periods: DataFrame, order: str = "source_file") -> DataFrame:
     return given.groupBy("ticker", "section", "field").agg(F.min_by("source_item", F.struct(order, "source_item")).alias("label"))
 
 
-def flat_factor(unit: Column, field: Column) -> Column:
-    """What makes a published figure thousands; full_rupees, which only the checks know, stays as it is."""
-    return unit_factor(F.when(F.lower(unit) != "full_rupees", unit), field)
+def flat_factor(unit: Column, field: Column, unscaled: str = "eps|per_share") -> Column:
+    """What makes a published figure thousands; full_rupees, which only the checks know, and fields named like ``unscaled`` stay as they are."""
+    return F.when(F.lower(field).rlike(unscaled), 1.0).otherwise(unit_factor(F.when(F.lower(unit) != "full_rupees", unit)))
 
 
 def flatten_facts(quarters: DataFrame, periods: DataFrame, companies: DataFrame, stmt: str, non_negative: tuple[str, ...] = (), allowlist: DataFrame | None = None, manifest: DataFrame | None = None, base_url: str = "") -> DataFrame:
@@ -80,7 +80,7 @@ def flatten_facts(quarters: DataFrame, periods: DataFrame, companies: DataFrame,
     ``allowlist``: ticker, fiscal_year, section, reason; ``manifest``: see with_sources.
     """
     three = quarters.select("ticker", "section", "fiscal_year", "period_end", F.lit("3M").alias("period_duration"), "method", F.col("source").alias("source_file"), "source_item", "field", "value")
-    direct = periods.where(F.col("months").isin(6, 9, 12)).select("ticker", "section", "fiscal_year", "period_end", F.concat("months", F.lit("M")).alias("period_duration"), F.lit("direct").alias("method"), "source_file", "source_item", "field", (F.col("value") * flat_factor(F.col("unit_type"), F.col("field"))).alias("value"))
+    direct = periods.where(F.col("months").isin(6, 9, 12)).select("ticker", "section", "fiscal_year", "period_end", F.concat("months", F.lit("M")).alias("period_duration"), F.lit("direct").alias("method"), "source_file", "source_item", "field", (F.col("value") * flat_factor(F.col("unit_type"), F.col("field"), "eps")).alias("value"))
     rows = enrich(three.unionByName(direct).where("value IS NOT NULL"), companies).withColumns({
         "unit_type": F.lit("thousands"), "period_type": F.when(F.col("period_duration") == "12M", "annual").otherwise("quarterly"), "statement_type": F.lit(stmt),
         "canonical_field": F.col("field"), "original_name": F.coalesce("source_item", "field"),

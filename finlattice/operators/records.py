@@ -51,6 +51,43 @@ def flatten_multiyear(files: DataFrame, keys: Sequence[str], report_year: str =
     return flatten_tables(files, keys).withColumn("data_year", year).where(F.col("data_year") <= F.col(report_year))
 
 
+#: What headers and labels of compensation tables name: the first pattern that fits.
+ROLES = (("chief_executive", r"chief executive|\bceo\b|managing director"), ("non_executive_directors", r"non.?executive"), ("directors", r"director"), ("executives", r"executive"))
+MEASURES = (
+    ("persons", r"number of|no\.? of|persons"), ("total", r"\btotal\b"), ("base_salary", r"remuneration|basic|salary|\bfee"), ("bonus", r"bonus|incentive"), ("housing", r"hous|rent|accommodation"),
+    ("retirement", r"retire|provident|gratuity|pension"), ("other_benefits", r"other|medical|utilit|conveyance|allowance|benefit|perquisite"),
+)
+
+
+def named(text: Column, names: Sequence[tuple[str, str]]) -> Column:
+    low, out = F.lower(F.coalesce(text, F.lit(""))), F.lit(None).cast("string")
+    for name, pattern in reversed(names):
+        out = F.when(low.rlike(pattern), name).otherwise(out)
+    return out
+
+
+def compensation_roles(files: DataFrame, keys: Sequence[str], roles: Sequence[tuple[str, str]] = ROLES, measures: Sequence[tuple[str, str]] = MEASURES, year: str = "year") -> DataFrame:
+    """One row for each role of a filing's compensation tables, whatever their layout: keys, scope, role, ``year``, a column for each measure, unit.
+
+    A role may head a column or a row, with the measure on the other side, and a header may carry a year beside either; without one it is the filing's (column
+    ``year`` of ``files``). ``scope`` follows the section's heading. Of several lines of one measure the figures are added up (parts of benefits); only a table's last
+    total, and its last number of persons, count. Cells that name no role or no measure are left out.
+    """
+    cells = flatten_tables(files, list(dict.fromkeys([*keys, year])), empty_dash=None)
+    head, label = F.col("column"), F.col("line_item")
+    by_column = named(head, roles)
+    role = F.coalesce(by_column, named(label, roles))
+    measure = F.when(by_column.isNotNull(), named(label, measures)).otherwise(named(head, measures))
+    own = F.regexp_extract(F.concat_ws(" ", head, label), r"\b((?:19|20)\d{2})\b", 1).try_cast("int")
+    section = F.lower("section")
+    scope = F.when(section.contains("unconsolidated") | ~section.contains("consolidated"), "unconsolidated").otherwise("consolidated")
+    told = cells.select(*keys, scope.alias("scope"), role.alias("role"), F.coalesce(own, F.col(year)).alias(year), measure.alias("_m"), "value", F.struct("line_no", "col_no").alias("_at")).where("role IS NOT NULL AND _m IS NOT NULL")
+    pick = lambda m: F.max_by(F.when(F.col("_m") == m, F.col("value")), F.when(F.col("_m") == m, F.col("_at")))
+    aggs = [(pick(m) if m in ("persons", "total") else F.sum(F.when(F.col("_m") == m, F.col("value")))).alias(m) for m, _ in measures]
+    by = list(dict.fromkeys([*keys, year]))
+    return told.groupBy(*by, "scope", "role").agg(*aggs).withColumn("unit", F.lit("thousands"))
+
+
 def drop_reason(item: Column, section: Column, value: Column, excluded: Column) -> Column:
     """Why a multi-year row goes, first reason first; null for rows that stay."""
     label = F.coalesce(item, F.lit(""))
@@ -116,14 +153,31 @@ def printed_forms(value: Column, multiyear: bool = False) -> Column:
     return F.array_distinct(F.array_compact(F.when(v == n, F.array(*whole)).otherwise(F.array(*parts))))
 
 
+#: Printed numbers in a text, and the longest way a figure may be printed.
+NUMBER_RUN, LONGEST_FORM = r"[0-9.,%]+", 44
+
+
+def printed_parts(text: Column) -> Column:
+    """The distinct parts of a text's printed numbers that may be a figure's form, each from a digit on."""
+    runs = F.array_distinct(F.regexp_extract_all(text, F.lit(f"({NUMBER_RUN})"), 1))
+    starts = lambda r: F.filter(F.sequence(F.lit(1), F.length(r)), lambda i: F.substr(r, i, F.lit(1)).rlike("[0-9]"))
+    ends = lambda r, i: F.transform(F.sequence(F.lit(1), F.least(F.length(r) - i + 1, F.lit(LONGEST_FORM))), lambda n: F.substr(r, i, n))
+    return F.array_distinct(F.flatten(F.transform(runs, lambda r: F.flatten(F.transform(starts(r), lambda i: ends(r, i))))))
+
+
 def value_presence(records: DataFrame, sources: DataFrame, keys: Sequence[str], multiyear: bool = False) -> DataFrame:
     """``records`` with ``presence``: found, missing or no_source. ``sources``: keys, text, one row for each filing.
 
-    Records stream past their filing's text, so a filing with very many of them gathers none. A null value is missing.
+    A form of a figure is found where it stands in the text, as a part of a longer number too. Texts are indexed once: the parts of their printed numbers meet the
+    forms that records ask for in an equi-join, and no text goes along with a record. A null value is missing.
     """
-    met = records.join(sources.select(*keys, F.col("text").alias("_text")), list(keys), "left")
-    found = F.col("value").isNotNull() & F.exists(printed_forms(F.col("value"), multiyear), lambda p: F.contains(F.col("_text"), p))
-    return met.withColumn("presence", F.when(F.col("_text").isNull(), "no_source").when(found, "found").otherwise("missing")).drop("_text")
+    on = list(keys)
+    forms = records.where("value IS NOT NULL").select(*on, "value").distinct().select(*on, "value", F.explode(printed_forms(F.col("value"), multiyear)).alias("_form"))
+    parts = sources.select(*on, F.explode(printed_parts(F.col("text"))).alias("_form"))
+    found = forms.join(parts, [*on, "_form"], "left_semi").select(*on, "value").distinct().withColumn("_found", F.lit(True))
+    read = sources.where("text IS NOT NULL").select(*on).distinct().withColumn("_read", F.lit(True))
+    presence = F.when(F.col("_read").isNull(), "no_source").when(F.col("_found"), "found").otherwise("missing")
+    return records.join(read, on, "left").join(found, [*on, "value"], "left").withColumn("presence", presence).select(*records.columns, "presence")
 
 
 def presence_status(presence: DataFrame, key: str = "ticker") -> DataFrame:
@@ -138,10 +192,44 @@ def reproducible_sample(rows: DataFrame, key: str, n: int = 500, seed: int = 42)
     return rows.orderBy(F.xxhash64(F.lit(seed), key), key).limit(n)
 
 
+#: Letters of the runs that an index of lines knows.
+GRAM = 4
+
+
+def grams(text: Column) -> Column:
+    """Distinct runs of GRAM letters; none in shorter texts."""
+    return F.when(F.length(text) >= GRAM, F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(text) - GRAM + 1), lambda i: F.substr(text, i, F.lit(GRAM))))).otherwise(F.array().cast("array<string>"))
+
+
+def label_hits(labels: DataFrame, lines: DataFrame, key: str) -> DataFrame:
+    """Labels with the lines of their key that contain them, whatever the case.
+
+    A line that contains a label contains all its runs of four letters: each label meets the lines that have the run of it that is rarest in its
+    key's lines, and only those are searched. Labels of under four letters have no run and meet all lines of their key.
+    """
+    l = F.lower("label")
+    named = labels.select(key, "label").distinct().withColumn("_l", l)
+    asked = named.where(F.length("_l") >= GRAM).select(key, "label", F.explode(grams(F.col("_l"))).alias("_g"))
+    wanted = asked.select(key, "_g").distinct()
+    at = lines.select(key, "line_no", F.explode(grams(F.lower("line"))).alias("_g")).join(wanted, [key, "_g"], "left_semi")
+    counts = at.groupBy(key, "_g").agg(F.count("*").alias("_n"))
+    # a label one of whose runs no line has is dropped by the inner join only if that run is its rarest: those are the ones with a count missing
+    rarest = asked.join(counts, [key, "_g"], "left").groupBy(key, "label").agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "_g")).alias("r"))
+    near = rarest.where("r.n > 0").select(key, "label", F.col("r._g").alias("_g")).join(at, [key, "_g"]).select(key, "label", "line_no")
+    long_ = near.join(lines, [key, "line_no"]).where(F.contains(F.lower("line"), l))
+    short = named.where(F.length("_l") < GRAM).select(key, "label").join(lines, key).where(F.contains(F.lower("line"), l))
+    return long_.unionByName(short.select(*long_.columns))
+
+
 def best_label_row(labels: DataFrame, lines: DataFrame, key: str) -> DataFrame:
-    """For each label the source line that fits best: 100 if its first cell is the label, 50 with a figure of four digits, -20 if in part only."""
+    """For each label the source line that fits best: 100 if its first cell is the label, 50 with a figure of four digits, -20 if in part only.
+
+    ``lines``: key, line_no (a line's own in its key), line.
+    """
     l, c = F.lower("label"), F.lower(trimmed(F.regexp_extract("line", r"^\|?\s*([^|]*)", 1)))
-    hits = labels.join(lines, key).where(F.contains(F.lower("line"), l))
+    hits = label_hits(labels, lines, key)
+    extra = [x for x in labels.columns if x not in (key, "label")]
+    hits = hits.join(labels, [key, "label"]) if extra else hits
     score = F.when(c == l, 100).otherwise(-20) + F.when(F.col("line").rlike(r"\d[\d,]{3,}"), 50).otherwise(0)
     w = Window.partitionBy(key, "label").orderBy(F.desc("score"), "line_no")
     return hits.withColumn("score", score).withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")

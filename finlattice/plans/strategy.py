@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators import strategy
+from ..operators import records, strategy
+from ..sources import readers
 from .catalog import query
 from .statements import _t, _YEAR, cumulative
 
@@ -148,3 +149,58 @@ def triage(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = F.array(*(F.struct(F.lit(n).alias("measure"), v.cast("double").alias("value")) for n, v in told.items()))
     measures = o.select("o_orderkey", F.explode(cells).alias("m")).select("o_orderkey", "m.*")
     return strategy.triage(failures, measures, strategy.triage_rules(spark), ("o_orderkey",)).select("o_orderkey", "kind", "priority", "diagnosis")
+
+
+VARIANT_SQL = """
+SELECT o_orderkey, 'T' || o_custkey AS ticker, o_orderpriority AS section, CASE WHEN o_orderkey % 7 = 6 THEN NULL ELSE strftime(o_orderdate, '%Y-%m-%d') END AS period_end, CAST(CASE WHEN o_orderkey % 5 = 4 THEN NULL ELSE 12 END AS INTEGER) AS months, f.field,
+  CASE WHEN f.field = 'revenue_net' THEN CASE o_orderkey % 4 WHEN 0 THEN 'number' WHEN 1 THEN 'object' WHEN 2 THEN 'null' ELSE 'text' END ELSE CASE WHEN o_orderkey % 3 = 0 THEN 'object' ELSE 'other' END END AS kind,
+  CASE WHEN f.field = 'revenue_net' THEN CASE WHEN o_orderkey % 4 < 2 THEN o_totalprice END WHEN o_orderkey % 3 = 0 AND o_orderkey % 2 = 0 THEN o_custkey END AS value,
+  CASE WHEN f.field = 'revenue_net' AND o_orderkey % 4 = 1 THEN o_clerk END AS source_item, CASE WHEN f.field = 'revenue_net' AND o_orderkey % 4 = 1 THEN true END AS is_calculated,
+  CASE WHEN f.field = 'revenue_net' AND o_orderkey % 4 = 1 THEN '{"note":' || o_shippriority || '}' END AS more
+FROM (SELECT *, 'C' || o_custkey AS o_clerk, o_orderkey % 3 AS o_shippriority FROM (SELECT o_orderkey, o_custkey, o_orderpriority, o_orderdate, o_totalprice FROM orders)) CROSS JOIN (VALUES ('revenue_net'), ('odd')) f(field)
+"""
+
+
+@query("period_variants", VARIANT_SQL)
+def period_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i, price = F.col("o_orderkey"), F.col("o_totalprice").cast("string")
+    text = lambda *parts: F.concat(*(p if not isinstance(p, str) else F.lit(p) for p in parts))
+    whole = text('{"value": ', price, ', "source_item": "C', F.col("o_custkey").cast("string"), '", "ref": 7, "is_calculated": true, "note": ', (i % 3).cast("string"), "}")
+    revenue = F.when(i % 4 == 0, price).when(i % 4 == 1, whole).when(i % 4 == 2, "null").otherwise('"n/a"')
+    odd = F.when(i % 3 == 0, F.when(i % 2 == 0, text('{"value": ', F.col("o_custkey").cast("string"), "}")).otherwise('{"value": "12"}')).otherwise("[1, 2]")
+    end = F.when(i % 7 == 6, "true").otherwise(text('"', F.date_format("o_orderdate", "yyyy-MM-dd"), '"'))
+    months = F.when(i % 5 == 4, '"x"').otherwise("12")
+    record = text('{"ticker": "T', F.col("o_custkey").cast("string"), '", "consolidation": "', F.col("o_orderpriority"), '", "period_end": ', end, ', "duration_months": ', months, ', "values": {"revenue_net": ', revenue, ', "odd": ', odd, "}}")
+    out = readers.period_variants(_t(spark, sf_dir, "orders").select("o_orderkey", record.alias("record")))
+    return out.select("o_orderkey", "ticker", "section", F.col("period_end").cast("string").alias("period_end"), "months", "field", "kind", "value", "source_item", "is_calculated", "more")
+
+
+ROLES_SQL = """
+WITH v AS (SELECT o_custkey AS k, o_orderkey % 3 AS r, CAST(round(sum(o_totalprice)) AS BIGINT) AS base, count(*) AS persons FROM orders GROUP BY ALL)
+SELECT CAST(k AS VARCHAR) AS file, CASE WHEN k % 2 = 0 THEN 'consolidated' ELSE 'unconsolidated' END AS scope, CASE r WHEN 0 THEN 'chief_executive' WHEN 1 THEN 'directors' ELSE 'executives' END AS role, CAST(2024 - k % 2 AS INTEGER) AS year,
+  CAST(persons AS DOUBLE) AS persons, CAST(base AS DOUBLE) AS base_salary, CAST(base // 10 AS DOUBLE) AS bonus, CAST(base // 5 + 3 AS DOUBLE) AS other_benefits, CAST(base + base // 10 + base // 5 + 3 AS DOUBLE) AS total FROM v
+"""
+
+
+@query("compensation_roles", ROLES_SQL)
+def compensation_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Roles by column, by row, and by column with years give the same facts."""
+    k = F.col("o_custkey")
+    v = _t(spark, sf_dir, "orders").groupBy("o_custkey", (F.col("o_orderkey") % 3).alias("r")).agg(F.round(F.sum("o_totalprice")).cast("long").alias("base"), F.count("*").alias("persons"))
+    parts = {"Number of persons": F.col("persons"), "Managerial remuneration": F.col("base"), "Bonus": F.floor(F.col("base") / 10), "Utilities": F.floor(F.col("base") / 5), "Medical": F.lit(3), "Total": F.col("base") + F.floor(F.col("base") / 10) + F.floor(F.col("base") / 5) + 3}
+    shown = F.array(*(F.format_number(x.cast("long"), 0) for x in parts.values()))
+    name = F.when(F.col("r") == 0, "Chief Executive").when(F.col("r") == 1, "Directors").otherwise("Executives")
+    one = v.select("o_custkey", F.struct("r", name.alias("name"), shown.alias("cells")).alias("x")).groupBy("o_custkey").agg(F.sort_array(F.collect_list("x")).alias("xs"))
+    year = (2024 - k % 2).cast("string")
+    line = lambda cells: F.concat(F.lit("| "), F.array_join(cells, " | "), F.lit(" |"))
+    rule = lambda n: F.concat(F.lit("|"), F.repeat(F.lit("---|"), n))
+    labels = F.array(*map(F.lit, parts))
+    heads = F.transform("xs", lambda x: x["name"])
+    rows = F.transform(labels, lambda label, i: line(F.concat(F.array(label), F.transform("xs", lambda x: F.get(x["cells"], i)))))
+    wide = lambda h: F.concat(F.array(line(F.concat(F.array(F.lit("Particulars")), h)), rule(F.size("xs") + 1)), rows)
+    turned = F.concat(F.array(line(F.concat(F.array(F.lit("Particulars")), labels)), rule(F.lit(len(parts) + 1))), F.transform("xs", lambda x: line(F.concat(F.array(x["name"]), x["cells"]))))
+    table = F.when(k % 3 == 0, wide(heads)).when(k % 3 == 1, turned).otherwise(wide(F.transform(heads, lambda h: F.concat(h, F.lit(" "), year))))
+    title = F.when(k % 2 == 0, "## Consolidated").otherwise("## Unconsolidated")
+    files = one.select(k.cast("string").alias("file"), F.when(k % 3 == 2, 1990).otherwise(year.cast("int")).alias("year"), F.concat_ws("\n", title, F.lit(""), F.array_join(table, "\n")).alias("text"))
+    out = records.compensation_roles(files, ["file"])
+    return out.select("file", "scope", "role", "year", "persons", "base_salary", "bonus", "other_benefits", "total")

@@ -45,6 +45,34 @@ def read_periods(spark: SparkSession, path: str) -> DataFrame:
     return long.select("ticker", F.col("consolidation").alias("section"), F.to_date("period_end").alias("period_end"), F.col("duration_months").alias("months"), "unit_type", "source_file", F.to_date("filing_date").alias("filing_date"), "field", value.alias("value"), item.alias("source_item"))
 
 
+def period_variants(records: DataFrame, column: str = "record") -> DataFrame:
+    """Values of period records in JSON text, one record a row, read as VARIANT so that each keeps its own type; other columns are carried along.
+
+    Returns ticker, section, period_end, months, unit_type, field, ``kind`` (number, object, null, text or other: what the value was), value, source_item, ref, is_calculated,
+    ``more`` (fields of an object that aren't among these, as JSON; null if none). A number may stand by itself or as an object's value; a text or a truth value is no number, and a part
+    of the wrong type is null. Text that isn't JSON, and records without values, give nothing.
+    """
+    extra = [c for c in records.columns if c != column]
+    get = lambda v, path, kind: F.try_variant_get(v, path, kind)
+    v = records.select(*extra, F.try_parse_json(column).alias("_v")).where("_v IS NOT NULL")
+    each = v.select(*extra, "_v", F.explode(get(F.col("_v"), "$.values", "map<string,variant>")).alias("field", "_x"))
+    x = F.col("_x")
+    of = F.schema_of_variant(x)
+    number = of.rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)")
+    inner = get(x, "$.value", "variant")
+    kind = F.when(number, "number").when(of.startswith("OBJECT"), "object").when(x.isNull() | F.is_variant_null(x), "null").when(of == "STRING", "text").otherwise("other")
+    value = F.when(number, get(x, "$", "double")).when(F.schema_of_variant(inner).rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)"), get(inner, "$", "double"))
+    text = lambda path: F.when(F.schema_of_variant(get(x, path, "variant")) == "STRING", get(x, path, "string"))
+    known = F.array(*map(F.lit, ("value", "source_item", "ref", "is_calculated")))
+    others = F.map_filter(F.when(of.startswith("OBJECT"), get(x, "$", "map<string,variant>")), lambda k, _: ~F.array_contains(known, k))
+    top = lambda path, kind: get(F.col("_v"), path, kind)
+    return each.select(
+        *extra, top("$.ticker", "string").alias("ticker"), top("$.consolidation", "string").alias("section"), top("$.period_end", "string").try_cast("date").alias("period_end"), top("$.duration_months", "int").alias("months"),
+        top("$.unit_type", "string").alias("unit_type"), "field", kind.alias("kind"), value.alias("value"), text("$.source_item").alias("source_item"), text("$.ref").alias("ref"),
+        F.when(F.schema_of_variant(get(x, "$.is_calculated", "variant")) == "BOOLEAN", get(x, "$.is_calculated", "boolean")).alias("is_calculated"), F.when(F.size(others) > 0, F.to_json(others)).alias("more"),
+    )
+
+
 def read_jsonl(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """JSON lines; blank and corrupt ones are left out."""
     return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
