@@ -112,6 +112,24 @@ def filing_manifest(tagged: DataFrame, repaired: DataFrame, filing: list[str], l
     return counts.join(tags, filing, "left").join(fixed, filing, "left").withColumn("repaired_pages", F.coalesce("repaired_pages", none))
 
 
+#: Kinds of filings that a manifest's statistics count, by the tag that makes them.
+COUNTED_TAGS = {"filings_with_statements": "statement", "filings_with_multi_year": "multi_year", "filings_with_ceo_comp": "ceo_comp"}
+
+
+def manifest_stats(tagged: DataFrame, filing: list[str], least: float = 0.5) -> DataFrame:
+    """Totals of a manifest as rows (stat, tag, n): total_filings, total_pages_classified (a row each), the filings with each of COUNTED_TAGS, and pages_by_tag.
+
+    ``tagged``: the filing's keys, page, section_tags. One pass: a filing is one row before anything is counted.
+    """
+    tags = F.transform(F.filter(F.coalesce("section_tags", F.array().cast(tagged.schema["section_tags"].dataType)), lambda t: t["confidence"] >= least), lambda t: t["tag"])
+    whole = tagged.select(*filing, tags.alias("tags")).groupBy(*filing).agg(F.count("*").alias("n_rows"), *(F.bool_or(F.array_contains("tags", t)).alias(s) for s, t in COUNTED_TAGS.items()))
+    by_tag = tagged.select(*filing, "page", F.explode(F.array_distinct(tags)).alias("tag")).groupBy(*filing, "tag").agg(F.count_distinct("page").alias("n"))
+    kinds = (F.struct(F.lit(s).alias("stat"), F.col(s).cast("long").alias("n")) for s in COUNTED_TAGS)
+    counted = F.array(F.struct(F.lit("total_filings").alias("stat"), F.lit(1).cast("long").alias("n")), F.struct(F.lit("total_pages_classified").alias("stat"), F.col("n_rows").alias("n")), *kinds)
+    totals = whole.select(F.inline(counted)).groupBy("stat").agg(F.sum("n").alias("n")).select("stat", F.lit(None).cast("string").alias("tag"), "n")
+    return totals.unionByName(by_tag.groupBy("tag").agg(F.sum("n").alias("n")).select(F.lit("pages_by_tag").alias("stat"), "tag", "n"))
+
+
 def statement_manifests(manifest: DataFrame) -> DataFrame:
     """``(ticker, filing_type, period, kind, pages)``: statement pages of every filing, multi-year and compensation pages of annual ones that have any.
 

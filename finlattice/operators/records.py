@@ -165,8 +165,8 @@ def printed_parts(text: Column) -> Column:
     return F.array_distinct(F.flatten(F.transform(runs, lambda r: F.flatten(F.transform(starts(r), lambda i: ends(r, i))))))
 
 
-def value_presence(records: DataFrame, sources: DataFrame, keys: Sequence[str], multiyear: bool = False) -> DataFrame:
-    """``records`` with ``presence``: found, missing or no_source. ``sources``: keys, text, one row for each filing.
+def value_presence(records: DataFrame, sources: DataFrame, keys: Sequence[str], multiyear: bool = False, manifest: DataFrame | None = None) -> DataFrame:
+    """``records`` with ``presence``: found, missing, no_source, or no_manifest where ``manifest`` (keys, pages) is given and lists no page. ``sources``: keys, text, one row for each filing.
 
     A form of a figure is found where it stands in the text, as a part of a longer number too. Texts are indexed once: the parts of their printed numbers meet the
     forms that records ask for in an equi-join, and no text goes along with a record. A null value is missing.
@@ -177,19 +177,24 @@ def value_presence(records: DataFrame, sources: DataFrame, keys: Sequence[str],
     found = forms.join(parts, [*on, "_form"], "left_semi").select(*on, "value").distinct().withColumn("_found", F.lit(True))
     read = sources.where("text IS NOT NULL").select(*on).distinct().withColumn("_read", F.lit(True))
     presence = F.when(F.col("_read").isNull(), "no_source").when(F.col("_found"), "found").otherwise("missing")
-    return records.join(read, on, "left").join(found, [*on, "value"], "left").withColumn("presence", presence).select(*records.columns, "presence")
+    met = records.join(read, on, "left").join(found, [*on, "value"], "left")
+    if manifest is not None:
+        listed = manifest.where(F.size("pages") > 0).select(*on).distinct().withColumn("_listed", F.lit(True))
+        met, presence = met.join(listed, on, "left"), F.when(F.col("_listed").isNull(), "no_manifest").otherwise(presence)
+    return met.withColumn("presence", presence).select(*records.columns, "presence")
 
 
 def presence_status(presence: DataFrame, key: str = "ticker") -> DataFrame:
     """Share found by key: pass from 80 %, warn from 60 %; ``problem`` where more is missing than found."""
-    rates = presence.where("presence <> 'no_source'").groupBy(key).agg(F.count("*").alias("n"), F.count_if(F.col("presence") == "found").alias("n_found"))
+    rates = presence.where("presence IN ('found', 'missing')").groupBy(key).agg(F.count("*").alias("n"), F.count_if(F.col("presence") == "found").alias("n_found"))
     rate = F.col("n_found") / F.col("n")
     return rates.withColumns({"status": F.when(rate >= 0.8, "pass").when(rate >= 0.6, "warn").otherwise("fail"), "problem": F.col("n") > 2 * F.col("n_found")})
 
 
 def reproducible_sample(rows: DataFrame, key: str, n: int = 500, seed: int = 42) -> DataFrame:
-    """``n`` rows that depend on their keys and the seed only."""
-    return rows.orderBy(F.xxhash64(F.lit(seed), key), key).limit(n)
+    """``n`` rows that depend on their keys and the seed only: the first by a hash of both. Null keys come last; equal keys are ordered by all columns."""
+    order = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")))
+    return rows.orderBy(F.col(key).isNull(), order, key, *(c for c in rows.columns if c != key)).limit(n)
 
 
 #: Letters of the runs that an index of lines knows.

@@ -41,6 +41,43 @@ def cross_filing(figures: DataFrame, keys: Sequence[str] = FIGURE, value: str =
     return rows.withColumn("status", status).drop("_cut", "_group", "_least", "_n", "_best")
 
 
+# Plausibility of one file's rows
+
+
+#: Value columns that a filing of a type should have: the fewest and the most.
+EXPECTED_COLUMNS = {"annual": (2, 2), "quarterly": (2, 4)}
+
+
+def per_share_issues(values: DataFrame, limit: float = 5000.0) -> DataFrame:
+    """Per-share figures too large to be in rupees a share."""
+    return values.where(F.lower("field").rlike("eps|per_share") & (F.abs("value") > limit))
+
+
+def mapping_coverage(rows: DataFrame, keys: Sequence[str], least: float = 80.0) -> DataFrame:
+    """Share of rows with a canonical name by key, in percent, and whether it is enough. ``rows``: keys, canonical (null and blank are none)."""
+    named = F.coalesce(F.trim("canonical") != "", F.lit(False))
+    rates = rows.groupBy(*keys).agg(F.count("*").alias("n_rows"), F.count_if(named).alias("n_mapped"))
+    return rates.withColumn("coverage", 100 * F.col("n_mapped") / F.col("n_rows")).withColumn("enough", F.col("coverage") >= least)
+
+
+def column_counts(cells: DataFrame, file: str = "file", expected: dict[str, tuple[int, int]] = EXPECTED_COLUMNS) -> DataFrame:
+    """Files with ``n_columns`` and ``issues``: too_few or too_many columns for their type, uneven rows, headers without a date.
+
+    ``cells``: file, filing_type, row_no, col_no, col_header, raw (null: the row is shorter), dated (whether the header is a date or a span). A type that isn't known has no bounds.
+    """
+    rows = cells.groupBy(file, "filing_type", "row_no").agg(F.count("raw").alias("_width"), F.count_distinct("col_no").alias("_columns"), F.count_if(~F.coalesce("dated", F.lit(False))).alias("_undated"))
+    one = rows.groupBy(file, "filing_type").agg(F.max("_columns").alias("n_columns"), (F.min("_width") != F.max("_width")).alias("_uneven"), F.max("_undated").alias("_undated"))
+
+    def bound(i: int) -> Column:
+        out = F.lit(None).cast("int")
+        for kind, b in expected.items():
+            out = F.when(F.col("filing_type") == kind, b[i]).otherwise(out)
+        return out
+
+    kinds = (F.when(F.col("n_columns") < bound(0), "too_few"), F.when(F.col("n_columns") > bound(1), "too_many"), F.when(F.col("_uneven"), "uneven_rows"), F.when(F.col("_undated") > 0, "no_date"))
+    return one.select(file, "filing_type", "n_columns", F.array_compact(F.array(*kinds)).alias("issues"))
+
+
 # Missing totals
 
 

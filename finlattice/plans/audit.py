@@ -140,11 +140,12 @@ def flatten_bs(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = F.round("o_totalprice")
     cols = F.array(F.struct(F.lit(0).alias("col_no"), F.concat(F.when(annual, "31 Dec ").otherwise("March 31, "), y).alias("col_header"), shown(v).alias("raw")), F.struct(F.lit(1).alias("col_no"), F.concat(F.lit("31 Dec "), y - 1, F.lit(" (Audited)")).alias("col_header"), shown(2 * v).alias("raw")), F.struct(F.lit(2).alias("col_no"), F.lit("Note").alias("col_header"), F.lit("7").alias("raw")))
     item = i % 20
-    rows = _t(spark, sf_dir, "orders").select(
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    # few bytes, but much to parse
+    rows = o.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "o_orderkey").select(
         F.concat_ws("_", ticker, F.when(annual, "annual").otherwise("quarterly"), period, F.lit("consolidated")).alias("file"), ticker.alias("ticker"), F.when(annual, "annual").otherwise("quarterly").alias("filing_type"), period.alias("filing_period"), F.lit("consolidated").alias("section"),
         F.when(F.col("o_custkey") % 3 == 0, "rupees").otherwise("thousands").alias("unit_type"), i.alias("row_no"), F.concat(F.lit("Item "), item).alias("source_item"), F.when(item == 3, "A=B").otherwise(F.concat(F.lit("field_"), item)).alias("canonical"), F.inline(cols),
     )
-    o = _t(spark, sf_dir, "orders")
     companies = o.select(ticker.alias("ticker"), F.lit("c").alias("company_name"), F.lit("i").alias("industry"), F.lit(6).alias("fiscal_month")).distinct()
     manifest = o.where(y % 2 == 0).select(ticker.alias("ticker"), F.concat(F.lit("annual_"), y).alias("period_key"), F.lit("consolidated").alias("section"), F.lit("BS").alias("stmt"), (i % 7).cast("int").alias("page"))
     out = facts.flatten_bs(rows, companies, ("field_5",), manifest=manifest, base_url="u")

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators import records, strategy
+from ..functions.expr import period_header
+from ..operators import market, pages, records, strategy
 from ..sources import readers
 from .catalog import query
 from .statements import _t, _YEAR, cumulative
@@ -204,3 +205,116 @@ def compensation_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = one.select(k.cast("string").alias("file"), F.when(k % 3 == 2, 1990).otherwise(year.cast("int")).alias("year"), F.concat_ws("\n", title, F.lit(""), F.array_join(table, "\n")).alias("text"))
     out = records.compensation_roles(files, ["file"])
     return out.select("file", "scope", "role", "year", "persons", "base_salary", "bonus", "other_benefits", "total")
+
+
+@query("per_share_issues", """
+SELECT o_orderkey, 'eps_basic' AS field, o_totalprice AS value FROM orders WHERE o_orderkey % 3 = 0 AND o_totalprice > 5000
+UNION ALL SELECT o_orderkey, 'Dividend_per_share', -o_totalprice FROM orders WHERE o_orderkey % 3 = 1 AND o_totalprice > 5000
+""")
+def per_share_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = F.col("o_orderkey")
+    field = F.when(i % 3 == 0, "eps_basic").when(i % 3 == 1, "Dividend_per_share").otherwise("revenue_net")
+    return strategy.per_share_issues(_t(spark, sf_dir, "orders").select("o_orderkey", field.alias("field"), F.when(i % 3 == 1, -F.col("o_totalprice")).otherwise(F.col("o_totalprice")).alias("value")))
+
+
+COVERAGE_SQL = """
+SELECT l_suppkey, CAST(month(l_shipdate) AS INTEGER) AS month, count(*) AS n_rows, count(*) FILTER (l_quantity > 10 AND l_discount > 0) AS n_mapped,
+  round(100.0 * count(*) FILTER (l_quantity > 10 AND l_discount > 0) / count(*), 6) AS coverage, 100 * count(*) FILTER (l_quantity > 10 AND l_discount > 0) >= 80 * count(*) AS enough FROM lineitem GROUP BY ALL
+"""
+
+
+@query("mapping_coverage", COVERAGE_SQL)
+def mapping_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    canonical = F.when(F.col("l_quantity") > 10, F.when(F.col("l_discount") > 0, "field").otherwise(" "))
+    rows = _t(spark, sf_dir, "lineitem").select("l_suppkey", F.month("l_shipdate").alias("month"), canonical.alias("canonical"))
+    return strategy.mapping_coverage(rows, ("l_suppkey", "month")).withColumn("coverage", F.round("coverage", 6))
+
+
+COLUMNS_SQL = """
+WITH l AS (SELECT l_orderkey AS k, l_linenumber AS r, min(CAST(l_quantity AS BIGINT)) AS q FROM lineitem GROUP BY ALL),
+c AS (SELECT k, r, CASE WHEN k % 3 = 0 THEN 'annual' WHEN k % 3 = 1 THEN 'quarterly' ELSE 'other' END AS filing_type, 1 + k % 6 AS n, CASE WHEN q > 45 THEN 1 ELSE 1 + k % 6 END AS width FROM l),
+g AS (SELECT k, filing_type, max(n) AS n, min(width) <> max(width) AS uneven FROM c GROUP BY k, filing_type),
+i AS (SELECT *, CASE WHEN filing_type <> 'other' AND n < 2 THEN 'too_few,' ELSE '' END || CASE WHEN (filing_type = 'annual' AND n > 2) OR (filing_type = 'quarterly' AND n > 4) THEN 'too_many,' ELSE '' END || CASE WHEN uneven THEN 'uneven_rows,' ELSE '' END || CASE WHEN k % 5 = 0 THEN 'no_date,' ELSE '' END AS issues FROM g)
+SELECT k AS l_orderkey, filing_type, n AS n_columns, rtrim(issues, ',') AS issues FROM i
+"""
+
+
+@query("column_counts", COLUMNS_SQL)
+def column_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("l_orderkey")
+    rows = _t(spark, sf_dir, "lineitem").groupBy("l_orderkey", F.col("l_linenumber").alias("row_no")).agg(F.min(F.col("l_quantity").cast("long")).alias("q"))
+    kind = F.when(k % 3 == 0, "annual").when(k % 3 == 1, "quarterly").otherwise("other")
+    cells = rows.select("l_orderkey", kind.alias("filing_type"), "row_no", "q", F.explode(F.sequence(F.lit(0).cast("long"), k % 6)).alias("col_no"))
+    header = F.when((k % 5 == 0) & (F.col("col_no") == 0), "Note").otherwise(F.concat(F.lit("31 Dec "), 2024 - F.col("col_no")))
+    cells = cells.select("l_orderkey", "filing_type", "row_no", "col_no", header.alias("col_header"), F.when((F.col("q") <= 45) | (F.col("col_no") == 0), "7").alias("raw"))
+    heads = cells.select("col_header").distinct().withColumn("dated", period_header(F.col("col_header"))["period_end"].isNotNull())
+    found = strategy.column_counts(cells.join(heads, "col_header"), "l_orderkey")
+    return found.select("l_orderkey", "filing_type", "n_columns", F.array_join("issues", ",").alias("issues"))
+
+
+@query("qc_sample", "SELECT o_orderkey, o_custkey FROM orders ORDER BY md5('42:' || o_orderkey), o_orderkey LIMIT 500")
+def qc_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records.reproducible_sample(_t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), "o_orderkey")
+
+
+STATS_SQL = """
+WITH d AS (SELECT source, doc_id // 20 AS f, doc_id % 20 AS page, n_chars % 3 = 0 AS st, n_chars % 5 = 0 AS my, n_chars % 41 = 0 AS cc FROM documents),
+f AS (SELECT source, f, count(*) AS n, bool_or(st) AS st, bool_or(my) AS my, bool_or(cc) AS cc FROM d GROUP BY ALL)
+SELECT 'total_filings' AS stat, NULL AS tag, count(*) AS n FROM f UNION ALL SELECT 'total_pages_classified', NULL, CAST(sum(n) AS BIGINT) FROM f
+UNION ALL SELECT 'filings_with_statements', NULL, count(*) FILTER (st) FROM f UNION ALL SELECT 'filings_with_multi_year', NULL, count(*) FILTER (my) FROM f UNION ALL SELECT 'filings_with_ceo_comp', NULL, count(*) FILTER (cc) FROM f
+UNION ALL SELECT 'pages_by_tag', 'statement', count(*) FILTER (st) FROM d HAVING count(*) FILTER (st) > 0 UNION ALL SELECT 'pages_by_tag', 'multi_year', count(*) FILTER (my) FROM d HAVING count(*) FILTER (my) > 0 UNION ALL SELECT 'pages_by_tag', 'ceo_comp', count(*) FILTER (cc) FROM d HAVING count(*) FILTER (cc) > 0
+"""
+
+
+@query("manifest_stats", STATS_SQL)
+def manifest_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = F.col("n_chars")
+    tag = lambda name, c: F.when(c, F.struct(F.lit(name).alias("tag"), F.lit(0.9).alias("confidence")))
+    weak = F.struct(F.lit("bs").alias("tag"), F.lit(0.4).alias("confidence"))
+    tags = F.array_compact(F.array(tag("statement", n % 3 == 0), tag("multi_year", n % 5 == 0), tag("ceo_comp", n % 41 == 0), weak))
+    rows = _t(spark, sf_dir, "documents").select("source", F.floor(F.col("doc_id") / 20).alias("filing"), (F.col("doc_id") % 20).alias("page"), tags.alias("section_tags"))
+    return pages.manifest_stats(rows, ["source", "filing"])
+
+
+NO_MANIFEST_SQL = """
+WITH o AS (SELECT o_orderkey AS i, o_custkey AS k, CAST(floor(o_totalprice) AS BIGINT) AS v FROM orders),
+r AS (SELECT i, k, v, CASE WHEN i % 4 = 0 THEN v + 1 ELSE v END AS value FROM o),
+t AS (SELECT k, string_agg('sold for ' || format('{:,}', v) || '; ', '') AS text FROM o WHERE k % 5 > 0 GROUP BY k)
+SELECT r.i AS o_orderkey, CASE WHEN r.k % 7 = 0 THEN 'no_manifest' WHEN t.text IS NULL THEN 'no_source'
+  WHEN list_bool_or([contains(t.text, x) FOR x IN [CAST(value AS VARCHAR), format('{:,}', value), CASE WHEN value >= 1000 THEN CAST(value // 1000 AS VARCHAR) ELSE CAST(value AS VARCHAR) END, CASE WHEN value >= 1000 THEN format('{:,}', value // 1000) ELSE format('{:,}', value) END]]) THEN 'found' ELSE 'missing' END AS presence
+FROM r LEFT JOIN t USING (k)
+"""
+
+
+@query("presence_by_manifest", NO_MANIFEST_SQL)
+def presence_by_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("k"), F.floor("o_totalprice").cast("long").alias("v"))
+    rows = o.select("o_orderkey", "k", F.when(F.col("o_orderkey") % 4 == 0, F.col("v") + 1).otherwise(F.col("v")).cast("double").alias("value"))
+    shown = F.concat(F.lit("sold for "), F.format_number("v", 0), F.lit("; "))
+    sources = o.where("k % 5 > 0").groupBy("k").agg(F.array_join(F.collect_list(shown), "").alias("text"))
+    manifest = o.select("k", F.when(F.col("k") % 7 > 0, F.array(F.lit(1))).otherwise(F.array().cast("array<int>")).alias("pages")).distinct()
+    return records.value_presence(rows, sources, ["k"], manifest=manifest).select("o_orderkey", "presence")
+
+
+VALUATION_SQL = """
+WITH p AS (SELECT event_id, user_id AS symbol, CAST(ts AS DATE) AS date, value AS closing_price FROM events WHERE event_type = 'purchase'),
+s AS (SELECT user_id AS symbol, event_id AS i, event_type AS t, CASE WHEN event_id % 2 = 0 THEN CAST(ts AS DATE) ELSE make_date(year(ts), 12, 31) END AS date, value * CASE WHEN event_id % 3 = 0 THEN 1 ELSE 1000 END AS v FROM events WHERE event_id % 5 <> 0),
+i AS (SELECT symbol, date, arg_min(v, i) AS income FROM s WHERE t = 'signup' GROUP BY ALL), d AS (SELECT symbol, date, arg_min(abs(v), i) AS dividends FROM s WHERE t = 'error' GROUP BY ALL),
+a AS (SELECT p.*, i.income FROM p ASOF LEFT JOIN i ON p.symbol = i.symbol AND p.date >= i.date),
+b AS (SELECT a.*, d.dividends, CASE WHEN closing_price > 0 THEN closing_price * (a.symbol + 1) END AS cap FROM a ASOF LEFT JOIN d ON a.symbol = d.symbol AND a.date >= d.date)
+SELECT event_id, round(cap, 2) AS market_cap, round(CASE WHEN income > 0 THEN cap / income END, 4) AS pe_ratio, round(CASE WHEN dividends <> 0 AND cap > 0 THEN 100 * dividends / cap END, 4) AS dividend_yield FROM b
+"""
+
+
+@query("valuation", VALUATION_SQL)
+def valuation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From statement rows to multiples: twelve-month values by date, then as of each price."""
+    e, i, day = _t(spark, sf_dir, "events"), F.col("event_id"), F.to_date("ts")
+    statements = e.select(
+        F.col("user_id").alias("ticker"), F.lit("ltm").alias("period_type"), F.when(i % 5 == 0, "unconsolidated").otherwise("consolidated").alias("section"), F.when(i % 2 == 0, day.cast("string")).otherwise(F.year(day).cast("string")).alias("period_end"),
+        F.when(F.col("event_type") == "signup", "net_profit").when(F.col("event_type") == "error", "dividends_paid").alias("key_metric"), "value", F.when(i % 3 == 0, "rupees").otherwise("thousands").alias("unit_type"), i.alias("read_order"),
+    )
+    prices = e.where("event_type = 'purchase'").select("event_id", F.col("user_id").alias("symbol"), day.alias("date"), F.col("value").alias("closing_price"))
+    shares = e.select(F.col("user_id").alias("symbol")).distinct().withColumn("shares", F.col("symbol") + 1)
+    out = market.market_metrics(prices, shares, market.ltm_values(statements, "net_profit", "ltm_income"), market.ltm_values(statements, "dividends_paid", "ltm_dividends", absolute=True))
+    return out.select("event_id", F.round("market_cap", 2).alias("market_cap"), F.round("pe_ratio", 4).alias("pe_ratio"), F.round("dividend_yield", 4).alias("dividend_yield"))

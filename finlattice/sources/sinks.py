@@ -25,13 +25,23 @@ def document_rows(documents: DataFrame) -> DataFrame:
     return documents.withColumns({"ticker": F.upper("ticker"), "section_tags": F.to_json("section_tags"), "filing_year": F.col("filing_year").try_cast("int"), "pg": F.col("pg").try_cast("int"), "text": text}).select(*DOCUMENT_COLUMNS)
 
 
-def write_partitioned(df: DataFrame, path: str, *by: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).partitionBy(*by).parquet(path)
+#: The order in which published rows lie.
+FACT_ORDER = ("ticker", "section", "period_end", "period_duration", "canonical_field", "original_name")
+DOCUMENT_ORDER = ("filing_type", "filing_period", "pg")
+
+
+def write_partitioned(df: DataFrame, path: str, *by: str, mode: str = "overwrite", order: tuple[str, ...] = ()) -> None:
+    """Parquet by partition; with ``order``, each partition's files follow each other in it, and so do the rows of each file.
+
+    Ranges of the order go to tasks, so that a large partition is several files and no task holds it whole.
+    """
+    rows = df.repartitionByRange(*by, *order).sortWithinPartitions(*by, *order) if order else df
+    rows.write.mode(mode).partitionBy(*by).parquet(path)
 
 
 def publish_facts(facts: DataFrame, path: str) -> None:
-    write_partitioned(fact_rows(facts), path, "statement_type")
+    write_partitioned(fact_rows(facts), path, "statement_type", order=FACT_ORDER)
 
 
 def publish_documents(documents: DataFrame, path: str) -> None:
-    write_partitioned(document_rows(documents), path, "ticker", "filing_year")
+    write_partitioned(document_rows(documents), path, "ticker", "filing_year", order=DOCUMENT_ORDER)
