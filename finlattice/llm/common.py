@@ -17,7 +17,7 @@ def shared_dir(spark: SparkSession) -> str:
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if found:
         return found.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
+    if spark.sparkContext.master.split("[")[0] != "local":
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return os.path.join(tempfile.gettempdir(), "finlattice-shared")
 
@@ -38,16 +38,33 @@ def durable(df: DataFrame, name: str) -> DataFrame:
         conf.set(TIDY, before)
     back = df.sparkSession.read.schema(df.schema).parquet(path)
     back.durable_path = path
+    _MADE.append(path)
     return back
 
 
+#: Folders of durable frames that this process has made and not released.
+_MADE: list[str] = []
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Deletes the folders of all durable frames left, also those that results still read: for callers that have written or collected what they need."""
+    while _MADE:
+        _delete(spark, _MADE.pop())
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm = spark._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
+
+
 def release(*frames: DataFrame | None) -> None:
     """Deletes the folders of durable frames that nothing reads any more."""
     for df in frames:
         if (path := getattr(df, "durable_path", None)) is not None:
-            jvm = df.sparkSession._jvm
-            where = jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
+            _delete(df.sparkSession, path)
+            if path in _MADE:
+                _MADE.remove(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
