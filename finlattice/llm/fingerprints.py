@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import parts
+from .common import HOT_KEYS, HOT_ROWS, durable, parts, release
 from .ngram_join import similarity_components
 from .shingles import mix64, shingle_hashes, slices, utf8_parts
 
@@ -93,19 +93,21 @@ _EDITED = "doc_id long, n_chars long, edited_sha256 string, fingerprint string,
 
 
 def _edited(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (bucket, tail, key): each row's next document is the row after it."""
+    """Rows sorted by (bucket, tail, key): each row's next document is the row after it, and of all but one of ``m`` equal rows itself."""
     held = None  # the last row so far
     for b in batches:
         for i, j in slices(b.column("text")):
             part = b.slice(i, j - i)
-            ids, tails, texts = part.column("doc_id").to_pylist(), part.column("tail").to_pylist(), part.column("text").fill_null("").to_pylist()
+            ids, tails, texts, m = (part.column(c).to_pylist() for c in ("doc_id", "tail", "text", "m"))
+            texts = [t or "" for t in texts]
             if held:
-                ids, tails, texts = [held[0], *ids], [held[1], *tails], [held[2], *texts]
-            held = ids[-1], tails[-1], texts[-1]
-            at = np.array([r for r in range(len(ids) - 1) if not tails[r]], np.int64)
-            if not len(at):
+                ids, tails, texts, m = ([h, *x] for h, x in zip(held, (ids, tails, texts, m), strict=True))
+            held = ids[-1], tails[-1], texts[-1], m[-1]
+            pairs = [(r, r + 1, 1) for r in range(len(ids) - 1) if not tails[r]] + [(r, r, m[r] - 1) for r in range(len(ids) - 1) if not tails[r] and m[r] > 1]
+            if not pairs:
                 continue
-            edited = [texts[r][: len(texts[r]) - len(texts[r]) // 2] + texts[r + 1][: len(texts[r]) // 2] for r in at]
+            at, nxt, copies = (np.array(x, np.int64) for x in zip(*pairs, strict=True))
+            edited = [texts[r][: len(texts[r]) - len(texts[r]) // 2] + texts[q][: len(texts[r]) // 2] for r, q, _ in pairs]
             sig, words = _signatures(pa.array(texts, pa.large_string()))
             esig, ewords = _signatures(pa.array(edited, pa.large_string()))
             yield pa.RecordBatch.from_arrays(
@@ -116,12 +118,15 @@ def _edited(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     _hex(sig[at], words[at]),
                     _hex(esig, ewords),
                     pa.array(_likeness(sig[at], words[at], esig, ewords)),
-                    pa.array(_likeness(sig[at], words[at], sig[at + 1], words[at + 1])),
+                    pa.array(_likeness(sig[at], words[at], sig[nxt], words[nxt])),
+                    pa.array(copies),
                 ],
-                names=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
+                names=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "copies"],
             )
 
 
+#: Copies of a row that are given back at a time.
+RUN = 10_000
 #: Keys that are sampled for each range, to place its bounds.
 KEYS_PER_RANGE = 32
 
@@ -131,12 +136,13 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
 
     Documents are ordered by doc_id (null first, repeated ones by a hash of the text and the text), the first follows the last. One
     shuffle deals them into ranges of (doc_id, hash), so ids of any size and many texts under one id are spread alike; only
-    rows equal in both lie in one range. Bounds come from a sample of these pairs (KEYS_PER_RANGE a range); the first
+    rows equal in both lie in one range; where these are very many they are one row with their number, so that a task computes them once. Bounds come from a sample of these pairs (KEYS_PER_RANGE a range); the first
     document of a range also goes, as its tail, to the range before (one row of each batch that holds it).
     """
     spark = docs.sparkSession
-    keyed = docs.select("doc_id", "text", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("key"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"))
-    keys = keyed.select("key", "h")
+    docs = docs.select(F.col("doc_id").cast("long"), "text")
+    keyed = docs.select("doc_id", "text", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("key"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"), F.lit(1).cast("long").alias("m"))
+    keys = durable(keyed.select("key", "h"), "keys")
     total, first = keys.agg(F.count("*"), F.min(F.struct("key", "h"))).first()
     if not total:
         return spark.createDataFrame([], _EDITED)
@@ -158,7 +164,19 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
         tails = set(np.flatnonzero(lead)[np.unique(at[lead], return_index=True)[1]].tolist())
         return pd.Series([[b, -1 - (b - 1) % len(bounds)] if i in tails else [b] for i, b in enumerate(at.tolist())])
 
-    dealt = keyed.select("doc_id", "text", "key", "h", F.explode(ranges("key", "h")).alias("r"))
-    dealt = dealt.select("doc_id", "text", "key", "h", (F.col("r") < 0).alias("tail"), F.when(F.col("r") < 0, -1 - F.col("r")).otherwise(F.col("r")).alias("bucket"))
+    # at most HOT_KEYS of them
+    hot = durable(keys.groupBy("key", "h").count().where(F.col("count") > max(HOT_ROWS, total // HOT_KEYS)).select("key", "h"), "hot-rows")
+    release(keys)
+    some = not hot.isEmpty()
+    if some:
+        hot = F.broadcast(hot)
+        one = keyed.join(hot, ["key", "h"], "left_semi").groupBy("doc_id", "key", "h").agg(F.first("text").alias("text"), F.sum("m").alias("m"))
+        keyed = keyed.join(hot, ["key", "h"], "left_anti").unionByName(one)
+    dealt = keyed.select("doc_id", "text", "key", "h", "m", F.explode(ranges("key", "h")).alias("r"))
+    dealt = dealt.select("doc_id", "text", "key", "h", "m", (F.col("r") < 0).alias("tail"), F.when(F.col("r") < 0, -1 - F.col("r")).otherwise(F.col("r")).alias("bucket"))
     rows = dealt.repartition(parts(spark), "bucket").sortWithinPartitions("bucket", "tail", "key", "h", "text")
-    return rows.select("doc_id", "tail", "text").mapInArrow(_edited, _EDITED)
+    out = rows.select("doc_id", "tail", "text", "m").mapInArrow(_edited, f"{_EDITED}, copies long")
+    if some:
+        runs = F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / RUN))
+        out = out.select("*", F.explode(runs).alias("run")).select("*", F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.lit(RUN).cast("long"), F.col("copies") - F.col("run") * RUN))).alias("copy"))
+    return out.drop("copies", "run", "copy")

@@ -64,3 +64,17 @@ def test_large_and_repeated_ids_are_spread_over_ranges(spark):
     assert sorted((tuple(r[:3]) for r in out.collect()), key=key) == sorted((w[:3] for w in expected(rows)), key=key)
     sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
     assert len(sizes) >= 5 and max(sizes) < len(rows) / 3
+
+
+def test_many_equal_rows_are_computed_once(spark, monkeypatch):
+    from finlattice.llm import fingerprints as module
+
+    monkeypatch.setattr(module, "RUN", 700)
+    rows = [(None, "a b c d e f g")] * 2500 + [(3, "x y")] * 1200 + [(i, f"text of {i}") for i in range(40)] + [(3, "other")] * 2
+    out = edited_fingerprints(spark.createDataFrame(rows, "doc_id int, text string").repartition(6))
+    key = lambda r: tuple(str(x) for x in r)
+    got = out.collect()
+    assert sorted((tuple(r[:3]) for r in got), key=key) == sorted((w[:3] for w in expected(rows)), key=key)
+    assert sum(r.near_next == 1.0 for r in got) >= 2499 + 1199 + 1 and out.columns == ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+    same = edited_fingerprints(spark.createDataFrame([(1, "same text")] * 1500, "doc_id long, text string")).collect()
+    assert len(same) == 1500 and {(r.near_next, r.edited_sha256) for r in same} == {(1.0, same[0].edited_sha256)}
