@@ -67,3 +67,17 @@ def test_null_and_repeated_ids(spark):
     for source, target in want.items():
         assert abs(12 * sum(r.source == source for r in got) - target) <= 12 + 1e-6, source
     assert any(r.doc_id is None and r.source == "a" for r in got)
+
+
+def test_all_stages_with_many_equal_rows_clashing_columns_and_none(spark, tmp_path):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, label long, sid long, h long"
+    words = [f"word{i}" for i in range(200)]
+    one, near = " ".join(words), " ".join([*words[:199], "other"])
+    row = lambda d, t, s: (d, t, "en", s, len(t or ""), 1, 2, 3)
+    rows = [row(None, one, "a")] * 20_000 + [row(3, near, "a"), row(4, None, "b"), row(5, "password=hunter22 and some other words here", "b"), row(6, "1234 5678", None)]
+    spark.createDataFrame(rows, schema).repartition(8).write.parquet(f"{tmp_path}/documents.parquet")
+    got = cp.run(spark, str(tmp_path)).collect()
+    assert got and all(r.round_trip for r in got) and {r.doc_id for r in got} <= {3, 5}
+    empty = tmp_path / "none"
+    spark.createDataFrame([], schema).write.parquet(f"{empty}/documents.parquet")
+    assert cp.run(spark, str(empty)).count() == 0
