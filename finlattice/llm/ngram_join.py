@@ -269,8 +269,15 @@ def _tiled(rows: DataFrame, num: int, den: int, verify: bool, rest: bool = False
             grid(count(c + 1, False), lambda o: cell("r", c, c + 1, m, o, 0)),
             grid(count(c - 1, False), lambda o: cell("r", c - 1, c, o, m, 1)),
         ]
-        with_core = [grid(count(c + d, True), lambda o, d=d: cell("x", c, c + d, m, o, 0)) for d in (-1, 0, 1)]
-        from_core = [grid(count(c - d, False), lambda o, d=d: cell("x", c - d, c, o, m, 1)) for d in (-1, 0, 1)]
+
+        # functions of one argument: Spark takes a lambda's second one, a default too, for the place in the array
+        def to_core(d: int) -> Column:
+            return grid(count(c + d, True), lambda o: cell("x", c, c + d, m, o, 0))
+
+        def to_others(d: int) -> Column:
+            return grid(count(c - d, False), lambda o: cell("x", c - d, c, o, m, 1))
+
+        with_core, from_core = ([f(d) for d in (-1, 0, 1)] for f in (to_core, to_others))
         tiles = F.when(F.col("core"), F.concat(*from_core)).otherwise(F.concat(*among, *with_core))
         mine = count(c, False)
         mine = F.when(F.col("core"), count(c, True)).otherwise(mine)

@@ -186,3 +186,14 @@ def test_many_equal_rows_are_one_node(spark, monkeypatch):
     got = ngram_jaccard_join(frame).groupBy("doc_id", "component_id").count().collect()
     assert sorted(((r.doc_id or 0), r.component_id, r["count"]) for r in got) == [(0, 1, 20_000), (1, 1, 1), (2, 2, 1), (7, 1, 2)]
     assert max(tiled) == 2
+
+
+def test_chains_over_many_tiles_are_one_component(spark, monkeypatch):
+    """Texts that are near their neighbours only: most links join a node outside the core with the core, or with another such node."""
+    monkeypatch.setattr(ngram_join, "POINT_TILE", 12)
+    monkeypatch.setattr(ngram_join, "TILE", 8)
+    text = lambda i, n: " ".join(f"w{j}" for j in range(i * 10, i * 10 + n))
+    rows = [(i, text(i, 200)) for i in range(240)] + [(1000 + i, text(5000 + i, 205 + 3 * (i % 5))) for i in range(120)]
+    got = {r.doc_id: r.component_id for r in ngram_jaccard_join(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    want = {d: c for d, _, c in brute(rows, 4, 85, 100)}
+    assert got == want and want[239] == 0
