@@ -322,6 +322,7 @@ def qc_derived(spark: SparkSession, sf_dir: str) -> DataFrame:
 TABLES_SQL = """
 WITH l AS (SELECT DISTINCT ON (l_orderkey, l_linenumber) l_orderkey AS k, l_linenumber AS i, CAST(round(l_extendedprice) AS BIGINT) AS v FROM lineitem ORDER BY l_orderkey, l_linenumber, l_extendedprice, l_partkey, l_suppkey)
 SELECT 'F' || k AS file, 'CONSOLIDATED' AS section, 'Item ' || i AS line_item, CAST(y AS INTEGER) AS data_year, CAST(v AS DOUBLE) AS value FROM l CROSS JOIN (VALUES (2024), (2023)) c(y) WHERE k % 2 = 0 OR y = 2023
+UNION ALL SELECT 'F' || k, 'CONSOLIDATED', 'Total', CAST(y AS INTEGER), CAST(sum(CASE WHEN i % 3 = 0 THEN -v ELSE v END) + CASE WHEN y = 2023 AND k % 5 = 0 THEN 200000 ELSE 0 END AS DOUBLE) FROM l CROSS JOIN (VALUES (2024), (2023)) c(y) WHERE k % 2 = 0 OR y = 2023 GROUP BY k, y
 """
 
 
@@ -329,7 +330,7 @@ SELECT 'F' || k AS file, 'CONSOLIDATED' AS section, 'Item ' || i AS line_item, C
 def flatten_multiyear(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = rendered(spark, sf_dir).withColumn("report_year", F.when(F.substring("file", 2, 20).cast("long") % 2 == 0, 2024).otherwise(2023))
     out = records.flatten_multiyear(files, ["file", "report_year"])
-    return out.where("line_item LIKE 'Item %'").select("file", "section", "line_item", "data_year", "value")
+    return out.select("file", "section", "line_item", "data_year", "value")
 
 
 ASSETS_SQL = """
