@@ -10,9 +10,21 @@ MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct",
 _NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 
+#: White space of any kind (Unicode's White_Space).
+SPACES = "\t\n\x0b\f\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
 def trimmed(text: Column) -> Column:
     """Without white space of any kind at the ends."""
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    return F.trim(text, F.lit(SPACES))
+
+
+def once(**columns: Column) -> Column:
+    """Columns computed once for each row, for ``select``.
+
+    As a generator, so that the optimiser copies them into no filter, no later projection and no lambda, where they would be computed for each element.
+    """
+    return F.inline(F.array(F.struct(*(c.alias(n) for n, c in columns.items()))))
 
 
 def number(text: Column, *, empty: float | None = None, dash: float | None = None, spaces: bool = False, dollar: bool = False, trailing_minus: bool = False, percent: bool = False) -> Column:
@@ -21,21 +33,23 @@ def number(text: Column, *, empty: float | None = None, dash: float | None = Non
     ``empty`` and ``dash`` are the values of empty cells and dashes, ``spaces`` drops inner white space, ``dollar`` and
     ``percent`` drop these signs, ``trailing_minus`` reads ``7-`` as -7.
     """
-    t = trimmed(F.regexp_replace(text, r"\*\*|,", ""))
+    t = trimmed(F.replace(F.replace(text, F.lit("**"), F.lit("")), F.lit(","), F.lit("")))
     if dollar:
-        t = F.regexp_replace(t, r"\$", "")
+        t = F.replace(t, F.lit("$"), F.lit(""))
     if percent:
-        t = F.regexp_replace(t, "%", "")
+        t = F.replace(t, F.lit("%"), F.lit(""))
     if spaces:
-        t = F.regexp_replace(t, r"(?U)\s", "")
-    negative = t.rlike(r"^\(.*\)$")
+        t = F.translate(t, SPACES, "")
+    negative = t.startswith("(") & t.rlike(r"^\(.*\)$")
     body = trimmed(F.when(negative, F.regexp_replace(t, r"^\(|\)$", "")).otherwise(t))
     if trailing_minus:
-        negative = negative | body.rlike("-$")
-        body = F.regexp_replace(body, "-$", "")
+        negative = negative | body.endswith("-")
+        body = F.when(body.endswith("-"), F.left(body, F.length(body) - 1)).otherwise(body)
     value = F.when(body.rlike(_NUMBER), body.try_cast("double"))
     value = F.when(negative, -F.abs(value) if trailing_minus else -value).otherwise(value)
-    return F.when(text.isNull(), None).when(t == "", F.lit(empty).cast("double")).when(t.rlike("^[-–—]+$"), F.lit(dash).cast("double")).otherwise(value)
+    # most figures are digits and commas only; null text passes all tests and stays null
+    plain = F.replace(text, F.lit(","), F.lit("")).try_cast("double")
+    return F.when(text.rlike(r"^[0-9][0-9,]*\z"), plain).when(t == "", F.lit(empty).cast("double")).when(t.rlike("^[-–—]+$"), F.lit(dash).cast("double")).otherwise(value)
 
 
 def unit_factor(unit: Column, field: Column | None = None) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.expr import number
+from ..functions.expr import number, once
 from ..operators import cells, facts, periods, qc, quarters
 from .catalog import query
 
@@ -351,7 +351,7 @@ def rendered(spark: SparkSession, sf_dir: str) -> DataFrame:
     num = lambda x: F.when(x < 0, F.concat(F.lit("("), F.format_number(-x, 0), F.lit(")"))).otherwise(F.format_number(x, 0))
     total = F.concat(F.lit("| Total | total | Z="), F.array_join(F.transform("ls", lambda x: x["term"]), ""), F.lit(" | "), num(F.col("s")), F.lit(" | "), num(F.when(F.col("k") % 5 == 0, F.col("s") + 200000).otherwise(F.col("s"))), F.lit(" |"))
     head = F.lit("UNIT_TYPE: thousands\n## CONSOLIDATED\n| Source Item | Canonical | Ref | 12M Dec 2024 | 12M Dec 2023 |\n|:---|:---|:---|---:|---:|\n")
-    return g.select(F.concat(F.lit("F"), F.col("k")).alias("file"), F.concat(head, F.array_join(F.transform("ls", lambda x: x["line"]), "\n"), F.lit("\n"), total).alias("text"))
+    return g.select(F.concat(F.lit("F"), F.col("k")).alias("file"), once(text=F.concat(head, F.array_join(F.transform("ls", lambda x: x["line"]), "\n"), F.lit("\n"), total)))
 
 
 @query("qc_formulas", FORMULA_SQL)

@@ -89,3 +89,12 @@ def test_periods_given_twice_and_off_the_calendar(spark):
     frame = spark.createDataFrame(rows, schema).withColumn("period_end", F.to_date("period_end"))
     got = {(r.ticker, r.quarter, str(r.period_end), r.method, r.value) for r in quarters.derive_quarters(frame).collect()}
     assert got == {("A", "Q1", "2023-09-30", "direct_3M", 20.0), ("A", "Q2", "2023-12-31", "6M-Q1", 30.0), ("A", "Q2", "2023-11-30", "6M-Q1", 24.0), ("A", "Q3", "2024-02-29", "9M-6M", 40.0), ("B", "Q3", "2024-02-29", "direct_3M", 3.0)}
+
+
+def test_tables_are_parsed_once(spark):
+    """No expression of the parsers is copied into a filter, another projection or a lambda, where it would be computed for each line."""
+    files = spark.createDataFrame([("f", "UNIT_TYPE: x\n| Source Item | **Canonical** | Ref | 2024 |\n|---|---|---|---|\n| a\u3000| x | A | (1,000) |\n|| y || 7- |")], "file string, text string")
+    got = cells.parse_cells(files).withColumn("value", cells.qc_number(F.col("raw")))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(text") == 1
+    assert [(r.source_item, r.canonical, r.ref, r.value) for r in got.collect()] == [("a", "x", "A", -1000.0), ("", "y", "", -7.0)]
