@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.expr import number, trimmed
+from ..functions.expr import number, once, trimmed
 from .periods import latest_report
 
 # Fixed values of the cleaning.
@@ -168,19 +168,23 @@ def printed_parts(text: Column) -> Column:
 def value_presence(records: DataFrame, sources: DataFrame, keys: Sequence[str], multiyear: bool = False, manifest: DataFrame | None = None) -> DataFrame:
     """``records`` with ``presence``: found, missing, no_source, or no_manifest where ``manifest`` (keys, pages) is given and lists no page. ``sources``: keys, text, one row for each filing.
 
-    A form of a figure is found where it stands in the text, as a part of a longer number too. Texts are indexed once: the parts of their printed numbers meet the
-    forms that records ask for in an equi-join, and no text goes along with a record. A null value is missing.
+    A form of a figure is found where it stands in the text, as a part of a longer number too. A filing's text is read once, beside the forms that its records ask
+    for: only the parts among these leave its row and meet the figures. No join may broadcast: sizes that are estimated before parts and forms are counted are far too
+    small. A null value is missing.
     """
     on = list(keys)
-    forms = records.where("value IS NOT NULL").select(*on, "value").distinct().select(*on, "value", F.explode(printed_forms(F.col("value"), multiyear)).alias("_form"))
-    parts = sources.select(*on, F.explode(printed_parts(F.col("text"))).alias("_form"))
-    found = forms.join(parts, [*on, "_form"], "left_semi").select(*on, "value").distinct().withColumn("_found", F.lit(True))
+    figures = records.where("value IS NOT NULL").select(*on, "value").distinct()
+    forms = figures.select(*on, "value", F.explode(printed_forms(F.col("value"), multiyear)).alias("_form"))
+    asked = forms.groupBy(*on).agg(F.collect_set("_form").alias("_asked"))
+    seen = asked.join(sources.where("text IS NOT NULL").select(*on, "text").hint("merge"), on)
+    parts = seen.select(*on, once(_parts=F.array_intersect("_asked", printed_parts(F.col("text"))))).select(*on, F.explode("_parts").alias("_form"))
+    found = forms.join(parts.hint("merge"), [*on, "_form"], "left_semi").select(*on, "value").distinct().withColumn("_found", F.lit(True))
     read = sources.where("text IS NOT NULL").select(*on).distinct().withColumn("_read", F.lit(True))
     presence = F.when(F.col("_read").isNull(), "no_source").when(F.col("_found"), "found").otherwise("missing")
-    met = records.join(read, on, "left").join(found, [*on, "value"], "left")
+    met = records.join(read.hint("merge"), on, "left").join(found.hint("merge"), [*on, "value"], "left")
     if manifest is not None:
         listed = manifest.where(F.size("pages") > 0).select(*on).distinct().withColumn("_listed", F.lit(True))
-        met, presence = met.join(listed, on, "left"), F.when(F.col("_listed").isNull(), "no_manifest").otherwise(presence)
+        met, presence = met.join(listed.hint("merge"), on, "left"), F.when(F.col("_listed").isNull(), "no_manifest").otherwise(presence)
     return met.withColumn("presence", presence).select(*records.columns, "presence")
 
 

@@ -5,6 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from finlattice.operators import cells, facts, quarters, records
+from finlattice.plans import catalog
 from finlattice.sources import readers
 
 
@@ -105,3 +106,9 @@ def test_tables_are_parsed_once(spark):
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("split(text") == 1
     assert [(r.source_item, r.canonical, r.ref, r.value) for r in got.collect()] == [("a", "x", "A", -1000.0), ("", "y", "", -7.0)]
+
+
+def test_presence_broadcasts_nothing(spark):
+    """Sizes that are estimated before the parts of printed numbers are counted are too small to broadcast by."""
+    for name, of in (("value_presence", "/root/testdata/sf0.001"), ("presence_by_manifest", "/root/testdata/sf0.001")):
+        assert "Broadcast" not in catalog.queries()[name](spark, of)._jdf.queryExecution().executedPlan().toString()
