@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.expr import fiscal_year, months_into
+from ..functions.expr import fiscal_year, months_into, once
 
 FIGURE = ("ticker", "section", "period_end", "months", "field")
 
@@ -259,28 +259,18 @@ def triage_rules(spark, rows: Sequence[tuple] = TRIAGE) -> DataFrame:
 def triage(failures: DataFrame, measures: DataFrame, rules: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``failures`` (keys, kind) with the diagnosis, action and autonomy of the first rule of their kind all of whose tests hold; null where none does.
 
-    ``measures``: keys, measure, value. A test holds if low <= value < high; a missing or null measure fails it, and a rule without tests always fits. The
-    bounds of all rules cut a measure's range into bands; a value's band is the number of bounds up to it, and rules are spread over the bands they span, so that
-    measures meet rules in an equi-join, whatever the table says. Of several values of a measure any may hold.
+    ``measures``: keys, measure, value. A test holds if low <= value < high; a missing or null measure fails it, and a rule without tests always fits. Of several
+    values of a measure any may hold. A failure meets its key's measures and its kind's rules as lists in its own row, so that each measure is moved once.
     """
-    tests = rules.select("kind", "priority", F.size("tests").alias("needed"), F.explode("tests").alias("t")).select("kind", "priority", "needed", "t.*")
-    bounds = tests.select("measure", F.explode(F.array("low", "high")).alias("b")).where("b IS NOT NULL").groupBy("measure").agg(F.array_sort(F.collect_set("b")).alias("bounds"))
-
-    def band(x: Column) -> Column:
-        return F.size(F.filter("bounds", lambda b: b <= x))
-
-    last = F.size("bounds")
-    spans = tests.join(bounds, "measure", "left").withColumn("bounds", F.coalesce("bounds", F.array().cast("array<double>")))
-    first = F.when(F.col("low").isNull(), 0).otherwise(band(F.col("low")))
-    end = F.when(F.col("high").isNull(), last).otherwise(band(F.col("high")) - 1)
-    spans = spans.where(first <= end).select("kind", "priority", "needed", "measure", F.explode(F.sequence(first, end)).alias("band"))
-    told = failures.select(*keys, "kind").distinct().join(measures.where("value IS NOT NULL").select(*keys, "measure", F.col("value").cast("double").alias("value")), list(keys))
-    banded = told.join(bounds, "measure", "left").withColumn("bounds", F.coalesce("bounds", F.array().cast("array<double>")))
-    banded = banded.select(*keys, "kind", "measure", band(F.col("value")).alias("band")).distinct()
-    hits = banded.join(spans, ["kind", "measure", "band"]).groupBy(*keys, "kind", "priority", "needed").agg(F.count_distinct("measure").alias("held"))
-    # a rule may test a measure once
-    fit = hits.where("held = needed").select(*keys, "kind", "priority")
-    always = failures.select(*keys, "kind").distinct().join(rules.where(F.size("tests") == 0).select("kind", "priority"), "kind").select(*keys, "kind", "priority")
-    first_fit = fit.unionByName(always).groupBy(*keys, "kind").agg(F.min("priority").alias("priority"))
-    named = first_fit.join(rules.select("kind", "priority", "diagnosis", "action", "autonomous"), ["kind", "priority"])
-    return failures.join(named, [*keys, "kind"], "left")
+    told = measures.where("value IS NOT NULL").select(*keys, F.struct("measure", F.col("value").cast("double").alias("value")).alias("m")).groupBy(*keys).agg(F.collect_set("m").alias("_told"))
+    tables = rules.groupBy("kind").agg(F.sort_array(F.collect_list(F.struct("priority", "diagnosis", "action", "autonomous", "tests"))).alias("_rules"))
+
+    def holds(t: Column) -> Column:
+        above = lambda v: t["low"].isNull() | (t["low"] <= v)
+        below = lambda v: t["high"].isNull() | (v < t["high"])
+        return F.exists(F.coalesce("_told", F.array().cast("array<struct<measure:string,value:double>>")), lambda m: (m["measure"] == t["measure"]) & above(m["value"]) & below(m["value"]))
+
+    # a rule is looked for where all lists are; no list of measures is broadcast by a size that was estimated before it was made
+    rows = failures.join(told.hint("merge"), list(keys), "left").join(tables, "kind", "left")
+    found = rows.select(*failures.columns, once(_rule=F.get(F.filter("_rules", lambda r: F.forall(r["tests"], holds)), F.lit(0))))
+    return found.select(*failures.columns, *(F.col("_rule")[c].alias(c) for c in ("priority", "diagnosis", "action", "autonomous")))

@@ -5,6 +5,7 @@ from datetime import date
 
 import pytest
 
+from finlattice.plans import catalog
 from finlattice.operators import strategy
 
 FIGS = "ticker string, section string, period_end string, months int, field string, filing string, value double"
@@ -103,3 +104,20 @@ def test_triage_rules_are_data(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
     more = rules.unionByName(strategy.triage_rules(spark, [("k", 9, "else", "d", "no", []), ("other", 1, "any", "e", "yes", [])]))
     assert sorted((r.id, r.diagnosis or "") for r in strategy.triage(failures, measures, more, ("id",)).collect()) == [(1, "low"), (2, "high"), (3, "else"), (4, "both"), (5, ""), (6, "any"), (6, "any")]
+
+
+def test_triage_moves_measures_once(spark):
+    failures = spark.createDataFrame([(1, "k"), (1, "k"), (2, "k"), (3, "none")], "id int, kind string")
+    measures = spark.createDataFrame([(1, "m", 5.0), (1, "m", 25.0), (2, "m", None)], "id int, measure string, value double")
+    got = strategy.triage(failures, measures, strategy.triage_rules(spark, [("k", 1, "high", "a", "yes", [("m", 20.0, None)]), ("k", 2, "rest", "b", "no", [])]), ("id",))
+    assert sorted((r.id, r.diagnosis or "") for r in got.collect()) == [(1, "high"), (1, "high"), (2, "rest"), (3, "")]
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") + got._jdf.queryExecution().optimizedPlan().toString().count("LocalRelation") == 3
+
+
+def test_column_counts_deals_no_cells_by_header(spark):
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "SortMergeJoin" not in catalog.queries()["column_counts"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
