@@ -22,6 +22,16 @@ def query(name: str, sql: str | None = None) -> Callable:
     return add
 
 
+#: Rows of a table in a partition, where it is dealt out.
+ROWS = 250_000
+
+
+def dealt(table: DataFrame, *by: str) -> DataFrame:
+    """A table dealt out by a key into partitions whose number grows with its rows (Parquet files tell them without being read), so that a task's rows don't."""
+    least = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return table.repartition(max(least, -(-table.count() // ROWS)), *by)
+
+
 def _load() -> None:
     """The modules that register queries."""
     from . import audit, corpus, reports, statements, strategy  # noqa: F401

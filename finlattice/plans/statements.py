@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import number, once
 from ..operators import cells, facts, periods, qc, quarters
-from .catalog import query
+from .catalog import dealt, query
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -340,7 +340,7 @@ FROM t CROSS JOIN (VALUES (0), (1)) c(col)
 def rendered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A pipe table for each order: its lines, and a total whose formula adds them, every third one negative."""
     # dealt out by order once: few bytes, but much to render and to parse
-    lines = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_partkey", "l_suppkey").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "l_orderkey")
+    lines = dealt(_t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_partkey", "l_suppkey"), "l_orderkey")
     first = periods.pick(lines, ("l_orderkey", "l_linenumber"), "l_extendedprice", "l_partkey", "l_suppkey")
     rows = first.select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("i"), F.round("l_extendedprice").cast("bigint").alias("v"))
     letter = F.chr(64 + F.col("i"))

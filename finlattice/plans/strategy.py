@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.expr import period_header
 from ..operators import market, pages, records, strategy
 from ..sources import readers
-from .catalog import query
+from .catalog import dealt, query
 from .statements import _t, _YEAR, cumulative
 
 CROSS_SQL = """
@@ -242,13 +242,16 @@ SELECT k AS l_orderkey, filing_type, n AS n_columns, rtrim(issues, ',') AS issue
 @query("column_counts", COLUMNS_SQL)
 def column_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("l_orderkey")
-    rows = _t(spark, sf_dir, "lineitem").groupBy("l_orderkey", F.col("l_linenumber").alias("row_no")).agg(F.min(F.col("l_quantity").cast("long")).alias("q"))
+    # dealt out by order once: no later step moves a cell
+    lines = dealt(_t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity"), "l_orderkey")
+    rows = lines.groupBy("l_orderkey", F.col("l_linenumber").alias("row_no")).agg(F.min(F.col("l_quantity").cast("long")).alias("q"))
     kind = F.when(k % 3 == 0, "annual").when(k % 3 == 1, "quarterly").otherwise("other")
     cells = rows.select("l_orderkey", kind.alias("filing_type"), "row_no", "q", F.explode(F.sequence(F.lit(0).cast("long"), k % 6)).alias("col_no"))
     header = F.when((k % 5 == 0) & (F.col("col_no") == 0), "Note").otherwise(F.concat(F.lit("31 Dec "), 2024 - F.col("col_no")))
     cells = cells.select("l_orderkey", "filing_type", "row_no", "col_no", header.alias("col_header"), F.when((F.col("q") <= 45) | (F.col("col_no") == 0), "7").alias("raw"))
     heads = cells.select("col_header").distinct().withColumn("dated", period_header(F.col("col_header"))["period_end"].isNotNull())
-    found = strategy.column_counts(cells.join(heads, "col_header"), "l_orderkey")
+    # seven headers; dealt out by them, the cells would be in seven tasks
+    found = strategy.column_counts(cells.join(F.broadcast(heads), "col_header"), "l_orderkey")
     return found.select("l_orderkey", "filing_type", "n_columns", F.array_join("issues", ",").alias("issues"))
 
 
