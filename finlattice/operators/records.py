@@ -201,8 +201,8 @@ def reproducible_sample(rows: DataFrame, key: str, n: int = 500, seed: int = 42)
     return rows.orderBy(F.col(key).isNull(), order, key, *(c for c in rows.columns if c != key)).limit(n)
 
 
-#: Letters of the runs that an index of lines knows.
-GRAM = 4
+#: Letters of the runs that an index of lines knows, and the labels up to which a key's lines are searched without one.
+GRAM, FEW = 4, 500
 
 
 def grams(text: Column) -> Column:
@@ -210,24 +210,25 @@ def grams(text: Column) -> Column:
     return F.when(F.length(text) >= GRAM, F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(text) - GRAM + 1), lambda i: F.substr(text, i, F.lit(GRAM))))).otherwise(F.array().cast("array<string>"))
 
 
-def label_hits(labels: DataFrame, lines: DataFrame, key: str) -> DataFrame:
+def label_hits(labels: DataFrame, lines: DataFrame, key: str, few: int = FEW) -> DataFrame:
     """Labels with the lines of their key that contain them, whatever the case.
 
-    A line that contains a label contains all its runs of four letters: each label meets the lines that have the run of it that is rarest in its
-    key's lines, and only those are searched. Labels of under four letters have no run and meet all lines of their key.
+    Labels and lines of a key meet, up to ``few`` labels, and the lines are searched: no line is taken apart, and work grows with the lines. In a key of more labels a line that
+    contains a label contains all its runs of four letters: each label meets the lines that have the run of it that is rarest in its key's labels. Labels of under
+    four letters have no run and meet all lines of their key. A line is read once either way.
     """
     l = F.lower("label")
-    named = labels.select(key, "label").distinct().withColumn("_l", l)
-    asked = named.where(F.length("_l") >= GRAM).select(key, "label", F.explode(grams(F.col("_l"))).alias("_g"))
-    wanted = asked.select(key, "_g").distinct()
-    at = lines.select(key, "line_no", F.explode(grams(F.lower("line"))).alias("_g")).join(wanted, [key, "_g"], "left_semi")
-    counts = at.groupBy(key, "_g").agg(F.count("*").alias("_n"))
-    # a label one of whose runs no line has is dropped by the inner join only if that run is its rarest: those are the ones with a count missing
-    rarest = asked.join(counts, [key, "_g"], "left").groupBy(key, "label").agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "_g")).alias("r"))
-    near = rarest.where("r.n > 0").select(key, "label", F.col("r._g").alias("_g")).join(at, [key, "_g"]).select(key, "label", "line_no")
-    long_ = near.join(lines, [key, "line_no"]).where(F.contains(F.lower("line"), l))
-    short = named.where(F.length("_l") < GRAM).select(key, "label").join(lines, key).where(F.contains(F.lower("line"), l))
-    return long_.unionByName(short.select(*long_.columns))
+    named = labels.where(F.col(key).isNotNull() & F.col("label").isNotNull()).select(key, "label").distinct()
+    # few keys have many labels: at most one for each ``few`` labels
+    many = F.broadcast(named.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > few).select(key, F.lit(True).alias("_many")))
+    asked = named.join(many, key).where(F.length(l) >= GRAM).select(key, "label", F.explode(grams(l)).alias("_g"))
+    rarity = asked.groupBy(key, "_g").agg(F.count("*").alias("_n"))
+    rarest = asked.join(rarity, [key, "_g"]).groupBy(key, "label").agg(F.min(F.struct("_n", "_g")).alias("_r")).select(key, "label", F.col("_r._g").alias("_g"))
+    # the empty run stands for all lines
+    direct = named.join(many, key, "left").where(F.col("_many").isNull() | (F.length(l) < GRAM)).select(key, "label", F.lit("").alias("_g"))
+    runs = F.when(F.col("_many"), F.concat(F.array(F.lit("")), grams(F.lower("line")))).otherwise(F.array(F.lit("")))
+    placed = lines.where("line IS NOT NULL").join(many, key, "left").select(key, "line_no", "line", F.explode(runs).alias("_g"))
+    return direct.unionByName(rarest).hint("merge").join(placed, [key, "_g"]).where(F.contains(F.lower("line"), l)).select(key, "label", "line_no", "line")
 
 
 def best_label_row(labels: DataFrame, lines: DataFrame, key: str) -> DataFrame:

@@ -112,3 +112,14 @@ def test_presence_broadcasts_nothing(spark):
     """Sizes that are estimated before the parts of printed numbers are counted are too small to broadcast by."""
     for name, of in (("value_presence", "/root/testdata/sf0.001"), ("presence_by_manifest", "/root/testdata/sf0.001")):
         assert "Broadcast" not in catalog.queries()[name](spark, of)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_label_hits_of_many_labels_equal_brute_force(spark):
+    rng = random.Random(5)
+    lines = [(k, i, "| " + " ".join(rng.choices(("Cash", "and", "bank", "A", "tax", "%", "été"), k=rng.randint(0, 6)))) for k in ("f", "g") for i in range(60)]
+    labels = [(k, x) for k, n in (("f", 8), ("g", 3)) for x in ("Cash and", "A", "nowhere here", "", "bank", "TAX", "tax bank", "ÉTÉ")[:n]]
+    got = records.label_hits(spark.createDataFrame(labels, "file string, label string"), spark.createDataFrame(lines, "file string, line_no int, line string"), "file", few=4)
+    rows = [(r.file, r.label, r.line_no) for r in got.collect()]
+    assert len(rows) == len(set(rows)) and set(rows) == {(k, x, i) for k, x in labels for f, i, line in lines if k == f and x.lower() in line.lower()}
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("LogicalRDD" in x and "line_no" in x for x in plan.split("\n")) == 1
