@@ -24,25 +24,33 @@ HEADER_LABELS = ("particulars", "description", "item", "line item", "")
 def flatten_tables(files: DataFrame, keys: Sequence[str], empty_dash: float | None = None) -> DataFrame:
     """Cells of the pipe tables in markdown ``files`` (keys, text): section, line_item, column, value.
 
-    Headings and table headers are carried forward line by line; header-like labels and cells without number are left out.
+    Headings and table headers hold up to the next; header-like labels and cells without number are left out. All of it happens in the file's own row: nothing is
+    shuffled or sorted.
     """
-    lines = files.select(*keys, F.posexplode(F.split("text", "\n")).alias("line_no", "line")).withColumn("line", trimmed(F.col("line")))
-    w = Window.partitionBy(*keys).orderBy("line_no")
-    rule = F.col("line").rlike(r"^\|?[\s:|-]*-[\s:|-]*$") & F.col("line").contains("|")
-    marked = lines.where("line <> ''").withColumns({"_rule": rule, "_next_rule": F.lead(rule).over(w)})
-    cells = F.transform(F.split(F.regexp_replace("line", r"^\||\|$", ""), r"\|", -1), lambda c: trimmed(F.regexp_replace(c, r"\*\*", "")))
-    table = F.col("line").startswith("|") & ~F.col("_rule")
-    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    carried = marked.withColumns({
-        "section": F.last(F.when(F.col("line").startswith("#"), trimmed(F.regexp_replace("line", "^#+", ""))), ignorenulls=True).over(upto),
-        "_head": F.last(F.when(table & F.col("_next_rule"), cells), ignorenulls=True).over(upto),
-        "_cells": cells,
-    })
-    body = carried.where(table & ~F.coalesce("_next_rule", F.lit(False)) & F.col("_head").isNotNull())
-    each = body.select(*keys, "line_no", F.coalesce("section", F.lit("")).alias("section"), F.get("_cells", F.lit(0)).alias("line_item"), F.posexplode(F.arrays_zip(F.slice("_head", 2, 1000).alias("c"), F.slice("_cells", 2, 1000).alias("v"))).alias("col_no", "z"))
-    value = number(F.col("z.v"), dash=empty_dash, percent=True, spaces=True)
-    out = each.select(*keys, "line_no", "section", "line_item", "col_no", F.col("z.c").alias("column"), value.alias("value"))
-    return out.where(F.col("value").isNotNull() & F.col("column").isNotNull() & ~F.lower("line_item").isin(*HEADER_LABELS))
+    rule = lambda x: F.contains(x, F.lit("|")) & F.contains(x, F.lit("-")) & x.rlike(r"^\|?[\s:|-]*-[\s:|-]*$")
+    lines = F.filter(F.transform(F.split("text", "\n"), lambda x, i: F.struct(i.alias("no"), trimmed(x).alias("line"))), lambda r: r["line"] != "")
+    ruled = files.select(*keys, once(lines=F.transform(lines, lambda r: r.withField("rule", rule(r["line"])))))
+    # headings, and lines above a rule, which are heads of tables: what follows up to the next one has them in force
+    table = lambda r: r["line"].startswith("|") & ~r["rule"]
+    above = lambda i: F.coalesce(F.get("lines", i + 1)["rule"], F.lit(False))
+    marks = F.filter(F.transform("lines", lambda r, i: F.struct(i.alias("at"), F.when(r["line"].startswith("#"), r["line"]).alias("heading"), F.when(table(r) & above(i), r["line"]).alias("head"))), lambda m: m["heading"].isNotNull() | m["head"].isNotNull())
+    start = F.struct(F.lit(None).cast("string").alias("heading"), F.lit(None).cast("string").alias("head"), F.array().cast("array<struct<at:int,heading:string,head:string>>").alias("out"))
+
+    def carry(s: Column, m: Column) -> Column:
+        heading, head = F.coalesce(m["heading"], s["heading"]).alias("heading"), F.coalesce(m["head"], s["head"]).alias("head")
+        return F.struct(heading, head, F.array_append(s["out"], F.struct(m["at"].alias("at"), heading, head)).alias("out"))
+
+    carried = ruled.select(*keys, "lines", once(marks=marks)).select(*keys, "lines", once(marks=F.aggregate("marks", start, carry, lambda s: s["out"])))
+    end = lambda i: F.coalesce(F.get("marks", i + 1)["at"], F.size("lines"))
+    parts = F.transform("marks", lambda m, i: F.struct(m["heading"].alias("heading"), m["head"].alias("head"), F.filter(F.slice("lines", m["at"] + 2, end(i) - m["at"] - 1), table).alias("rows")))
+    held = carried.select(*keys, once(parts=F.filter(parts, lambda p: p["head"].isNotNull() & (F.size(p["rows"]) > 0)))).select(*keys, F.explode("parts").alias("p"))
+    cells = lambda x: F.transform(F.split(F.regexp_replace(x, r"^\||\|$", ""), r"\|", -1), lambda c: trimmed(F.replace(c, F.lit("**"), F.lit(""))))
+    section = F.coalesce(trimmed(F.regexp_replace("p.heading", "^#+", "")), F.lit(""))
+    named = held.select(*keys, once(section=section, head=cells(F.col("p.head")), rows=F.col("p.rows"))).select(*keys, "section", "head", F.explode("rows").alias("r"))
+    body = named.select(*keys, F.col("r.no").alias("line_no"), "section", "head", once(cells=cells(F.col("r.line"))))
+    each = body.select(*keys, "line_no", "section", F.get("cells", F.lit(0)).alias("line_item"), "cells", F.posexplode(F.slice("head", 2, 1000)).alias("col_no", "column"))
+    out = each.where(~F.lower("line_item").isin(*HEADER_LABELS)).select(*keys, "line_no", "section", "line_item", "col_no", "column", once(value=number(F.get("cells", F.col("col_no") + 1), dash=empty_dash, percent=True, spaces=True)))
+    return out.where(F.col("value").isNotNull() & F.col("column").isNotNull())
 
 
 def flatten_multiyear(files: DataFrame, keys: Sequence[str], report_year: str = "report_year") -> DataFrame:

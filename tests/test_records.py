@@ -123,3 +123,10 @@ def test_label_hits_of_many_labels_equal_brute_force(spark):
     assert len(rows) == len(set(rows)) and set(rows) == {(k, x, i) for k, x in labels for f, i, line in lines if k == f and x.lower() in line.lower()}
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert sum("LogicalRDD" in x and "line_no" in x for x in plan.split("\n")) == 1
+
+
+def test_tables_are_flattened_in_their_row(spark):
+    text = "# One\n\n| Item | **2024** | 2023 |\n|---|---|---|\n| a | 1 | (2) |\n## Two\n| b | 3 | - |\n\ntext\n| Item | 2022 |\n\n|:--|\n| c | 4% | 9 |\n| d |"
+    got = records.flatten_tables(spark.createDataFrame([("f", text), ("g", None), ("h", "")], "file string, text string"), ["file"])
+    assert sorted((r.line_no, r.section, r.line_item, r.col_no, r.column, r.value) for r in got.collect()) == [(4, "One", "a", 0, "2024", 1.0), (4, "One", "a", 1, "2023", -2.0), (6, "Two", "b", 0, "2024", 3.0), (12, "Two", "c", 0, "2022", 4.0)]
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
