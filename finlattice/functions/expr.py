@@ -65,19 +65,24 @@ def month_number(name: Column) -> Column:
 
 def period_header(text: Column) -> Column:
     """``struct(period_end, months)`` of headers such as 9M Sep 2024, 30 Jun 2024, June 30, 2024; months is null for dates."""
-    t = trimmed(F.regexp_replace(text, r"\s*\([^)]*\)\s*$", ""))
-    span, day, long_ = r"^(\d{1,2})M\s+([A-Za-z]+)\s+(\d{4})$", r"^(\d{1,2})\s+([A-Za-z]+)\s+(\d{4})$", r"^([A-Za-z]+)\s+(\d{1,2}),?\s+(\d{4})$"
+    plain = trimmed(F.when(F.contains(text, F.lit("(")), F.regexp_replace(text, r"\s*\([^)]*\)\s*$", "")).otherwise(text))
 
-    def part(pattern: str, i: int) -> Column:
-        return F.regexp_extract(t, pattern, i)
+    def read(t: Column) -> Column:
+        span, day, long_ = r"^(\d{1,2})M\s+([A-Za-z]+)\s+(\d{4})$", r"^(\d{1,2})\s+([A-Za-z]+)\s+(\d{4})$", r"^([A-Za-z]+)\s+(\d{1,2}),?\s+(\d{4})$"
 
-    def when(pattern: str, y: int, m: int, d: int | None) -> Column:
-        year, month = part(pattern, y).try_cast("int"), month_number(part(pattern, m))
-        first = F.try_make_date(year, F.when(month > 0, month), F.lit(1)) if hasattr(F, "try_make_date") else F.when(month > 0, F.make_date(year, month, F.lit(1)))
-        return F.last_day(first) if d is None else F.when(part(pattern, d).try_cast("int") <= F.day(F.last_day(first)), F.date_add(first, part(pattern, d).try_cast("int") - 1))
+        def part(pattern: str, i: int) -> Column:
+            return F.regexp_extract(t, pattern, i)
 
-    end = F.when(t.rlike(span), when(span, 3, 2, None)).when(t.rlike(day), when(day, 3, 2, 1)).when(t.rlike(long_), when(long_, 3, 1, 2))
-    return F.struct(end.alias("period_end"), F.when(t.rlike(span), part(span, 1).try_cast("int")).alias("months"))
+        def when(pattern: str, y: int, m: int, d: int | None) -> Column:
+            year, month = part(pattern, y).try_cast("int"), month_number(part(pattern, m))
+            first = F.try_make_date(year, F.when(month > 0, month), F.lit(1)) if hasattr(F, "try_make_date") else F.when(month > 0, F.make_date(year, month, F.lit(1)))
+            return F.last_day(first) if d is None else F.when(part(pattern, d).try_cast("int") <= F.day(F.last_day(first)), F.date_add(first, part(pattern, d).try_cast("int") - 1))
+
+        end = F.when(t.rlike(span), when(span, 3, 2, None)).when(t.rlike(day), when(day, 3, 2, 1)).when(t.rlike(long_), when(long_, 3, 1, 2))
+        return F.struct(end.alias("period_end"), F.when(t.rlike(span), part(span, 1).try_cast("int")).alias("months"))
+
+    # the text without its remark is made once, as every pattern looks at it
+    return F.get(F.transform(F.array(plain), read), F.lit(0))
 
 
 def fiscal_year(end: Column, fiscal_month: Column) -> Column:

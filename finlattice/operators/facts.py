@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expr import number, period_header, unit_factor
+from ..functions.expr import number, once, period_header, unit_factor
 from .periods import dedupe_balance_rows
 
 #: Columns of a published fact, in order.
@@ -96,9 +96,9 @@ def flatten_bs(cells: DataFrame, companies: DataFrame, non_negative: tuple[str,
     a figure give nothing. Of one item's rows for a date, those of the filing's own period stand before comparatives, annual
     before quarterly, then the first read.
     """
-    # as a generator, so that the optimiser copies the parsers into no filter and no later projection
-    parsed = F.inline(F.array(F.struct(period_header(F.col("col_header")).alias("_head"), number(F.col("raw"), spaces=True).alias("_raw"))))
-    rows = cells.where(valid_canonical(F.col("canonical"))).select("*", parsed).where(F.col("_head.period_end").isNotNull() & F.col("_raw").isNotNull())
+    # a header without a digit has no date
+    dated = cells.where(valid_canonical(F.col("canonical")) & F.col("col_header").rlike("[0-9]"))
+    rows = dated.select("*", once(_head=period_header(F.col("col_header")), _raw=number(F.col("raw"), spaces=True))).where(F.col("_head.period_end").isNotNull() & F.col("_raw").isNotNull())
     rows = rows.withColumns({"period_end": F.col("_head.period_end"), "period_duration": F.coalesce(F.concat("_head.months", F.lit("M")), F.lit("PIT"))})
     rows = enrich(rows, companies).join(companies.select("ticker", F.col("fiscal_month").alias("_fm")), "ticker", "left")
     late = (F.col("filing_type") != "annual") & (F.month("period_end") > F.coalesce("_fm", F.lit(12)))

@@ -4,6 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from finlattice.functions import expr
 from finlattice.operators import cells, facts, quarters, records
 from finlattice.plans import catalog
 from finlattice.sources import readers
@@ -130,3 +131,11 @@ def test_tables_are_flattened_in_their_row(spark):
     got = records.flatten_tables(spark.createDataFrame([("f", text), ("g", None), ("h", "")], "file string, text string"), ["file"])
     assert sorted((r.line_no, r.section, r.line_item, r.col_no, r.column, r.value) for r in got.collect()) == [(4, "One", "a", 0, "2024", 1.0), (4, "One", "a", 1, "2023", -2.0), (6, "Two", "b", 0, "2024", 3.0), (12, "Two", "c", 0, "2022", 4.0)]
     assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_headers_are_cut_once(spark):
+    """A header without its remark is made once, not for every pattern that looks at it."""
+    heads = ["9M Sep 2024 (Audited)", "31 Feb 2024", "30 Jun 2024", "June 30, 2024 (x)", "Note", None, ""]
+    got = spark.createDataFrame([(h,) for h in heads], "h string").select("h", expr.once(p=expr.period_header(F.col("h")))).select("h", "p.*")
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace(h#") == 1
+    assert [(str(r.period_end), r.months) for r in got.collect()] == [("2024-09-30", 9), ("None", None), ("2024-06-30", None), ("2024-06-30", None), ("None", None), ("None", None), ("None", None)]
