@@ -26,16 +26,26 @@ def shared_dir(spark: SparkSession) -> str:
 TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def durable(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet to the shared folder and read back: cuts lineage and survives lost executors."""
+#: Rows of a batch that Python workers get.
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def durable(df: DataFrame, name: str, batch_rows: int | None = None) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read back: cuts lineage and survives lost executors.
+
+    ``batch_rows``: rows that Python workers get at once, for wide ones, as a batch is held by the JVM and by the worker.
+    """
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     conf = df.sparkSession.conf
-    before = conf.get(TIDY, "false")
-    conf.set(TIDY, "true")
+    wanted = {TIDY: "true"} | ({BATCH_ROWS: str(batch_rows)} if batch_rows else {})
+    before = {k: conf.get(k, None) for k in wanted}
     try:
+        for k, v in wanted.items():
+            conf.set(k, v)
         df.write.parquet(path)
     finally:
-        conf.set(TIDY, before)
+        for k, v in before.items():
+            conf.set(k, v) if v is not None else conf.unset(k)
     back = df.sparkSession.read.schema(df.schema).parquet(path)
     back.durable_path = path
     _MADE.append(path)

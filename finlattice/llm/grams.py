@@ -25,6 +25,8 @@ U64 = np.uint64
 CELL = "chunk long, level int, shard int, data binary"
 #: Bytes of text of a chunk (a longer single text is one chunk), words of all texts for each shard, chunks of a partition.
 CHUNK_BYTES, SHARD_WORDS, CHUNKS_IN_PART = 16 << 20, 4_000_000, 2
+#: Cells of a batch that a worker gets: some are megabytes, so that a batch of a whole partition would be held several times.
+BATCH_CELLS = 32
 
 
 def pack(*arrays: np.ndarray) -> bytes:
@@ -129,9 +131,18 @@ def dealt(shard: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def indexed(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct values, and the place of each value among them."""
-    found, at = np.unique(values, return_inverse=True)
-    return found, at.astype(np.uint32)
+    """Sorted distinct values, and the place of each value among them; places take 32 bits, and no more than three arrays of 64 are held at once."""
+    order = np.argsort(values)
+    values = values[order]
+    new = np.ones(len(values), bool)
+    np.not_equal(values[1:], values[:-1], out=new[1:])
+    found = values[new]
+    del values
+    rank = np.cumsum(new, dtype=np.uint32)
+    rank -= np.uint32(1)
+    at = np.empty(len(rank), np.uint32)
+    at[order] = rank
+    return found, at
 
 
 def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .common import durable, pieces, release
 from .elias_fano import Trie
-from .grams import CELL, CHUNK_BYTES, by_chunk, by_shard, cells, chunk_ids, dealt, gaps, grouped, indexed, n_shards, pack, summed, totals, unpack, words_of
+from .grams import BATCH_CELLS, CELL, CHUNK_BYTES, by_chunk, by_shard, cells, chunk_ids, dealt, gaps, grouped, indexed, n_shards, pack, summed, totals, unpack, words_of
 from .shingles import mix64, slices, utf8_parts
 
 U64 = np.uint64
@@ -34,6 +34,8 @@ DISCOUNT, ADDED = 0.75, 0.1
 STEPS, NONE = 4096, 65535
 #: Added to the level of answers that tell which n-grams may be contexts.
 OFTEN = 100
+#: Tokens whose probabilities are worked out at once.
+TOKENS = 1 << 17
 
 
 def code(p: np.ndarray) -> np.ndarray:
@@ -46,6 +48,10 @@ def value(codes: np.ndarray) -> np.ndarray:
     return np.where(codes == NONE, 0.0, 10.0 ** (codes / -STEPS))
 
 
+#: The value of every code.
+VALUES = value(np.arange(NONE + 1, dtype=np.uint16))
+
+
 def _framed(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes of texts, each between a begin and an end, and their numbers."""
     found, _, _, doc = words_of(*utf8_parts(col), _GAPS)
@@ -83,52 +89,77 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Grams:
-    """The n-grams of a chunk, level by level; ``answers[k]``: codes for those of level k, as far as they have come."""
+    """The n-grams of a chunk, level by level; ``answers[k]``: codes for those of level k, as far as they have come.
+
+    What there is for each token takes 32 bits or one byte: a worker holds a few such arrays beside its answers.
+    """
 
     def __init__(self, data: bytes, shards: int) -> None:
         self.doc_id, self.flags, self.lengths, at, self.words = unpack(data)
         self.shards = shards
-        self.at = at.astype(np.int64)
-        self.doc = np.repeat(np.arange(len(self.lengths)), self.lengths)
-        self.train = (self.flags & 1).astype(np.int64)[self.doc]
+        self.at = at.astype(np.uint32)
+        self.lengths = self.lengths.astype(np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.train = np.repeat((self.flags & 1).astype(bool), self.lengths)
         self.predicted = np.ones(len(self.at), bool)
-        self.predicted[np.cumsum(self.lengths) - self.lengths] = False
+        self.predicted[self.starts] = False
         # n-gram that ends at each token, hashes of n-grams, and the tokens with a context of the level
         self.level, self.node, self.hashes, self.open = 1, self.at, self.words, self.predicted
 
     def unigrams(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """For each shard: places of its words, and their counts in training documents."""
-        counts = np.bincount(self.at[self.predicted], self.train[self.predicted], len(self.words)).astype(np.uint64)
+        counts = np.bincount(self.at[self.predicted & self.train], minlength=len(self.words)).astype(np.uint64)
         for shard, at in dealt((self.words % U64(self.shards)).astype(np.int64)):
             yield shard, at, counts[at]
 
+    def of_documents(self, x: np.ndarray) -> np.ndarray:
+        """Sums over the predicted tokens of each document; ``x`` is overwritten."""
+        x[~self.predicted] = 0
+        return np.add.reduceat(x, self.starts, dtype=np.int64 if x.dtype == bool else x.dtype)
+
     def climb(self) -> None:
         """Goes on to the n-grams of the next level."""
         self.level += 1
-        self.tokens = np.flatnonzero(self.open)
-        key = self.node[self.tokens - 1].astype(U64) * U64(len(self.words)) + self.at[self.tokens].astype(U64)
-        types, self.type = np.unique(key, return_inverse=True)
-        self.counts = np.bincount(self.type, self.train[self.tokens], len(types)).astype(np.uint64)
-        self.context, word = self.hashes[(types // U64(max(len(self.words), 1))).astype(np.int64)], (types % U64(max(len(self.words), 1))).astype(np.int64)
-        self.word = self.words[word]
+        # the first token of a chunk is a begin, so each open token has one before it
+        self.tokens = np.flatnonzero(self.open).astype(np.uint32)
+        key = self.node[:-1][self.open[1:]].astype(U64)
+        key *= U64(len(self.words))
+        key += self.at[self.open]
+        self.node = self.type = None
+        types, self.type = indexed(key)
+        del key
+        n = U64(max(len(self.words), 1))
+        self.context, self.word = self.hashes[(types // n).astype(np.int64)], self.words[(types % n).astype(np.int64)]
+        self.hashes = None
         self.deal = list(dealt((mix64(self.context) % U64(self.shards)).astype(np.int64)))
 
+    def counts(self) -> np.ndarray:
+        """How often training documents have each n-gram of the level."""
+        return np.bincount(self.type[self.train[self.tokens]], minlength=len(self.word)).astype(np.uint64)
+
     def codes(self, answers: dict[int, bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Probabilities and weights of the shorter context for each n-gram of the level."""
-        alpha, gamma = np.zeros(len(self.word)), np.zeros(len(self.word))
+        """Codes of the probabilities and of the weights of the shorter context for each n-gram of the level."""
+        alpha, gamma = np.full(len(self.word), NONE, np.uint16), np.full(len(self.word), NONE, np.uint16)
         for shard, at in self.deal:
-            a, g = unpack(answers[shard])
-            alpha[at], gamma[at] = value(a), value(g)
+            alpha[at], gamma[at] = unpack(answers[shard])
         return alpha, gamma
 
+    def interpolate(self, p: np.ndarray, answers: dict[int, bytes]) -> None:
+        """Turns probabilities of tokens by shorter contexts, ``p``, into those by the level's."""
+        alpha, gamma = self.codes(answers)
+        for i in range(0, len(self.tokens), TOKENS):
+            at, of = self.tokens[i : i + TOKENS], self.type[i : i + TOKENS]
+            p[at] = VALUES[alpha[of]] + VALUES[gamma[of]] * p[at]
+
     def extend(self, answers: dict[int, bytes]) -> None:
         """Opens the next level where the n-grams of this one are often enough."""
         often = np.zeros(len(self.word), bool)
         for shard, at in self.deal:
             (often[at],) = unpack(answers[shard])
-        node, may = np.zeros(len(self.at), np.int64), np.zeros(len(self.at), bool)
+        node, may = np.zeros(len(self.at), np.uint32), np.zeros(len(self.at), bool)
         node[self.tokens], may[self.tokens] = self.type, often[self.type]
         self.node, self.hashes = node, mix64(self.context * U64(0x9E3779B97F4A7C15) + self.word)
+        self.tokens = self.type = self.context = self.word = self.deal = None
         self.open = np.concatenate(([False], may[:-1])) & self.predicted
 
 
@@ -164,10 +195,11 @@ def _ask_grams(batches: Iterator[pa.RecordBatch], level: int, shards: int) -> It
         while grams.level < level:
             grams.extend(answers[OFTEN + grams.level])
             grams.climb()
+        counts = grams.counts()
         for shard, at in grams.deal:
             context = grams.context[at]
             new = np.flatnonzero(np.concatenate(([True], context[1:] != context[:-1])))
-            yield cells([(chunk, level, shard, pack(context[new], np.diff(np.append(new, len(at))).astype(np.uint64), *indexed(grams.word[at]), grams.counts[at]))])
+            yield cells([(chunk, level, shard, pack(context[new], np.diff(np.append(new, len(at))).astype(np.uint64), *indexed(grams.word[at]), counts[at]))])
 
 
 def build_trie(requests: list[bytes], min_context: int) -> Trie:
@@ -218,20 +250,19 @@ def _score(batches: Iterator[pa.RecordBatch], order: int, shards: int, n_words:
         for shard, at, _ in grams.unigrams():
             counts[at] = unpack(answers[1][shard])[0]
         base = (counts + ADDED) / (n_all + ADDED * (n_words + 1))
+        base_score, n_known = grams.of_documents(np.log10(base)[grams.at]), grams.of_documents((counts > 0)[grams.at])
         p = base[grams.at]
-        sums = [np.log10(p), counts[grams.at] > 0]
         while grams.level < order:
             grams.climb()
-            alpha, gamma = grams.codes(answers.get(grams.level, {}))
-            p[grams.tokens] = alpha[grams.type] + gamma[grams.type] * p[grams.tokens]
-            grams.extend(answers.get(OFTEN + grams.level, {}))
-        sums.append(np.log10(p))
-        base_score, n_known, score = (np.bincount(grams.doc[grams.predicted], x[grams.predicted], len(grams.doc_id)) for x in sums)
+            grams.interpolate(p, answers.get(grams.level, {}))
+            if grams.level < order:
+                grams.extend(answers.get(OFTEN + grams.level, {}))
+        score = grams.of_documents(np.log10(p, out=p))
         n = len(grams.doc_id)
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(grams.doc_id, pa.int64(), mask=grams.flags >= 2), pa.array((grams.flags & 1) == 0), pa.array(grams.lengths - 1, pa.int64()),
-                pa.array(n_known.astype(np.int64)), pa.array(np.full(n, n_all, np.int64)), pa.array(base_score), pa.array(score),
+                pa.array(n_known), pa.array(np.full(n, n_all, np.int64)), pa.array(base_score), pa.array(score),
             ],
             names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
         )
@@ -246,18 +277,20 @@ def score_texts(docs: DataFrame, order: int = 3, min_context: int = 4) -> DataFr
     """
     docs = docs.select(F.col("doc_id").cast("long"), "text", (~F.coalesce("held_out", F.lit(False))).alias("train"))
     chunks = durable(docs.mapInArrow(_chunks, f"{CELL}, n_words long"), "chunks")
+    # a few rows of the exchange at once, as some are wide
+    kept = partial(durable, batch_rows=BATCH_CELLS)
     n_chunks, size = totals(chunks)
     shards = n_shards(chunks, size)
     asked = by_chunk([chunks], n_chunks, partial(_ask_words, shards=shards))
-    found = durable(by_shard(asked, shards, _count_words), "counts")
+    found = kept(by_shard(asked, shards, _count_words), "counts")
     sums = [np.frombuffer(r[0], np.uint64) for r in found.where("chunk IS NULL").select("data").collect()]  # one row a shard
     n_words, n_all = (int(sum(int(s[i]) for s in sums)) for i in range(2))
     told = []
     for level in range(2, order + 1):
         asked = by_chunk([chunks, *(t.where(F.col("level") > OFTEN) for t in told)], n_chunks, partial(_ask_grams, level=level, shards=shards))
-        told.append(durable(by_shard(asked, shards, partial(_answer_grams, min_context=min_context)), "codes"))
+        told.append(kept(by_shard(asked, shards, partial(_answer_grams, min_context=min_context)), "codes"))
     answers = [found.where("chunk IS NOT NULL"), *told]
-    scores = durable(by_chunk([chunks, *answers], n_chunks, partial(_score, order=order, shards=shards, n_words=n_words, n_all=n_all), SCORES), "scores")
+    scores = kept(by_chunk([chunks, *answers], n_chunks, partial(_score, order=order, shards=shards, n_words=n_words, n_all=n_all), SCORES), "scores")
     release(chunks, found, *told)
     return scores
 
