@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,29 +29,46 @@ def once(**columns: Column) -> Column:
     return F.inline(F.array(F.struct(*(c.alias(n) for n, c in columns.items()))))
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with the value computed once however often it is used.
+
+    As a lambda, ``use`` isn't written out into the generated method of its stage, which Java doesn't compile above 8000 bytes of code.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def number(text: Column, *, empty: float | None = None, dash: float | None = None, spaces: bool = False, dollar: bool = False, trailing_minus: bool = False, percent: bool = False) -> Column:
     """Printed numbers: parentheses are negative; commas and bold marks go; what isn't a number is null.
 
     ``empty`` and ``dash`` are the values of empty cells and dashes, ``spaces`` drops inner white space, ``dollar`` and
     ``percent`` drop these signs, ``trailing_minus`` reads ``7-`` as -7.
     """
-    t = trimmed(F.replace(F.replace(text, F.lit("**"), F.lit("")), F.lit(","), F.lit("")))
-    if dollar:
-        t = F.replace(t, F.lit("$"), F.lit(""))
-    if percent:
-        t = F.replace(t, F.lit("%"), F.lit(""))
-    if spaces:
-        t = F.translate(t, SPACES, "")
-    negative = t.startswith("(") & t.rlike(r"^\(.*\)$")
-    body = trimmed(F.when(negative, F.regexp_replace(t, r"^\(|\)$", "")).otherwise(t))
-    if trailing_minus:
-        negative = negative | body.endswith("-")
-        body = F.when(body.endswith("-"), F.left(body, F.length(body) - 1)).otherwise(body)
-    value = F.when(body.rlike(_NUMBER), body.try_cast("double"))
-    value = F.when(negative, -F.abs(value) if trailing_minus else -value).otherwise(value)
+
+    def cleaned(text: Column) -> Column:
+        t = trimmed(F.replace(F.replace(text, F.lit("**"), F.lit("")), F.lit(","), F.lit("")))
+        if dollar:
+            t = F.replace(t, F.lit("$"), F.lit(""))
+        if percent:
+            t = F.replace(t, F.lit("%"), F.lit(""))
+        return F.translate(t, SPACES, "") if spaces else t
+
+    def read(body: Column, negative: Column) -> Column:
+        if trailing_minus:
+            negative = negative | body.endswith("-")
+            body = F.when(body.endswith("-"), F.left(body, F.length(body) - 1)).otherwise(body)
+        value = let(body, lambda b: F.when(b.rlike(_NUMBER), b.try_cast("double")))
+        return let(value, lambda v: F.when(negative, -F.abs(v) if trailing_minus else -v).otherwise(v))
+
+    def signed(t: Column) -> Column:
+        inside = let(trimmed(F.regexp_replace(t, r"^\(|\)$", "")), lambda b: read(b, F.lit(True)))
+        return F.when(t.startswith("(") & t.rlike(r"^\(.*\)$"), inside).otherwise(let(trimmed(t), lambda b: read(b, F.lit(False))))
+
+    def other(t: Column) -> Column:
+        return F.when(t == "", F.lit(empty).cast("double")).when(t.rlike("^[-–—]+$"), F.lit(dash).cast("double")).otherwise(signed(t))
+
     # most figures are digits and commas only; null text passes all tests and stays null
-    plain = F.replace(text, F.lit(","), F.lit("")).try_cast("double")
-    return F.when(text.rlike(r"^[0-9][0-9,]*\z"), plain).when(t == "", F.lit(empty).cast("double")).when(t.rlike("^[-–—]+$"), F.lit(dash).cast("double")).otherwise(value)
+    plain = lambda x: F.replace(x, F.lit(","), F.lit("")).try_cast("double")
+    return let(text, lambda x: F.when(x.rlike(r"^[0-9][0-9,]*\z"), plain(x)).otherwise(let(cleaned(x), other)))
 
 
 def unit_factor(unit: Column, field: Column | None = None) -> Column:

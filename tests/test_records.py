@@ -139,3 +139,25 @@ def test_headers_are_cut_once(spark):
     got = spark.createDataFrame([(h,) for h in heads], "h string").select("h", expr.once(p=expr.period_header(F.col("h")))).select("h", "p.*")
     assert got._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace(h#") == 1
     assert [(str(r.period_end), r.months) for r in got.collect()] == [("2024-09-30", 9), ("None", None), ("2024-06-30", None), ("2024-06-30", None), ("None", None), ("None", None), ("None", None)]
+
+
+def test_formulas_in_the_row_of_their_file(spark):
+    head = "UNIT_TYPE: thousands\n| Source Item | Canonical | Ref | 2024 | 2023 |\n|---|---|---|---|---|\n"
+    texts = {
+        "two": head + "| t | total | Z=A-(B+C) | 400 | 9 |\n| a | x | A | (1,000) | 2,000- |\n| b | y | B | **$ 5 00** | — |\n| a | z | A | 1 000 | |\n| u | sum | Y = A+B+C+D | 1,5 | 0 |", "auth": head + "| a | share_capital_authorized | A | 1,000 | 1 |\n| t | total | C=A | 1,000 | 5,000 |",
+        "zero": head + "| a | x | A | 0 | - |\n| t | total | C=A | 0 | 7 |\n| t | total | C=A", "none": "no table", "error": "PAGE_ERROR: x\n" + head + "| a | x | A | 1 | 1 |\n| t | total | C=A | 1 | 5 |", "narrow": "| Source Item | Canonical | Ref |\n| a | x | C=A |",
+    }
+    files = spark.createDataFrame([*texts.items(), ("null", None)], "file string, text string")
+    want = cells.qc_formulas(cells.parse_cells(files).withColumn("value", cells.qc_number(F.col("raw"))))
+    got = cells.table_formulas(files)
+    assert got.schema.simpleString() == want.schema.simpleString()
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert {r.file for r in got.collect()} == {"two", "zero"}
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_number_parser_is_compiled(spark):
+    """Java interprets methods of over 8000 bytes, however often they run."""
+    frame = spark.range(10).select(F.concat(F.lit("("), "id", F.lit(")")).alias("raw")).select(cells.qc_number(F.col("raw")))
+    made = frame._jdf.queryExecution().debug().codegenToSeq()
+    assert made.size() > 0 and all(made.apply(i)._3().maxMethodCodeSize() < 8000 for i in range(made.size()))
